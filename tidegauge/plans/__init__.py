@@ -1,3 +1,3 @@
 """Queries bound to the test tables; importing this package fills the registry."""
 
-from tidegauge.plans import tpch  # noqa: F401
+from tidegauge.plans import expressions, tpch  # noqa: F401
