@@ -68,29 +68,26 @@ def unused_columns(declared: DataFrame, used: DataFrame, keys: Sequence[str]) ->
     return declared.join(used.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def texts_containing(texts: DataFrame, text: str, objects: DataFrame, name: str, anchor: int = 8) -> DataFrame:
-    """Pairs of text row and object whose name occurs in the text, case-sensitively.
+def texts_containing(texts: DataFrame, key: str, text: str, objects: DataFrame, name: str, anchor: int = 8) -> DataFrame:
+    """Text rows with each object whose name occurs in the text, case-sensitively.
 
-    Every occurrence starts with the first characters of the name. The text's distinct character
-    grams of that length meet those anchors in an equi-join, and the full name is verified after
-    it: no pair is missed and no text is compared with every object. Whole texts are read; the work
-    is linear in their length, and the gram lengths are at most ``anchor`` different ones.
+    Every occurrence starts with the first characters of the name. The text's character grams of
+    that length meet those anchors in an equi-join, and the full name is verified afterwards: no
+    pair is missed and no text is compared with every object. Whole texts are read, the work is
+    linear in their length, and at most ``anchor`` different gram lengths occur.
     """
-    tagged = objects.filter(F.length(name) > 0).withColumn("_size", F.least(F.length(name), F.lit(anchor)))
-    named = tagged.withColumn("_gram", F.substring(F.col(name), F.lit(1), F.col("_size")))
-    sizes = [r["_size"] for r in named.select("_size").distinct().collect()]  # at most `anchor` values
-    if not sizes:
-        return texts.join(objects, F.lit(False))
-    grams = F.concat(*[_grams(F.col(text), size) for size in sizes])
-    probes = texts.withColumn("_gram", F.explode(F.array_distinct(grams)))
-    return probes.join(named, "_gram").filter(F.contains(F.col(text), F.col(name))).drop("_gram", "_size")
-
-
-def _grams(text: Column, size: int) -> Column:
-    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1)).otherwise(
-        F.array().cast("array<int>")
+    size = F.least(F.length(name), F.lit(anchor))
+    named = objects.filter(F.length(name) > 0).select(name).distinct()
+    anchors = named.select(F.col(name), F.substring(F.col(name), F.lit(1), size).alias("_gram"))
+    sizes = [r["_size"] for r in named.select(size.alias("_size")).distinct().collect()]  # at most `anchor` rows
+    # The lookahead matches at every position, so the grams overlap.
+    grams = F.concat(
+        F.array().cast("array<string>"),
+        *[F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sorted(sizes)],
     )
-    return F.transform(starts, lambda at: F.substring(text, at, F.lit(size)))
+    # Only the key travels with the grams; the text rejoins its few candidates for the check.
+    candidates = texts.select(key, F.explode(grams).alias("_gram")).join(anchors, "_gram").select(key, name).distinct()
+    return texts.join(candidates, key).filter(F.contains(F.col(text), F.col(name)))
 
 
 def points_in_intervals(

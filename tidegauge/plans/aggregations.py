@@ -161,7 +161,7 @@ def text_list(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "A7_percentiles_joined_back",
-    """SELECT event_id, value, strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS h, p50, p90, mean FROM events e JOIN (
+    """SELECT event_id, value, strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS h, round(p50, 6) AS p50, round(p90, 6) AS p90, mean FROM events e JOIN (
         SELECT date_trunc('hour', ts) AS hh, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.9) AS p90,
             CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) / count(*) AS mean FROM events GROUP BY 1) q
     ON date_trunc('hour', ts) = hh""",
@@ -171,6 +171,7 @@ def percentiles_joined_back(spark: SparkSession, sf: str) -> DataFrame:
         "event_id", "value", F.date_format("ts", "yyyy-MM-dd HH").alias("h")
     )
     exact = M.percentiles(events, ["h"], "value", {"p50": 0.5, "p90": 0.9})
+    exact = exact.select("h", F.round("p50", 6).alias("p50"), F.round("p90", 6).alias("p90"))
     mean = M.by_groups(events, ["h"], mean=as_double(F.sum(cents())) / M.rows())
     return events.join(exact, "h").join(mean, "h")
 
