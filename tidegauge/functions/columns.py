@@ -164,10 +164,10 @@ def split_known(df: DataFrame, code: str, known: Sequence[str]) -> tuple[DataFra
 
 
 # Codes of the price-paid files.
-PROPERTY_TYPES = {"D": "Detached", "S": "SemiDetached", "T": "Terraced", "F": "Flat", "O": "Other"}
-DURATIONS = {"F": "Freehold", "L": "Leasehold", "U": "Unknown"}
+PROPERTY_TYPES = {"D": "Detached", "S": "SemiDetached", "T": "Terraced", "F": "FlatMaisonette", "O": "Other"}
+DURATIONS = {"F": "Freehold", "L": "Leasehold", "C": "Commonhold", "U": "Unknown"}
 CATEGORIES = {"A": "StandardPricePaid", "B": "AdditionalPricePaid"}
-RECORD_STATUS = {"A": "Added", "C": "Changed", "D": "Deleted"}
+RECORD_STATUS = {"A": "Added", "C": "Changed", "D": "Deleted", "U": "Unknown"}
 
 
 def display_success(flag: Column) -> Column:

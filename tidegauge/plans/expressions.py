@@ -308,7 +308,7 @@ def type_mapping(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "P18_code_decode",
-    """SELECT o_orderstatus AS code, CASE o_orderstatus WHEN 'F' THEN 'Flat' WHEN 'O' THEN 'Other' END AS meaning,
+    """SELECT o_orderstatus AS code, CASE o_orderstatus WHEN 'F' THEN 'FlatMaisonette' WHEN 'O' THEN 'Other' END AS meaning,
         o_orderstatus NOT IN ('D', 'S', 'T', 'F', 'O') AS quarantined, count(*) AS n FROM orders GROUP BY 1""",
 )
 def code_decode(spark: SparkSession, sf: str) -> DataFrame:
