@@ -107,17 +107,16 @@ def keyed_csv(spark: SparkSession, sf: str) -> DataFrame:
     UNION ALL SELECT 'bad', count(*), NULL FROM lineitem WHERE l_returnflag = 'R' AND l_tax = 0""",
 )
 def load_with_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    path, reject_path = work_path(spark, "load"), work_path(spark, "rejects")
+    path = work_path(spark, "load")
     broken = (F.col("l_returnflag") == "R") & (F.col("l_tax") == 0)
     quantity = F.when(broken, F.lit("many")).otherwise(F.col("l_quantity").cast("string"))
     table(spark, sf, "lineitem").select("l_orderkey", quantity.alias("q"), "l_returnflag").write.option("sep", "|").csv(path)
     schema = T.StructType(
         [T.StructField("l_orderkey", T.LongType()), T.StructField("q", T.DoubleType()), T.StructField("flag", T.StringType())]
     )
-    good, bad = delimited.read_with_rejects(spark, path, schema)
-    bad.write.parquet(reject_path)
+    good, bad = delimited.load_with_rejects(spark, path, schema, work_path(spark, "loaded"))
     counts = good.select(F.lit("good").alias("part"), F.col("l_orderkey").alias("k")).unionByName(
-        spark.read.parquet(reject_path).select(F.lit("bad").alias("part"), F.lit(None).cast("bigint").alias("k"))
+        bad.filter(F.col("line").isNotNull()).select(F.lit("bad").alias("part"), F.lit(None).cast("bigint").alias("k"))
     )
     return counts.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("keys"))
 

@@ -21,21 +21,24 @@ def read_keyed_csv(spark: SparkSession, path: str, name: str, key: str, schema:
     return earliest(rows, [key], [F.col(c) for c in rows.columns if c != key])
 
 
-def read_with_rejects(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|") -> tuple[DataFrame, DataFrame]:
-    """Rows that fit the schema, and the rejected ones with their file and line.
+def load_with_rejects(spark: SparkSession, path: str, schema: T.StructType, out: str, sep: str = "|") -> tuple[DataFrame, DataFrame]:
+    """Load delimited files into ``out``: rows that fit the schema, and rejected lines with their file.
 
-    Every field is parsed even when a query uses few of them, or bad fields would go unnoticed.
+    One pass writes all columns, split by outcome. The written rows are returned because a scan that
+    needs few columns parses only those and would miss the errors in the others.
     """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     rows = (
         spark.read.schema(full)
-        .options(sep=sep, quote='"', mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning=False)
+        .options(sep=sep, quote='"', mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
         .csv(path)
     )
-    good = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = rows.filter(F.col(CORRUPT).isNotNull()).select(
-        F.col("_metadata.file_name").alias("file"), F.col(CORRUPT).alias("line"), *schema.fieldNames()
-    )
+    rows.withColumns({"rejected": F.col(CORRUPT).isNotNull(), "file": F.col("_metadata.file_name")}).write.partitionBy(
+        "rejected"
+    ).parquet(out)
+    loaded = spark.read.schema(T.StructType([*full.fields, T.StructField("file", T.StringType()), T.StructField("rejected", T.BooleanType())])).parquet(out)
+    good = loaded.filter(~F.col("rejected")).select(*schema.fieldNames())
+    bad = loaded.filter("rejected").select("file", F.col(CORRUPT).alias("line"))
     return good, bad
 
 
