@@ -182,7 +182,7 @@ def apply_changes(spark: SparkSession, sf: str) -> DataFrame:
     folder = K.create_landing_table(spark, work_path(spark, "landing"), "sales", "orders", ["o_orderkey"])
     changes = change_rows(orders)
     for seq in (1, 2):
-        K.write_change_file(changes.filter(F.col("seq") == seq).drop("seq"), folder)
+        K.write_change_files(changes.filter(F.col("seq") == seq).drop("seq"), folder)
     rows = K.read_change_files(spark, folder)
     return U.apply_changes(target_of(orders), rows, K.key_columns(spark, folder), ["_file", "_place"])
 

@@ -367,15 +367,21 @@ def change_type(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "K8_change_files",
-    """SELECT CAST(f AS BIGINT) AS file_no, count(*) AS n FROM (SELECT CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS f FROM orders) GROUP BY 1""",
+    "SELECT o_orderstatus, count(*) AS n, true AS gapless, true AS in_sequence FROM orders GROUP BY 1",
 )
 def change_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Three change sets: their rows, whether the files are numbered without gaps, and in order."""
     folder = K.create_landing_table(spark, work_path(spark, "landing"), "sales", "orders", ["o_orderkey"])
     orders = table(spark, sf, "orders").withColumn(K.MARKER, F.lit(0))
+    last = {}
     for status in ("F", "O", "P"):
-        K.write_change_file(orders.filter(F.col("o_orderstatus") == status), folder)
+        last[status] = K.write_change_files(orders.filter(F.col("o_orderstatus") == status), folder)[-1]
     rows = K.read_change_files(spark, folder)
-    return rows.groupBy(F.col("_file").alias("file_no")).agg(F.count(F.lit(1)).alias("n"))
+    files = rows.agg((F.count_distinct("_file") == F.max("_file")).alias("ok"))
+    expected = F.create_map(*[x for s, n in last.items() for x in (F.lit(s), F.lit(n))])
+    return rows.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), (F.max("_file") == F.element_at(expected, F.col("o_orderstatus"))).alias("in_sequence")
+    ).withColumn("gapless", files.scalar())
 
 
 @query(

@@ -117,11 +117,11 @@ def next_sequence(spark: SparkSession, folder: str) -> int:
     return max(numbers, default=0) + 1
 
 
-def write_change_file(df: DataFrame, folder: str) -> int:
-    """Add the next change file: written under a temporary name, then renamed into the sequence.
+def write_change_files(df: DataFrame, folder: str, order: Sequence[str] = ()) -> list[int]:
+    """Add a change set as the next files of the sequence and return their numbers.
 
-    The protocol wants one numbered file per change set, so its rows leave through one task; keep
-    change sets at file size, and load big snapshots as a sequence of them.
+    Rows are spread by key, so that all changes of a key share a file, in ``order``. Tasks write the
+    files in parallel under a temporary name; only the renames into the sequence happen here.
     """
     spark = df.sparkSession
     if "_metadata.json" not in child_names(spark, folder):
@@ -130,10 +130,14 @@ def write_change_file(df: DataFrame, folder: str) -> int:
         raise ValueError(f"{MARKER} must be the last column")
     number = next_sequence(spark, folder)
     temp = f"{folder}/_tmp-{number:020d}"
-    df.coalesce(1).write.mode("overwrite").parquet(temp)
-    part = next(n for n in child_names(spark, temp) if n.endswith(".parquet"))
-    rename(spark, f"{temp}/{part}", f"{folder}/{number:020d}.parquet")
-    return number
+    spread = df.repartition(*[F.col(c) for c in key_columns(spark, folder)])
+    if order:
+        spread = spread.sortWithinPartitions(*order)
+    spread.write.mode("overwrite").parquet(temp)
+    parts = [n for n in child_names(spark, temp) if n.endswith(".parquet")]
+    for i, part in enumerate(parts):
+        rename(spark, f"{temp}/{part}", f"{folder}/{number + i:020d}.parquet")
+    return list(range(number, number + len(parts)))
 
 
 def read_change_files(spark: SparkSession, folder: str, after: int = 0) -> DataFrame:
