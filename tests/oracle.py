@@ -46,6 +46,18 @@ def rows_of(columns: list[str], rows: list) -> list[tuple]:
     return sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
 
 
+# Spark type names that DuckDB spells differently.
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
+def type_differences(df, con, sql: str) -> str:
+    """Columns whose type in the result differs from the SQL's, as text."""
+    rel = con.sql(sql)
+    want = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    got = {c: TYPES.get(t, t) for c, t in df.dtypes}
+    return ", ".join(f"{c}: {got[c]} != {want.get(c)}" for c in got if got[c] != want.get(c))
+
+
 def compare(df, con, sql: str) -> str:
     """Empty text when equal, else what differs."""
     result = con.execute(sql)
@@ -88,9 +100,11 @@ def main(argv: list[str]) -> int:
         try:
             df = fn(spark, folder)
             note = compare(df, con, oracles[name]) if name in oracles else f"(no SQL) {df.count()} rows"
+            if note == "" and name in oracles and (types := type_differences(df, con, oracles[name])):
+                note = f"(types) {types}"
         except Exception as error:  # report and go on with the next query
             note = f"ERROR {type(error).__name__}: {str(error)[:600]}"
-        ok = note == "" or note.startswith("(no SQL)")
+        ok = note == "" or note.startswith("(")
         bad += not ok
         print(f"{'ok  ' if ok else 'FAIL'} {name} {time.time() - start:.1f}s {note}", flush=True)
     print(f"{bad} failing")

@@ -34,7 +34,9 @@ def read_load_test_logs(spark: SparkSession, glob: str, schema: str) -> DataFram
 def with_second_statistics(logs: DataFrame, second: str, duration: str) -> DataFrame:
     """Each row with mean, p50 and p90 of the durations that started in its second."""
     exact = percentiles(logs, [second], duration, {"p50": 0.5, "p90": 0.9})
-    mean = logs.groupBy(second).agg(F.avg(duration).alias("mean"))
+    # Summed as decimals, so that the mean does not depend on the order of the rows.
+    total = F.sum(F.col(duration).cast("decimal(18,6)")).cast("double")
+    mean = logs.groupBy(second).agg((total / F.count(duration)).alias("mean"))
     return logs.join(exact, second).join(mean, second)
 
 

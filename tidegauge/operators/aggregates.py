@@ -65,10 +65,10 @@ def text_list(by: str, col: str, sep: str = ", ") -> str:
     return f"listagg(DISTINCT {col}, '{sep}') WITHIN GROUP (ORDER BY {col})"
 
 
-def above_share(df: DataFrame, by: Sequence[str], value: Column, fraction: float) -> DataFrame:
-    """Groups whose total exceeds a fraction of the grand total."""
+def above_share(df: DataFrame, by: Sequence[str], value: Column, fraction: str) -> DataFrame:
+    """Groups whose total exceeds a decimal fraction of the grand total."""
     totals = df.groupBy(*by).agg(value.alias("total"))
-    bar = totals.agg((F.sum("total") * F.lit(fraction)).alias("bar"))
+    bar = totals.agg((F.sum("total") * F.expr(fraction)).alias("bar"))
     return totals.filter(F.col("total") > bar.scalar())
 
 

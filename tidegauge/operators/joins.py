@@ -117,13 +117,25 @@ def points_in_intervals(
     return probes.join(filed, ["_level", "_cell"]).filter(inside).drop("_level", "_cell")
 
 
-def pair_begin_end(ends: DataFrame, begins: DataFrame, keys: Sequence[str], end_ts: str, begin_ts: str, lookback: str = "1 day") -> DataFrame:
-    """Each end with its begin on the same keys, at most ``lookback`` earlier; unmatched ends are kept."""
+def pair_begin_end(ends: DataFrame, begins: DataFrame, keys: Sequence[str], end_ts: str, begin_ts: str, lookback_seconds: int = 86400) -> DataFrame:
+    """Each end with its begins on the same keys, at most ``lookback_seconds`` earlier; unmatched ends
+    are kept.
+
+    A begin is filed in its own time cell and the next, cells being as long as the lookback, so an
+    end meets only the begins of its cell: a hot key is split by time instead of paired with itself.
+    """
+
+    def cell(ts: str) -> Column:
+        return F.floor(F.unix_timestamp(ts) / lookback_seconds)
+
     b = begins.select(*[F.col(c).alias(f"_b_{c}") if c in keys else F.col(c) for c in begins.columns])
-    cond = F.col(begin_ts).between(F.col(end_ts) - F.expr(f"interval {lookback}"), F.col(end_ts))
+    b = b.withColumn("_b_cell", F.explode(F.array(cell(begin_ts), cell(begin_ts) + 1)))
+    earliest_begin = F.col(end_ts) - F.make_dt_interval(secs=F.lit(lookback_seconds))
+    cond = (F.col("_cell") == F.col("_b_cell")) & F.col(begin_ts).between(earliest_begin, F.col(end_ts))
     for key in keys:
         cond = cond & (F.col(key) == F.col(f"_b_{key}"))
-    return ends.join(b, cond, "left").drop(*[f"_b_{c}" for c in keys])
+    joined = ends.withColumn("_cell", cell(end_ts)).join(b, cond, "left")
+    return joined.drop("_cell", "_b_cell", *[f"_b_{c}" for c in keys])
 
 
 def expand_series(df: DataFrame, first: Column, last: Column, name: str) -> DataFrame:

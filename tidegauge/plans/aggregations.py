@@ -205,14 +205,13 @@ def group_by_all(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "A10_having_subquery",
-    f"""WITH t AS (SELECT l_partkey, sum({NET}) AS total FROM lineitem GROUP BY 1)
-    SELECT l_partkey, CAST(total AS DOUBLE) AS total FROM t WHERE total > (SELECT sum(total) * 0.0006 FROM t)""",
+    f"""SELECT l_returnflag, l_linestatus, l_linenumber, CAST(sum({NET}) AS DOUBLE) AS total FROM lineitem GROUP BY 1, 2, 3
+    HAVING sum({NET}) > (SELECT sum({NET}) * 0.024 FROM lineitem)""",
 )
 def having_subquery(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem")
-    bar = lines.agg((F.sum(net_price()) * F.expr("0.0006")).alias("bar"))
-    totals = lines.groupBy("l_partkey").agg(F.sum(net_price()).alias("total"))
-    return totals.filter(F.col("total") > bar.scalar()).withColumn("total", as_double(F.col("total")))
+    groups = ["l_returnflag", "l_linestatus", "l_linenumber"]
+    out = A.above_share(table(spark, sf, "lineitem"), groups, F.sum(net_price()), "0.024")
+    return out.withColumn("total", as_double(F.col("total")))
 
 
 # Measures ---------------------------------------------------------------------------------------
@@ -648,7 +647,7 @@ def daily_peaks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "M20_sub_operations",
-    """SELECT conv_id, turn, role, sum(length(text)) OVER w - length(text) AS start_at, sum(length(text)) OVER w AS end_at,
+    """SELECT conv_id, turn, role, CAST(sum(length(text)) OVER w - length(text) AS BIGINT) AS start_at, CAST(sum(length(text)) OVER w AS BIGINT) AS end_at,
         lag(role) OVER w AS previous FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)""",
 )
 def sub_operations(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidegauge.operators import merge as U
 from tidegauge.registry import query
 from tidegauge.session import table, work_path
+from tidegauge.streaming import streams as X
 from tidegauge.tables import maintenance as K
 from tidegauge.tables import versioned as V
 
@@ -210,6 +211,24 @@ def extracts(spark: SparkSession, sf: str) -> DataFrame:
     return full.unionByName(increment).groupBy("extract", F.col(U.MARKER).alias("marker")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "U12_second_destination",
+    f"""{NEW_STATE} SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey, coalesce(s.o_orderstatus, t.o_orderstatus) AS o_orderstatus,
+        coalesce(s.o_totalprice, t.o_totalprice) AS o_totalprice FROM t FULL JOIN s ON s.o_orderkey = t.o_orderkey""",
+)
+def second_destination(spark: SparkSession, sf: str) -> DataFrame:
+    """Source rows streamed into a second table: one merge per batch instead of one per row."""
+    orders, path, root = base(spark, sf), work_path(spark, "arriving"), work_path(spark, "second")
+    X.save_state(target_of(orders), root, -1)
+    checkpoint, news = work_path(spark, "checkpoint"), source_of(orders)
+    schema = "o_orderkey bigint, o_orderstatus string, o_totalprice double"
+    for part in (news.filter(F.col("o_orderstatus") == "X"), news.filter(F.col("o_orderstatus") != "X")):
+        part.write.mode("append").parquet(path)
+        stream = X.drop_stream(spark, path, "parquet", schema, "*.parquet")
+        X.run_available(stream, checkpoint, X.merge_batches(root, ["o_orderkey"]))
+    return V.read_current(spark, root)
+
+
 @query(
     "U13_not_recorded",
     "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE (l_partkey, l_suppkey) NOT IN (SELECT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'A')",

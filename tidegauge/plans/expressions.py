@@ -151,7 +151,7 @@ def contexts(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "P9_application_context",
     """SELECT event_id, 'd' || user_id AS DatasetId, event_type AS ReportId,
-        json_extract_string(props, '$.k') AS VisualId, NULL AS HostProperties FROM events""",
+        json_extract_string(props, '$.k') AS VisualId, CAST(NULL AS VARCHAR) AS HostProperties FROM events""",
 )
 def application_context(spark: SparkSession, sf: str) -> DataFrame:
     source = F.struct(F.col("event_type").alias("ReportId"), F.get_json_object("props", "$.k").alias("VisualId"))

@@ -33,8 +33,8 @@ def improvement(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "Q2_load_test_logs",
-    """SELECT e.event_id, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS started, value AS duration, round(p50, 6) AS p50, round(p90, 6) AS p90, round(mean, 6) AS mean
-    FROM events e JOIN (SELECT date_trunc('hour', ts) AS h, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.9) AS p90, avg(value) AS mean FROM events GROUP BY 1) ON h = date_trunc('hour', ts)""",
+    """SELECT e.event_id, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS started, value AS duration, round(p50, 6) AS p50, round(p90, 6) AS p90, mean
+    FROM events e JOIN (SELECT date_trunc('hour', ts) AS h, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.9) AS p90, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) / count(*) AS mean FROM events GROUP BY 1) ON h = date_trunc('hour', ts)""",
 )
 def load_test_logs(spark: SparkSession, sf: str) -> DataFrame:
     """Logs written per event type; starts carry fractions of a second, which the reader cuts off."""
@@ -48,7 +48,8 @@ def load_test_logs(spark: SparkSession, sf: str) -> DataFrame:
         "event_id",
         F.date_format("start_time_dt", "yyyy-MM-dd HH:mm:ss").alias("started"),
         "duration",
-        *[F.round(c, 6).alias(c) for c in ("p50", "p90", "mean")],
+        *[F.round(c, 6).alias(c) for c in ("p50", "p90")],
+        "mean",
     )
 
 

@@ -93,6 +93,16 @@ def apply_change_batches(root: str, keys: Sequence[str], columns: Sequence[str])
     return each
 
 
+def merge_batches(root: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """Batch function that merges each batch into the versioned table below ``root``."""
+
+    def each(df: DataFrame, batch: int) -> None:
+        old = state_after(df.sparkSession, root, batch)
+        save_state(df if old is None else merge(old, df, keys), root, batch)
+
+    return each
+
+
 def visible(state: DataFrame) -> DataFrame:
     return state.filter(~F.col("_gone")).drop("_file", "_gone")
 
