@@ -68,25 +68,31 @@ def unused_columns(declared: DataFrame, used: DataFrame, keys: Sequence[str]) ->
     return declared.join(used.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def texts_containing(texts: DataFrame, key: str, text: str, objects: DataFrame, name: str, anchor: int = 8) -> DataFrame:
+def texts_containing(texts: DataFrame, key: str, text: str, objects: DataFrame, name: str) -> DataFrame:
     """Text rows with each object whose name occurs in the text, case-sensitively.
 
-    Every occurrence starts with the first characters of the name. The text's character grams of
-    that length meet those anchors in an equi-join, and the full name is verified afterwards: no
-    pair is missed and no text is compared with every object. Whole texts are read, the work is
-    linear in their length, and at most ``anchor`` different gram lengths occur.
+    No text is compared with every object. Of the text only the character grams at every k-th
+    position are kept, and each name offers its first k grams: wherever the name occurs, one of its
+    grams falls on a kept position. Grams meet in an equi-join and the full name is verified
+    afterwards, so no pair is missed. Whole texts are read and the work is linear in their length.
+    Names are classed by length (1, 2, 4, or 8 and more), longer ones with wider steps.
     """
-    size = F.least(F.length(name), F.lit(anchor))
-    named = objects.filter(F.length(name) > 0).select(name).distinct()
-    anchors = named.select(F.col(name), F.substring(F.col(name), F.lit(1), size).alias("_gram"))
-    sizes = [r["_size"] for r in named.select(size.alias("_size")).distinct().collect()]  # at most `anchor` rows
-    # The lookahead matches at every position, so the grams overlap.
-    grams = F.concat(
-        F.array().cast("array<string>"),
-        *[F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sorted(sizes)],
-    )
+    classes = F.when(F.length(name) >= 8, 8)
+    for least in (4, 2):
+        classes = classes.when(F.length(name) >= least, least)
+    named = objects.filter(F.length(name) > 0).select(name).distinct().withColumn("_class", classes.otherwise(1))
+    present = sorted(r["_class"] for r in named.select("_class").distinct().collect())  # at most 4 values
+    grams, anchors = [F.array().cast("array<string>")], F.array().cast("array<string>")
+    for size in present:
+        step = max(1, size // 2)
+        width = size - step + 1
+        # The lookahead takes the gram, then the match moves on by one step.
+        grams.append(F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{width}}})).{{{step}}}"), F.lit(1)))
+        first = [F.substring(F.col(name), at + 1, width) for at in range(step)]
+        anchors = F.when(F.col("_class") == size, F.array(*first)).otherwise(anchors)
     # Only the key travels with the grams; the text rejoins its few candidates for the check.
-    candidates = texts.select(key, F.explode(grams).alias("_gram")).join(anchors, "_gram").select(key, name).distinct()
+    probes = texts.select(key, F.explode(F.concat(*grams)).alias("_gram"))
+    candidates = probes.join(named.select(name, F.explode(anchors).alias("_gram")), "_gram").select(key, name).distinct()
     return texts.join(candidates, key).filter(F.contains(F.col(text), F.col(name)))
 
 
