@@ -64,9 +64,24 @@ def expand_application_context(df: DataFrame, value: str) -> DataFrame:
     )
 
 
+def _western() -> tuple[str, str]:
+    """The control characters of Latin-1 that windows-1252 gives a printable meaning, and those."""
+    pairs = []
+    for byte in range(0x80, 0xA0):
+        char = bytes([byte]).decode("cp1252", errors="ignore")
+        if char:
+            pairs.append((chr(byte), char))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
 def decode_query_text(encoded: Column, charset: str = "windows-1252") -> Column:
     """Base64 text, decoded, with its lines joined by blanks."""
-    return F.regexp_replace(F.decode(F.unbase64(encoded), charset), r"\R", " ")
+    raw = F.unbase64(encoded)
+    if charset == "windows-1252":  # not among Spark's charsets: Latin-1 but for 27 characters
+        text = F.translate(F.decode(raw, "ISO-8859-1"), *_western())
+    else:
+        text = F.decode(raw, charset)
+    return F.regexp_replace(text, r"\R", " ")
 
 
 def bracket_sum(text: Column) -> Column:

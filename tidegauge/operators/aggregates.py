@@ -47,12 +47,13 @@ def completed_prefix(
     complete = (
         done.groupBy(query).agg(F.count(F.lit(1)).alias("_valid")).filter(F.col("_valid") == combos.scalar())
     )
-    # The prefix ends at the smallest id whose successor is missing; 1 itself may be missing.
-    following = complete.select((F.col(query) + 1).alias(query))
-    first = complete.select(F.lit(1).cast("bigint").alias(query)).limit(1)
-    starts = following.filter(F.col(query) >= 1).unionByName(first.limit(1))
-    missing = starts.distinct().join(complete.select(query), query, "left_anti")
-    return missing.agg(F.coalesce(F.min(query), F.lit(1)).alias("starting_query_id"))
+    # Given that 1 is complete, the prefix ends at the smallest id whose successor is missing.
+    following = complete.filter(F.col(query) >= 1).select((F.col(query) + 1).alias(query))
+    missing = following.join(complete.select(query), query, "left_anti")
+    has_first = complete.agg(F.coalesce(F.bool_or(F.col(query) == 1), F.lit(False)).alias("f"))
+    return missing.agg(F.min(query).alias("m")).select(
+        F.when(has_first.scalar(), F.col("m")).otherwise(F.lit(1).cast("bigint")).alias("starting_query_id")
+    )
 
 
 def pivot_pairs(df: DataFrame, by: Sequence[str], key: str, value: str, keys: Sequence[str]) -> DataFrame:

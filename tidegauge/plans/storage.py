@@ -217,11 +217,9 @@ def incremental_read(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT source, u.unit, sum(n_chars) / u.v AS size FROM documents, (VALUES ('bytes', 1), ('kilobytes', 1024), ('megabytes', 1048576), ('gigabytes', 1073741824)) u(unit, v) GROUP BY source, u.unit, u.v""",
 )
 def units(spark: SparkSession, sf: str) -> DataFrame:
-    """Sizes in every unit of the static unit table, which is joined on its kind."""
-    totals = table(spark, sf, "documents").groupBy("source").agg(F.sum("n_chars").alias("n")).withColumn("kind", F.lit("size"))
-    return totals.join(F.broadcast(metadata.units(spark)), "kind").select(  # a fixed table of 8 rows
-        "source", "unit", (F.col("n") / F.col("unit_value")).alias("size")
-    )
+    """Sizes in every unit of the static unit table, attached without a join."""
+    totals = table(spark, sf, "documents").groupBy("source").agg(F.sum("n_chars").alias("n"))
+    return metadata.with_units(totals, "size").select("source", "unit", (F.col("n") / F.col("unit_value")).alias("size"))
 
 
 @query(

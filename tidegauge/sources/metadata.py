@@ -31,12 +31,22 @@ def column_fill(name: str, df: DataFrame) -> DataFrame:
     )
 
 
+UNITS = {"size": SIZE_UNITS, "time": TIME_UNITS}
+
+
 def units(spark: SparkSession) -> DataFrame:
     """Size and time units with their worth in the stored unit."""
-    rows = [("size", n, v) for n, v in SIZE_UNITS.items()] + [("time", n, v) for n, v in TIME_UNITS.items()]
+    rows = [(kind, n, v) for kind, table in UNITS.items() for n, v in table.items()]
     return spark.createDataFrame(rows, "kind string, unit string, unit_value bigint")
 
 
+def with_units(df: DataFrame, kind: str) -> DataFrame:
+    """Each row once per unit of a kind. The table is a handful of constants, so it is exploded in
+    place; a join with it would have no key."""
+    rows = F.array(*[F.struct(F.lit(n).alias("unit"), F.lit(v).cast("bigint").alias("unit_value")) for n, v in UNITS[kind].items()])
+    return df.withColumn("_u", F.explode(rows)).select(*df.columns, "_u.*")
+
+
 def drift(old: DataFrame, new: DataFrame) -> DataFrame:
     """Added, dropped and re-typed columns between two column-metadata tables."""
     o = old.select("table_name", "column_name", F.col("data_type").alias("old_type"))
