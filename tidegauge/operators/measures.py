@@ -27,6 +27,28 @@ def filtered(agg, value: Column, where: Column) -> Column:
     return agg(F.when(where, value))
 
 
+def entities_by_flags(df: DataFrame, by: Sequence[str], entity: Column, flags: Mapping[str, Column]) -> DataFrame:
+    """Distinct entities per group that have a row satisfying each predicate; blank is one entity.
+
+    Entities are reduced to a row of flags first, so any number of predicates costs one shuffle of
+    the reduced rows instead of one copy of every row per distinct count.
+    """
+    met = {f"_{n}": F.bool_or(F.coalesce(cond, F.lit(False))).cast("int") for n, cond in flags.items()}
+    inner = by_groups(df.withColumn("_entity", entity), [*by, "_entity"], **met)
+    return by_groups(inner, by, **{n: F.sum(f"_{n}") for n in flags})
+
+
+def join_groups(by: Sequence[str], *parts: DataFrame) -> DataFrame:
+    """Measures of several grain computed per the same groups, side by side."""
+    out = parts[0]
+    for part in parts[1:]:
+        if by:
+            out = out.join(part, list(by), "left")
+        else:
+            out = out.withColumns({c: part.select(c).scalar() for c in part.columns})
+    return out
+
+
 def or_zero(total: Column) -> Column:
     return F.coalesce(total, F.lit(0))
 

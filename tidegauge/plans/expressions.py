@@ -188,9 +188,9 @@ def xml_json_property(spark: SparkSession, sf: str) -> DataFrame:
     source = F.struct(F.col("event_type").alias("ReportId"))
     app = F.to_json(F.struct(F.array(source).alias("Sources")))
     xml = F.concat(
-        F.lit("<PropertyList><DbpropMsmdActivityID>u"),
+        F.lit("<PropertyList><ActivityID>u"),
         F.col("user_id"),
-        F.lit("</DbpropMsmdActivityID><ApplicationContext>"),
+        F.lit("</ActivityID><ApplicationContext>"),
         app,
         F.lit("</ApplicationContext></PropertyList>"),
     )
@@ -202,7 +202,7 @@ def xml_json_property(spark: SparkSession, sf: str) -> DataFrame:
             X.xml_json_property(F.col("xml"), "/PropertyList/ApplicationContext", "$.Sources[0].ReportId").alias(
                 "report_id"
             ),
-            F.xpath_string("xml", F.lit("/PropertyList/DbpropMsmdActivityID")).alias("activity_id"),
+            F.xpath_string("xml", F.lit("/PropertyList/ActivityID")).alias("activity_id"),
         )
     )
 

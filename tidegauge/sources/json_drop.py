@@ -78,24 +78,13 @@ def artifact_rows(
     return out.withColumns({new: F.substring(old, 1, 10) for new, old in (dates or {}).items() if old in out.columns})
 
 
-# Where each artifact type keeps a user's right.
-ACCESS_RIGHTS = {
-    "reports": "reportUserAccessRight",
-    "datasets": "datasetUserAccessRight",
-    "dashboards": "dashboardUserAccessRight",
-    "dataflows": "dataflowUserAccessRight",
-    "datamarts": "datamartUserAccessRight",
-    "Lakehouse": "artifactUserAccessRight",
-    "Notebook": "artifactUserAccessRight",
-    "DataPipeline": "artifactUserAccessRight",
-    "Eventstream": "artifactUserAccessRight",
-    "Environment": "artifactUserAccessRight",
-    "MLModel": "artifactUserAccessRight",
-    "Reflex": "artifactUserAccessRight",
-    "KQLDatabase": "artifactUserAccessRight",
-    "Eventhouse": "artifactUserAccessRight",
-    "warehouses": "artifactUserAccessRight",
-}
+# Fields that hold a user's right when the artifact type has none of its own.
+COMMON_RIGHTS = ("artifactUserAccessRight", "groupUserAccessRight")
+
+
+def own_right(kind: str) -> str:
+    """The right field of an artifact type: ``reports`` keep it in ``reportUserAccessRight``."""
+    return f"{kind.removesuffix('s')}UserAccessRight"
 
 
 def _fields(dt: T.DataType) -> set[str]:
@@ -105,10 +94,13 @@ def _fields(dt: T.DataType) -> set[str]:
 
 
 def access_matrix(containers: DataFrame, container_id: str) -> DataFrame:
-    """One row per container, item and user with the user's right, over all artifact types."""
+    """One row per container, item and user with the user's right, over all artifact types.
+
+    Every array of records with ``users`` is an artifact type.
+    """
     parts = []
-    for kind, right in ACCESS_RIGHTS.items():
-        if kind not in containers.columns or "users" not in _fields(containers.schema[kind].dataType):
+    for kind in containers.columns:
+        if "users" not in _fields(containers.schema[kind].dataType):
             continue
         item_fields = _fields(containers.schema[kind].dataType)
         items = containers.select(F.upper(container_id).alias("WorkspaceId"), F.explode(kind).alias("i"))
@@ -125,7 +117,7 @@ def access_matrix(containers: DataFrame, container_id: str) -> DataFrame:
                 F.upper(first("i", item_fields, "id", "objectId")).alias("ItemId"),
                 F.lit(kind).alias("ItemType"),
                 first("i", item_fields, "name", "displayName").alias("ItemName"),
-                first("u", user_fields, right, "artifactUserAccessRight", "groupUserAccessRight").alias("AccessRight"),
+                first("u", user_fields, own_right(kind), *COMMON_RIGHTS).alias("AccessRight"),
                 first("u", user_fields, "emailAddress").alias("EmailAddress"),
                 first("u", user_fields, "displayName").alias("DisplayName"),
                 first("u", user_fields, "identifier").alias("Identifier"),
