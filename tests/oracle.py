@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import os
 import sys
 import time
 
@@ -84,7 +85,7 @@ def main(argv: list[str]) -> int:
     chosen = argv[1:]
     spark = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", os.environ.get("SHUFFLE_PARTITIONS", "8"))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()

@@ -27,6 +27,23 @@ def test_change_batches_in_any_order_and_twice(spark):
     assert results == [[(2, "Y"), (3, "z")]] * 3
 
 
+def test_logged_changes_survive_replay_order_and_compaction(spark):
+    first = changes(spark, [(1, "x", 0, 1, 0), (2, "y", 0, 1, 1), (3, "z", 0, 1, 2)])
+    second = changes(spark, [(1, None, 2, 2, 0), (2, "Y", 1, 2, 1)])
+    third = changes(spark, [(4, "w", 0, 3, 0)])
+    want = [(2, "Y"), (3, "z"), (4, "w")]
+    for order, compact_after in (((first, second, third), 1), ((second, first, third), 0), ((third, second, first), 2)):
+        root = work_path(spark, "state")
+        each = X.log_changes(root, ["k"], ["k", "a"])
+        for i, df in enumerate(order):
+            each(df, i)
+            each(df, i)
+            if i == compact_after:
+                X.compact(spark, root, ["k"])
+                X.compact(spark, root, ["k"])
+        assert rows(X.visible(X.logged_state(spark, root, ["k"]))) == want
+
+
 def test_open_operations_with_late_begins(spark):
     root = work_path(spark, "open")
     each = X.track_open(root, "op", ["who"])

@@ -59,6 +59,22 @@ def merge(spark: SparkSession, sf: str) -> DataFrame:
     return V.read_current(spark, root)
 
 
+@query(
+    "U1_merge_partitions",
+    f"""WITH t AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 5 <> 0),
+    s AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderkey, 'X' AS o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01')
+    SELECT coalesce(s.month, t.month) AS month, coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey, coalesce(s.o_orderstatus, t.o_orderstatus) AS o_orderstatus FROM t FULL JOIN s ON s.o_orderkey = t.o_orderkey""",
+)
+def merge_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by month; the months of 2001 arrive again and only their partitions are rewritten."""
+    path = work_path(spark, "monthly")
+    rows = table(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderkey", "o_orderstatus", "o_orderdate")
+    V.overwrite_partitions(target_of(rows).drop("o_orderdate"), path, ["month"])
+    late = rows.filter(F.col("o_orderdate") >= F.expr("timestamp_ntz '2001-01-01'")).withColumn("o_orderstatus", F.lit("X")).drop("o_orderdate")
+    V.merge_partitions(spark, path, late, ["month", "o_orderkey"], "month")
+    return spark.read.schema("o_orderkey bigint, o_orderstatus string, month string").parquet(path)
+
+
 @query(
     "U2_snapshot_merge",
     f"""{NEW_STATE} SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey, coalesce(s.o_orderstatus, t.o_orderstatus) AS o_orderstatus,

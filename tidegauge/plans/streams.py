@@ -13,6 +13,7 @@ from tidegauge.registry import query
 from tidegauge.session import table, work_path
 from tidegauge.streaming import streams as X
 from tidegauge.tables import maintenance as K
+from tidegauge.tables.versioned import read_current
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -82,10 +83,8 @@ def change_apply(spark: SparkSession, sf: str) -> DataFrame:
         F.substring(F.col("_metadata.file_name"), 1, 20).cast("bigint").alias("_file"),
         F.col("_metadata.file_block_start").alias("_place"),  # a change set holds a key once
     )
-    X.run_available(numbered, work_path(spark, "checkpoint"), X.apply_change_batches(root, keys, orders.columns))
-    from tidegauge.tables.versioned import read_current
-
-    return X.visible(read_current(spark, root))
+    X.run_available(numbered, work_path(spark, "checkpoint"), X.log_changes(root, keys, orders.columns))
+    return X.visible(X.logged_state(spark, root, keys))
 
 
 @query(
@@ -116,8 +115,6 @@ def running_operations(spark: SparkSession, sf: str) -> DataFrame:
     for part in (begins.unionByName(ends.filter(F.col("ts") < F.expr("timestamp_ntz '2024-01-15'"))), ends.filter(F.col("ts") >= F.expr("timestamp_ntz '2024-01-15'"))):
         part.write.mode("append").parquet(path)
         X.run_available(X.drop_stream(spark, path, "parquet", schema, "*.parquet"), checkpoint, X.track_open(root, "event_id", kept))
-    from tidegauge.tables.versioned import read_current
-
     return X.open_operations(read_current(spark, root), kept)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.operators.merge import DELETE, MARKER, changes_since, merge
 from tidegauge.operators.ordered import latest
-from tidegauge.sources.files import exists
+from tidegauge.sources.files import child_names, exists
 from tidegauge.tables.maintenance import write_change_files
 from tidegauge.tables.versioned import current_path, read_current, write_version
 
@@ -93,8 +93,54 @@ def apply_change_batches(root: str, keys: Sequence[str], columns: Sequence[str])
     return each
 
 
+def log_changes(root: str, keys: Sequence[str], columns: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """Batch function that only logs each batch's last change per key, next to the state.
+
+    A batch costs its own rows however big the table is; ``logged_state`` merges on reading and
+    ``compact`` folds the log into a new state from time to time.
+    """
+
+    def each(df: DataFrame, batch: int) -> None:
+        last = latest(df, keys, [F.col("_file"), F.col("_place")])
+        news = last.select(*columns, "_file", (F.col(MARKER) == DELETE).alias("_gone"))
+        news.write.mode("overwrite").parquet(f"{root}/log/batch={batch}")
+
+    return each
+
+
+def _folded(spark: SparkSession, root: str) -> int:
+    """Number of batches that the newest state contains."""
+    path = current_path(spark, root)
+    return 0 if path is None else int(path.rpartition("v=")[2])
+
+
+def logged_state(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+    """State with the logged batches that it does not contain yet."""
+    parts = []
+    if current_path(spark, root) is not None:
+        parts.append(read_current(spark, root))
+    if exists(spark, f"{root}/log"):
+        log = spark.read.option("basePath", f"{root}/log").parquet(f"{root}/log")
+        parts.append(log.filter(F.col("batch") >= _folded(spark, root)).drop("batch"))
+    if not parts:
+        raise FileNotFoundError(f"neither state nor log below {root}")
+    both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return latest(both, keys, [F.col("_file")])
+
+
+def compact(spark: SparkSession, root: str, keys: Sequence[str]) -> None:
+    """Publish a state that contains every batch logged so far. Run it between batches."""
+    batches = [int(n.rpartition("=")[2]) for n in child_names(spark, f"{root}/log") if n.startswith("batch=")]
+    if batches and max(batches) >= _folded(spark, root):
+        save_state(logged_state(spark, root, keys), root, max(batches))
+
+
 def merge_batches(root: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """Batch function that merges each batch into the versioned table below ``root``."""
+    """Batch function that merges each batch into the versioned table below ``root``.
+
+    Every batch rewrites the table: for tables of moderate size. Big ones take ``log_changes``, or
+    ``versioned.merge_partitions`` where the key tells the partition.
+    """
 
     def each(df: DataFrame, batch: int) -> None:
         old = state_after(df.sparkSession, root, batch)
