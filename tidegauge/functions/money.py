@@ -25,10 +25,5 @@ def net_price(price: str = "l_extendedprice", discount: str = "l_discount") -> C
     return money(price) * (F.lit(Decimal("1.00")) - rate(discount))
 
 
-def gross_price(price: str = "l_extendedprice", discount: str = "l_discount", tax: str = "l_tax") -> Column:
-    """price * (1 - discount) * (1 + tax), exact to six decimals."""
-    return net_price(price, discount) * (F.lit(Decimal("1.00")) + rate(tax))
-
-
 def as_double(col: Column) -> Column:
     return col.cast("double")

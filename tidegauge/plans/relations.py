@@ -398,19 +398,17 @@ def rank_in_parent(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "W7_missing_hours",
-    """WITH seen AS (SELECT DISTINCT event_type, CAST(ts AS DATE) AS d, CAST(hour(ts) AS INTEGER) AS h FROM events WHERE user_id % 5 = 0),
-    miss AS (SELECT event_type, d, CAST(hh AS INTEGER) AS h FROM (SELECT DISTINCT event_type, d FROM seen), (SELECT unnest(range(0, 24)) AS hh)
-        WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.event_type = event_type AND s.d = d AND s.h = hh)),
-    absent AS (SELECT g.event_type, g.d, g.hh AS h FROM (SELECT * FROM (SELECT DISTINCT event_type, d FROM seen), (SELECT unnest(range(0, 24)) AS hh)) g
-        LEFT JOIN seen s ON s.event_type = g.event_type AND s.d = g.d AND s.h = g.hh WHERE s.h IS NULL)
-    SELECT event_type, strftime(d, '%Y-%m-%d') AS day, CAST(min(h) AS INTEGER) AS start_hour, CAST(max(h) + 1 AS INTEGER) AS end_hour
-    FROM (SELECT *, h - row_number() OVER (PARTITION BY event_type, d ORDER BY h) AS island FROM absent) GROUP BY event_type, d, island""",
+    """WITH seen AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d, CAST(hour(ts) AS INTEGER) AS h FROM events),
+    grid AS (SELECT user_id, d, CAST(hh AS INTEGER) AS h FROM (SELECT DISTINCT user_id, d FROM seen), (SELECT unnest(range(0, 24)) AS hh)),
+    absent AS (SELECT g.* FROM grid g LEFT JOIN seen s ON s.user_id = g.user_id AND s.d = g.d AND s.h = g.h WHERE s.h IS NULL)
+    SELECT user_id, strftime(d, '%Y-%m-%d') AS day, CAST(min(h) AS INTEGER) AS start_hour, CAST(max(h) + 1 AS INTEGER) AS end_hour
+    FROM (SELECT *, h - row_number() OVER (PARTITION BY user_id, d ORDER BY h) AS island FROM absent) GROUP BY user_id, d, island""",
 )
 def missing_hours(spark: SparkSession, sf: str) -> DataFrame:
-    hours = table(spark, sf, "events").filter(F.col("user_id") % 5 == 0).select(
-        "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.hour("ts").alias("h")
+    hours = table(spark, sf, "events").select(
+        "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.hour("ts").alias("h")
     )
-    return I.missing_hours(hours, ["event_type", "day"], "h")
+    return I.missing_hours(hours, ["user_id", "day"], "h")
 
 
 UNION_SQL = f"""WITH i AS (SELECT user_id, event_id, epoch_us(ts) AS s, epoch_us(ts) + {MICROS} AS e, value FROM events),
