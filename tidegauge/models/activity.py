@@ -43,7 +43,7 @@ def item_day_averages(df: DataFrame, by: Sequence[str], item: str, as_of: str, k
     """
     counts = {k: F.nullif(F.count_if(F.col("Activity") == name), F.lit(0)) for k, name in kinds.items()}
     recent = M.period_flags(F.col("CreationDate"), as_of)["90d"]
-    daily = M.by_groups(df, [*{*by, item, "CreationDate"}], **counts)
+    daily = M.by_groups(df, list(dict.fromkeys([*by, item, "CreationDate"])), **counts)
 
     def average(col, where):
         n = F.when(where, col)

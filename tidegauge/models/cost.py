@@ -28,23 +28,30 @@ def measures(df: DataFrame, by: Sequence[str], storage: str, autoscale: str, rec
     def named(text: str):
         return F.contains(F.upper("MeterName"), F.lit(text.upper()))
 
-    sums = by_groups(
-        df,
-        by,
+    parts = dict(
         TotalCost=F.sum(cost),
         AvailableCapacity=filtered(F.sum, cost, F.col("Main")),
         ProvisionedCapacity=filtered(F.sum, cost, included),
-        PauseCost=or_zero(filtered(F.sum, cost, F.col("BillingType") == PAUSE)),
+        PauseCost=filtered(F.sum, cost, F.col("BillingType") == PAUSE),
         _payg=filtered(F.sum, cost, included & not_reserved),
-        Reservation=or_zero(filtered(F.sum, cost, included & reserved)),
+        Reservation=filtered(F.sum, cost, included & reserved),
         Storage=filtered(F.sum, cost, (F.col("MeterCategory") == storage) & is_false(included)),
-        AutoScale=or_zero(filtered(F.sum, cost, F.col("MeterName") == autoscale)),
-        RecoveryCost=or_zero(filtered(F.sum, cost, named(recovery))),
-        MirroringCost=or_zero(filtered(F.sum, cost, named(mirroring))),
+        AutoScale=filtered(F.sum, cost, F.col("MeterName") == autoscale),
+        RecoveryCost=filtered(F.sum, cost, named(recovery)),
+        MirroringCost=filtered(F.sum, cost, named(mirroring)),
         _saved=F.sum(saved),
+        Rows=rows(),
+    )
+    # Rows are added up per resource and region first, so that the two distinct counts copy the few
+    # sums instead of every billing row.
+    inner = by_groups(df, list(dict.fromkeys([*by, "ResourceName", "RegionName"])), **parts)
+    zero = ("PauseCost", "Reservation", "AutoScale", "RecoveryCost", "MirroringCost")
+    sums = by_groups(
+        inner,
+        by,
+        **{n: or_zero(F.sum(n)) if n in zero else F.sum(n) for n in parts},
         Capacities=distinct_values(F.col("ResourceName")),
         Regions=distinct_values(F.col("RegionName")),
-        Rows=rows(),
     )
     exact = sums.withColumns(
         {

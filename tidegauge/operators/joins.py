@@ -69,7 +69,8 @@ def unused_columns(declared: DataFrame, used: DataFrame, keys: Sequence[str]) ->
 
 
 def texts_containing(texts: DataFrame, key: str, text: str, objects: DataFrame, name: str) -> DataFrame:
-    """Text rows with each object whose name occurs in the text, case-sensitively.
+    """Text rows (told apart by ``key``) with each object whose name occurs in the text,
+    case-sensitively.
 
     No text is compared with every object. Of the text only the character grams at every k-th
     position are kept, and each name offers its first k grams: wherever the name occurs, one of its

@@ -85,7 +85,7 @@ def two_level(df: DataFrame, inner: Sequence[str], value: Column, outer: Sequenc
 
     Each measure is a function such as ``F.avg`` applied to the inner sums.
     """
-    sums = df.groupBy(*{*inner, *outer}).agg(value.alias("_inner"))
+    sums = df.groupBy(*dict.fromkeys([*inner, *outer])).agg(value.alias("_inner"))
     return by_groups(sums, outer, **{n: f(F.col("_inner")) for n, f in measures.items()})
 
 
@@ -146,7 +146,9 @@ def share_of_total(df: DataFrame, by: Sequence[str], value: Column, name: str) -
     return totals.withColumn(name, ratio(F.col("total"), totals.agg(F.sum("total")).scalar()))
 
 
-def trailing_average(daily: DataFrame, by: Sequence[str], day: str, total: str, n: str, days: int, name: str) -> DataFrame:
+def trailing_average(
+    daily: DataFrame, by: Sequence[str], day: str, total: str, n: str, days: int, name: str
+) -> DataFrame:
     """Average over the trailing days up to each day, whatever day the row is filtered to.
 
     ``daily`` holds one row per group and day with a total and the number of values in it, so a
@@ -154,7 +156,8 @@ def trailing_average(daily: DataFrame, by: Sequence[str], day: str, total: str,
     """
     number = F.datediff(F.col(day), F.lit("1970-01-01"))
     frame = Window.partitionBy(*by).orderBy(number).rangeBetween(-days, 0)
-    return daily.withColumn(name, ratio(F.sum(total).over(frame), F.sum(n).over(frame)))
+    sums = [F.sum(c).over(frame).cast("double") for c in (total, n)]
+    return daily.withColumn(name, ratio(*sums))
 
 
 def health(errors: Column, not_ready: Column) -> Column:

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from tidegauge.functions import columns as C
 from tidegauge.functions import times
 from tidegauge.functions.money import as_double, money, net_price
-from tidegauge.models import cost
+from tidegauge.models import cost, logs
 from tidegauge.operators import aggregates as A
 from tidegauge.operators import joins as J
 from tidegauge.operators import measures as M
+from tidegauge.operators.ordered import Running, running
 from tidegauge.plans.expressions import AS_OF, STATUS, activity_rows
 from tidegauge.plans.tpch import NET
 from tidegauge.registry import query
@@ -462,11 +463,10 @@ def running_series(spark: SparkSession, sf: str) -> DataFrame:
     parts = M.by_groups(table(spark, sf, "lineitem"), ["l_suppkey", F.col("l_linenumber").alias("idx")], n=M.rows())
     averages = parts.groupBy("l_suppkey").agg((F.sum("n") / F.count("n")).alias("avg_rows"))
     grid = J.expand_series(averages, F.lit(1), F.lit(64), "value")
-    existing = parts.select(F.col("l_suppkey"), F.col("idx").alias("value"), F.lit("Current").alias("version"))
-    tagged = grid.join(existing, ["l_suppkey", "value"], "left").withColumns(
-        {"version": F.coalesce("version", F.lit("Simulation")), "a": F.floor(F.col("avg_rows") + 0.5).cast("double")}
-    )
-    out = M.running_total(tagged, ["l_suppkey"], [F.col("value")], F.col("a"), "running_rows")
+    existing = parts.select("l_suppkey", F.col("idx").alias("value"), F.lit("Current").alias("version"))
+    tagged = grid.join(existing, ["l_suppkey", "value"], "left").withColumn("version", F.coalesce("version", F.lit("Simulation")))
+    step = F.floor(F.col("avg_rows") + 0.5).cast("double")
+    out = M.running_total(tagged, ["l_suppkey"], [F.col("value")], step, "running_rows")
     return out.select("l_suppkey", "value", "version", "running_rows")
 
 
@@ -494,15 +494,11 @@ def context_removal(spark: SparkSession, sf: str) -> DataFrame:
     )
     selected = daily.agg(as_double(F.sum("total")).alias("selected"))
     shaped = (
-        daily.withColumns({"t": F.col("total"), "total": as_double(F.col("total"))})
+        M.trailing_average(daily, ["event_type"], "day", "total", "n", 7, "trailing_avg")
+        .withColumn("total", as_double(F.col("total")))
         .join(any_day, "event_type")
         .withColumn("selected", selected.scalar())
     )
-    number = F.datediff("day", F.lit("1970-01-01"))
-    from pyspark.sql import Window
-
-    frame = Window.partitionBy("event_type").orderBy(number).rangeBetween(-7, 0)  # at most 8 daily rows
-    trailing = as_double(F.sum("t").over(frame)) / as_double(F.sum("n").over(frame))
     vs_avg = F.col("total") - F.col("avg_any_day")
     return shaped.select(
         "event_type",
@@ -511,7 +507,7 @@ def context_removal(spark: SparkSession, sf: str) -> DataFrame:
         "any_day",
         "avg_any_day",
         "selected",
-        trailing.alias("trailing_avg"),
+        "trailing_avg",
         vs_avg.alias("vs_avg"),
         M.ratio(vs_avg - F.col("avg_any_day"), F.col("avg_any_day")).alias("outlier"),
     )
@@ -570,8 +566,6 @@ LOG_SQL = """SELECT l_suppkey, count(DISTINCT l_orderkey) FILTER (l_returnflag <
 
 @query("M17_log_metrics", LOG_SQL)
 def log_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    from tidegauge.models import logs
-
     shaped = table(spark, sf, "lineitem").select(
         "l_suppkey",
         F.col("l_orderkey").alias("OperationId"),
@@ -652,8 +646,6 @@ def daily_peaks(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sub_operations(spark: SparkSession, sf: str) -> DataFrame:
     """Sub-operations of a refresh in sequence, with start and end for a Gantt view."""
-    from tidegauge.operators.ordered import Running, running
-
     size = F.length("text").cast("bigint")
     turns = table(spark, sf, "conversations").withColumn("size", size)
     out = running(
