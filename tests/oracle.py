@@ -48,7 +48,14 @@ def rows_of(columns: list[str], rows: list) -> list[tuple]:
 
 
 # Spark type names that DuckDB spells differently.
-TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "float": "FLOAT"}
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "float": "FLOAT",
+}
 
 
 def type_differences(df, con, sql: str) -> str:

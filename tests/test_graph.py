@@ -35,7 +35,9 @@ def test_closure_of_a_long_chain(spark):
 
 
 def test_reachable_definitions(spark):
-    defs = spark.createDataFrame([("a", "[b] + [c]"), ("b", "[a]"), ("c", "1"), ("d", "[c]")], "name string, body string")
+    defs = spark.createDataFrame(
+        [("a", "[b] + [c]"), ("b", "[a]"), ("c", "1"), ("d", "[c]")], "name string, body string"
+    )
     edges = G.token_edges(defs, "name", "body")
     roots = defs.filter("name = 'a'").select("name")
     assert rows(G.reachable(edges, roots, "src", "dst")) == [("a", 0), ("b", 1), ("c", 1)]
@@ -43,11 +45,22 @@ def test_reachable_definitions(spark):
 
 def test_dependency_graph_bands_and_placeholders(spark):
     nodes = spark.createDataFrame(
-        [("dataset", "d1", 6), ("dataset", "d2", 3), ("dataset", "d3", 2), ("pipeline", "p", 1), ("trigger", "t", 3), ("linkedService", "l", 11)],
+        [
+            ("dataset", "d1", 6),
+            ("dataset", "d2", 3),
+            ("dataset", "d3", 2),
+            ("pipeline", "p", 1),
+            ("trigger", "t", 3),
+            ("linkedService", "l", 11),
+        ],
         "kind string, name string, usage bigint",
     )
     edges = spark.createDataFrame(
-        [("trigger", "t", "pipeline", "gone", "triggers"), ("pipeline", "p", "dataset", "d1", "dependsOn"), ("pipeline", "p", "dataset", "d1", "uses")],
+        [
+            ("trigger", "t", "pipeline", "gone", "triggers"),
+            ("pipeline", "p", "dataset", "d1", "dependsOn"),
+            ("pipeline", "p", "dataset", "d1", "uses"),
+        ],
         "source_kind string, source string, target_kind string, target string, kind string",
     )
     n, e = G.dependency_graph(nodes, edges, ["triggers", "uses", "references", "executes", "dependsOn"])
@@ -65,9 +78,13 @@ def test_dependency_graph_bands_and_placeholders(spark):
 
 
 def test_effective_reads_through_nested_groups(spark):
-    members = spark.createDataFrame([("ann", "g1"), ("g1", "g2"), ("g2", "g1"), ("bob", "g3")], "member string, parent string")
+    members = spark.createDataFrame(
+        [("ann", "g1"), ("g1", "g2"), ("g2", "g1"), ("bob", "g3")], "member string, parent string"
+    )
     grants = spark.createDataFrame([("g2", "t"), ("bob", "t"), ("bob", "u")], "principal string, table string")
-    denies = spark.createDataFrame([("g1", "t", "x"), ("g3", "u", "y")], "principal string, table string, column string")
+    denies = spark.createDataFrame(
+        [("g1", "t", "x"), ("g3", "u", "y")], "principal string, table string, column string"
+    )
     columns = spark.createDataFrame([("t", "x"), ("t", "z"), ("u", "y")], "table string, column string")
     out = G.effective_reads(members, grants, denies, columns).filter("principal IN ('ann', 'bob')")
     assert rows(out) == [("ann", "t", "z"), ("bob", "t", "x"), ("bob", "t", "z")]

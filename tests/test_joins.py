@@ -28,7 +28,9 @@ def test_points_in_intervals_of_all_lengths(spark):
         spans.append((i, start, start + rnd.choice([0, 1, 59, 60, 3600, 90_000, 4_000_000]) + rnd.randrange(3)))
     spans.append((999, 50, 40))  # ends before it starts: never matches
     points = [(p, rnd.choice([s[1] for s in spans] + [s[2] for s in spans])) for p in range(80)]
-    sdf = spark.createDataFrame(spans, "i int, s bigint, e bigint").select("i", F.timestamp_seconds("s").alias("s"), F.timestamp_seconds("e").alias("e"))
+    sdf = spark.createDataFrame(spans, "i int, s bigint, e bigint").select(
+        "i", F.timestamp_seconds("s").alias("s"), F.timestamp_seconds("e").alias("e")
+    )
     pdf = spark.createDataFrame(points, "p int, t bigint").select("p", F.timestamp_seconds("t").alias("t"))
     got = sorted((r["p"], r["i"]) for r in J.points_in_intervals(pdf, "t", sdf, "s", "e").collect())
     assert got == sorted((p, i) for p, t in points for i, s, e in spans if s <= t <= e)
@@ -36,7 +38,9 @@ def test_points_in_intervals_of_all_lengths(spark):
 
 def test_begin_end_keeps_unmatched_ends(spark):
     ends = spark.createDataFrame([(1, "a", 100_000), (2, "a", 500_000), (3, "b", 10)], "id int, k string, t bigint")
-    begins = spark.createDataFrame([(11, "a", 100_000), (12, "a", 13_600), (13, "a", 13_599), (14, "b", 11)], "bid int, k string, u bigint")
+    begins = spark.createDataFrame(
+        [(11, "a", 100_000), (12, "a", 13_600), (13, "a", 13_599), (14, "b", 11)], "bid int, k string, u bigint"
+    )
     e = ends.withColumn("t", F.timestamp_seconds("t"))
     b = begins.withColumn("u", F.timestamp_seconds("u"))
     out = rows(J.pair_begin_end(e, b, ["k"], "t", "u").select("id", "bid"))
@@ -44,7 +48,9 @@ def test_begin_end_keeps_unmatched_ends(spark):
 
 
 def test_salted_join_equals_plain_join(spark):
-    facts = spark.range(3000).select((F.col("id") % 7).alias("k"), "id").withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("k")))
+    facts = spark.range(3000).select((F.col("id") % 7).alias("k"), "id").withColumn(
+        "k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("k"))
+    )
     dim = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     assert rows(J.salted(facts, dim, ["k"], F.col("id"), 8)) == rows(facts.join(dim, "k"))
 
@@ -69,10 +75,14 @@ def test_interval_union_is_at_most_the_sum(spark):
 
 def test_timeline_counts_from_the_latest_end(spark):
     # The first event ends after the second: no gap may open before 50.
-    df = spark.createDataFrame([("q", 1, 10, 50), ("q", 2, 20, 30), ("q", 3, 60, 70)], "g string, i int, s bigint, e bigint")
+    df = spark.createDataFrame(
+        [("q", 1, 10, 50), ("q", 2, 20, 30), ("q", 3, 60, 70)], "g string, i int, s bigint, e bigint"
+    )
     out = I.timeline(df, ["g"], "s", "e", ["i"], F.lit(0), F.lit(100), 1)
     got = sorted((r["kind"], r["from_at"], r["to_at"]) for r in out.collect())
-    assert got == [("event", 10, 50), ("event", 20, 30), ("event", 60, 70), ("gap", 0, 10), ("gap", 50, 60), ("gap", 70, 100)]
+    assert got == [
+        ("event", 10, 50), ("event", 20, 30), ("event", 60, 70), ("gap", 0, 10), ("gap", 50, 60), ("gap", 70, 100)
+    ]
 
 
 def test_missing_hours(spark):

@@ -36,7 +36,9 @@ def test_merge_with_column_subset_condition_and_new_column(spark):
 
 
 def test_snapshot_merge_marks_and_revives(spark):
-    first = frame(spark, [(1, "x", 1), (2, "y", 2)]).withColumns({U.MODIFIED: at("2024-01-01"), U.DELETED: F.lit(False)})
+    first = frame(spark, [(1, "x", 1), (2, "y", 2)]).withColumns(
+        {U.MODIFIED: at("2024-01-01"), U.DELETED: F.lit(False)}
+    )
     second = U.merge_snapshot(first, frame(spark, [(2, "y", 2)]), ["k"], at("2024-01-02"))
     third = U.merge_snapshot(second, frame(spark, [(2, "y", 2)]), ["k"], at("2024-01-03"))
     fourth = U.merge_snapshot(third, frame(spark, [(1, "x", 9), (2, "y", 2)]), ["k"], at("2024-01-04"))
@@ -59,7 +61,14 @@ def test_watermark_reload_reports_lost_days(spark):
 def test_changes_last_one_wins(spark):
     target = frame(spark, [(1, "x", 1), (2, "y", 2)])
     changes = spark.createDataFrame(
-        [(1, "u", 5, 1, 1), (1, "u", 6, 1, 2), (2, "y", 2, 2, 1), (3, "n", 1, 0, 1), (3, "n", 1, 2, 2), (4, "m", 4, 0, 3)],
+        [
+            (1, "u", 5, 1, 1),
+            (1, "u", 6, 1, 2),
+            (2, "y", 2, 2, 1),
+            (3, "n", 1, 0, 1),
+            (3, "n", 1, 2, 2),
+            (4, "m", 4, 0, 3),
+        ],
         f"k int, a string, b int, {U.MARKER} int, seq int",
     )
     want = [(1, "u", 6), (4, "m", 4)]
@@ -84,7 +93,9 @@ def test_continue_keys(spark):
 def test_readers_ignore_unfinished_versions(spark):
     root = work_path(spark, "t")
     V.write_version(spark.range(3).toDF("a"), root)
-    spark.range(9).toDF("a").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/v=000002")
+    spark.range(9).toDF("a").write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).parquet(f"{root}/v=000002")
     assert V.read_current(spark, root).count() == 3
     assert V.write_version(spark.range(5).toDF("a"), root).endswith("v=000003")
     assert V.read_current(spark, root).count() == 5

@@ -7,7 +7,9 @@ from tests.oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
 # Selective filters that can find nothing in so little data.
-MAY_BE_EMPTY = {"T2", "T7", "T8", "T11", "T16", "T20", "T21", "X5_recent", "A10_having_subquery", "J11_points_in_intervals"}
+MAY_BE_EMPTY = {
+    "T2", "T7", "T8", "T11", "T16", "T20", "T21", "X5_recent", "A10_having_subquery", "J11_points_in_intervals"
+}
 
 
 @pytest.fixture(scope="module")

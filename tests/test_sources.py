@@ -69,7 +69,18 @@ def test_fallback_field_and_defaults(spark, tmp_path):
 
 
 def test_inventory_skips_types_the_scan_lacks(spark, tmp_path):
-    scan = {"workspaces": [{"id": "w", "reports": [{"id": "r1", "name": "R", "users": [{"identifier": "u", "reportUserAccessRight": "Owner"}]}, {"name": "no id"}]}, {"id": "v"}]}
+    scan = {
+        "workspaces": [
+            {
+                "id": "w",
+                "reports": [
+                    {"id": "r1", "name": "R", "users": [{"identifier": "u", "reportUserAccessRight": "Owner"}]},
+                    {"name": "no id"},
+                ],
+            },
+            {"id": "v"},
+        ]
+    }
     write(f"{tmp_path}/raw/1.json", json.dumps(scan))
     ws = json_drop.read_json_drop(spark, f"{tmp_path}/raw", "workspaces").withColumnRenamed("id", "WorkspaceId")
     assert json_drop.artifact_rows(ws, "WorkspaceId", "datasets", {}, []) is None
@@ -98,7 +109,9 @@ def test_billing_reader_skips_missing_months(spark, tmp_path):
 
 def test_rejects(spark, tmp_path):
     write(f"{tmp_path}/in/a.tbl", '1|"x|y"|2.5\nbad|z|1\n2|w|oops\n3|v|0\n')
-    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("s", T.StringType()), T.StructField("d", T.DoubleType())])
+    schema = T.StructType(
+        [T.StructField("k", T.LongType()), T.StructField("s", T.StringType()), T.StructField("d", T.DoubleType())]
+    )
     good, bad = delimited.load_with_rejects(spark, f"{tmp_path}/in", schema, f"{tmp_path}/out")
     assert rows(good) == [(1, "x|y", 2.5), (3, "v", 0.0)]
     assert rows(good.select("k")) == [(1,), (3,)]
@@ -112,7 +125,9 @@ def test_log_folder_and_bad_records(spark, tmp_path):
     write(f"{tmp_path}/logs/Query.txt", "id,js\n9,x\n")
     df = delimited.read_logs(spark, f"{tmp_path}/logs", "Query", "id int, js string", ["id"])
     assert rows(df) == [(1, "Query_1.log"), (2, "Query_1.log"), (3, "Query_1.log"), (4, "Query_2.log")]
-    raw = spark.read.schema("id int, js string").options(header=True, escape='"', recursiveFileLookup=True, pathGlobFilter="*Query*.log").csv(f"{tmp_path}/logs")
+    raw = spark.read.schema("id int, js string").options(
+        header=True, escape='"', recursiveFileLookup=True, pathGlobFilter="*Query*.log"
+    ).csv(f"{tmp_path}/logs")
     assert rows(delimited.unparsable(raw, "js")) == [("Query_1.log", 3, "{broken"), ("Query_2.log", 2, "nope}")]
 
 
@@ -124,7 +139,10 @@ def test_storage_summary(spark, tmp_path):
 
 
 def test_blank_rules(spark):
-    df = spark.createDataFrame([(1, True, "Reservation", 2), (2, None, None, 0), (4, False, "Plan", None)], "v int, flag boolean, kind string, d int")
+    df = spark.createDataFrame(
+        [(1, True, "Reservation", 2), (2, None, None, 0), (4, False, "Plan", None)],
+        "v int, flag boolean, kind string, d int",
+    )
     out = df.agg(
         M.filtered(F.sum, F.col("v"), M.is_false(F.col("flag"))).alias("not_true"),
         M.filtered(F.sum, F.col("v"), M.differs(F.col("kind"), "Reservation")).alias("others"),
@@ -136,7 +154,9 @@ def test_blank_rules(spark):
 
 
 def test_month_over_month_with_a_gap(spark):
-    df = spark.createDataFrame([("2024-01-01", 10), ("2024-02-01", 15), ("2024-04-01", 30)], "m string, n int").withColumn("m", F.to_date("m"))
+    df = spark.createDataFrame(
+        [("2024-01-01", 10), ("2024-02-01", 15), ("2024-04-01", 30)], "m string, n int"
+    ).withColumn("m", F.to_date("m"))
     got = {str(r["m"]): r["g"] for r in M.period_over_period(df, [], "m", "n", "g").collect()}
     assert got == {"2024-01-01": None, "2024-02-01": 0.5, "2024-04-01": None}
 
@@ -166,8 +186,13 @@ def test_equivalence_counts_copies(spark):
 def test_drift_and_sync(spark):
     old = metadata.column_metadata(spark, {"t": spark.createDataFrame([], "a int, b string, c int")})
     new = metadata.column_metadata(spark, {"t": spark.createDataFrame([], "a bigint, c int, d date")})
-    assert rows(metadata.drift_report(metadata.drift(old, new))) == [("t", "added", "d"), ("t", "dropped", "b"), ("t", "retyped", "a")]
-    definition = spark.createDataFrame([("t", "a", "int"), ("t", "z", "date"), ("t", "s", "struct<a:int>")], "table_name string, column_name string, data_type string")
+    assert rows(metadata.drift_report(metadata.drift(old, new))) == [
+        ("t", "added", "d"), ("t", "dropped", "b"), ("t", "retyped", "a")
+    ]
+    definition = spark.createDataFrame(
+        [("t", "a", "int"), ("t", "z", "date"), ("t", "s", "struct<a:int>")],
+        "table_name string, column_name string, data_type string",
+    )
     assert [r["column_name"] for r in V.missing_columns(definition, old).collect()] == ["z"]
 
 
@@ -209,7 +234,9 @@ def test_all_rules_are_valid_predicates(spark):
 
 def test_profile_with_empty_pipelines(spark):
     pipelines = spark.createDataFrame([("a",), ("b",)], "name string")
-    activities = spark.createDataFrame([("a", "Copy"), ("a", "ExecutePipeline"), ("a", None)], "pipeline string, type string")
+    activities = spark.createDataFrame(
+        [("a", "Copy"), ("a", "ExecutePipeline"), ("a", None)], "pipeline string, type string"
+    )
     out = profile.activity_metrics(pipelines, activities).first()
     assert tuple(out) == (2, 3, 1.5, 3, "a", 1)
     assert rows(profile.activities_by_type(activities)) == [("Copy", 1), ("ExecutePipeline", 1), ("Unknown", 1)]
@@ -217,7 +244,10 @@ def test_profile_with_empty_pipelines(spark):
 
 def test_new_meters_continue_the_keys(spark):
     meters = spark.createDataFrame([("known", 5)], "Name_Lower string, MeterKey bigint")
-    focus = spark.createDataFrame([("KNOWN", "c", None), ("New B", "c", None), ("new a", "Cap", "x")], "x_SkuMeterName string, ChargeDescription string, BillingType string")
+    focus = spark.createDataFrame(
+        [("KNOWN", "c", None), ("New B", "c", None), ("new a", "Cap", "x")],
+        "x_SkuMeterName string, ChargeDescription string, BillingType string",
+    )
     out = telemetry.all_meters(meters, focus, {"Cap": "Units"})
     got = {r["Name_Lower"]: (r["MeterKey"], r["Category"], r["Included"]) for r in out.collect()}
     assert got["new a"] == (6, "Units", "TRUE") and got["new b"] == (7, "c", "FALSE") and got["known"][0] == 5

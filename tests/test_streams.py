@@ -83,7 +83,9 @@ def test_late_rows_are_dropped(spark):
     schema = "ts timestamp, s string"
 
     def push(*seconds):
-        df = spark.createDataFrame([(s, "ok") for s in seconds], "t int, s string").select(F.timestamp_seconds("t").alias("ts"), "s")
+        df = spark.createDataFrame(
+            [(s, "ok") for s in seconds], "t int, s string"
+        ).select(F.timestamp_seconds("t").alias("ts"), "s")
         df.coalesce(1).write.mode("append").parquet(path)
         stream = X.drop_stream(spark, path, "parquet", schema, "*.parquet")
         X.ingest(X.status_over_time(stream, "ts", F.col("s"), "1 minute"), out, checkpoint)
@@ -99,7 +101,12 @@ def test_late_rows_are_dropped(spark):
 def test_due_tables(spark):
     now = F.to_timestamp(F.lit("2024-01-01 01:00:00"))
     config = spark.createDataFrame(
-        [("a", "Enabled", 60, None), ("b", "Running", 60, "2024-01-01 00:59:30"), ("c", "Running", 60, "2024-01-01 00:58:00"), ("d", "Disabled", 60, None)],
+        [
+            ("a", "Enabled", 60, None),
+            ("b", "Running", 60, "2024-01-01 00:59:30"),
+            ("c", "Running", 60, "2024-01-01 00:58:00"),
+            ("d", "Disabled", 60, None),
+        ],
         "name string, status string, interval_seconds int, last string",
     ).withColumn("last_run", F.to_timestamp("last"))
     assert rows(X.due(config, now).select("name")) == [("a",), ("c",)]

@@ -10,7 +10,9 @@ from tidegauge.operators.joins import latest_rows
 from tidegauge.operators.sets import tagged_union, union_distinct
 
 
-def dim_model_object(report_measures: DataFrame, columns: DataFrame, measures: DataFrame, unused: DataFrame, sources: DataFrame) -> DataFrame:
+def dim_model_object(
+    report_measures: DataFrame, columns: DataFrame, measures: DataFrame, unused: DataFrame, sources: DataFrame
+) -> DataFrame:
     """Latest definition of every report measure, column, measure and unused column.
 
     Inputs hold ModelUuid, TableName, ObjectName, Expression, AsOfDate and AsOfDateTime; columns and
@@ -23,7 +25,9 @@ def dim_model_object(report_measures: DataFrame, columns: DataFrame, measures: D
         last = latest_rows(df, keys, "AsOfDateTime")
         flag = F.when(F.col("AsOfDate") == df.agg(F.max("AsOfDate").alias("d")).scalar(), "False").otherwise("True")
         return last.select(
-            *keys, "Expression", "AsOfDate", "AsOfDateTime", F.lit(kind).alias("ObjectType"), (flag if deleted is None else deleted).alias("DeletedFromModelFlag")
+            *keys, "Expression", "AsOfDate", "AsOfDateTime", F.lit(kind).alias("ObjectType"), (
+                flag if deleted is None else deleted
+            ).alias("DeletedFromModelFlag")
         )
 
     objects = union_distinct(
@@ -50,14 +54,20 @@ def dim_model_object(report_measures: DataFrame, columns: DataFrame, measures: D
 
 def dim_model(runs: DataFrame) -> DataFrame:
     """Rows of each model's latest completed run."""
-    done = runs.filter(F.col("Status") == "completed").groupBy("ModelUuid").agg(F.max("AsOfDateTime").alias("AsOfDateTime"))
+    done = runs.filter(F.col("Status") == "completed").groupBy("ModelUuid").agg(
+        F.max("AsOfDateTime").alias("AsOfDateTime")
+    )
     return runs.join(done, ["ModelUuid", "AsOfDateTime"], "left_semi")
 
 
 def dim_report(reports: DataFrame, app_reports: DataFrame) -> DataFrame:
     """Latest state of each report; reports inside apps take the original's name and place."""
     latest = latest_rows(reports, ["ReportId"], "AsOfDateTime").drop("AsOfDateTime")
-    original = latest.select(F.col("ReportId").alias("OriginalReportId"), F.col("ReportName").alias("OriginalName"), F.col("WorkspaceId").alias("OriginalWorkspace"))
+    original = latest.select(
+        F.col("ReportId").alias("OriginalReportId"),
+        F.col("ReportName").alias("OriginalName"),
+        F.col("WorkspaceId").alias("OriginalWorkspace"),
+    )
     mapped = app_reports.join(original, "OriginalReportId", "left").distinct()
     joined = latest.join(mapped, F.col("ReportId") == F.col("AppReportId"), "left")
     name = F.coalesce("OriginalName", "ReportName")
@@ -85,11 +95,17 @@ def fact_query_count(query_counts: DataFrame, mapping: DataFrame, dependencies:
     user = hash_key(F.lit("Masked"), F.col("ExecutingUserGroup"))
     shown = ["ModelUuid", "AsOfDate", "AsOfHour", "ModelObjectId", "ReportUuid", "UserId", "QueryCount"]
     named = named.withColumns({"UserId": user, "ReportUuid": F.coalesce("ReportId", F.lit("N/A"))})
-    direct = named.withColumn("ModelObjectId", hash_key(F.col("ModelUuid"), F.col("TableName"), identity)).select(*shown)
-    refs = dependencies.select("ModelUuid", "RunUuid", "TableName", "ObjectName", "ReferencedTableName", "ReferencedObjectName").distinct()
+    direct = named.withColumn(
+        "ModelObjectId", hash_key(F.col("ModelUuid"), F.col("TableName"), identity)
+    ).select(*shown)
+    refs = dependencies.select(
+        "ModelUuid", "RunUuid", "TableName", "ObjectName", "ReferencedTableName", "ReferencedObjectName"
+    ).distinct()
     indirect = (
         refs.join(named, ["ModelUuid", "RunUuid", "TableName", "ObjectName"])
-        .withColumn("ModelObjectId", hash_key(F.col("ModelUuid"), F.col("ReferencedTableName"), F.col("ReferencedObjectName")))
+        .withColumn(
+            "ModelObjectId", hash_key(F.col("ModelUuid"), F.col("ReferencedTableName"), F.col("ReferencedObjectName"))
+        )
         .select(*shown)
     )
     return tagged_union("DirectReferenceFlag", **{"True": direct, "False": indirect})
@@ -107,9 +123,13 @@ def fact_statistics(columns: DataFrame, sizes: DataFrame, timings: DataFrame) ->
     before the joins, so that several measurements of one side cannot inflate another's counts."""
     keys = ["ModelUuid", "TableName", "ColumnName", "AsOfDate"]
     base = columns.groupBy(*keys).agg(
-        F.count("IsResident").alias("ColumnResidencyMeasuredCount"), F.count_if("IsResident").alias("ColumnResidencyTrueCount")
+        F.count("IsResident").alias(
+            "ColumnResidencyMeasuredCount"
+        ), F.count_if("IsResident").alias("ColumnResidencyTrueCount")
+    )
+    size = sizes.groupBy(*keys).agg(
+        *[F.avg(c).alias(c) for c in ("TotalSize", "DataSize", "DictionarySize", "HierarchySize") if c in sizes.columns]
     )
-    size = sizes.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in ("TotalSize", "DataSize", "DictionarySize", "HierarchySize") if c in sizes.columns])
     cold = timings.groupBy(*keys).agg(F.avg("Duration").alias("DurationTime"), F.avg("CpuTime").alias("CpuTime"))
     out = base.join(size, keys, "left").join(cold, keys, "left")
     key = hash_key(F.col("ModelUuid"), F.col("TableName"), F.col("ColumnName"))

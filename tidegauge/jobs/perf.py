@@ -19,9 +19,14 @@ def improvement(baseline: DataFrame, current: DataFrame, key: str, total: str) -
     """Improvement of each query over its baseline in percent, 0 where the baseline is not positive."""
     old, new = F.col("baseline"), F.col("current")
     percent = F.when(old > 0, F.round((old - new) / old * 100, 2)).otherwise(F.lit(0.0))
-    joined = baseline.select(key, F.col(total).alias("baseline")).join(current.select(key, F.col(total).alias("current")), key)
+    joined = baseline.select(key, F.col(total).alias("baseline")).join(
+        current.select(key, F.col(total).alias("current")), key
+    )
     return joined.withColumn("improvement", percent).withColumns(
-        {"meets_threshold": F.col("improvement") >= SUCCESS_PERCENT, "significant": F.col("improvement") >= SIGNIFICANT_PERCENT}
+        {
+            "meets_threshold": F.col("improvement") >= SUCCESS_PERCENT,
+            "significant": F.col("improvement") >= SIGNIFICANT_PERCENT,
+        }
     )
 
 
@@ -40,16 +45,31 @@ def with_second_statistics(logs: DataFrame, second: str, duration: str) -> DataF
     return logs.join(exact, second).join(mean, second)
 
 
-def query_list(events: DataFrame, by: Sequence[str], order: Sequence[Column], name: str, title_event: str, query_event: str, title: str, text: str) -> DataFrame:
+def query_list(
+    events: DataFrame,
+    by: Sequence[str],
+    order: Sequence[Column],
+    name: str,
+    title_event: str,
+    query_event: str,
+    title: str,
+    text: str,
+) -> DataFrame:
     """Query events of a recording, each with the title of the last visual before it."""
     carried = running(events, by, order, visual=Running("last", F.when(F.col(name) == title_event, F.col(title))))
     return carried.filter(F.col(name) == query_event).select(*by, "visual", F.col(text).alias("query_text"))
 
 
-def filtered_trace(trace: DataFrame, run: str, event: str, session: str, order: Sequence[str], prop: str, begin: str = "QueryBegin") -> DataFrame:
+def filtered_trace(
+    trace: DataFrame, run: str, event: str, session: str, order: Sequence[str], prop: str, begin: str = "QueryBegin"
+) -> DataFrame:
     """Rows of the first session that begins a query in each run, with the begin event's property."""
-    begins = trace.filter(F.col(event) == begin).select(run, *order, F.col(session).alias("_session"), F.col(prop).alias("begin_property"))
-    first = earliest(begins, [run], [F.col(c) for c in order]).select(F.col(run).alias("_run"), "_session", "begin_property")
+    begins = trace.filter(F.col(event) == begin).select(
+        run, *order, F.col(session).alias("_session"), F.col(prop).alias("begin_property")
+    )
+    first = earliest(begins, [run], [F.col(c) for c in order]).select(
+        F.col(run).alias("_run"), "_session", "begin_property"
+    )
     own = (F.col(run) == F.col("_run")) & F.col(session).eqNullSafe(F.col("_session"))
     return trace.join(first, own).drop("_run", "_session")
 

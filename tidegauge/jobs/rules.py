@@ -54,60 +54,366 @@ ALL = "Table,Column,Measure,Partition"
 RULES = [
     _r(1, PERF, "Warning", QUERY, "Column", "Do not use floating point data types", "data_type = 'Double'"),
     _r(2, PERF, "Warning", BACK, "Column", "Avoid using calculated columns", "column_type = 'Calculated'"),
-    _r(3, PERF, "Warning", QUERY, "Relationship", "Check bi-directional and many-to-many relationships", "(from_cardinality = 'many' AND to_cardinality = 'many') OR cross_filter = 'BothDirections'"),
-    _r(4, PERF, "Info", QUERY, "Security", "Check if dynamic row level security is necessary", r"filter_expression RLIKE r'(?i)USER(PRINCIPAL)?NAME\(\)'"),
-    _r(5, PERF, "Warning", QUERY, "Table", "Avoid many-to-many relationships on secured tables", "many_to_many > 0 AND has_security"),
-    _r(6, PERF, "Warning", QUERY, "Relationship", "Many-to-many relationships should be single-direction", "from_cardinality = 'many' AND to_cardinality = 'many' AND cross_filter = 'BothDirections'"),
-    _r(7, PERF, "Warning", QUERY, "Column", "Turn off attribute hierarchies of non-attribute columns", "in_mdx AND (is_hidden OR table_hidden) AND sort_by IS NULL AND NOT sorts_others AND NOT in_hierarchy"),
-    _r(8, PERF, "Warning", QUERY, "Partition", "Set data coverage on query partitions of hybrid tables", "hybrid AND mode = 'DirectQuery' AND coverage IS NULL"),
-    _r(11, PERF, "Warning", BACK, "Partition", "Minimise transformations in the source query", r"source_type = 'M' AND expression RLIKE r'Table\.(Combine|Join|NestedJoin|AddColumn|Group|Sort|Pivot|Unpivot|UnpivotOtherColumns|Distinct)\(\"|\[Query=\(\"\"SELECT|Value\.NativeQuery|OleDb\.Query|Odbc\.Query'"),
-    _r(12, PERF, "Warning", QUERY, "Table", "Consider a star schema instead of a snowflake", "from_side > 0 AND to_side > 0"),
-    _r(14, PERF, "Warning", QUERY, "Measure", "Avoid adding 0 to a measure", r"replace(expression, ' ', '') LIKE '0+%' OR replace(expression, ' ', '') LIKE '%+0' OR expression RLIKE r'(?i)DIVIDE\s*\(\s*[^,]+,\s*[^,]+,\s*0\s*\)' OR expression RLIKE r'(?i)IFERROR\s*\(\s*[^,]+,\s*0\s*\)'"),
+    _r(
+        3,
+        PERF,
+        "Warning",
+        QUERY,
+        "Relationship",
+        "Check bi-directional and many-to-many relationships",
+        "(from_cardinality = 'many' AND to_cardinality = 'many') OR cross_filter = 'BothDirections'",
+    ),
+    _r(
+        4,
+        PERF,
+        "Info",
+        QUERY,
+        "Security",
+        "Check if dynamic row level security is necessary",
+        r"filter_expression RLIKE r'(?i)USER(PRINCIPAL)?NAME\(\)'",
+    ),
+    _r(
+        5,
+        PERF,
+        "Warning",
+        QUERY,
+        "Table",
+        "Avoid many-to-many relationships on secured tables",
+        "many_to_many > 0 AND has_security",
+    ),
+    _r(
+        6,
+        PERF,
+        "Warning",
+        QUERY,
+        "Relationship",
+        "Many-to-many relationships should be single-direction",
+        "from_cardinality = 'many' AND to_cardinality = 'many' AND cross_filter = 'BothDirections'",
+    ),
+    _r(
+        7,
+        PERF,
+        "Warning",
+        QUERY,
+        "Column",
+        "Turn off attribute hierarchies of non-attribute columns",
+        "in_mdx AND (is_hidden OR table_hidden) AND sort_by IS NULL AND NOT sorts_others AND NOT in_hierarchy",
+    ),
+    _r(
+        8,
+        PERF,
+        "Warning",
+        QUERY,
+        "Partition",
+        "Set data coverage on query partitions of hybrid tables",
+        "hybrid AND mode = 'DirectQuery' AND coverage IS NULL",
+    ),
+    _r(
+        11,
+        PERF,
+        "Warning",
+        BACK,
+        "Partition",
+        "Minimise transformations in the source query",
+        r"source_type = 'M' AND expression RLIKE r'Table\.(Combine|Join|NestedJoin|AddColumn|Group|Sort|Pivot|Unpivot|UnpivotOtherColumns|Distinct)\(\"|\[Query=\(\"\"SELECT|Value\.NativeQuery|OleDb\.Query|Odbc\.Query'",
+    ),
+    _r(
+        12,
+        PERF,
+        "Warning",
+        QUERY,
+        "Table",
+        "Consider a star schema instead of a snowflake",
+        "from_side > 0 AND to_side > 0",
+    ),
+    _r(
+        14,
+        PERF,
+        "Warning",
+        QUERY,
+        "Measure",
+        "Avoid adding 0 to a measure",
+        r"replace(expression, ' ', '') LIKE '0+%' OR replace(expression, ' ', '') LIKE '%+0' OR expression RLIKE r'(?i)DIVIDE\s*\(\s*[^,]+,\s*[^,]+,\s*0\s*\)' OR expression RLIKE r'(?i)IFERROR\s*\(\s*[^,]+,\s*0\s*\)'",
+    ),
     _r(15, PERF, "Warning", BACK, "Table", "Reduce usage of calculated tables", "table_type = 'Calculated'"),
-    _r(16, PERF, "Warning", QUERY, "Column", "Reduce calculated columns that use RELATED", r"column_type = 'Calculated' AND expression RLIKE r'(?i)related\s*\('"),
-    _r(17, PERF, "Warning", QUERY, "Model", "Avoid excessive bi-directional or many-to-many relationships", "bad_relationship_share > 0.3"),
-    _r(18, PERF, "Warning", QUERY, "Table", "Remove auto-date tables", "table_type = 'Calculated' AND (name LIKE 'DateTableTemplate\\_%' OR name LIKE 'LocalDateTable\\_%')"),
-    _r(19, PERF, "Warning", USE, "Table", "Mark date and calendar tables as date tables", "name RLIKE '(?i)date|calendar' AND NOT (data_category <=> 'Time')"),
-    _r(20, PERF, "Warning", BACK, "Table", "Large tables should be partitioned", "partitions = 1 AND row_count > 25000000"),
-    _r(21, PERF, "Warning", QUERY, "Security", "Limit row level security logic", r"filter_expression RLIKE r'(?i)(right|left|filter|upper|lower|find)\('"),
+    _r(
+        16,
+        PERF,
+        "Warning",
+        QUERY,
+        "Column",
+        "Reduce calculated columns that use RELATED",
+        r"column_type = 'Calculated' AND expression RLIKE r'(?i)related\s*\('",
+    ),
+    _r(
+        17,
+        PERF,
+        "Warning",
+        QUERY,
+        "Model",
+        "Avoid excessive bi-directional or many-to-many relationships",
+        "bad_relationship_share > 0.3",
+    ),
+    _r(
+        18,
+        PERF,
+        "Warning",
+        QUERY,
+        "Table",
+        "Remove auto-date tables",
+        "table_type = 'Calculated' AND (name LIKE 'DateTableTemplate\\_%' OR name LIKE 'LocalDateTable\\_%')",
+    ),
+    _r(
+        19,
+        PERF,
+        "Warning",
+        USE,
+        "Table",
+        "Mark date and calendar tables as date tables",
+        "name RLIKE '(?i)date|calendar' AND NOT (data_category <=> 'Time')",
+    ),
+    _r(
+        20,
+        PERF,
+        "Warning",
+        BACK,
+        "Table",
+        "Large tables should be partitioned",
+        "partitions = 1 AND row_count > 25000000",
+    ),
+    _r(
+        21,
+        PERF,
+        "Warning",
+        QUERY,
+        "Security",
+        "Limit row level security logic",
+        r"filter_expression RLIKE r'(?i)(right|left|filter|upper|lower|find)\('",
+    ),
     _r(22, PERF, "Warning", USE, "Model", "Model should have a date table", "date_tables = 0"),
-    _r(24, ERR, "Warning", QUERY, "Relationship", "Relationship columns should have the same type", "from_type <> to_type"),
-    _r(25, ERR, "Error", USE, "Column", "Data columns must have a source column", "column_type = 'Data' AND coalesce(source_column, '') = ''"),
-    _r(26, ERR, "Warning", QUERY, "Column", "Turn on attribute hierarchies of necessary columns", "NOT in_mdx AND (sorts_others OR in_hierarchy OR sort_by IS NOT NULL)"),
+    _r(
+        24,
+        ERR,
+        "Warning",
+        QUERY,
+        "Relationship",
+        "Relationship columns should have the same type",
+        "from_type <> to_type",
+    ),
+    _r(
+        25,
+        ERR,
+        "Error",
+        USE,
+        "Column",
+        "Data columns must have a source column",
+        "column_type = 'Data' AND coalesce(source_column, '') = ''",
+    ),
+    _r(
+        26,
+        ERR,
+        "Warning",
+        QUERY,
+        "Column",
+        "Turn on attribute hierarchies of necessary columns",
+        "NOT in_mdx AND (sorts_others OR in_hierarchy OR sort_by IS NOT NULL)",
+    ),
     _r(28, EXPR, "Warning", QUERY, "Measure", "Avoid the IFERROR function", r"expression RLIKE r'(?i)iferror\s*\('"),
-    _r(29, EXPR, "Warning", QUERY, "Measure", "Use TREATAS instead of INTERSECT", r"expression RLIKE r'(?i)intersect\s*\('"),
-    _r(30, EXPR, "Warning", USE, "Measure", "No EVALUATEANDLOG in production", r"expression RLIKE r'(?i)evaluateandlog\s*\('"),
+    _r(
+        29,
+        EXPR,
+        "Warning",
+        QUERY,
+        "Measure",
+        "Use TREATAS instead of INTERSECT",
+        r"expression RLIKE r'(?i)intersect\s*\('",
+    ),
+    _r(
+        30,
+        EXPR,
+        "Warning",
+        USE,
+        "Measure",
+        "No EVALUATEANDLOG in production",
+        r"expression RLIKE r'(?i)evaluateandlog\s*\('",
+    ),
     _r(31, EXPR, "Warning", USE, "Measure", "Measures should not be plain references", "is_reference"),
     _r(32, EXPR, "Warning", USE, "Measure", "No two measures with the same definition", "same_definition > 1"),
-    _r(33, EXPR, "Warning", QUERY, "Measure", "Avoid adding constants to results of divisions", r"expression RLIKE r'(?i)DIVIDE\s*\((\s*.*?)\)\s*[+-]\s*1|\/\s*.*(?=[-+]\s*1)'"),
-    _r(34, EXPR, "Warning", QUERY, "Measure", "Avoid the 1-(x/y) syntax", r"expression RLIKE r'(?i)[0-9]+\s*[-+]\s*DIVIDE\s*\('"),
-    _r(37, EXPR, "Warning", QUERY, "Measure", "Use the DIVIDE function for division", r"expression RLIKE r'[\])]\s*/(?!/)(?!\*)'"),
-    _r(40, EXPR, "Warning", USE, "Relationship", "Inactive relationships that are never activated", "NOT is_active AND NOT activated"),
-    _r(41, MAINT, "Warning", USE, "Column", "Remove unnecessary columns", "(is_hidden OR table_hidden) AND relationships = 0 AND NOT in_hierarchy AND NOT sorts_others"),
+    _r(
+        33,
+        EXPR,
+        "Warning",
+        QUERY,
+        "Measure",
+        "Avoid adding constants to results of divisions",
+        r"expression RLIKE r'(?i)DIVIDE\s*\((\s*.*?)\)\s*[+-]\s*1|\/\s*.*(?=[-+]\s*1)'",
+    ),
+    _r(
+        34,
+        EXPR,
+        "Warning",
+        QUERY,
+        "Measure",
+        "Avoid the 1-(x/y) syntax",
+        r"expression RLIKE r'(?i)[0-9]+\s*[-+]\s*DIVIDE\s*\('",
+    ),
+    _r(
+        37,
+        EXPR,
+        "Warning",
+        QUERY,
+        "Measure",
+        "Use the DIVIDE function for division",
+        r"expression RLIKE r'[\])]\s*/(?!/)(?!\*)'",
+    ),
+    _r(
+        40,
+        EXPR,
+        "Warning",
+        USE,
+        "Relationship",
+        "Inactive relationships that are never activated",
+        "NOT is_active AND NOT activated",
+    ),
+    _r(
+        41,
+        MAINT,
+        "Warning",
+        USE,
+        "Column",
+        "Remove unnecessary columns",
+        "(is_hidden OR table_hidden) AND relationships = 0 AND NOT in_hierarchy AND NOT sorts_others",
+    ),
     _r(42, MAINT, "Warning", USE, "Measure", "Remove unnecessary measures", "is_hidden AND referenced_by = 0"),
     _r(43, MAINT, "Warning", USE, "Table", "Ensure tables have relationships", "relationships = 0"),
-    _r(45, MAINT, "Info", USE, "Column,Measure,Table", "Visible objects with no description", "NOT is_hidden AND coalesce(description, '') = ''"),
-    _r(46, FMT, "Warning", USE, "Column", "Provide format string for date columns", "name RLIKE '(?i)date' AND data_type = 'DateTime' AND NOT (format_string <=> 'mm/dd/yyyy')"),
-    _r(47, FMT, "Warning", QUERY, "Column", "Do not summarise numeric columns", f"{NUMERIC} AND NOT (summarize_by <=> 'None') AND NOT (is_hidden OR table_hidden)"),
-    _r(48, FMT, "Info", USE, "Measure", "Provide format string for measures", "NOT is_hidden AND coalesce(format_string, '') = ''"),
-    _r(49, FMT, "Info", USE, "Column", "Add data category for columns", "coalesce(data_category, '') = '' AND name RLIKE '(?i)^(country|city|continent|latitude|longitude)'"),
-    _r(50, FMT, "Warning", USE, "Measure", "Percentages need thousands separators and 1 decimal", "format_string LIKE '%\\%%' AND format_string <> '#,0.0%;-#,0.0%;#,0.0%'"),
-    _r(51, FMT, "Warning", USE, "Measure", "Whole numbers need thousands separators and no decimals", "NOT contains(coalesce(format_string, ''), '$') AND NOT contains(coalesce(format_string, ''), '%') AND coalesce(format_string, '') NOT IN ('#,0', '#,0.0')"),
+    _r(
+        45,
+        MAINT,
+        "Info",
+        USE,
+        "Column,Measure,Table",
+        "Visible objects with no description",
+        "NOT is_hidden AND coalesce(description, '') = ''",
+    ),
+    _r(
+        46,
+        FMT,
+        "Warning",
+        USE,
+        "Column",
+        "Provide format string for date columns",
+        "name RLIKE '(?i)date' AND data_type = 'DateTime' AND NOT (format_string <=> 'mm/dd/yyyy')",
+    ),
+    _r(
+        47,
+        FMT,
+        "Warning",
+        QUERY,
+        "Column",
+        "Do not summarise numeric columns",
+        f"{NUMERIC} AND NOT (summarize_by <=> 'None') AND NOT (is_hidden OR table_hidden)",
+    ),
+    _r(
+        48,
+        FMT,
+        "Info",
+        USE,
+        "Measure",
+        "Provide format string for measures",
+        "NOT is_hidden AND coalesce(format_string, '') = ''",
+    ),
+    _r(
+        49,
+        FMT,
+        "Info",
+        USE,
+        "Column",
+        "Add data category for columns",
+        "coalesce(data_category, '') = '' AND name RLIKE '(?i)^(country|city|continent|latitude|longitude)'",
+    ),
+    _r(
+        50,
+        FMT,
+        "Warning",
+        USE,
+        "Measure",
+        "Percentages need thousands separators and 1 decimal",
+        "format_string LIKE '%\\%%' AND format_string <> '#,0.0%;-#,0.0%;#,0.0%'",
+    ),
+    _r(
+        51,
+        FMT,
+        "Warning",
+        USE,
+        "Measure",
+        "Whole numbers need thousands separators and no decimals",
+        "NOT contains(coalesce(format_string, ''), '$') AND NOT contains(coalesce(format_string, ''), '%') AND coalesce(format_string, '') NOT IN ('#,0', '#,0.0')",
+    ),
     _r(52, FMT, "Info", USE, "Column", "Hide foreign keys", "NOT is_hidden AND many_side > 0"),
-    _r(53, FMT, "Info", USE, "Column", "Mark primary keys", "one_side > 0 AND NOT is_key AND NOT (table_category <=> 'Time')"),
-    _r(54, FMT, "Info", USE, "Column", "Month text columns must be sorted", "name RLIKE '(?i)month' AND NOT name RLIKE '(?i)months' AND data_type = 'String' AND coalesce(sort_by, '') = ''"),
-    _r(55, FMT, "Warning", QUERY, "Relationship", "Relationship columns should be integers", "from_type <> 'Int64' OR to_type <> 'Int64'"),
-    _r(56, FMT, "Warning", USE, "Column", "Provide format string for month columns", "name RLIKE '(?i)month' AND data_type = 'DateTime' AND NOT (format_string <=> 'MMMM yyyy')"),
-    _r(57, FMT, "Info", USE, "Column", "Format flag columns as Yes/No", "NOT (is_hidden OR table_hidden) AND ((lower(name) LIKE 'is%' AND data_type = 'Int64') OR (lower(name) LIKE '% flag' AND data_type <> 'String'))"),
+    _r(
+        53,
+        FMT,
+        "Info",
+        USE,
+        "Column",
+        "Mark primary keys",
+        "one_side > 0 AND NOT is_key AND NOT (table_category <=> 'Time')",
+    ),
+    _r(
+        54,
+        FMT,
+        "Info",
+        USE,
+        "Column",
+        "Month text columns must be sorted",
+        "name RLIKE '(?i)month' AND NOT name RLIKE '(?i)months' AND data_type = 'String' AND coalesce(sort_by, '') = ''",
+    ),
+    _r(
+        55,
+        FMT,
+        "Warning",
+        QUERY,
+        "Relationship",
+        "Relationship columns should be integers",
+        "from_type <> 'Int64' OR to_type <> 'Int64'",
+    ),
+    _r(
+        56,
+        FMT,
+        "Warning",
+        USE,
+        "Column",
+        "Provide format string for month columns",
+        "name RLIKE '(?i)month' AND data_type = 'DateTime' AND NOT (format_string <=> 'MMMM yyyy')",
+    ),
+    _r(
+        57,
+        FMT,
+        "Info",
+        USE,
+        "Column",
+        "Format flag columns as Yes/No",
+        "NOT (is_hidden OR table_hidden) AND ((lower(name) LIKE 'is%' AND data_type = 'Int64') OR (lower(name) LIKE '% flag' AND data_type <> 'String'))",
+    ),
     _r(58, FMT, "Error", USE, ALL, "Objects should not start or end with a space", "name LIKE ' %' OR name LIKE '% '"),
-    _r(59, FMT, "Info", USE, ALL, "First letter of objects must be capitalised", "left(name, 1) <> upper(left(name, 1))"),
+    _r(
+        59,
+        FMT,
+        "Info",
+        USE,
+        ALL,
+        "First letter of objects must be capitalised",
+        "left(name, 1) <> upper(left(name, 1))",
+    ),
     _r(60, NAMES, "Warning", USE, ALL, "Object names must not contain special characters", r"name RLIKE r'[\t\r\n]'"),
 ]
 
 
 def catalogue(spark, rules: Sequence[Rule] = RULES) -> DataFrame:
     rows = [(r.id, r.category, r.severity, r.impact, ",".join(r.scopes), r.name) for r in rules]
-    return spark.createDataFrame(rows, "rule_id int, category string, severity string, impact string, scopes string, rule string")
+    return spark.createDataFrame(
+        rows, "rule_id int, category string, severity string, impact string, scopes string, rule string"
+    )
 
 
 def violations(objects: Mapping[str, DataFrame], rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -117,14 +423,21 @@ def violations(objects: Mapping[str, DataFrame], rules: Sequence[Rule] = RULES)
         hits = [
             F.when(
                 F.expr(r.predicate),
-                F.struct(F.lit(r.id).alias("rule_id"), F.lit(r.category).alias("category"), F.lit(r.severity).alias("severity"), F.lit(r.impact).alias("impact")),
+                F.struct(
+                    F.lit(r.id).alias("rule_id"),
+                    F.lit(r.category).alias("category"),
+                    F.lit(r.severity).alias("severity"),
+                    F.lit(r.impact).alias("impact"),
+                ),
             )
             for r in rules
             if scope in r.scopes
         ]
         if not hits:
             continue
-        part = df.select(F.col("name").alias("object_name"), F.explode(F.array_compact(F.array(*hits))).alias("v")).select(
+        part = df.select(
+            F.col("name").alias("object_name"), F.explode(F.array_compact(F.array(*hits))).alias("v")
+        ).select(
             F.lit(scope).alias("object_type"), "object_name", "v.*"
         )
         out = part if out is None else out.unionByName(part)
@@ -138,9 +451,14 @@ def with_definition_facts(measures: DataFrame) -> DataFrame:
     references and the number of referencing measures."""
     squeezed = F.regexp_replace("expression", r"\s+", "")
     same = measures.groupBy(squeezed.alias("_d")).agg(F.count_distinct("name").alias("same_definition"))
-    refs = measures.select(F.explode(F.regexp_extract_all("expression", F.lit(r"\[([^\]]+)\]"), F.lit(1))).alias("_ref"), F.col("name").alias("_by"))
+    refs = measures.select(
+        F.explode(F.regexp_extract_all("expression", F.lit(r"\[([^\]]+)\]"), F.lit(1))).alias("_ref"),
+        F.col("name").alias("_by"),
+    )
     used = refs.groupBy("_ref").agg(F.count_distinct("_by").alias("referenced_by"))
-    names = measures.select(F.concat(F.lit("["), F.col("name"), F.lit("]")).alias("_plain")).distinct().withColumn("is_reference", F.lit(True))
+    names = measures.select(
+        F.concat(F.lit("["), F.col("name"), F.lit("]")).alias("_plain")
+    ).distinct().withColumn("is_reference", F.lit(True))
     return (
         measures.withColumn("_d", squeezed)
         .join(same, "_d")
@@ -157,5 +475,13 @@ def summary(found: DataFrame, severity: str | None = None, category: str | None
         found = found.filter(F.col("severity") == severity)
     if category is not None:
         found = found.filter(F.col("category") == category)
-    sides = F.array(*[F.struct(F.lit(k).alias("grouped_by"), F.col(k).alias("value")) for k in ("severity", "category", "object_type")])
-    return found.select(F.explode(sides).alias("s")).select("s.*").groupBy("grouped_by", "value").agg(F.count(F.lit(1)).alias("violations"))
+    sides = F.array(
+        *[
+            F.struct(
+                F.lit(k).alias("grouped_by"), F.col(k).alias("value")
+            ) for k in ("severity", "category", "object_type")
+        ]
+    )
+    return found.select(F.explode(sides).alias("s")).select("s.*").groupBy("grouped_by", "value").agg(
+        F.count(F.lit(1)).alias("violations")
+    )

@@ -34,7 +34,11 @@ def refresh_tables(refreshables: DataFrame) -> dict[str, DataFrame]:
         F.col("refreshSchedule.localTimeZoneId").alias("LocalTimeZoneId"),
         F.col("kind").alias("Kind"),
     )
-    extra = {"averageDuration": "RefreshAverageDuration", "medianDuration": "RefreshMedianDuration", "refreshCount": "RefreshCount"}
+    extra = {
+        "averageDuration": "RefreshAverageDuration",
+        "medianDuration": "RefreshMedianDuration",
+        "refreshCount": "RefreshCount",
+    }
     start, end = F.to_timestamp("startTime"), F.to_timestamp("endTime")
     summary = rows.filter(F.col("startTime").isNotNull() & ~F.startswith(F.col("endTime"), F.lit("0001-01-01"))).select(
         *keys,
@@ -93,7 +97,9 @@ def all_meters(meters: DataFrame, focus: DataFrame, renamed: Mapping[str, str] |
     seen = focus.select(
         F.lower("x_SkuMeterName").alias("Name_Lower"),
         category.alias("Category"),
-        F.when(F.col("BillingType").isNotNull() & (F.col("BillingType") != PAUSE), "TRUE").otherwise("FALSE").alias("Included"),
+        F.when(
+            F.col("BillingType").isNotNull() & (F.col("BillingType") != PAUSE), "TRUE"
+        ).otherwise("FALSE").alias("Included"),
     )
     first = earliest(seen.distinct(), ["Name_Lower"], [F.col("Category"), F.col("Included")])
     keyed = continue_keys(meters.select("Name_Lower", "MeterKey"), first, "Name_Lower", "MeterKey")
@@ -103,7 +109,9 @@ def all_meters(meters: DataFrame, focus: DataFrame, renamed: Mapping[str, str] |
 def billing_gold(focus: DataFrame, meters: DataFrame, service: str, periods: list[str]) -> DataFrame:
     """Billing rows of a service and periods with meter key, date key and savings; ``x_`` columns go,
     but for three."""
-    rows = with_billing_type(focus.filter((F.col("ServiceName") == service) & F.col("BillingPeriodStart").isin(periods)))
+    rows = with_billing_type(
+        focus.filter((F.col("ServiceName") == service) & F.col("BillingPeriodStart").isin(periods))
+    )
     keys = all_meters(meters, rows).select("Name_Lower", "MeterKey")
     joined = rows.withColumn("Name_Lower", F.lower("x_SkuMeterName")).join(keys, "Name_Lower", "left")
     out = joined.withColumns(
@@ -147,6 +155,10 @@ def settings_rows(settings: DataFrame) -> DataFrame:
 
 def capacity_people(capacities: DataFrame) -> DataFrame:
     """Admins and users of each capacity with their role."""
-    admins = capacities.select(F.col("Id").alias("CapacityId"), F.explode("admins").alias("Principal"), F.lit("Admin").alias("Role"))
-    users = capacities.select(F.col("Id").alias("CapacityId"), F.explode("users").alias("Principal"), F.lit("User").alias("Role"))
+    admins = capacities.select(
+        F.col("Id").alias("CapacityId"), F.explode("admins").alias("Principal"), F.lit("Admin").alias("Role")
+    )
+    users = capacities.select(
+        F.col("Id").alias("CapacityId"), F.explode("users").alias("Principal"), F.lit("User").alias("Role")
+    )
     return admins.unionByName(users)

@@ -20,9 +20,13 @@ def measures(df: DataFrame, by: Sequence[str], as_of: str, view: str = VIEW) ->
     flags = {n: cond for n, cond in M.period_flags(day, as_of).items() if n in WINDOWS}
     viewed = F.col("Activity") == view
     counts = M.by_groups(
-        df, by, Activities=M.rows(), Viewed=F.count_if(viewed), **{f"Activities_{n}": F.count_if(c) for n, c in flags.items()}
+        df, by, Activities=M.rows(), Viewed=F.count_if(viewed), **{
+            f"Activities_{n}": F.count_if(c) for n, c in flags.items()
+        }
+    )
+    users = M.entities_by_flags(
+        df, by, F.col("UserId"), {"Users": F.lit(True), **{f"Users_{n}": c for n, c in flags.items()}}
     )
-    users = M.entities_by_flags(df, by, F.col("UserId"), {"Users": F.lit(True), **{f"Users_{n}": c for n, c in flags.items()}})
     views = {"ViewedReports": viewed, **{f"ViewedReports_{n}": viewed & flags[n] for n in ("14d", "30d")}}
     reports = M.entities_by_flags(df, by, F.col("ReportId"), views)
     return M.join_groups(by, counts, users, reports)

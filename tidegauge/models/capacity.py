@@ -67,7 +67,10 @@ def kind_day(df: DataFrame, by: Sequence[str], as_of: str) -> DataFrame:
     flags = M.period_flags(F.col("Date"), as_of)
     out = {"TotalCUs": as_double(F.sum(cu)), "AvgCUs": M.ratio(as_double(F.sum(cu)), F.count(cu))}
     out |= {f"TotalCUs_{n}": as_double(F.sum(F.when(flags[n], cu))) for n in ("CM", "PM", "CY", "PY", "14d", "30d")}
-    out |= {"AvgDurationMin": F.sum("DurationInSec") / F.count("DurationInSec") / 60, "TotalDurationMin": F.sum("DurationInSec") / 60}
+    out |= {
+        "AvgDurationMin": F.sum("DurationInSec") / F.count("DurationInSec") / 60,
+        "TotalDurationMin": F.sum("DurationInSec") / 60,
+    }
     return M.by_groups(df, by, **out)
 
 

@@ -15,7 +15,9 @@ PAUSE = "Capacity Pause/Delete Surcharge"
 RESERVATION = "Reservation"
 
 
-def measures(df: DataFrame, by: Sequence[str], storage: str, autoscale: str, recovery: str, mirroring: str = "mirror") -> DataFrame:
+def measures(
+    df: DataFrame, by: Sequence[str], storage: str, autoscale: str, recovery: str, mirroring: str = "mirror"
+) -> DataFrame:
     """All cost measures per group.
 
     ``storage`` is a meter category, ``autoscale`` a meter name, ``recovery`` and ``mirroring`` are

@@ -54,7 +54,9 @@ def refreshables(items: DataFrame, summaries: DataFrame, details: DataFrame) ->
         Enabled=F.sum(F.when(on, slots)),
         Disabled=F.sum(F.when(off, slots)),
     )
-    median = M.percentiles(summaries, [], "RefreshMedianDuration", {"m": 0.5}).select((F.col("m") / 60).alias("MedianMinutes"))
+    median = M.percentiles(
+        summaries, [], "RefreshMedianDuration", {"m": 0.5}
+    ).select((F.col("m") / 60).alias("MedianMinutes"))
     times = M.by_groups(
         summaries,
         [],
@@ -65,7 +67,9 @@ def refreshables(items: DataFrame, summaries: DataFrame, details: DataFrame) ->
         ConsideredDays=F.sum("ConsiderationDurationSeconds") / 86400,
     )
     last = M.by_groups(
-        details, [], Minutes=F.sum("DurationInSeconds") / 60, AvgMinutesDet=F.sum("DurationInSeconds") / F.count("DurationInSeconds") / 60
+        details, [], Minutes=F.sum(
+            "DurationInSeconds"
+        ) / 60, AvgMinutesDet=F.sum("DurationInSeconds") / F.count("DurationInSeconds") / 60
     )
     return M.join_groups([], counts, times, median, last)
 

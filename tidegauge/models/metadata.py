@@ -43,7 +43,9 @@ def documented(objects: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def dependencies(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    return M.by_groups(df, by, Objects=M.distinct_values(F.col("OBJECT")), Referenced=M.distinct_values(F.col("REFERENCED_OBJECT")))
+    return M.by_groups(
+        df, by, Objects=M.distinct_values(F.col("OBJECT")), Referenced=M.distinct_values(F.col("REFERENCED_OBJECT"))
+    )
 
 
 def partition_statistics(partitions: DataFrame, by: Sequence[str], unit: str = "bytes") -> DataFrame:
@@ -67,7 +69,9 @@ def partition_series(partitions: DataFrame, table: str, index: str, last: int =
     Partitions that exist are Current, the rest Simulation; every step adds the table's average per
     existing partition, rounded.
     """
-    averages = partitions.groupBy(table).agg((F.sum("rows") / F.count("rows")).alias("_rows"), (F.sum("bytes") / F.count("bytes")).alias("_bytes"))
+    averages = partitions.groupBy(table).agg(
+        (F.sum("rows") / F.count("rows")).alias("_rows"), (F.sum("bytes") / F.count("bytes")).alias("_bytes")
+    )
     grid = expand_series(averages, F.lit(1), F.lit(last), "value")
     existing = partitions.select(table, F.col(index).alias("value")).distinct().withColumn("_current", F.lit("Current"))
     # A table's series has at most `last` rows, and every step adds the same amount.

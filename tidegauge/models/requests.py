@@ -33,7 +33,9 @@ def request_history(df: DataFrame, by: Sequence[str], time_unit: str = "seconds"
     )
 
 
-def gateway_queries(df: DataFrame, by: Sequence[str], time_unit: str = "seconds", size_unit: str = "megabytes") -> DataFrame:
+def gateway_queries(
+    df: DataFrame, by: Sequence[str], time_unit: str = "seconds", size_unit: str = "megabytes"
+) -> DataFrame:
     """Requests, trackings and durations of gateway query executions.
 
     Success is told per request: a request counts as succeeded or failed when one of its rows does.
@@ -66,7 +68,9 @@ COUNTERS = {
 }
 
 
-def gateway_counters(df: DataFrame, by: Sequence[str], cores: int = 1, kb_per_unit: int = 1, counters=COUNTERS) -> DataFrame:
+def gateway_counters(
+    df: DataFrame, by: Sequence[str], cores: int = 1, kb_per_unit: int = 1, counters=COUNTERS
+) -> DataFrame:
     """Average of each system counter: percentages as fractions, process CPU per core, memory in a unit."""
     worth = {"percent": 100, "percent per core": 100 * cores, "KB": kb_per_unit, "count": 1}
 

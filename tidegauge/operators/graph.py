@@ -37,7 +37,9 @@ def closure(edges: DataFrame, src: str, dst: str, max_doublings: int = 40) -> Da
 
 def token_edges(definitions: DataFrame, name: str, text: str, pattern: str = r"\[([^\]]+)\]") -> DataFrame:
     """(definition, referenced definition) pairs found in definition texts."""
-    tokens = definitions.select(F.col(name).alias("src"), F.explode(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1))).alias("dst"))
+    tokens = definitions.select(
+        F.col(name).alias("src"), F.explode(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1))).alias("dst")
+    )
     names = definitions.select(F.col(name).alias("dst")).distinct()
     return tokens.distinct().join(names, "dst", "left_semi").select("src", "dst")
 
@@ -59,7 +61,9 @@ def upstream_edges(df: DataFrame, item: str, upstream_item: str, container: str,
     """Distinct edges: item → upstream item, container → upstream container, and both containments."""
 
     def edge(kind: str, a: str, b: str) -> DataFrame:
-        return df.select(F.lit(kind).alias("kind"), F.col(a).cast("string").alias("src"), F.col(b).cast("string").alias("dst")).distinct()
+        return df.select(
+            F.lit(kind).alias("kind"), F.col(a).cast("string").alias("src"), F.col(b).cast("string").alias("dst")
+        ).distinct()
 
     parts = [
         edge("item", item, upstream_item),
@@ -101,13 +105,19 @@ def dependency_graph(nodes: DataFrame, edges: DataFrame, kinds: Sequence[str]) -
     )
     kept = ids.groupBy("source", "target").agg(F.min("_kind").alias("_kind"), F.min("_target").alias("_target"))
     own = nodes.select(
-        node_id("kind", "name").alias("id"), "kind", F.col("name").alias("label"), criticality(F.col("kind"), F.col("usage")).alias("criticality")
+        node_id("kind", "name").alias("id"), "kind", F.col("name").alias("label"), criticality(
+            F.col("kind"), F.col("usage")
+        ).alias("criticality")
     )
     missing = (
-        kept.select(F.col("target").alias("id"), F.col("_target.target_kind").alias("kind"), F.col("_target.name").alias("name"))
+        kept.select(
+            F.col("target").alias("id"), F.col("_target.target_kind").alias("kind"), F.col("_target.name").alias("name")
+        )
         .distinct()
         .join(own.select("id"), "id", "left_anti")
-        .select("id", "kind", F.concat("name", F.lit(" (referenced)")).alias("label"), F.lit("low").alias("criticality"))
+        .select(
+            "id", "kind", F.concat("name", F.lit(" (referenced)")).alias("label"), F.lit("low").alias("criticality")
+        )
     )
     return own.unionByName(missing), kept.select("source", "target", F.col("_kind.kind").alias("kind"))
 
@@ -137,7 +147,9 @@ def copy_lineage(pipelines: DataFrame, definition: str) -> DataFrame:
         F.col(f"{tp}.sink.type").alias("sink_type"),
         F.col(f"{tp}.sink.datasetSettings.linkedService.name").alias("sink_container"),
         F.col(f"{tp}.sink.datasetSettings.typeProperties.table").alias("sink_table"),
-        F.format_string("%s (%s %s)", "_m.source.name", "_m.source.type", "_m.source.physicalType").alias("source_column"),
+        F.format_string(
+            "%s (%s %s)", "_m.source.name", "_m.source.type", "_m.source.physicalType"
+        ).alias("source_column"),
         F.format_string("%s (%s)", "_m.sink.name", "_m.sink.physicalType").alias("sink_column"),
     )
 
@@ -154,11 +166,22 @@ def effective_reads(members: DataFrame, grants: DataFrame, denies: DataFrame, co
     principals = members.select(F.col("member").alias("principal")).distinct()
     holders = up.unionByName(principals.select("principal", F.col("principal").alias("via")))
     granted = holders.join(grants.withColumnRenamed("principal", "via"), "via").select("principal", "table").distinct()
-    denied = holders.join(denies.withColumnRenamed("principal", "via"), "via").select("principal", "table", "column").distinct()
-    return granted.join(columns, "table").join(denied, ["principal", "table", "column"], "left_anti").select("principal", "table", "column")
+    denied = holders.join(
+        denies.withColumnRenamed("principal", "via"), "via"
+    ).select("principal", "table", "column").distinct()
+    return granted.join(columns, "table").join(
+        denied, ["principal", "table", "column"], "left_anti"
+    ).select("principal", "table", "column")
 
 
 def usage_counts(refs: DataFrame, name: str, inputs: str, outputs: str) -> DataFrame:
     """How often each artifact is referenced, inputs and outputs together."""
-    both = refs.select(F.explode(F.concat(F.coalesce(inputs, F.array().cast("array<string>")), F.coalesce(outputs, F.array().cast("array<string>")))).alias(name))
+    both = refs.select(
+        F.explode(
+            F.concat(
+                F.coalesce(inputs, F.array().cast("array<string>")),
+                F.coalesce(outputs, F.array().cast("array<string>")),
+            )
+        ).alias(name)
+    )
     return both.filter(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("usage"))

@@ -38,7 +38,9 @@ def covered(df: DataFrame, by: Sequence[str], start: str, end: str, tie_break: S
     return reach.withColumn(name, F.greatest(F.lit(0), F.col(end) - begin)).drop("_reach")
 
 
-def engine_split(df: DataFrame, by: Sequence[str], start: str, end: str, tie_break: Sequence[str], total: Column, cpu: Column) -> DataFrame:
+def engine_split(
+    df: DataFrame, by: Sequence[str], start: str, end: str, tie_break: Sequence[str], total: Column, cpu: Column
+) -> DataFrame:
     """Net parallel duration of storage work, the rest of the total, and the parallelism."""
     parts = covered(df, by, start, end, tie_break, "_part")
     sums = parts.groupBy(*by).agg(F.sum("_part").alias("storage"), total.alias("total"), cpu.alias("cpu"))
@@ -50,7 +52,16 @@ def engine_split(df: DataFrame, by: Sequence[str], start: str, end: str, tie_bre
     )
 
 
-def timeline(df: DataFrame, by: Sequence[str], start: str, end: str, tie_break: Sequence[str], first: Column, last: Column, least_gap: int) -> DataFrame:
+def timeline(
+    df: DataFrame,
+    by: Sequence[str],
+    start: str,
+    end: str,
+    tie_break: Sequence[str],
+    first: Column,
+    last: Column,
+    least_gap: int,
+) -> DataFrame:
     """Events of a group in order, with idle gaps longer than ``least_gap`` as rows of their own.
 
     ``first`` and ``last`` bound the group's time and must be constant within it. A gap counts from

@@ -33,7 +33,9 @@ def latest_rows(df: DataFrame, by: Sequence[str], ts: str) -> DataFrame:
     return df.join(newest, [*by, ts], "left_semi")
 
 
-def match_without_suffix(old: DataFrame, new: DataFrame, name: str, new_name: str, suffix: str, on: Mapping[str, str]) -> DataFrame:
+def match_without_suffix(
+    old: DataFrame, new: DataFrame, name: str, new_name: str, suffix: str, on: Mapping[str, str]
+) -> DataFrame:
     """Rows of a copy matched to their originals, whose names lack the copy's suffix."""
     base = F.regexp_replace(F.col(new_name), F.lit(suffix), F.lit(""))
     cond = F.col(name) == base
@@ -93,7 +95,9 @@ def texts_containing(texts: DataFrame, key: str, text: str, objects: DataFrame,
         anchors = F.when(F.col("_class") == size, F.array(*first)).otherwise(anchors)
     # Only the key travels with the grams; the text rejoins its few candidates for the check.
     probes = texts.select(key, F.explode(F.concat(*grams)).alias("_gram"))
-    candidates = probes.join(named.select(name, F.explode(anchors).alias("_gram")), "_gram").select(key, name).distinct()
+    candidates = probes.join(
+        named.select(name, F.explode(anchors).alias("_gram")), "_gram"
+    ).select(key, name).distinct()
     return texts.join(candidates, key).filter(F.contains(F.col(text), F.col(name)))
 
 
@@ -124,7 +128,9 @@ def points_in_intervals(
     return probes.join(filed, ["_level", "_cell"]).filter(inside).drop("_level", "_cell")
 
 
-def pair_begin_end(ends: DataFrame, begins: DataFrame, keys: Sequence[str], end_ts: str, begin_ts: str, lookback_seconds: int = 86400) -> DataFrame:
+def pair_begin_end(
+    ends: DataFrame, begins: DataFrame, keys: Sequence[str], end_ts: str, begin_ts: str, lookback_seconds: int = 86400
+) -> DataFrame:
     """Each end with its begins on the same keys, at most ``lookback_seconds`` earlier; unmatched ends
     are kept.
 
@@ -158,12 +164,16 @@ def expand_schedule(items: DataFrame, days: str, times: str) -> DataFrame:
 def credit_usage(usage: DataFrame, closure: DataFrame, obj: str, ref: str) -> DataFrame:
     """Usage of each object, plus the same usage credited to everything it depends on."""
     direct = usage.withColumn("is_direct", F.lit(True))
-    through = usage.join(closure.select(F.col(obj).alias("_root"), F.col(ref).alias("_ref")), F.col(obj) == F.col("_root"))
+    through = usage.join(
+        closure.select(F.col(obj).alias("_root"), F.col(ref).alias("_ref")), F.col(obj) == F.col("_root")
+    )
     indirect = through.withColumn(obj, F.col("_ref")).drop("_root", "_ref").withColumn("is_direct", F.lit(False))
     return direct.unionByName(indirect)
 
 
-def salted(facts: DataFrame, dim: DataFrame, on: Sequence[str], salt_of: Column, buckets: int = 32, how: str = "inner") -> DataFrame:
+def salted(
+    facts: DataFrame, dim: DataFrame, on: Sequence[str], salt_of: Column, buckets: int = 32, how: str = "inner"
+) -> DataFrame:
     """Join in which each key's facts are spread over ``buckets`` tasks, for keys known to be hot."""
     left = facts.withColumn("_salt", F.pmod(F.xxhash64(salt_of), F.lit(buckets)).cast("int"))
     right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))

@@ -140,10 +140,14 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], or
 def row_marker(operation: Column, soft_delete: bool = False, strict: bool = True) -> Column:
     """Marker of an operation code: I → 0, U → 1, D → 2, or 1 where deletes only flag the row."""
     marker = (
-        F.when(operation == "I", INSERT).when(operation == "U", UPDATE).when(operation == "D", UPDATE if soft_delete else DELETE)
+        F.when(operation == "I", INSERT).when(operation == "U", UPDATE).when(
+            operation == "D", UPDATE if soft_delete else DELETE
+        )
     )
     if strict:
-        return marker.otherwise(F.raise_error(F.concat(F.lit("unknown operation "), F.coalesce(operation, F.lit("null")))).cast("int"))
+        return marker.otherwise(
+            F.raise_error(F.concat(F.lit("unknown operation "), F.coalesce(operation, F.lit("null")))).cast("int")
+        )
     return marker
 
 
@@ -153,7 +157,9 @@ def status_marker(status: Column) -> Column:
         F.when(status == "A", INSERT)
         .when(status == "C", UPDATE)
         .when(status == "D", DELETE)
-        .otherwise(F.raise_error(F.concat(F.lit("unknown record status "), F.coalesce(status, F.lit("null")))).cast("int"))
+        .otherwise(
+            F.raise_error(F.concat(F.lit("unknown record status "), F.coalesce(status, F.lit("null")))).cast("int")
+        )
     )
 
 

@@ -123,7 +123,9 @@ def distinct_rows(spark: SparkSession, sf: str) -> DataFrame:
         PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1""",
 )
 def drop_duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
+    )
     order = [F.col(c) for c in ("l_partkey", "l_suppkey", "l_extendedprice")]
     return A.unique_rows(lines, ["l_orderkey", "l_linenumber"], order)
 
@@ -196,7 +198,9 @@ def pivot(spark: SparkSession, sf: str) -> DataFrame:
     return A.pivot_pairs(pairs, ["l_suppkey"], "l_returnflag", "n", ["A", "N", "R"]).fillna(0)
 
 
-@query("A9_group_by_all", "SELECT l_returnflag, l_linestatus, count(*) AS n, max(l_tax) AS t FROM lineitem GROUP BY ALL")
+@query(
+    "A9_group_by_all", "SELECT l_returnflag, l_linestatus, count(*) AS n, max(l_tax) AS t FROM lineitem GROUP BY ALL"
+)
 def group_by_all(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(
         "SELECT l_returnflag, l_linestatus, count(*) AS n, max(l_tax) AS t FROM {lines} GROUP BY ALL",
@@ -262,7 +266,9 @@ def filtered(spark: SparkSession, sf: str) -> DataFrame:
 def distinct(spark: SparkSession, sf: str) -> DataFrame:
     blank = F.nullif(F.col("user_id"), F.lit(8))
     return M.by_groups(
-        table(spark, sf, "events"), ["event_type"], users=F.count_distinct("user_id"), users_with_blank=M.distinct_values(blank)
+        table(
+            spark, sf, "events"
+        ), ["event_type"], users=F.count_distinct("user_id"), users_with_blank=M.distinct_values(blank)
     )
 
 
@@ -464,7 +470,9 @@ def running_series(spark: SparkSession, sf: str) -> DataFrame:
     averages = parts.groupBy("l_suppkey").agg((F.sum("n") / F.count("n")).alias("avg_rows"))
     grid = J.expand_series(averages, F.lit(1), F.lit(64), "value")
     existing = parts.select("l_suppkey", F.col("idx").alias("value"), F.lit("Current").alias("version"))
-    tagged = grid.join(existing, ["l_suppkey", "value"], "left").withColumn("version", F.coalesce("version", F.lit("Simulation")))
+    tagged = grid.join(existing, ["l_suppkey", "value"], "left").withColumn(
+        "version", F.coalesce("version", F.lit("Simulation"))
+    )
     step = F.floor(F.col("avg_rows") + 0.5).cast("double")
     out = M.running_total(tagged, ["l_suppkey"], [F.col("value")], step, "running_rows")
     return out.select("l_suppkey", "value", "version", "running_rows")
@@ -576,7 +584,9 @@ def log_metrics(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_quantity").alias("DurationMs"),
         F.col("l_linenumber").alias("PeakMemoryKb"),
     )
-    out = logs.metrics(shaped, ["l_suppkey"], totals={"cpu": "CpuTimeMs", "duration": "DurationMs"}, maxima={"memory": "PeakMemoryKb"})
+    out = logs.metrics(
+        shaped, ["l_suppkey"], totals={"cpu": "CpuTimeMs", "duration": "DurationMs"}, maxima={"memory": "PeakMemoryKb"}
+    )
     return out.withColumns({"cpu_total": as_double(F.col("cpu_total")), "cpu_max": as_double(F.col("cpu_max"))})
 
 
@@ -655,4 +665,6 @@ def sub_operations(spark: SparkSession, sf: str) -> DataFrame:
         end_at=Running("sum", F.col("size")),
         previous=Running("last", F.col("role"), inclusive=False),
     )
-    return out.select("conv_id", "turn", "role", (F.col("end_at") - F.col("size")).alias("start_at"), "end_at", "previous")
+    return out.select(
+        "conv_id", "turn", "role", (F.col("end_at") - F.col("size")).alias("start_at"), "end_at", "previous"
+    )

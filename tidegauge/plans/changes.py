@@ -68,9 +68,13 @@ def merge(spark: SparkSession, sf: str) -> DataFrame:
 def merge_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """Orders by month; the months of 2001 arrive again and only their partitions are rewritten."""
     path = work_path(spark, "monthly")
-    rows = table(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderkey", "o_orderstatus", "o_orderdate")
+    rows = table(spark, sf, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderkey", "o_orderstatus", "o_orderdate"
+    )
     V.overwrite_partitions(target_of(rows).drop("o_orderdate"), path, ["month"])
-    late = rows.filter(F.col("o_orderdate") >= F.expr("timestamp_ntz '2001-01-01'")).withColumn("o_orderstatus", F.lit("X")).drop("o_orderdate")
+    late = rows.filter(
+        F.col("o_orderdate") >= F.expr("timestamp_ntz '2001-01-01'")
+    ).withColumn("o_orderstatus", F.lit("X")).drop("o_orderdate")
     V.merge_partitions(spark, path, late, ["month", "o_orderkey"], "month")
     return spark.read.schema("o_orderkey bigint, o_orderstatus string, month string").parquet(path)
 
@@ -159,7 +163,9 @@ def snapshot_history(spark: SparkSession, sf: str) -> DataFrame:
     suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_acctbal")
     yesterday, today = (F.to_date(F.lit(d)) for d in ("2024-01-29", "2024-01-30"))
     empty = U.add_snapshot(
-        suppliers.limit(0).withColumns({"Snapshot_Date": today, "date_id": F.lit("")}), suppliers, yesterday, {"date_id": "s_suppkey"}
+        suppliers.limit(0).withColumns(
+            {"Snapshot_Date": today, "date_id": F.lit("")}
+        ), suppliers, yesterday, {"date_id": "s_suppkey"}
     )
     history = U.add_snapshot(empty, suppliers.withColumn("s_acctbal", F.lit(0.0)), today, {"date_id": "s_suppkey"})
     history = U.add_snapshot(history, suppliers, today, {"date_id": "s_suppkey"})  # replaces today's first snapshot
@@ -212,7 +218,9 @@ def apply_changes(spark: SparkSession, sf: str) -> DataFrame:
 def row_marker(spark: SparkSession, sf: str) -> DataFrame:
     code = F.when(F.col("o_orderstatus") == "F", "I").when(F.col("o_orderstatus") == "O", "U").otherwise("D")
     marker, soft = U.row_marker(code), U.row_marker(code, soft_delete=True)
-    return table(spark, sf, "orders").groupBy(marker.alias("marker"), soft.alias("soft")).agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, sf, "orders").groupBy(
+        marker.alias("marker"), soft.alias("soft")
+    ).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -224,7 +232,9 @@ def extracts(spark: SparkSession, sf: str) -> DataFrame:
     mark = orders.agg((F.max("o_orderkey") / 2).cast("bigint")).first()[0]  # one number: the stored high-water mark
     full = U.changes_since(orders, "o_orderkey", None).withColumn("extract", F.lit("full"))
     increment = U.changes_since(orders, "o_orderkey", mark).withColumn("extract", F.lit("increment"))
-    return full.unionByName(increment).groupBy("extract", F.col(U.MARKER).alias("marker")).agg(F.count(F.lit(1)).alias("n"))
+    return full.unionByName(increment).groupBy(
+        "extract", F.col(U.MARKER).alias("marker")
+    ).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

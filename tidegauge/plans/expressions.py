@@ -70,7 +70,9 @@ def activity_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.hour("ts").alias("CreationHour"),
         F.col("user_id").alias("UserId"),
         kind.alias("Activity"),
-        F.when(kind == "error", "Failed").when(kind == "view", "InProgress").when(kind == "purchase", "Succeeded").alias(
+        F.when(kind == "error", "Failed").when(kind == "view", "InProgress").when(
+            kind == "purchase", "Succeeded"
+        ).alias(
             "ResultStatus"
         ),
         F.when(kind == "click", 1).otherwise(0).alias("IsSuccess"),
@@ -228,7 +230,9 @@ def all_matches(spark: SparkSession, sf: str) -> DataFrame:
         CASE WHEN l_linenumber % 3 = 2 THEN 0 ELSE greatest(1, (l_suppkey * 100) // 1024) END AS est_kb FROM lineitem""",
 )
 def estimated_size(spark: SparkSession, sf: str) -> DataFrame:
-    size = F.format_string("select 1; Estimated size (volume, bytes): %s, %s", F.col("l_partkey"), F.col("l_suppkey") * 100)
+    size = F.format_string(
+        "select 1; Estimated size (volume, bytes): %s, %s", F.col("l_partkey"), F.col("l_suppkey") * 100
+    )
     rows = F.format_string("rows = %,d Bytes=%,d", F.col("l_partkey"), F.col("l_suppkey") * 100)
     kind = F.col("l_linenumber") % 3
     text = F.when(kind == 0, size).when(kind == 1, rows).otherwise("no estimate")
@@ -314,8 +318,12 @@ def type_mapping(spark: SparkSession, sf: str) -> DataFrame:
 def code_decode(spark: SparkSession, sf: str) -> DataFrame:
     known, unknown = C.split_known(table(spark, sf, "orders"), "o_orderstatus", list(C.PROPERTY_TYPES))
     code = F.col("o_orderstatus")
-    good = known.select(code.alias("code"), C.decode_strict(code, C.PROPERTY_TYPES).alias("meaning"), F.lit(False).alias("quarantined"))
-    bad = unknown.select(code.alias("code"), F.lit(None).cast("string").alias("meaning"), F.lit(True).alias("quarantined"))
+    good = known.select(
+        code.alias("code"), C.decode_strict(code, C.PROPERTY_TYPES).alias("meaning"), F.lit(False).alias("quarantined")
+    )
+    bad = unknown.select(
+        code.alias("code"), F.lit(None).cast("string").alias("meaning"), F.lit(True).alias("quarantined")
+    )
     return good.unionByName(bad).groupBy("code", "meaning", "quarantined").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -53,7 +53,12 @@ def upstream_edges(spark: SparkSession, sf: str) -> DataFrame:
         .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(F.broadcast(table(spark, sf, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(F.concat(F.lit("p"), "l_partkey").alias("i"), F.concat(F.lit("s"), "l_suppkey").alias("u"), "p_brand", "n_name")
+        .select(
+            F.concat(F.lit("p"), "l_partkey").alias("i"),
+            F.concat(F.lit("s"), "l_suppkey").alias("u"),
+            "p_brand",
+            "n_name",
+        )
     )
     return G.upstream_edges(flows, "i", "u", "p_brand", "n_name")
 
@@ -80,13 +85,22 @@ def factory(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     usage = uses.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("usage"))
 
     def node(df: DataFrame, kind: str, name, usage_col) -> DataFrame:
-        return df.select(F.lit(kind).alias("kind"), name.cast("string").alias("name"), usage_col.cast("bigint").alias("usage"))
+        return df.select(
+            F.lit(kind).alias("kind"), name.cast("string").alias("name"), usage_col.cast("bigint").alias("usage")
+        )
 
     nodes = (
         node(nation, "trigger", F.col("n_name"), F.lit(1))
-        .unionByName(node(supplier.filter(F.col("s_suppkey") % 9 != 0), "pipeline", F.col("s_suppkey"), F.col("s_nationkey") % 4))
         .unionByName(
-            node(part.join(usage, F.col("p_partkey") == F.col("l_partkey"), "left"), "dataset", F.col("p_partkey"), F.coalesce("usage", F.lit(0)))
+            node(supplier.filter(F.col("s_suppkey") % 9 != 0), "pipeline", F.col("s_suppkey"), F.col("s_nationkey") % 4)
+        )
+        .unionByName(
+            node(
+                part.join(usage, F.col("p_partkey") == F.col("l_partkey"), "left"),
+                "dataset",
+                F.col("p_partkey"),
+                F.coalesce("usage", F.lit(0)),
+            )
         )
         .unionByName(node(part.select("p_brand").distinct(), "linkedService", F.col("p_brand"), F.lit(7)))
     )
@@ -134,7 +148,9 @@ def graph_edges(spark: SparkSession, sf: str) -> DataFrame:
 def copy_lineage(spark: SparkSession, sf: str) -> DataFrame:
     def end(kind: str, container, tbl):
         settings = F.struct(
-            F.struct(container.alias("name")).alias("linkedService"), F.struct(tbl.alias("table")).alias("typeProperties")
+            F.struct(
+                container.alias("name")
+            ).alias("linkedService"), F.struct(tbl.alias("table")).alias("typeProperties")
         )
         return F.struct(F.lit(kind).alias("type"), settings.alias("datasetSettings"))
 
@@ -149,7 +165,11 @@ def copy_lineage(spark: SparkSession, sf: str) -> DataFrame:
             end("LakeSink", F.lit("lake"), F.col("p_type")).alias("sink"),
             F.struct(F.array(mapping("a"), mapping("b")).alias("mappings")).alias("translator"),
         )
-        return F.struct(F.concat(F.lit("copy"), "p_size").alias("name"), F.lit(kind).alias("type"), properties.alias("typeProperties"))
+        return F.struct(
+            F.concat(F.lit("copy"), "p_size").alias("name"),
+            F.lit(kind).alias("type"),
+            properties.alias("typeProperties"),
+        )
 
     body = F.struct(F.struct(F.array(activity("Lookup"), activity("Copy")).alias("activities")).alias("properties"))
     pipelines = table(spark, sf, "part").select("p_partkey", F.to_json(body).alias("definition"))
@@ -159,7 +179,7 @@ def copy_lineage(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "R6_effective_reads",
     """WITH cols AS (SELECT DISTINCT p_type AS tab, p_brand AS col FROM part)
-    SELECT 'u' || c_custkey AS principal, tab AS "table", col AS "column" FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN cols
+    SELECT 'u' || c_custkey AS principal, tab, col FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN cols
         ON (n_regionkey = 0 AND tab = 'ECONOMY') OR (n_regionkey = 1 AND tab = 'PROMO') OR (n_regionkey = 2 AND tab = 'SMALL')
     WHERE NOT (n_regionkey = 0 AND col = 'Brand#1') AND NOT (n_nationkey % 2 = 1 AND col IN ('Brand#2', 'Brand#3')) AND n_regionkey <> 2""",
 )
@@ -171,17 +191,28 @@ def effective_reads(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("u"), "c_custkey").alias("member"), F.concat(F.lit("g"), "c_nationkey").alias("parent")
     )
     members = users.unionByName(nation.select(group.alias("member"), role.alias("parent")))
-    columns = table(spark, sf, "part").select(F.col("p_type").alias("table"), F.col("p_brand").alias("column")).distinct()
-    role_table = F.when(F.col("n_regionkey") == 0, "ECONOMY").when(F.col("n_regionkey") == 1, "PROMO").when(F.col("n_regionkey") == 2, "SMALL")
-    grants = nation.select(role.alias("principal"), role_table.alias("table")).filter(F.col("table").isNotNull()).distinct()
-    odd = nation.filter(F.col("n_nationkey") % 2 == 1).select(group.alias("principal"), F.explode(F.array(F.lit("Brand#2"), F.lit("Brand#3"))).alias("column"))
+    columns = table(spark, sf, "part").select(
+        F.col("p_type").alias("table"), F.col("p_brand").alias("column")
+    ).distinct()
+    role_table = F.when(
+        F.col("n_regionkey") == 0, "ECONOMY"
+    ).when(F.col("n_regionkey") == 1, "PROMO").when(F.col("n_regionkey") == 2, "SMALL")
+    grants = nation.select(
+        role.alias("principal"), role_table.alias("table")
+    ).filter(F.col("table").isNotNull()).distinct()
+    odd = nation.filter(F.col("n_nationkey") % 2 == 1).select(
+        group.alias("principal"), F.explode(F.array(F.lit("Brand#2"), F.lit("Brand#3"))).alias("column")
+    )
     denies = (
         odd.join(columns, "column")
         .select("principal", "table", "column")
-        .unionByName(columns.filter(F.col("column") == "Brand#1").select(F.lit("r0").alias("principal"), "table", "column"))
+        .unionByName(
+            columns.filter(F.col("column") == "Brand#1").select(F.lit("r0").alias("principal"), "table", "column")
+        )
         .unionByName(columns.select(F.lit("r2").alias("principal"), "table", "column"))
     )
-    return G.effective_reads(members, grants, denies, columns).filter(F.col("principal").startswith("u"))
+    out = G.effective_reads(members, grants, denies, columns).filter(F.col("principal").startswith("u"))
+    return out.select("principal", F.col("table").alias("tab"), F.col("column").alias("col"))
 
 
 @query(

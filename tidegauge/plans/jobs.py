@@ -40,7 +40,9 @@ def load_test_logs(spark: SparkSession, sf: str) -> DataFrame:
     """Logs written per event type; starts carry fractions of a second, which the reader cuts off."""
     root = work_path(spark, "loadtests")
     started = F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm:ss.SSS")
-    log = table(spark, sf, "events").select("event_id", F.col("value").alias("duration"), started.alias("start_time_dt"), "event_type")
+    log = table(spark, sf, "events").select(
+        "event_id", F.col("value").alias("duration"), started.alias("start_time_dt"), "event_type"
+    )
     log.write.partitionBy("event_type").option("header", True).csv(root)
     rows = perf.read_load_test_logs(spark, f"{root}/*/*.csv", "event_id bigint, duration double, start_time_dt string")
     out = perf.with_second_statistics(rows, "start_time_dt", "duration")
@@ -83,7 +85,9 @@ def filtered_trace(spark: SparkSession, sf: str) -> DataFrame:
 def object_usage(spark: SparkSession, sf: str) -> DataFrame:
     words = table(spark, sf, "benchmark").select(F.explode(F.split("text", " ")).alias("w")).filter(F.length("w") > 9)
     docs = table(spark, sf, "documents")
-    members = docs.select("source").distinct().filter(F.col("source").isin("src1", "src2", "src3")).withColumn("user_group", F.lit("core"))
+    members = docs.select("source").distinct().filter(
+        F.col("source").isin("src1", "src2", "src3")
+    ).withColumn("user_group", F.lit("core"))
     hour = (F.col("n_chars") % 24).cast("int")
     return perf.object_usage(docs, "doc_id", "text", words, "w", hour, "source", members, "lang", "Others")
 
@@ -97,7 +101,9 @@ def cold_cache(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     probe = F.format_string("EVALUATE TOPN(1, 'part'[%s])", "p_brand")
     logs = lines.withColumn("text", F.when(F.col("l_returnflag") != "N", probe).otherwise("EVALUATE ROW(1)"))
-    return perf.cold_cache(logs, "text", r"'[^']+'\[([^\]]+)\]", F.col("l_linestatus") == "O", "l_quantity", "l_linenumber")
+    return perf.cold_cache(
+        logs, "text", r"'[^']+'\[([^\]]+)\]", F.col("l_linestatus") == "O", "l_quantity", "l_linenumber"
+    )
 
 
 COLUMN_OBJECTS = """c AS (SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'Order Date' WHEN 1 THEN 'month' WHEN 2 THEN 'City' WHEN 3 THEN ' Trailing' WHEN 4 THEN 'IsOpen' WHEN 5 THEN 'Done flag'
@@ -210,7 +216,9 @@ def violation_summary(spark: SparkSession, sf: str) -> DataFrame:
 def factory(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Customers as pipelines and their orders as activities."""
     customers = table(spark, sf, "customer")
-    kind = F.when(F.col("o_orderpriority") == "1-URGENT", "ExecutePipeline").when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority"))
+    kind = F.when(F.col("o_orderpriority") == "1-URGENT", "ExecutePipeline").when(
+        F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")
+    )
     activities = (
         table(spark, sf, "orders")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
@@ -253,7 +261,9 @@ def insights(spark: SparkSession, sf: str) -> DataFrame:
     usage = [lines.groupBy(c).agg(F.count(F.lit(1)).alias("usage")) for c in ("l_partkey", "l_suppkey")]
     none = table(spark, sf, "part").filter(F.col("p_size") > 1000)
     return profile.insights(
-        profile.activity_metrics(pipelines, activities), profile.activities_by_type(activities), *usage, table(spark, sf, "nation"), none
+        profile.activity_metrics(
+            pipelines, activities
+        ), profile.activities_by_type(activities), *usage, table(spark, sf, "nation"), none
     )
 
 
@@ -267,7 +277,9 @@ def insights(spark: SparkSession, sf: str) -> DataFrame:
 def model_sizes(spark: SparkSession, sf: str) -> DataFrame:
     flag = F.col("l_returnflag")
     table_id = (
-        F.when(flag == "A", "H$col").when(flag == "R", "U$hier").when(F.col("l_linestatus") == "F", "R$rel").otherwise("Orders")
+        F.when(flag == "A", "H$col").when(flag == "R", "U$hier").when(
+            F.col("l_linestatus") == "F", "R$rel"
+        ).otherwise("Orders")
     )
     segments = table(spark, sf, "lineitem").select(
         "l_suppkey",
@@ -296,7 +308,9 @@ def definitions(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderstatus").alias("ObjectName"),
         F.concat(F.lit("E"), (F.col("o_orderkey") % 3).cast("string")).alias("Expression"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("AsOfDate"),
-        F.concat_ws(" ", F.date_format("o_orderdate", "yyyy-MM-dd"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("AsOfDateTime"),
+        F.concat_ws(
+            " ", F.date_format("o_orderdate", "yyyy-MM-dd"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")
+        ).alias("AsOfDateTime"),
     )
 
 
@@ -375,20 +389,36 @@ def dim_user(spark: SparkSession, sf: str) -> DataFrame:
 def fact_query_count(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem")
     model, obj = F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string")
-    counts = lines.groupBy(model.alias("ModelUuid"), obj.alias("ModelObject"), F.col("l_returnflag").alias("ExecutingUserGroup")).agg(
+    counts = lines.groupBy(
+        model.alias("ModelUuid"), obj.alias("ModelObject"), F.col("l_returnflag").alias("ExecutingUserGroup")
+    ).agg(
         F.count(F.lit(1)).alias("QueryCount")
     )
     counts = counts.withColumns(
-        {"RunUuid": F.lit("r1"), "ObjectType": F.lit("MEASURE"), "ReportId": F.lit(None).cast("string"), "AsOfDate": F.lit("2024-01-30"), "AsOfHour": F.lit(1)}
+        {
+            "RunUuid": F.lit("r1"),
+            "ObjectType": F.lit("MEASURE"),
+            "ReportId": F.lit(None).cast("string"),
+            "AsOfDate": F.lit("2024-01-30"),
+            "AsOfHour": F.lit(1),
+        }
+    )
+    pairs = lines.select(
+        model.alias("ModelUuid"), obj.alias("ModelObject"), "l_partkey"
+    ).distinct().withColumn("RunUuid", F.lit("r1"))
+    mapping = pairs.select(
+        "ModelUuid", "RunUuid", "ModelObject", F.lit("t").alias("TableName"), F.col("ModelObject").alias("ObjectName")
     )
-    pairs = lines.select(model.alias("ModelUuid"), obj.alias("ModelObject"), "l_partkey").distinct().withColumn("RunUuid", F.lit("r1"))
-    mapping = pairs.select("ModelUuid", "RunUuid", "ModelObject", F.lit("t").alias("TableName"), F.col("ModelObject").alias("ObjectName"))
     refs = pairs.filter(F.col("l_partkey") > 0).select(
         "ModelUuid", "RunUuid", F.lit("t").alias("TableName"), F.col("ModelObject").alias("ObjectName"), F.lit("t").alias("ReferencedTableName"), F.shiftright("l_partkey", 1).cast("string").alias("ReferencedObjectName")
     )
     facts = audit.fact_query_count(counts, mapping, refs)
-    groups = lines.select("l_returnflag").distinct().select(F.col("l_returnflag").alias("g"), hash_key(F.lit("Masked"), F.col("l_returnflag")).alias("UserId"))
-    return facts.join(groups, "UserId").groupBy("ModelUuid", "ModelObjectId", "g", "DirectReferenceFlag").agg(F.sum("QueryCount").alias("QueryCount"))
+    groups = lines.select("l_returnflag").distinct().select(
+        F.col("l_returnflag").alias("g"), hash_key(F.lit("Masked"), F.col("l_returnflag")).alias("UserId")
+    )
+    return facts.join(groups, "UserId").groupBy(
+        "ModelUuid", "ModelObjectId", "g", "DirectReferenceFlag"
+    ).agg(F.sum("QueryCount").alias("QueryCount"))
 
 
 @query(
@@ -405,7 +435,13 @@ def fact_logs(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("all").alias("ExecutingUserGroup"),
     )
     out = audit.fact_logs(logs)
-    return out.select("OperationId", F.date_format("DateTime", "yyyy-MM-dd HH:mm:ss").alias("at"), "ReportUuid", "DurationMs", "UserId")
+    return out.select(
+        "OperationId",
+        F.date_format("DateTime", "yyyy-MM-dd HH:mm:ss").alias("at"),
+        "ReportUuid",
+        "DurationMs",
+        "UserId",
+    )
 
 
 @query(
@@ -415,10 +451,17 @@ def fact_logs(spark: SparkSession, sf: str) -> DataFrame:
 )
 def fact_statistics(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
-    keyed = {"ModelUuid": F.lit("m"), "TableName": F.col("p_type"), "ColumnName": F.col("p_brand"), "AsOfDate": F.lit("2024-01-30")}
+    keyed = {
+        "ModelUuid": F.lit("m"),
+        "TableName": F.col("p_type"),
+        "ColumnName": F.col("p_brand"),
+        "AsOfDate": F.lit("2024-01-30"),
+    }
     columns = part.withColumns(keyed).withColumn("IsResident", F.col("p_size") > 25)
     sizes = part.withColumns(keyed).withColumn("TotalSize", F.col("p_size"))
-    cold = table(spark, sf, "lineitem").join(part.filter(F.col("p_brand") != "Brand#1"), F.col("l_partkey") == F.col("p_partkey"))
+    cold = table(spark, sf, "lineitem").join(
+        part.filter(F.col("p_brand") != "Brand#1"), F.col("l_partkey") == F.col("p_partkey")
+    )
     cold = cold.withColumns(keyed).withColumns({"Duration": F.col("l_quantity"), "CpuTime": F.col("l_linenumber")})
     out = audit.fact_statistics(columns, sizes, cold)
     return out.select(
@@ -445,27 +488,44 @@ def scan(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("c_custkey").cast("string")
 
     def user(right: str, value):
-        return F.struct(F.concat(F.lit("u"), key).alias("identifier"), F.concat(F.lit("g"), key).alias("graphId"), value.alias(right))
+        return F.struct(
+            F.concat(F.lit("u"), key).alias("identifier"),
+            F.concat(F.lit("g"), key).alias("graphId"),
+            value.alias(right),
+        )
 
     def dataset(n: int):
-        id_ = F.when(F.lit(n == 1) & (F.col("c_custkey") % 4 == 0), F.lit(None).cast("string")).otherwise(F.concat(F.lit(f"d{n}-"), key))
+        id_ = F.when(
+            F.lit(n == 1) & (F.col("c_custkey") % 4 == 0), F.lit(None).cast("string")
+        ).otherwise(F.concat(F.lit(f"d{n}-"), key))
         return F.struct(
             id_.alias("id"),
             F.col("c_mktsegment").alias("name"),
             F.lit("2024-01-05T10:00:00").alias("createdDate"),
             F.lit("Abf").alias("targetStorageMode"),
             F.struct(F.lit("Promoted").alias("level")).alias("endorsement"),
-            F.array(user("datasetUserAccessRight" if n == 0 else "groupUserAccessRight", F.lit("Read") if n == 0 else F.lit("Admin"))).alias("users"),
+            F.array(
+                user(
+                    "datasetUserAccessRight" if n == 0 else "groupUserAccessRight",
+                    F.lit("Read") if n == 0 else F.lit("Admin"),
+                )
+            ).alias("users"),
         )
 
     def as_json(col):
         return F.to_json(col)
 
-    lake = F.struct(F.concat(F.lit("l-"), key).alias("id"), F.lit("lake").alias("displayName"), F.array(user("artifactUserAccessRight", F.lit("Write"))).alias("users"))
+    lake = F.struct(
+        F.concat(F.lit("l-"), key).alias("id"),
+        F.lit("lake").alias("displayName"),
+        F.array(user("artifactUserAccessRight", F.lit("Write"))).alias("users"),
+    )
     # The two datasets differ in their fields, so their JSON texts are joined instead of one array.
     datasets = F.concat(F.lit("["), as_json(dataset(0)), F.lit(","), as_json(dataset(1)), F.lit("]"))
     workspace = F.concat(
-        F.lit('{"workspaces":[{"id":"w'), key, F.lit('","name":"'), F.col("c_name"), F.lit('","datasets":'), datasets, F.lit(',"Lakehouse":['), as_json(lake), F.lit("]}]}")
+        F.lit(
+            '{"workspaces":[{"id":"w'
+        ), key, F.lit('","name":"'), F.col("c_name"), F.lit('","datasets":'), datasets, F.lit(',"Lakehouse":['), as_json(lake), F.lit("]}]}")
     )
     path = work_path(spark, "scan")
     table(spark, sf, "customer").select(workspace.alias("value")).write.text(path)
@@ -475,7 +535,7 @@ def scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "Q13_inventory",
-    """SELECT 'w' || c_custkey AS "WorkspaceId", 'D0-' || c_custkey AS "DatasetId", c_mktsegment AS "Name", '2024-01-05' AS "CreatedDate", 'Promoted' AS "endorsement.level" FROM customer
+    """SELECT 'w' || c_custkey AS "WorkspaceId", 'D0-' || c_custkey AS "DatasetId", c_mktsegment AS "Name", '2024-01-05' AS "CreatedDate", 'Promoted' AS endorsement_level FROM customer
     UNION ALL SELECT 'w' || c_custkey, 'D1-' || c_custkey, c_mktsegment, '2024-01-05', 'Promoted' FROM customer WHERE c_custkey % 4 <> 0""",
 )
 def inventory(spark: SparkSession, sf: str) -> DataFrame:
@@ -483,12 +543,14 @@ def inventory(spark: SparkSession, sf: str) -> DataFrame:
         scan(spark, sf),
         "WorkspaceId",
         "datasets",
-        rename={"id": "DatasetId", "name": "Name", "createdDate": "CreatedDateTime", "targetStorageMode": "StorageMode"},
+        rename={
+            "id": "DatasetId", "name": "Name", "createdDate": "CreatedDateTime", "targetStorageMode": "StorageMode"
+        },
         upper=["DatasetId"],
         drop=["users"],
         dates={"CreatedDate": "CreatedDateTime"},
     )
-    return rows.select("WorkspaceId", "DatasetId", "Name", "CreatedDate", "`endorsement.level`")
+    return rows.select("WorkspaceId", "DatasetId", "Name", "CreatedDate", F.col("`endorsement.level`").alias("endorsement_level"))
 
 
 @query(
@@ -524,7 +586,12 @@ def refresh_tables(spark: SparkSession, sf: str) -> DataFrame:
         return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
     days = F.when(size % 2 == 0, F.array(F.lit("Mon"), F.lit("Fri"))).otherwise(F.array(F.lit("Mon")))
-    schedule = F.struct(F.lit(True).alias("enabled"), days.alias("days"), F.array(F.lit("06:00")).alias("times"), F.lit("UTC").alias("localTimeZoneId"))
+    schedule = F.struct(
+        F.lit(True).alias("enabled"),
+        days.alias("days"),
+        F.array(F.lit("06:00")).alias("times"),
+        F.lit("UTC").alias("localTimeZoneId"),
+    )
     refresh = F.when(
         F.col("p_partkey") % 3 != 0,
         F.struct(
@@ -557,7 +624,9 @@ def refresh_tables(spark: SparkSession, sf: str) -> DataFrame:
     out = None
     for name, df in telemetry.refresh_tables(rows).items():
         total = F.sum(measure[name]) if name in measure else F.lit(0).cast("bigint")
-        part = df.agg(F.count(F.lit(1)).alias("n"), total.alias("total")).select(F.lit(name).alias("part"), "n", "total")
+        part = df.agg(
+            F.count(F.lit(1)).alias("n"), total.alias("total")
+        ).select(F.lit(name).alias("part"), "n", "total")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -575,7 +644,9 @@ def refresh_tables(spark: SparkSession, sf: str) -> DataFrame:
 def billing_gold(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     part = table(spark, sf, "part")
-    details = F.when(F.col("l_tax") == 0.08, F.to_json(F.struct(F.lit("Capacity Pause/Delete Surcharge").alias("BillingType"))))
+    details = F.when(
+        F.col("l_tax") == 0.08, F.to_json(F.struct(F.lit("Capacity Pause/Delete Surcharge").alias("BillingType")))
+    )
     focus = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.when(F.col("l_linestatus") == "O", "Lake").otherwise("Other").alias("ServiceName"),
         F.date_format(F.trunc(F.to_date("o_orderdate"), "month"), "yyyy-MM-dd").alias("BillingPeriodStart"),
@@ -604,16 +675,28 @@ def flattening(spark: SparkSession, sf: str) -> DataFrame:
     """Settings with their security groups, and the admins and users of capacities."""
     nation = table(spark, sf, "nation")
     member = F.struct(F.concat(F.lit("g"), "c_custkey").alias("graphId"), F.col("c_name").alias("name"))
-    even = nation.filter(F.col("n_nationkey") % 2 == 0).join(table(spark, sf, "customer"), F.col("c_nationkey") == F.col("n_nationkey"))
+    even = nation.filter(F.col("n_nationkey") % 2 == 0).join(
+        table(spark, sf, "customer"), F.col("c_nationkey") == F.col("n_nationkey")
+    )
     # One single-group setting row per member: flattening must not depend on one huge array.
-    grouped = even.select(F.concat(F.lit("s"), "n_nationkey").alias("settingName"), F.array(member).alias("enabledSecurityGroups"))
+    grouped = even.select(
+        F.concat(F.lit("s"), "n_nationkey").alias("settingName"), F.array(member).alias("enabledSecurityGroups")
+    )
     alone = nation.filter(F.col("n_nationkey") % 2 == 1).select(
-        F.concat(F.lit("s"), "n_nationkey").alias("settingName"), F.array().cast("array<struct<graphId:string,name:string>>").alias("enabledSecurityGroups")
+        F.concat(F.lit("s"), "n_nationkey").alias("settingName"), F.array().cast(
+            "array<struct<graphId:string,name:string>>"
+        ).alias("enabledSecurityGroups")
     )
     settings = grouped.unionByName(alone).withColumns({"title": F.lit("t"), "enabled": F.lit(True)})
     capacities = table(spark, sf, "supplier").select(
-        F.col("s_suppkey").cast("string").alias("Id"), F.array("s_name").alias("admins"), F.array(F.concat(F.lit("n"), "s_nationkey")).alias("users")
+        F.col("s_suppkey").cast("string").alias("Id"), F.array("s_name").alias("admins"), F.array(
+            F.concat(F.lit("n"), "s_nationkey")
+        ).alias("users")
+    )
+    flat = telemetry.settings_rows(settings).select(
+        F.lit("setting").alias("part"), F.col("settingName").alias("id"), F.col("GroupId").alias("who")
+    )
+    people = telemetry.capacity_people(capacities).select(
+        F.col("Role").alias("part"), F.col("CapacityId").alias("id"), F.col("Principal").alias("who")
     )
-    flat = telemetry.settings_rows(settings).select(F.lit("setting").alias("part"), F.col("settingName").alias("id"), F.col("GroupId").alias("who"))
-    people = telemetry.capacity_people(capacities).select(F.col("Role").alias("part"), F.col("CapacityId").alias("id"), F.col("Principal").alias("who"))
     return flat.unionByName(people)

@@ -29,7 +29,9 @@ def activities(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderstatus",
         F.to_date("o_orderdate").alias("CreationDate"),
         F.when(F.col("o_custkey") % 50 != 0, F.col("o_custkey")).alias("UserId"),
-        F.when(kind == "1-URGENT", activity.VIEW).when(kind == "2-HIGH", activity.REFRESH).otherwise(kind).alias("Activity"),
+        F.when(kind == "1-URGENT", activity.VIEW).when(
+            kind == "2-HIGH", activity.REFRESH
+        ).otherwise(kind).alias("Activity"),
         (F.col("o_orderkey") % 500).alias("ReportId"),
         (F.col("o_orderkey") % 20).alias("ItemId"),
     )
@@ -162,7 +164,9 @@ def timepoints(spark: SparkSession, sf: str) -> DataFrame:
 )
 def item_counts(spark: SparkSession, sf: str) -> DataFrame:
     deleted = F.when(F.col("p_size") % 5 == 0, True).when(F.col("p_size") % 5 == 1, False)
-    items = table(spark, sf, "part").select("p_brand", F.col("p_partkey").alias("id"), F.col("p_type").alias("type"), deleted.alias("deleted"))
+    items = table(spark, sf, "part").select(
+        "p_brand", F.col("p_partkey").alias("id"), F.col("p_type").alias("type"), deleted.alias("deleted")
+    )
     return inventory.item_counts(items, ["p_brand"], ["PROMO", "SMALL"])
 
 
@@ -188,7 +192,9 @@ def settings(spark: SparkSession, sf: str) -> DataFrame:
 def accesses(spark: SparkSession, sf: str) -> DataFrame:
     flag = F.col("l_returnflag")
     kind = F.when(flag == "A", "User").when(flag == "N", "App").otherwise("Group")
-    rows = table(spark, sf, "lineitem").select("l_suppkey", F.col("l_partkey").alias("GraphId"), kind.alias("PrincipalType"))
+    rows = table(spark, sf, "lineitem").select(
+        "l_suppkey", F.col("l_partkey").alias("GraphId"), kind.alias("PrincipalType")
+    )
     return inventory.accesses(rows, ["l_suppkey"])
 
 
@@ -202,7 +208,11 @@ def accesses(spark: SparkSession, sf: str) -> DataFrame:
 def refreshables(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
     days = F.when(F.col("p_size") % 2 == 0, F.array(F.lit("Mon"), F.lit("Fri"))).otherwise(F.array(F.lit("Mon")))
-    items = part.select(days.alias("days"), F.array(F.lit("06:00"), F.lit("18:00")).alias("times"), (F.col("p_size") > 10).alias("IsRefreshEnabled"))
+    items = part.select(
+        days.alias("days"),
+        F.array(F.lit("06:00"), F.lit("18:00")).alias("times"),
+        (F.col("p_size") > 10).alias("IsRefreshEnabled"),
+    )
     summaries = part.select(
         F.col("p_size").alias("RefreshCount"),
         F.col("p_size").alias("RefreshAverageDuration"),
@@ -216,7 +226,10 @@ def refreshables(spark: SparkSession, sf: str) -> DataFrame:
 
 SEVERITY = "CASE l_returnflag WHEN 'A' THEN 'Error' WHEN 'N' THEN 'Warning' ELSE 'Info' END"
 IMPACT = "CASE WHEN l_linenumber % 3 = 0 THEN 'Background' WHEN l_linenumber % 3 = 1 THEN 'Query' ELSE 'Usability' END"
-CASES = {**{f"n_{s}": f"sev = '{s}'" for s in ("Error", "Warning", "Info")}, **{f"n_{i}": f"imp = '{i}'" for i in ("Background", "Query", "Usability")}}
+CASES = {
+    **{f"n_{s}": f"sev = '{s}'" for s in ("Error", "Warning", "Info")},
+    **{f"n_{i}": f"imp = '{i}'" for i in ("Background", "Query", "Usability")},
+}
 
 
 @query(
@@ -230,7 +243,9 @@ def analyzer_runs(spark: SparkSession, sf: str) -> DataFrame:
         "l_suppkey",
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("RunId"),
         F.when(flag == "A", "Error").when(flag == "N", "Warning").otherwise("Info").alias("severity"),
-        F.when(third == 0, "Background Operation").when(third == 1, "Query Operation").otherwise("Usability").alias("impact"),
+        F.when(
+            third == 0, "Background Operation"
+        ).when(third == 1, "Query Operation").otherwise("Usability").alias("impact"),
     )
     return inventory.analyzer_runs(rows, ["l_suppkey"])
 
@@ -241,7 +256,9 @@ def analyzer_runs(spark: SparkSession, sf: str) -> DataFrame:
 )
 def table_sizes(spark: SparkSession, sf: str) -> DataFrame:
     n = F.col("n_chars")
-    rows = table(spark, sf, "documents").select("lang", n.alias("DataSize"), (n * 2).alias("TotalSize"), n.alias("UserHierarchySize"), F.lit(1).alias("Rows"))
+    rows = table(spark, sf, "documents").select(
+        "lang", n.alias("DataSize"), (n * 2).alias("TotalSize"), n.alias("UserHierarchySize"), F.lit(1).alias("Rows")
+    )
     return inventory.table_sizes(rows, ["lang"], "kilobytes")
 
 
@@ -294,7 +311,9 @@ def gateway_queries(spark: SparkSession, sf: str) -> DataFrame:
 def gateway_counters(spark: SparkSession, sf: str) -> DataFrame:
     flag = F.col("l_returnflag")
     name = F.when(flag == "A", "SystemCPUPercent").when(flag == "N", "GatewayCPUPercent").otherwise("GatewayMEMKb")
-    rows = table(spark, sf, "lineitem").select("l_suppkey", name.alias("CounterName"), F.col("l_linenumber").alias("Average"))
+    rows = table(spark, sf, "lineitem").select(
+        "l_suppkey", name.alias("CounterName"), F.col("l_linenumber").alias("Average")
+    )
     wanted = {n: requests.COUNTERS[n] for n in ("SystemCPUPercent", "GatewayCPUPercent", "GatewayMEMKb")}
     return requests.gateway_counters(rows, ["l_suppkey"], cores=4, kb_per_unit=1024, counters=wanted)
 
@@ -327,7 +346,11 @@ def model_health(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
     broken = (F.col("p_size") == 50) & (F.col("p_type") == "PROMO")
     columns = part.select("p_brand", F.when(broken, "bad").alias("error"), F.lit("Ready").alias("state"))
-    partitions = part.select("p_brand", F.lit(None).cast("string").alias("error"), F.when(F.col("p_size") == 49, "NoData").otherwise("Ready").alias("state"))
+    partitions = part.select(
+        "p_brand",
+        F.lit(None).cast("string").alias("error"),
+        F.when(F.col("p_size") == 49, "NoData").otherwise("Ready").alias("state"),
+    )
     return metadata.health({"Columns": columns, "Partitions": partitions}, ["p_brand"])
 
 
@@ -345,7 +368,9 @@ def documented(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT l_returnflag, count(DISTINCT l_partkey) AS "Objects", count(DISTINCT l_suppkey) AS "Referenced" FROM lineitem GROUP BY 1""",
 )
 def dependencies(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "lineitem").select("l_returnflag", F.col("l_partkey").alias("OBJECT"), F.col("l_suppkey").alias("REFERENCED_OBJECT"))
+    rows = table(spark, sf, "lineitem").select(
+        "l_returnflag", F.col("l_partkey").alias("OBJECT"), F.col("l_suppkey").alias("REFERENCED_OBJECT")
+    )
     return metadata.dependencies(rows, ["l_returnflag"])
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.functions import columns as C
 from tidegauge.functions.money import as_double, money, net_price
 from tidegauge.operators import intervals as I
 from tidegauge.operators import joins as J
@@ -35,7 +34,9 @@ def event_intervals(spark: SparkSession, sf: str) -> DataFrame:
 )
 def dimension_lookup(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
-    dim = part.filter(F.col("p_type") != "PROMO").groupBy(F.initcap("p_type").alias("name")).agg(F.min("p_brand").alias("seg"))
+    dim = part.filter(F.col("p_type") != "PROMO").groupBy(
+        F.initcap("p_type").alias("name")
+    ).agg(F.min("p_brand").alias("seg"))
     found = J.lookup(part, dim, F.upper("p_type"), "name", "seg")
     return found.groupBy(F.col("p_type").alias("kind"), F.coalesce("seg", F.lit("none")).alias("seg")).agg(
         F.count(F.lit(1)).alias("n")
@@ -70,9 +71,14 @@ def latest_with_ties(spark: SparkSession, sf: str) -> DataFrame:
     return J.latest_rows(table(spark, sf, "orders"), ["o_custkey"], "o_orderdate").select("o_custkey", "o_orderkey")
 
 
-@query("J4_suffix_join", "SELECT s_suppkey AS old_key, s_suppkey + 1000000 AS new_key FROM supplier WHERE s_suppkey % 3 <> 0")
+@query(
+    "J4_suffix_join",
+    "SELECT s_suppkey AS old_key, s_suppkey + 1000000 AS new_key FROM supplier WHERE s_suppkey % 3 <> 0",
+)
 def suffix_join(spark: SparkSession, sf: str) -> DataFrame:
-    old = table(spark, sf, "supplier").select("s_name", F.col("s_suppkey").alias("old_key"), F.lit("Lake").alias("kind"))
+    old = table(spark, sf, "supplier").select(
+        "s_name", F.col("s_suppkey").alias("old_key"), F.lit("Lake").alias("kind")
+    )
     new = table(spark, sf, "supplier").select(
         F.concat("s_name", F.lit("_recovered")).alias("copy_name"),
         (F.col("s_suppkey") + 1000000).alias("new_key"),
@@ -92,7 +98,10 @@ def rewrite_references(spark: SparkSession, sf: str) -> DataFrame:
     mapping = (
         table(spark, sf, "customer")
         .filter(F.col("c_custkey") % 2 == 0)
-        .select(F.col("c_custkey").cast("string").alias("old_id"), (F.col("c_custkey") + 500000).cast("string").alias("new_id"))
+        .select(
+            F.col("c_custkey").cast("string").alias("old_id"),
+            (F.col("c_custkey") + 500000).cast("string").alias("new_id"),
+        )
     )
     out = J.rewrite_references(items, "refs", mapping, "old_id", "new_id", "o_orderkey")
     return out.withColumn("refs", F.array_join("refs", ","))
@@ -308,7 +317,9 @@ def object_statistics(spark: SparkSession, sf: str) -> DataFrame:
 )
 def lineage_links(spark: SparkSession, sf: str) -> DataFrame:
     flows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    sources = table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("source_name"), (F.col("p_size") % 25).alias("container"))
+    sources = table(spark, sf, "part").select(
+        "p_partkey", F.col("p_name").alias("source_name"), (F.col("p_size") % 25).alias("container")
+    )
     sinks = table(spark, sf, "supplier").select("s_suppkey", F.col("s_name").alias("sink_name"), "s_nationkey")
     return (
         flows.join(sources, F.col("l_partkey") == F.col("p_partkey"))
@@ -373,7 +384,9 @@ def row_sequence_per_group(spark: SparkSession, sf: str) -> DataFrame:
 def deleted_flag(spark: SparkSession, sf: str) -> DataFrame:
     newest = table(spark, sf, "orders").agg(F.max("o_orderdate").alias("d"))
     per_key = table(spark, sf, "orders").groupBy("o_custkey").agg(F.max("o_orderdate").alias("d"))
-    return per_key.select("o_custkey", F.when(F.col("d") == newest.scalar(), "False").otherwise("True").alias("deleted"))
+    return per_key.select(
+        "o_custkey", F.when(F.col("d") == newest.scalar(), "False").otherwise("True").alias("deleted")
+    )
 
 
 @query(
@@ -468,7 +481,9 @@ def latest_name(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("L1_sort", "SELECT s_suppkey, s_name, s_acctbal FROM supplier ORDER BY s_acctbal DESC, s_name")
 def sort(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal").orderBy(F.desc("s_acctbal"), "s_name")
+    return table(spark, sf, "supplier").select(
+        "s_suppkey", "s_name", "s_acctbal"
+    ).orderBy(F.desc("s_acctbal"), "s_name")
 
 
 @query("L2_top_k", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
@@ -510,7 +525,9 @@ def largest_contributor(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events")
     per_user = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     per_type = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    top = per_user.agg(F.max_by("user_id", F.struct("n", -F.col("user_id"))).alias("top_user"), F.max("n").alias("top_count"))
+    top = per_user.agg(
+        F.max_by("user_id", F.struct("n", -F.col("user_id"))).alias("top_user"), F.max("n").alias("top_count")
+    )
     dominant = per_type.orderBy(F.desc("n"), "event_type").limit(1).select(F.col("event_type"))
     share = per_type.agg((F.max("n") * F.lit(100.0) / F.sum("n")).alias("p"))
     return top.withColumns({"dominant_type": dominant.scalar(), "dominant_percent": share.scalar()})
@@ -571,7 +588,9 @@ def result_equivalence(spark: SparkSession, sf: str) -> DataFrame:
     return S.tagged_union("pair", same=S.equivalence(orders, shuffled), changed=S.equivalence(orders, changed))
 
 
-@query("UE_content_signature", "SELECT count(*) AS row_count, true AS unchanged, false AS same_after_edit FROM customer")
+@query(
+    "UE_content_signature", "SELECT count(*) AS row_count, true AS unchanged, false AS same_after_edit FROM customer"
+)
 def content_signature(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer")
     edited = customers.withColumn("c_acctbal", F.when(F.col("c_custkey") == 0, 0.0).otherwise(F.col("c_acctbal")))

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.functions.money import as_double, money, net_price
-from tidegauge.plans.aggregations import billing_rows
+from tidegauge.functions.money import as_double, money
+from tidegauge.operators.merge import changes_since
 from tidegauge.registry import query
 from tidegauge.session import table, work_path
 from tidegauge.sources import billing, databases, delimited, files, json_drop, metadata
@@ -55,7 +55,9 @@ def fallback_field(spark: SparkSession, sf: str) -> DataFrame:
     record = F.struct(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("name"))
     path = write_pages(spark, table(spark, sf, "customer"), "c_custkey", record, "value", "overrides")
     schema = "value array<struct<id:bigint,name:string>>"
-    return json_drop.read_json_drop(spark, path, "Overrides", "tenantSettings", "value", schema=schema, multi_line=False)
+    return json_drop.read_json_drop(
+        spark, path, "Overrides", "tenantSettings", "value", schema=schema, multi_line=False
+    )
 
 
 @query(
@@ -80,7 +82,9 @@ def billing_period(spark: SparkSession, sf: str) -> DataFrame:
     start = F.trunc(F.to_date("o_orderdate"), "month")
     folder = F.concat_ws("-", F.date_format(start, "yyyyMMdd"), F.date_format(F.last_day(start), "yyyyMMdd"))
     exported = table(spark, sf, "orders").select(
-        start.alias("BillingPeriodStart"), F.col("o_totalprice").alias("EffectiveCost"), folder.alias("period"), F.lit("run").alias("export")
+        start.alias(
+            "BillingPeriodStart"
+        ), F.col("o_totalprice").alias("EffectiveCost"), folder.alias("period"), F.lit("run").alias("export")
     )
     exported.write.partitionBy("period", "export").parquet(root)
     rows = billing.read_billing_period(spark, root, dt.date(2000, 5, 1), -3, 0, layout="period={period}/*/*.parquet")
@@ -110,9 +114,15 @@ def load_with_rejects(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "load")
     broken = (F.col("l_returnflag") == "R") & (F.col("l_tax") == 0)
     quantity = F.when(broken, F.lit("many")).otherwise(F.col("l_quantity").cast("string"))
-    table(spark, sf, "lineitem").select("l_orderkey", quantity.alias("q"), "l_returnflag").write.option("sep", "|").csv(path)
+    table(spark, sf, "lineitem").select(
+        "l_orderkey", quantity.alias("q"), "l_returnflag"
+    ).write.option("sep", "|").csv(path)
     schema = T.StructType(
-        [T.StructField("l_orderkey", T.LongType()), T.StructField("q", T.DoubleType()), T.StructField("flag", T.StringType())]
+        [
+            T.StructField("l_orderkey", T.LongType()),
+            T.StructField("q", T.DoubleType()),
+            T.StructField("flag", T.StringType()),
+        ]
     )
     good, bad = delimited.load_with_rejects(spark, path, schema, work_path(spark, "loaded"))
     counts = good.select(F.lit("good").alias("part"), F.col("l_orderkey").alias("k")).unionByName(
@@ -194,6 +204,23 @@ def bad_records(spark: SparkSession, sf: str) -> DataFrame:
     return found.filter(F.col("line") > 1).groupBy("DataSource").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "S10_snapshot",
+    "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 0 AS marker FROM customer",
+)
+def snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole source table as a first change set, every row an insert.
+
+    The source is read from files here; ``databases.read_snapshot`` reads the same rows from a
+    database in parallel ranges.
+    """
+    folder = K.create_landing_table(spark, work_path(spark, "landing"), "crm", "customer", ["c_custkey"])
+    source = table(spark, sf, "customer")
+    K.write_change_files(changes_since(source, "c_custkey", None), folder)
+    rows = K.read_change_files(spark, folder)
+    return rows.select(*source.columns, F.col(K.MARKER).alias("marker"))
+
+
 @query(
     "S11_incremental_read",
     """SELECT 'batch' AS part, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'
@@ -219,7 +246,9 @@ def incremental_read(spark: SparkSession, sf: str) -> DataFrame:
 def units(spark: SparkSession, sf: str) -> DataFrame:
     """Sizes in every unit of the static unit table, attached without a join."""
     totals = table(spark, sf, "documents").groupBy("source").agg(F.sum("n_chars").alias("n"))
-    return metadata.with_units(totals, "size").select("source", "unit", (F.col("n") / F.col("unit_value")).alias("size"))
+    return metadata.with_units(totals, "size").select(
+        "source", "unit", (F.col("n") / F.col("unit_value")).alias("size")
+    )
 
 
 @query(
@@ -227,8 +256,12 @@ def units(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT CAST(c_custkey AS VARCHAR) AS "Key", c_mktsegment AS "Segment" FROM customer""",
 )
 def list_records(spark: SparkSession, sf: str) -> DataFrame:
-    fields = F.struct(F.col("c_custkey").alias("Key"), F.col("c_mktsegment").alias("Segment"), F.col("c_acctbal").alias("Balance"))
-    path = write_pages(spark, table(spark, sf, "customer"), "c_custkey", F.struct(fields.alias("fields")), "value", "lists")
+    fields = F.struct(
+        F.col("c_custkey").alias("Key"), F.col("c_mktsegment").alias("Segment"), F.col("c_acctbal").alias("Balance")
+    )
+    path = write_pages(
+        spark, table(spark, sf, "customer"), "c_custkey", F.struct(fields.alias("fields")), "value", "lists"
+    )
     docs = json_drop.read_documents(spark, path, multi_line=False)
     return json_drop.list_records(docs, columns=["Key", "Segment"])
 
@@ -304,7 +337,9 @@ def replace_table(spark: SparkSession, sf: str) -> DataFrame:
 def clean_names(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "clean")
     at = F.to_timestamp(F.lit("2024-01-30 00:00:00"))
-    messy = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("supp key"), F.col("s_name").alias("{name}.v2;"))
+    messy = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("supp key"), F.col("s_name").alias("{name}.v2;")
+    )
     V.save_sanitised(messy, path, at)
     V.save_sanitised(messy.limit(0), path, at)
     out = spark.read.parquet(path)
@@ -326,10 +361,17 @@ def ensure_table(spark: SparkSession, sf: str) -> DataFrame:
 )
 def schema_sync(spark: SparkSession, sf: str) -> DataFrame:
     supplier = table(spark, sf, "supplier")
-    rows = [("supplier", "s_name", "string"), ("supplier", "s_rating", "bigint"), ("supplier", "s_note", "string"), ("supplier", "s_more", "struct<a:int>")]
+    rows = [
+        ("supplier", "s_name", "string"),
+        ("supplier", "s_rating", "bigint"),
+        ("supplier", "s_note", "string"),
+        ("supplier", "s_more", "struct<a:int>"),
+    ]
     definition = spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
     existing = metadata.column_metadata(spark, {"supplier": supplier})
-    added = {r["column_name"]: r["data_type"] for r in V.missing_columns(definition, existing).collect()}  # a few column names
+    added = {
+        r["column_name"]: r["data_type"] for r in V.missing_columns(definition, existing).collect()
+    }  # a few column names
     root = work_path(spark, "synced")
     V.write_version(V.with_columns(supplier, added), root)
     return V.read_current(spark, root)
@@ -378,7 +420,9 @@ def change_files(spark: SparkSession, sf: str) -> DataFrame:
     files = rows.agg((F.count_distinct("_file") == F.max("_file")).alias("ok"))
     expected = F.create_map(*[x for s, n in last.items() for x in (F.lit(s), F.lit(n))])
     return rows.groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("n"), (F.max("_file") == F.element_at(expected, F.col("o_orderstatus"))).alias("in_sequence")
+        F.count(F.lit(1)).alias("n"), (
+            F.max("_file") == F.element_at(expected, F.col("o_orderstatus"))
+        ).alias("in_sequence")
     ).withColumn("gapless", files.scalar())
 
 
@@ -406,7 +450,9 @@ def backups(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy(F.col("backup_date").cast("string").alias("backup_date")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("K12_compaction", "SELECT count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys, true AS fewer_files FROM lineitem")
+@query(
+    "K12_compaction", "SELECT count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys, true AS fewer_files FROM lineitem"
+)
 def compaction(spark: SparkSession, sf: str) -> DataFrame:
     loose, tight = work_path(spark, "loose"), work_path(spark, "tight")
     table(spark, sf, "lineitem").repartition(24).write.parquet(loose)
@@ -427,7 +473,9 @@ def copy_tables(spark: SparkSession, sf: str) -> DataFrame:
     pairs = {n: (f"{sf}/{n}.parquet", f"{target}/{n}") for n in ("customer", "orders")}
     K.copy_tables(spark, pairs)
     return K.reconcile(
-        {n: spark.read.parquet(s) for n, (s, _) in pairs.items()}, {n: spark.read.parquet(t) for n, (_, t) in pairs.items()}
+        {
+            n: spark.read.parquet(s) for n, (s, _) in pairs.items()
+        }, {n: spark.read.parquet(t) for n, (_, t) in pairs.items()}
     )
 
 
@@ -465,7 +513,9 @@ def batched_copy(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT lower(c_mktsegment) AS segment, count(*) AS n FROM customer WHERE lower(c_mktsegment) IN ('building', 'machinery') GROUP BY 1",
 )
 def insensitive_view(spark: SparkSession, sf: str) -> DataFrame:
-    spelled = F.when(F.col("c_custkey") % 2 == 0, F.lower("c_mktsegment")).otherwise(F.regexp_replace("c_mktsegment", "I", "Í"))
+    spelled = F.when(
+        F.col("c_custkey") % 2 == 0, F.lower("c_mktsegment")
+    ).otherwise(F.regexp_replace("c_mktsegment", "I", "Í"))
     view = V.insensitive(table(spark, sf, "customer").select("c_custkey", spelled.alias("c_mktsegment")))
     chosen = view.filter(F.col("c_mktsegment").isin("Building", "Machinery"))
     per = chosen.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))

@@ -32,7 +32,9 @@ def ingest(spark: SparkSession, sf: str) -> DataFrame:
     out = work_path(spark, "ingested")
     X.ingest(X.drop_stream(spark, drop(spark, sf), "json", EVENTS), out, work_path(spark, "checkpoint"))
     return spark.read.parquet(out).groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.date_format(F.min("ts"), "yyyy-MM-dd HH:mm:ss").alias("first_at")
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.date_format(
+            F.min("ts"), "yyyy-MM-dd HH:mm:ss"
+        ).alias("first_at")
     )
 
 
@@ -105,16 +107,23 @@ def running_operations(spark: SparkSession, sf: str) -> DataFrame:
     path, root = work_path(spark, "operations"), work_path(spark, "open")
     events = table(spark, sf, "events")
     kept = ["user_id", "application"]
-    begins = events.select("event_id", "user_id", F.col("event_type").alias("application"), F.lit("begin").alias("phase"), "ts")
+    begins = events.select(
+        "event_id", "user_id", F.col("event_type").alias("application"), F.lit("begin").alias("phase"), "ts"
+    )
     ended = F.col("ts") + F.expr("interval 1 minute")
     ends = events.filter(F.col("event_id") % 4 != 0).select(
         "event_id", F.lit(None).cast("bigint").alias("user_id"), F.lit(None).cast("string").alias("application"), F.lit("end").alias("phase"), ended.alias("ts")
     )
     schema = "event_id bigint, user_id bigint, application string, phase string, ts timestamp_ntz"
     checkpoint = work_path(spark, "checkpoint")
-    for part in (begins.unionByName(ends.filter(F.col("ts") < F.expr("timestamp_ntz '2024-01-15'"))), ends.filter(F.col("ts") >= F.expr("timestamp_ntz '2024-01-15'"))):
+    for part in (
+        begins.unionByName(ends.filter(F.col("ts") < F.expr("timestamp_ntz '2024-01-15'"))),
+        ends.filter(F.col("ts") >= F.expr("timestamp_ntz '2024-01-15'")),
+    ):
         part.write.mode("append").parquet(path)
-        X.run_available(X.drop_stream(spark, path, "parquet", schema, "*.parquet"), checkpoint, X.track_open(root, "event_id", kept))
+        X.run_available(
+            X.drop_stream(spark, path, "parquet", schema, "*.parquet"), checkpoint, X.track_open(root, "event_id", kept)
+        )
     return X.open_operations(read_current(spark, root), kept)
 
 
@@ -131,7 +140,9 @@ def status_over_time(spark: SparkSession, sf: str) -> DataFrame:
     out = work_path(spark, "status")
     stream = X.drop_stream(spark, drop(spark, sf, "parquet"), "parquet", EVENTS, "*.parquet")
     X.ingest(X.status_over_time(stream, "ts", status, "1 hour", 60), out, work_path(spark, "checkpoint"))
-    return spark.read.parquet(out).select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "status", "operations")
+    return spark.read.parquet(out).select(
+        F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "status", "operations"
+    )
 
 
 @query("X8_unchanged_snapshots")
@@ -143,6 +154,12 @@ def unchanged_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     for first, last in (("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2024-02-01")):
         within = (F.col("ts") >= F.expr(f"timestamp_ntz '{first}'")) & (F.col("ts") < F.expr(f"timestamp_ntz '{last}'"))
         events.filter(within).write.mode("append").parquet(path)
-        stream = X.drop_stream(spark, path, "parquet", "user_id bigint, content_hash string, ts timestamp_ntz", "*.parquet")
-        X.run_available(stream, checkpoint, X.suppress_unchanged(root, out, "user_id", "content_hash", "ts", "480 hours"))
-    return spark.read.parquet(out).select("user_id", "content_hash", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "batch")
+        stream = X.drop_stream(
+            spark, path, "parquet", "user_id bigint, content_hash string, ts timestamp_ntz", "*.parquet"
+        )
+        X.run_available(
+            stream, checkpoint, X.suppress_unchanged(root, out, "user_id", "content_hash", "ts", "480 hours")
+        )
+    return spark.read.parquet(out).select(
+        "user_id", "content_hash", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "batch"
+    )

@@ -76,7 +76,11 @@ def t1(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "lineitem")
         .filter(F.col("l_shipdate") <= F.expr("timestamp_ntz '1998-09-02'"))
         .groupBy("l_returnflag", "l_linestatus", rate("l_discount").alias("discount"), rate("l_tax").alias("tax"))
-        .agg(F.sum("l_quantity").alias("qty"), F.sum(money("l_extendedprice")).alias("price"), F.count(F.lit(1)).alias("n"))
+        .agg(
+            F.sum("l_quantity").alias("qty"),
+            F.sum(money("l_extendedprice")).alias("price"),
+            F.count(F.lit(1)).alias("n"),
+        )
     )
     one = F.lit(Decimal("1.00"))
     net = F.col("price") * (one - F.col("discount"))

@@ -17,7 +17,14 @@ def read_snapshot(
     """
     return (
         spark.read.format("jdbc")
-        .options(url=url, dbtable=table, partitionColumn=partition_column, lowerBound=lower, upperBound=upper, numPartitions=partitions)
+        .options(
+            url=url,
+            dbtable=table,
+            partitionColumn=partition_column,
+            lowerBound=lower,
+            upperBound=upper,
+            numPartitions=partitions,
+        )
         .options(**(options or {}))
         .load()
     )

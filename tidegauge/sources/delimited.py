@@ -21,7 +21,9 @@ def read_keyed_csv(spark: SparkSession, path: str, name: str, key: str, schema:
     return earliest(rows, [key], [F.col(c) for c in rows.columns if c != key])
 
 
-def load_with_rejects(spark: SparkSession, path: str, schema: T.StructType, out: str, sep: str = "|") -> tuple[DataFrame, DataFrame]:
+def load_with_rejects(
+    spark: SparkSession, path: str, schema: T.StructType, out: str, sep: str = "|"
+) -> tuple[DataFrame, DataFrame]:
     """Load delimited files into ``out``: rows that fit the schema, and rejected lines with their file.
 
     One pass writes all columns, split by outcome. The written rows are returned because a scan that
@@ -36,7 +38,9 @@ def load_with_rejects(spark: SparkSession, path: str, schema: T.StructType, out:
     rows.withColumns({"rejected": F.col(CORRUPT).isNotNull(), "file": F.col("_metadata.file_name")}).write.partitionBy(
         "rejected"
     ).parquet(out)
-    loaded = spark.read.schema(T.StructType([*full.fields, T.StructField("file", T.StringType()), T.StructField("rejected", T.BooleanType())])).parquet(out)
+    loaded = spark.read.schema(
+        T.StructType([*full.fields, T.StructField("file", T.StringType()), T.StructField("rejected", T.BooleanType())])
+    ).parquet(out)
     good = loaded.filter(~F.col("rejected")).select(*schema.fieldNames())
     bad = loaded.filter("rejected").select("file", F.col(CORRUPT).alias("line"))
     return good, bad
@@ -71,11 +75,20 @@ def price_paid_changes(rows: DataFrame) -> DataFrame:
     return renamed.withColumn(MARKER, marker).drop("RecordStatus")
 
 
-def read_logs(spark: SparkSession, folder: str, contains: str, schema: T.StructType | str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_logs(
+    spark: SparkSession, folder: str, contains: str, schema: T.StructType | str, columns: Sequence[str] | None = None
+) -> DataFrame:
     """All log files whose name contains a text; unreadable files are dropped."""
     rows = (
         spark.read.schema(schema)
-        .options(header=True, quote='"', escape='"', pathGlobFilter=f"*{contains}*.log", recursiveFileLookup=True, ignoreCorruptFiles=True)
+        .options(
+            header=True,
+            quote='"',
+            escape='"',
+            pathGlobFilter=f"*{contains}*.log",
+            recursiveFileLookup=True,
+            ignoreCorruptFiles=True,
+        )
         .csv(folder)
         .withColumn("file", F.col("_metadata.file_name"))
     )

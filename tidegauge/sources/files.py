@@ -58,7 +58,9 @@ def sizes(spark: SparkSession, folder: str) -> DataFrame:
 
 def storage_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes and MB per kind of file: data, log or other."""
-    kind = F.when(F.col("path").endswith(".parquet"), "data").when(F.col("path").endswith(".json"), "log").otherwise("other")
+    kind = F.when(
+        F.col("path").endswith(".parquet"), "data"
+    ).when(F.col("path").endswith(".json"), "log").otherwise("other")
     return (
         sizes(spark, folder)
         .groupBy(kind.alias("kind"))

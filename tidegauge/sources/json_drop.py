@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_documents(spark: SparkSession, path: str, schema: str | T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+def read_documents(
+    spark: SparkSession, path: str, schema: str | T.StructType | None = None, multi_line: bool = True
+) -> DataFrame:
     """Documents of a drop. A multi-line file is one document and one task; a file with a document
     per line is split. Without a schema Spark infers one, which costs a pass over the drop."""
     reader = spark.read.option("multiLine", multi_line)
@@ -26,7 +28,9 @@ def records(docs: DataFrame, *array_fields: str) -> DataFrame:
     raise ValueError(f"none of {array_fields} in {docs.columns}")
 
 
-def read_json_drop(spark: SparkSession, path: str, *array_fields: str, schema=None, multi_line: bool = True) -> DataFrame:
+def read_json_drop(
+    spark: SparkSession, path: str, *array_fields: str, schema=None, multi_line: bool = True
+) -> DataFrame:
     return records(read_documents(spark, path, schema, multi_line), *array_fields)
 
 
@@ -36,7 +40,9 @@ def with_defaults(df: DataFrame, drop: Sequence[str] = (), **defaults: Column) -
     return df.withColumns(missing).drop(*drop)
 
 
-def list_records(docs: DataFrame, array_field: str = "value", fields: str = "fields", columns: Sequence[str] | None = None) -> DataFrame:
+def list_records(
+    docs: DataFrame, array_field: str = "value", fields: str = "fields", columns: Sequence[str] | None = None
+) -> DataFrame:
     """Records of an API page as text columns, optionally only the listed ones."""
     rows = docs.select(F.explode(array_field).alias("r")).select(f"r.{fields}.*")
     wanted = list(columns) if columns is not None else rows.columns

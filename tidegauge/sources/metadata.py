@@ -26,7 +26,9 @@ def column_fill(name: str, df: DataFrame) -> DataFrame:
     """Rows and filled values per column of a table, in one pass."""
     counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("filled")) for c in df.columns])
-    return counts.select(F.lit(name).alias("table_name"), F.col("_rows").alias("rows"), F.explode(pairs).alias("p")).select(
+    return counts.select(
+        F.lit(name).alias("table_name"), F.col("_rows").alias("rows"), F.explode(pairs).alias("p")
+    ).select(
         "table_name", "p.*", "rows"
     )
 
@@ -43,7 +45,9 @@ def units(spark: SparkSession) -> DataFrame:
 def with_units(df: DataFrame, kind: str) -> DataFrame:
     """Each row once per unit of a kind. The table is a handful of constants, so it is exploded in
     place; a join with it would have no key."""
-    rows = F.array(*[F.struct(F.lit(n).alias("unit"), F.lit(v).cast("bigint").alias("unit_value")) for n, v in UNITS[kind].items()])
+    rows = F.array(
+        *[F.struct(F.lit(n).alias("unit"), F.lit(v).cast("bigint").alias("unit_value")) for n, v in UNITS[kind].items()]
+    )
     return df.withColumn("_u", F.explode(rows)).select(*df.columns, "_u.*")
 
 
@@ -56,7 +60,9 @@ def drift(old: DataFrame, new: DataFrame) -> DataFrame:
         .when(F.col("new_type").isNull(), "dropped")
         .when(F.col("old_type") != F.col("new_type"), "retyped")
     )
-    return o.join(n, ["table_name", "column_name"], "full").withColumn("change", change).filter(F.col("change").isNotNull())
+    return o.join(
+        n, ["table_name", "column_name"], "full"
+    ).withColumn("change", change).filter(F.col("change").isNotNull())
 
 
 def drift_report(changes: DataFrame) -> DataFrame:

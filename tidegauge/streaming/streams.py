@@ -21,7 +21,9 @@ from tidegauge.tables.versioned import current_path, read_current, write_version
 WATERMARK = "10 minutes"
 
 
-def drop_stream(spark: SparkSession, folder: str, fmt: str, schema: str, glob: str = "*", files_per_batch: int | None = None) -> DataFrame:
+def drop_stream(
+    spark: SparkSession, folder: str, fmt: str, schema: str, glob: str = "*", files_per_batch: int | None = None
+) -> DataFrame:
     """New files of a folder as a stream. Names that start with ``_`` or ``.`` are never read."""
     reader = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", glob)
     if files_per_batch is not None:
@@ -34,7 +36,13 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
     start(stream, checkpoint, each, available_now=True).awaitTermination()
 
 
-def start(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], available_now: bool = False, every: str = "1 minute") -> StreamingQuery:
+def start(
+    stream: DataFrame,
+    checkpoint: str,
+    each: Callable[[DataFrame, int], None],
+    available_now: bool = False,
+    every: str = "1 minute",
+) -> StreamingQuery:
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
     return writer.trigger(availableNow=True).start() if available_now else writer.trigger(processingTime=every).start()
 
@@ -42,12 +50,16 @@ def start(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], N
 def ingest(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Append the stream to a parquet table, exactly once."""
     query = (
-        stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
+        stream.writeStream.format("parquet").option("path", path).option(
+            "checkpointLocation", checkpoint
+        ).outputMode("append")
     )
     query.trigger(availableNow=True).start().awaitTermination()
 
 
-def import_batches(path: str, load: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
+def import_batches(
+    path: str, load: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> Callable[[DataFrame, int], None]:
     """Batch function that imports each batch into its own partition; a replay overwrites it."""
 
     def each(df: DataFrame, batch: int) -> None:
@@ -186,7 +198,9 @@ def open_operations(state: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def status_over_time(stream: DataFrame, ts: str, status: Column, every: str, utc_offset_minutes: int = 0) -> DataFrame:
     """Operations by status per tumbling window of local time; rows later than the watermark are dropped."""
-    local = F.col(ts).cast("timestamp") + F.make_dt_interval(mins=F.lit(utc_offset_minutes))  # watermarks need a zoned type
+    local = F.col(ts).cast("timestamp") + F.make_dt_interval(
+        mins=F.lit(utc_offset_minutes)
+    )  # watermarks need a zoned type
     return (
         stream.select(local.alias("_ts"), status.alias("status"))
         .withWatermark("_ts", WATERMARK)
@@ -201,7 +215,9 @@ def recent(df: DataFrame, ingested: str, now: Column, within: str = "1 hour") ->
     return df.filter((F.col(ingested) > now - F.expr(f"interval {within}")) & (F.col(ingested) <= now))
 
 
-def suppress_unchanged(root: str, out: str, table: str, signature: str, at: str, ttl: str = "10 hours") -> Callable[[DataFrame, int], None]:
+def suppress_unchanged(
+    root: str, out: str, table: str, signature: str, at: str, ttl: str = "10 hours"
+) -> Callable[[DataFrame, int], None]:
     """Batch function that forwards a table's snapshot only when its content hash changed or the
     last forwarded one is older than ``ttl``. The ledger holds one row per table."""
 
@@ -227,7 +243,9 @@ def suppress_unchanged(root: str, out: str, table: str, signature: str, at: str,
 
 def due(config: DataFrame, now: Column) -> DataFrame:
     """Enabled or running tables whose interval has passed since their last run."""
-    waited = F.col("last_run").isNull() | (F.timestamp_add("SECOND", F.col("interval_seconds"), F.col("last_run")) <= now)
+    waited = F.col("last_run").isNull() | (
+        F.timestamp_add("SECOND", F.col("interval_seconds"), F.col("last_run")) <= now
+    )
     return config.filter(F.col("status").isin("Enabled", "Running") & waited)
 
 

@@ -155,7 +155,9 @@ def read_change_files(spark: SparkSession, folder: str, after: int = 0) -> DataF
 
 
 def start_run(ledger: DataFrame, run: str, at: Column) -> DataFrame:
-    row = ledger.sparkSession.range(1).select(F.lit(run).alias("run_id"), F.lit("started").alias("status"), at.alias("at"))
+    row = ledger.sparkSession.range(1).select(
+        F.lit(run).alias("run_id"), F.lit("started").alias("status"), at.alias("at")
+    )
     return ledger.unionByName(row)
 
 

@@ -133,7 +133,9 @@ def insensitive(df: DataFrame, collation: str = "UNICODE_CI_AI") -> DataFrame:
     """Text columns collated so that comparisons ignore case and accents."""
     return df.select(
         *[
-            F.collate(F.col(f"`{f.name}`"), collation).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+            F.collate(
+                F.col(f"`{f.name}`"), collation
+            ).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
             for f in df.schema.fields
         ]
     )
