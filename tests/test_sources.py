@@ -157,7 +157,7 @@ def test_month_over_month_with_a_gap(spark):
     df = spark.createDataFrame(
         [("2024-01-01", 10), ("2024-02-01", 15), ("2024-04-01", 30)], "m string, n int"
     ).withColumn("m", F.to_date("m"))
-    got = {str(r["m"]): r["g"] for r in M.period_over_period(df, [], "m", "n", "g").collect()}
+    got = {str(r["m"]): r["g"] for r in M.period_over_period(df, [], "m", g="n").collect()}
     assert got == {"2024-01-01": None, "2024-02-01": 0.5, "2024-04-01": None}
 
 

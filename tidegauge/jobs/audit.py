@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions.columns import hash_key
 from tidegauge.operators.joins import latest_rows
 from tidegauge.operators.sets import tagged_union, union_distinct
+from tidegauge.session import cut_lineage
 
 
 def dim_model_object(
@@ -30,12 +31,13 @@ def dim_model_object(
             ).alias("DeletedFromModelFlag")
         )
 
-    objects = union_distinct(
+    # The union of the latest definitions is read three times below.
+    objects = cut_lineage(union_distinct(
         newest(report_measures, "REPORT MEASURE", F.lit("False")),
         newest(columns, "COLUMN"),
         newest(measures, "MEASURE"),
         newest(unused, "COLUMN", F.lit("True")),
-    )
+    ))
     last = latest_rows(objects, [*keys, "Expression"], "AsOfDateTime")
     final_day = objects.agg(F.max("AsOfDate").alias("d")).scalar()
     named = last.join(sources, ["ModelUuid", "TableName", "ObjectName"], "left")

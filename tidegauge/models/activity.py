@@ -36,8 +36,7 @@ def monthly_growth(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Activities and users per month with their growth over the month before."""
     month = F.trunc("CreationDate", "month").alias("Month")
     monthly = M.by_groups(df, [*by, month], Activities=M.rows(), Users=M.distinct_values(F.col("UserId")))
-    out = M.period_over_period(monthly, by, "Month", "Activities", "ActivitiesGrowth")
-    return M.period_over_period(out, by, "Month", "Users", "UsersGrowth")
+    return M.period_over_period(monthly, by, "Month", ActivitiesGrowth="Activities", UsersGrowth="Users")
 
 
 def item_day_averages(df: DataFrame, by: Sequence[str], item: str, as_of: str, kinds: dict[str, str]) -> DataFrame:

@@ -76,7 +76,7 @@ def kind_day(df: DataFrame, by: Sequence[str], as_of: str) -> DataFrame:
 
 def cu_growth(df: DataFrame, by: Sequence[str]) -> DataFrame:
     monthly = M.by_groups(df, [*by, F.trunc("Date", "month").alias("Month")], CUs=as_double(F.sum("TotalCUs")))
-    return M.period_over_period(monthly, by, "Month", "CUs", "Growth")
+    return M.period_over_period(monthly, by, "Month", Growth="CUs")
 
 
 def timepoints(df: DataFrame, by: Sequence[str], as_of: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.operators.ordered import earliest
+from tidegauge.session import cut_lineage
 
 
 def activity_summary(
@@ -42,7 +43,8 @@ def completed_prefix(
     counts = runs.groupBy(*combo, query).agg(
         F.count_if(success).alias("_good"), F.count_if(~success).alias("_bad")
     )
-    done = counts.filter((F.col("_good") >= enough) | (F.col("_bad") >= too_many))
+    # Read four times below; one row per combination and query is materialised instead of the runs.
+    done = cut_lineage(counts.filter((F.col("_good") >= enough) | (F.col("_bad") >= too_many)).select(*combo, query))
     combos = done.select(*combo).distinct().agg(F.count(F.lit(1)).alias("_combos"))
     complete = (
         done.groupBy(query).agg(F.count(F.lit(1)).alias("_valid")).filter(F.col("_valid") == combos.scalar())

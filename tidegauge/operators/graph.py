@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,21 +56,23 @@ def reachable(edges: DataFrame, roots: DataFrame, src: str, dst: str, node: str
     return seen
 
 
-def upstream_edges(df: DataFrame, item: str, upstream_item: str, container: str, upstream_container: str) -> DataFrame:
+def upstream_edges(
+    df: DataFrame, item: str, upstream_item: str, container: str, upstream_container: str
+) -> DataFrame:
     """Distinct edges: item → upstream item, container → upstream container, and both containments."""
 
-    def edge(kind: str, a: str, b: str) -> DataFrame:
-        return df.select(
+    def edge(kind: str, a: str, b: str) -> Column:
+        return F.struct(
             F.lit(kind).alias("kind"), F.col(a).cast("string").alias("src"), F.col(b).cast("string").alias("dst")
-        ).distinct()
+        )
 
-    parts = [
+    edges = F.array(
         edge("item", item, upstream_item),
         edge("container", container, upstream_container),
         edge("contains", container, item),
         edge("contains", upstream_container, upstream_item),
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts).distinct()
+    )
+    return df.select(F.explode(edges).alias("e")).select("e.*").distinct()
 
 
 # Usage above which an artifact is highly / fairly critical.

@@ -102,18 +102,19 @@ def period_flags(day: Column, as_of: str) -> dict[str, Column]:
     return flags
 
 
-def period_over_period(monthly: DataFrame, by: Sequence[str], month: str, value: str, growth: str) -> DataFrame:
-    """(current - previous) / previous per calendar month; a missing previous month gives blank."""
-    previous = monthly.select(
-        *[F.col(c).alias(f"_p_{c}") for c in by],
-        F.add_months(month, 1).alias("_next"),
-        F.col(value).alias("_previous"),
-    )
-    on = F.col(month) == F.col("_next")
-    for c in by:
-        on = on & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
-    change = ratio(F.col(value) - F.col("_previous"), F.col("_previous"))
-    return monthly.join(previous, on, "left").select(*monthly.columns, change.alias(growth))
+def period_over_period(monthly: DataFrame, by: Sequence[str], month: str, **growth: str) -> DataFrame:
+    """(current - previous) / previous per calendar month; a missing previous month gives blank.
+
+    ``growth`` names the result of each value column. The input is one row per group and month, so
+    a window holds as many rows as there are months; a row further back than a month does not count.
+    """
+    months = Window.partitionBy(*by).orderBy(month)
+    adjacent = F.lag(month).over(months) == F.add_months(month, -1)
+    out = {}
+    for name, value in growth.items():
+        previous = F.when(adjacent, F.lag(value).over(months))
+        out[name] = ratio(F.col(value) - previous, previous)
+    return monthly.withColumns(out)
 
 
 def to_date_totals(daily: DataFrame, by: Sequence[str], day: str, value: str) -> DataFrame:
@@ -146,6 +147,16 @@ def share_of_total(df: DataFrame, by: Sequence[str], value: Column, name: str) -
     return totals.withColumn(name, ratio(F.col("total"), totals.agg(F.sum("total")).scalar()))
 
 
+def whatever_day(daily: DataFrame, by: Sequence[str], total: str, any_day: str, average: str) -> DataFrame:
+    """Total over all days and average per day, whatever day the row is filtered to.
+
+    ``daily`` holds one row per group and day, so a window holds as many rows as there are days.
+    """
+    days = Window.partitionBy(*by)
+    whole = F.sum(total).over(days).cast("double")
+    return daily.withColumns({any_day: whole, average: whole / F.count(F.lit(1)).over(days)})
+
+
 def trailing_average(
     daily: DataFrame, by: Sequence[str], day: str, total: str, n: str, days: int, name: str
 ) -> DataFrame:
@@ -174,7 +185,7 @@ def percentiles(
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(rows().alias("_n"))
     placed = running(counted, by, [F.col(value)], _upto=Running("sum", F.col("_n")))
-    sizes = counted.groupBy(*by).agg(F.sum("_n").alias("_size"))
+    sizes = placed.groupBy(*by).agg(F.max("_upto").alias("_size"))
     on = F.lit(True)
     for c in by:
         on = on & F.col(c).eqNullSafe(F.col(f"_s_{c}"))

@@ -125,16 +125,23 @@ def row_numbers(df: DataFrame, by: Sequence[str], order: Sequence[Column], name:
     )
 
 
-def ranks(df: DataFrame, by: Sequence[str], value: Column, tie_break: Column, name: str = "rank") -> DataFrame:
-    """rank() per group: ties share a rank and gaps follow. ``value`` carries its own direction."""
-    # A rank is the row number at which its value first occurs, carried over the ties.
-    numbered = row_numbers(df.withColumn("_v", value), by, [F.col("_v").desc(), tie_break], "_rn")
-    firsts = numbered.groupBy(*by, "_v").agg(F.min("_rn").alias(name))
-    cond = F.col("_v").eqNullSafe(F.col("_fv"))
-    right = firsts.select(F.col("_v").alias("_fv"), *[F.col(c).alias(f"_f_{c}") for c in by], name)
+def ranks(df: DataFrame, by: Sequence[str], value: Column, name: str = "rank") -> DataFrame:
+    """rank() per group, largest value first: ties share a rank and gaps follow.
+
+    Only the distinct values are ordered: a value's rank is one more than the rows above it.
+    """
+    valued = df.withColumn("_v", value)
+    counted = valued.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    placed = running(counted, by, [F.col("_v").desc()], _above=Running("sum", F.col("_n"), inclusive=False))
+    right = placed.select(
+        F.col("_v").alias("_rv"),
+        *[F.col(c).alias(f"_r_{c}") for c in by],
+        (F.coalesce("_above", F.lit(0)) + 1).alias(name),
+    )
+    cond = F.col("_v").eqNullSafe(F.col("_rv"))
     for c in by:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_f_{c}"))
-    return numbered.join(right, cond).select(*df.columns, name)
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return valued.join(right, cond).select(*df.columns, name)
 
 
 def latest(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -412,8 +412,7 @@ def month_over_month(spark: SparkSession, sf: str) -> DataFrame:
     monthly = M.by_groups(
         table(spark, sf, "orders"), ["o_orderpriority", month], n=M.rows(), users=F.count_distinct("o_custkey")
     )
-    grown = M.period_over_period(monthly, ["o_orderpriority"], "m", "n", "growth")
-    grown = M.period_over_period(grown, ["o_orderpriority"], "m", "users", "user_growth")
+    grown = M.period_over_period(monthly, ["o_orderpriority"], "m", growth="n", user_growth="users")
     return grown.select("o_orderpriority", F.date_format("m", "yyyy-MM").alias("mon"), "n", "growth", "user_growth")
 
 
@@ -497,16 +496,10 @@ def context_removal(spark: SparkSession, sf: str) -> DataFrame:
         total=F.sum(cents()),
         n=F.count_distinct("user_id"),
     )
-    any_day = M.by_groups(
-        daily, ["event_type"], any_day=as_double(F.sum("total")), avg_any_day=as_double(F.sum("total")) / M.rows()
-    )
     selected = daily.agg(as_double(F.sum("total")).alias("selected"))
-    shaped = (
-        M.trailing_average(daily, ["event_type"], "day", "total", "n", 7, "trailing_avg")
-        .withColumn("total", as_double(F.col("total")))
-        .join(any_day, "event_type")
-        .withColumn("selected", selected.scalar())
-    )
+    shaped = M.trailing_average(daily, ["event_type"], "day", "total", "n", 7, "trailing_avg")
+    shaped = M.whatever_day(shaped, ["event_type"], "total", "any_day", "avg_any_day")
+    shaped = shaped.withColumns({"total": as_double(F.col("total")), "selected": selected.scalar()})
     vs_avg = F.col("total") - F.col("avg_any_day")
     return shaped.select(
         "event_type",

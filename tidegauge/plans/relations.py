@@ -406,7 +406,7 @@ def latest_record(spark: SparkSession, sf: str) -> DataFrame:
 )
 def rank_in_parent(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    return O.ranks(orders, ["o_orderstatus"], F.col("o_orderdate"), F.col("o_orderkey")).drop("o_orderdate")
+    return O.ranks(orders, ["o_orderstatus"], F.col("o_orderdate")).drop("o_orderdate")
 
 
 @query(
