@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.session import stored
+
 
 def with_user_group(df: DataFrame, members: DataFrame, user: str, default: str, group: str = "user_group") -> DataFrame:
     """Group of each user by member lists; users in no list get the default group."""
@@ -78,27 +80,29 @@ def texts_containing(texts: DataFrame, key: str, text: str, objects: DataFrame,
     position are kept, and each name offers its first k grams: wherever the name occurs, one of its
     grams falls on a kept position. Grams meet in an equi-join and the full name is verified
     afterwards, so no pair is missed. Whole texts are read and the work is linear in their length.
-    Names are classed by length (1, 2, 4, or 8 and more), longer ones with wider steps.
+    Names are classed by length (1, 2, 4, or 8 and more); a class steps by about a quarter of its shortest name.
     """
     classes = F.when(F.length(name) >= 8, 8)
     for least in (4, 2):
         classes = classes.when(F.length(name) >= least, least)
     named = objects.filter(F.length(name) > 0).select(name).distinct().withColumn("_class", classes.otherwise(1))
-    present = sorted(r["_class"] for r in named.select("_class").distinct().collect())  # at most 4 values
+    present = named.groupBy("_class").agg(F.min(F.length(name)).alias("shortest")).collect()  # at most 4 rows
     grams, anchors = [F.array().cast("array<string>")], F.array().cast("array<string>")
-    for size in present:
-        step = max(1, size // 2)
-        width = size - step + 1
+    for size, shortest in sorted((r["_class"], r["shortest"]) for r in present):
+        step = max(1, (shortest + 2) // 4)
+        width = shortest - step + 1
         # The lookahead takes the gram, then the match moves on by one step.
         grams.append(F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{width}}})).{{{step}}}"), F.lit(1)))
         first = [F.substring(F.col(name), at + 1, width) for at in range(step)]
         anchors = F.when(F.col("_class") == size, F.array(*first)).otherwise(anchors)
-    # Only the key travels with the grams; the text rejoins its few candidates for the check.
+    # Only the key travels with the grams. The candidates are stored, so that the planner knows their
+    # size: when they are few, they go to the texts for the check, and the texts are not shuffled.
     probes = texts.select(key, F.explode(F.concat(*grams)).alias("_gram"))
     candidates = probes.join(
         named.select(name, F.explode(anchors).alias("_gram")), "_gram"
     ).select(key, name).distinct()
-    return texts.join(candidates, key).filter(F.contains(F.col(text), F.col(name)))
+    found = texts.join(stored(candidates, "candidates"), key)
+    return found.filter(F.contains(F.col(text), F.col(name)))
 
 
 def points_in_intervals(

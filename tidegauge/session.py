@@ -53,6 +53,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh table of the shared folder and read back.
+
+    Like a checkpoint it ends the lineage; unlike one it tells the planner the real size, so that a
+    small result is broadcast and a big one is not.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One input table of the data folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
