@@ -37,18 +37,24 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows gathered by partition before a write, so that a partition gets few files; partitions that
+    are too big for one task are split, small ones share a task."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
     """Publish a new version and return its path. Fails if another writer took the same number."""
     names = _versions(df.sparkSession, root)
     number = int(names[-1][2:]) + 1 if names else 1
     path = f"{root}/v={number:06d}"
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    laid_out(df, partition_by).write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return path
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append to a plain parquet table; new columns show up for readers that merge schemas."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    laid_out(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
@@ -57,7 +63,9 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions present in ``df``."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    laid_out(df, partition_by).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*partition_by).parquet(path)
 
 
 def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition: str) -> None:
