@@ -205,31 +205,58 @@ def test_all_rules_are_valid_predicates(spark):
     """Each scope's rules resolve against the documented columns."""
     shapes = {
         "Column": "name string, table_name string, data_type string, column_type string, is_hidden boolean, table_hidden boolean, description string, format_string string, summarize_by string, data_category string, table_category string, source_column string, is_key boolean, sort_by string, in_mdx boolean, expression string, relationships int, many_side int, one_side int, in_hierarchy boolean, sorts_others boolean",
-        "Measure": "name string, is_hidden boolean, description string, format_string string, expression string, referenced_by int, same_definition int, is_reference boolean",
-        "Table": "name string, is_hidden boolean, description string, data_category string, table_type string, partitions int, row_count bigint, relationships int, from_side int, to_side int, many_to_many int, has_security boolean",
+        "Measure": "name string, is_hidden boolean, description string, format_string string, expression string, referenced_by int, same_definition int, is_reference boolean, unqualified_columns int, qualified_measures int",
+        "Table": "name string, is_hidden boolean, description string, data_category string, table_type string, partitions int, import_partitions int, row_count bigint, relationships int, from_side int, to_side int, one_side int, many_to_many int, has_security boolean, activated_in_measures boolean, model_hybrid boolean, calculation_items int",
         "Relationship": "name string, from_cardinality string, to_cardinality string, cross_filter string, from_type string, to_type string, is_active boolean, activated boolean",
         "Partition": "name string, mode string, source_type string, expression string, coverage string, hybrid boolean",
         "Security": "name string, filter_expression string",
-        "Model": "name string, date_tables int, bad_relationship_share double",
+        "Model": "name string, date_tables int, bad_relationship_share double, dual_partitions int, query_partitions int, uses_views boolean",
+        "CalculationItem": "name string, expression string",
+        "Hierarchy": "name string",
     }
     rows_ = {
         "Relationship": [("r", "many", "many", "BothDirections", "Int64", "String", False, False)],
-        "Table": [("LocalDateTable_1", False, None, None, "Calculated", 1, 30000000, 0, 1, 1, 1, True)],
+        "Table": [("LocalDateTable_1", False, None, None, "Calculated", 1, 1, 30000000, 0, 1, 1, 1, 1, True, True, True, None), ("Group", False, "d", None, "Group", 1, 0, 1, 0, 0, 0, 0, 0, False, False, False, 0)],
         "Partition": [("P", "DirectQuery", "M", 'x = Table.Join("a")', None, True)],
         "Security": [("S", "USERPRINCIPALNAME() = upper(x)")],
-        "Model": [("Model", 0, 0.5)],
+        "Model": [("Model", 0, 0.5, 1, 0, True)],
+        "CalculationItem": [("Item", "")],
+        "Hierarchy": [(" h",)],
+        "Measure": [
+            ("M", False, "d", "#,0", "CALCULATE([x], FILTER('Sales Q', [y] > 1))", 0, 1, False, 1, 1),
+            ("N", False, "d", "#,0", "CALCULATE([x], FILTER(Sales, Sales[y] = 1))", 0, 1, False, 0, 0),
+        ],
     }
     objects = {k: spark.createDataFrame(rows_.get(k, []), v) for k, v in shapes.items()}
     found = {}
     for r in rules.violations(objects).collect():
         found.setdefault(r["object_type"], set()).add(r["rule_id"])
     assert found["Relationship"] == {3, 6, 24, 40, 55}
-    assert found["Table"] == {5, 12, 15, 18, 19, 20, 43, 45}
+    assert found["Table"] == {5, 10, 12, 15, 18, 19, 20, 27, 43, 44, 45}
+    assert found["CalculationItem"] == {23}
+    assert found["Hierarchy"] == {58}
+    assert found["Measure"] == {35, 36, 38, 39}
     assert found["Partition"] == {8, 11}
     assert found["Security"] == {4, 21}
-    assert found["Model"] == {17, 22}
+    assert found["Model"] == {9, 13, 17, 22}
     scopes = {s for r in rules.RULES for s in r.scopes}
-    assert scopes == set(shapes) and rules.catalogue(spark).count() == len(rules.RULES)
+    assert scopes == set(shapes) and rules.catalogue(spark).count() == len(rules.RULES) == 60
+    assert [r.id for r in rules.RULES] == list(range(1, 61))
+
+
+def test_relationship_facts(spark):
+    schema = "from_table string, from_column string, from_cardinality string, to_table string, to_column string, to_cardinality string"
+    links = spark.createDataFrame(
+        [("Sales", "k", "many", "Item", "k", "one"), ("Item", "g", "many", "Group", "g", "many")], schema
+    )
+    tables = spark.createDataFrame([("Sales",), ("Item",), ("Group",), ("Alone",)], "name string")
+    got = {r["name"]: tuple(r)[1:] for r in rules.with_relationship_facts(tables, links).collect()}
+    assert got == {
+        "Sales": (1, 1, 0, 0, 0), "Item": (2, 1, 1, 1, 1), "Group": (1, 0, 1, 0, 1), "Alone": (0, 0, 0, 0, 0)
+    }
+    columns = spark.createDataFrame([("Sales", "k"), ("Item", "k"), ("Item", "x")], "table_name string, name string")
+    got = {tuple(r)[:2]: tuple(r)[2:] for r in rules.with_key_facts(columns, links).collect()}
+    assert got == {("Sales", "k"): (1, 1, 0), ("Item", "k"): (1, 0, 1), ("Item", "x"): (0, 0, 0)}
 
 
 def test_profile_with_empty_pipelines(spark):

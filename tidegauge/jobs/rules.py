@@ -7,11 +7,14 @@ Columns a scope may use. Column: name, table_name, data_type, column_type, is_hi
 table_hidden, description, format_string, summarize_by, data_category, table_category,
 source_column, is_key, sort_by, in_mdx, expression, relationships, many_side, one_side,
 in_hierarchy, sorts_others. Measure: name, is_hidden, description, format_string, expression,
-referenced_by, same_definition, is_reference. Table: name, is_hidden, description, data_category,
-table_type, partitions, row_count, relationships, from_side, to_side, many_to_many, has_security.
+referenced_by, same_definition, is_reference, unqualified_columns, qualified_measures. Table: name, is_hidden, description, data_category,
+table_type, partitions, import_partitions, row_count, relationships, from_side, to_side, one_side,
+many_to_many, has_security, activated_in_measures, model_hybrid, calculation_items (null unless the
+table is a calculation group).
 Relationship: name, from_cardinality, to_cardinality, cross_filter, from_type, to_type, is_active,
 activated. Partition: name, mode, source_type, expression, coverage, hybrid. Security: name,
-filter_expression. Model: name, date_tables, bad_relationship_share.
+filter_expression. Model: name, date_tables, bad_relationship_share, dual_partitions,
+query_partitions, uses_views. CalculationItem: name, expression. Hierarchy: name.
 """
 
 from __future__ import annotations
@@ -48,7 +51,7 @@ PERF, ERR, EXPR, MAINT, FMT, NAMES = (
 )
 QUERY, BACK, USE = "Query Operation", "Background Operation", "Usability"
 NUMERIC = "data_type IN ('Int64', 'Decimal', 'Double')"
-ALL = "Table,Column,Measure,Partition"
+ALL = "Table,Column,Measure,Partition,Hierarchy"
 
 # The rule catalogue (ids, severities, thresholds and patterns).
 RULES = [
@@ -108,6 +111,24 @@ RULES = [
         "Set data coverage on query partitions of hybrid tables",
         "hybrid AND mode = 'DirectQuery' AND coverage IS NULL",
     ),
+    _r(
+        9,
+        PERF,
+        "Warning",
+        QUERY,
+        "Model",
+        "Dual mode is only useful next to query-mode facts",
+        "dual_partitions > 0 AND query_partitions = 0",
+    ),
+    _r(
+        10,
+        PERF,
+        "Warning",
+        BACK,
+        "Table",
+        "Set dimensions to dual mode next to query-mode facts",
+        "import_partitions = 1 AND partitions = 1 AND model_hybrid AND one_side > 0",
+    ),
     _r(
         11,
         PERF,
@@ -124,8 +145,9 @@ RULES = [
         QUERY,
         "Table",
         "Consider a star schema instead of a snowflake",
-        "from_side > 0 AND to_side > 0",
+        "calculation_items IS NULL AND from_side > 0 AND to_side > 0",
     ),
+    _r(13, PERF, "Warning", QUERY, "Model", "Avoid views in direct storage mode", "uses_views"),
     _r(
         14,
         PERF,
@@ -191,6 +213,15 @@ RULES = [
         r"filter_expression RLIKE r'(?i)(right|left|filter|upper|lower|find)\('",
     ),
     _r(22, PERF, "Warning", USE, "Model", "Model should have a date table", "date_tables = 0"),
+    _r(
+        23,
+        ERR,
+        "Error",
+        USE,
+        "CalculationItem",
+        "Calculation items must have an expression",
+        "coalesce(expression, '') = ''",
+    ),
     _r(
         24,
         ERR,
@@ -218,6 +249,15 @@ RULES = [
         "Turn on attribute hierarchies of necessary columns",
         "NOT in_mdx AND (sorts_others OR in_hierarchy OR sort_by IS NOT NULL)",
     ),
+    _r(
+        27,
+        ERR,
+        "Error",
+        QUERY,
+        "Table",
+        "Avoid activated relationships on secured tables",
+        "activated_in_measures AND has_security",
+    ),
     _r(28, EXPR, "Warning", QUERY, "Measure", "Avoid the IFERROR function", r"expression RLIKE r'(?i)iferror\s*\('"),
     _r(
         29,
@@ -257,6 +297,24 @@ RULES = [
         "Avoid the 1-(x/y) syntax",
         r"expression RLIKE r'(?i)[0-9]+\s*[-+]\s*DIVIDE\s*\('",
     ),
+    _r(
+        35,
+        EXPR,
+        "Warning",
+        QUERY,
+        "Measure",
+        "Filter measure values by columns, not tables",
+        r"expression RLIKE r'(?i)CALCULATE(TABLE)?\s*\(\s*[^,]+,\s*FILTER\s*\(\s*\x27*[A-Za-z0-9 _]+\x27*\s*,\s*\['",
+    ),
+    _r(
+        36,
+        EXPR,
+        "Warning",
+        QUERY,
+        "Measure",
+        "Filter column values with proper syntax",
+        r"expression RLIKE r'(?i)CALCULATE(TABLE)?\s*\([^,]*,\s*FILTER\s*\(\s*\x27*[A-Za-z0-9 _]+\x27*\s*,\s*\x27*[A-Za-z0-9 _]+\x27*\[[A-Za-z0-9 _]+\]'",
+    ),
     _r(
         37,
         EXPR,
@@ -266,6 +324,8 @@ RULES = [
         "Use the DIVIDE function for division",
         r"expression RLIKE r'[\])]\s*/(?!/)(?!\*)'",
     ),
+    _r(38, EXPR, "Error", USE, "Measure", "Column references should be fully qualified", "unqualified_columns > 0"),
+    _r(39, EXPR, "Error", USE, "Measure", "Measure references should be unqualified", "qualified_measures > 0"),
     _r(
         40,
         EXPR,
@@ -285,7 +345,16 @@ RULES = [
         "(is_hidden OR table_hidden) AND relationships = 0 AND NOT in_hierarchy AND NOT sorts_others",
     ),
     _r(42, MAINT, "Warning", USE, "Measure", "Remove unnecessary measures", "is_hidden AND referenced_by = 0"),
-    _r(43, MAINT, "Warning", USE, "Table", "Ensure tables have relationships", "relationships = 0"),
+    _r(
+        43,
+        MAINT,
+        "Warning",
+        USE,
+        "Table",
+        "Ensure tables have relationships",
+        "relationships = 0 AND calculation_items IS NULL",
+    ),
+    _r(44, MAINT, "Warning", USE, "Table", "Calculation groups without calculation items", "calculation_items = 0"),
     _r(
         45,
         MAINT,
@@ -469,6 +538,54 @@ def with_definition_facts(measures: DataFrame) -> DataFrame:
     )
 
 
+def with_relationship_facts(tables: DataFrame, relationships: DataFrame) -> DataFrame:
+    """Tables with their relationships: in all, as the from and the to side, as the one side, and
+    many-to-many. Relationships carry from_table, to_table and the cardinalities of both ends."""
+    many_to_many = (F.col("from_cardinality") == "many") & (F.col("to_cardinality") == "many")
+    ends = F.array(
+        F.struct(F.col("from_table").alias("t"), F.lit(1).alias("f"), F.lit(0).alias("o")),
+        F.struct(
+            F.col("to_table").alias("t"), F.lit(0).alias("f"), (F.col("to_cardinality") == "one").cast("int").alias("o")
+        ),
+    )
+    sides = relationships.select(many_to_many.cast("int").alias("m"), F.explode(ends).alias("e"))
+    facts = sides.groupBy(F.col("e.t").alias("_table")).agg(
+        F.count(F.lit(1)).alias("relationships"),
+        F.sum("e.f").alias("from_side"),
+        F.sum(1 - F.col("e.f")).alias("to_side"),
+        F.sum("e.o").alias("one_side"),
+        F.sum("m").alias("many_to_many"),
+    )
+    joined = tables.join(facts, F.col("name") == F.col("_table"), "left").drop("_table")
+    return joined.fillna(0, ["relationships", "from_side", "to_side", "one_side", "many_to_many"])
+
+
+def with_key_facts(columns: DataFrame, relationships: DataFrame) -> DataFrame:
+    """Columns with the relationships they take part in, on the many side and on the one side."""
+    ends = F.array(
+        F.struct(
+            F.col("from_table").alias("t"),
+            F.col("from_column").alias("c"),
+            (F.col("from_cardinality") == "many").cast("int").alias("m"),
+            F.lit(0).alias("o"),
+        ),
+        F.struct(
+            F.col("to_table").alias("t"),
+            F.col("to_column").alias("c"),
+            F.lit(0).alias("m"),
+            (F.col("to_cardinality") == "one").cast("int").alias("o"),
+        ),
+    )
+    facts = (
+        relationships.select(F.explode(ends).alias("e"))
+        .groupBy(F.col("e.t").alias("_table"), F.col("e.c").alias("_column"))
+        .agg(F.count(F.lit(1)).alias("relationships"), F.sum("e.m").alias("many_side"), F.sum("e.o").alias("one_side"))
+    )
+    own = (F.col("table_name") == F.col("_table")) & (F.col("name") == F.col("_column"))
+    joined = columns.join(facts, own, "left").drop("_table", "_column")
+    return joined.fillna(0, ["relationships", "many_side", "one_side"])
+
+
 def summary(found: DataFrame, severity: str | None = None, category: str | None = None) -> DataFrame:
     """Violations counted by severity, by category and by object type, optionally filtered first."""
     if severity is not None:

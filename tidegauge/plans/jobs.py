@@ -199,6 +199,8 @@ def measure_rules(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("").alias("description"),
         F.lit("").alias("format_string"),
         F.element_at(F.array(*bodies), (key % 6 + 1).cast("int")).alias("expression"),
+        F.lit(0).alias("unqualified_columns"),
+        F.lit(0).alias("qualified_measures"),
     )
     found = rules.violations({"Measure": rules.with_definition_facts(measures)})
     return found.groupBy("rule_id").agg(F.count(F.lit(1)).alias("n"))
