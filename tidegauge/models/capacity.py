@@ -106,3 +106,52 @@ def timepoints(df: DataFrame, by: Sequence[str], as_of: str) -> DataFrame:
         used, sku = (F.sum(F.when(recent, F.col(c))) for c in ("_cu", "_sku"))
         out[f"UsedShare_{n}d"] = M.ratio(as_double(used), as_double(sku))
     return M.by_groups(points, by, **out)
+
+
+# The metrics a timepoint row may carry that are plainly added up.
+TIMEPOINT_METRICS = (
+    "CarryOverAddedPercentage",
+    "CarryOverBurndownPercentage",
+    "CarryOverCumulativePercentage",
+    "ExpectedBurndownInMin",
+    "OverageReferenceLine",
+    "BackgroundRejectionPercentage",
+    "BackgroundRejectionThreshold",
+    "InteractiveRejectionPercentage",
+    "InteractiveRejectionThreshold",
+    "AutoscalePercentage",
+    "BackgroundPercentage",
+    "BackgroundNonBillablePercentage",
+    "CULimitPercentage",
+    "InteractivePercentage",
+    "InteractiveNonBillablePercentage",
+    "InteractiveDelayPercentage",
+    "SKUCUByTimePoint",
+    "TotalCUUsagePercentage",
+    "TotalCUs",
+)
+
+
+def timepoint_totals(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Sums of the metrics that the timepoint rows carry."""
+    return M.by_groups(df, by, **{c: as_double(F.sum(c)) for c in TIMEPOINT_METRICS if c in df.columns})
+
+
+def outliers(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """CU per day against the group's average day: the difference, and the outlier factor
+    ((CU - average) - average) / average."""
+    daily = M.by_groups(df, [*by, "Date"], CU=F.sum("TotalCUs"))
+    out = M.whatever_day(daily, by, "CU", "AnyDay", "AvgDay").withColumn("CU", as_double(F.col("CU")))
+    gap = F.col("CU") - F.col("AvgDay")
+    return out.withColumns({"VsAvg": gap, "OutlierFactor": M.ratio(gap - F.col("AvgDay"), F.col("AvgDay"))})
+
+
+def trend(df: DataFrame, by: Sequence[str], days: int = 30) -> DataFrame:
+    """Average CU per item and day over the trailing days, and how far the day's average is below it."""
+    items = M.by_groups(df, [*dict.fromkeys([*by, "ItemId", "Date"])], _cu=F.sum("TotalCUs"))
+    daily = M.by_groups(items, [*by, "Date"], _total=F.sum("_cu"), _n=M.rows())
+    out = M.trailing_average(daily, by, "Date", "_total", "_n", days, "Trend")
+    day = M.ratio(as_double(F.col("_total")), F.col("_n").cast("double"))
+    return out.select(
+        *by, "Date", day.alias("AvgCU"), "Trend", M.ratio(F.col("Trend") - day, F.col("Trend")).alias("TrendDifference")
+    )

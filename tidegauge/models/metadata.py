@@ -48,6 +48,17 @@ def dependencies(df: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def dictionary_sizes(columns: DataFrame, by: Sequence[str], unit: str = "bytes") -> DataFrame:
+    """Dictionary size of the data columns, and the average temperature of all dictionaries."""
+    own = F.when(F.col("COLUMN_TYPE") == "BASIC_DATA", F.col("DICTIONARY_SIZE"))
+    return M.by_groups(
+        columns,
+        by,
+        DictionarySize=M.scaled(F.sum(own), unit),
+        AvgTemperature=M.ratio(F.sum("DICTIONARY_TEMPERATURE"), F.count("DICTIONARY_TEMPERATURE")),
+    )
+
+
 def partition_statistics(partitions: DataFrame, by: Sequence[str], unit: str = "bytes") -> DataFrame:
     """Average, median, least and most rows per partition, and their data sizes in a unit."""
     simple = M.by_groups(

@@ -138,6 +138,57 @@ def capacity_growth(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("mon", F.date_format("Month", "yyyy-MM")).drop("Month")
 
 
+@query(
+    "MA_capacity_outliers",
+    f"""WITH {LINES}, s AS (SELECT item, d, sum(cu) AS cu FROM x GROUP BY 1, 2),
+    w AS (SELECT item, d, CAST(cu AS DOUBLE) AS cu, CAST(sum(cu) OVER (PARTITION BY item) AS DOUBLE) AS a, count(*) OVER (PARTITION BY item) AS n FROM s)
+    SELECT item AS "ItemId", strftime(d, '%Y-%m-%d') AS day, cu AS "CU", a AS "AnyDay", a / n AS "AvgDay", cu - a / n AS "VsAvg", (cu - a / n - a / n) / (a / n) AS "OutlierFactor" FROM w""",
+)
+def capacity_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    out = capacity.outliers(item_days(spark, sf), ["ItemId"])
+    return out.withColumn("day", F.col("Date").cast("string")).drop("Date")
+
+
+@query(
+    "MA_capacity_trend",
+    f"""WITH {LINES}, s AS (SELECT op, item, d, sum(cu) AS cu FROM x GROUP BY 1, 2, 3), y AS (SELECT op, d, sum(cu) AS t, count(*) AS n FROM s GROUP BY 1, 2),
+    z AS (SELECT op, d, CAST(t AS DOUBLE) / n AS a, CAST(sum(t) OVER w AS DOUBLE) / CAST(sum(n) OVER w AS DOUBLE) AS trend FROM y WINDOW w AS (PARTITION BY op ORDER BY d RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW))
+    SELECT op AS "Operation", strftime(d, '%Y-%m-%d') AS day, a AS "AvgCU", trend AS "Trend", (trend - a) / trend AS "TrendDifference" FROM z""",
+)
+def capacity_trend(spark: SparkSession, sf: str) -> DataFrame:
+    out = capacity.trend(item_days(spark, sf), ["Operation"])
+    return out.withColumn("day", F.col("Date").cast("string")).drop("Date")
+
+
+@query(
+    "MA_timepoint_totals",
+    """SELECT event_type, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS "TotalCUUsagePercentage", CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS "TotalCUs",
+        CAST(sum(user_id) AS DOUBLE) AS "SKUCUByTimePoint" FROM events GROUP BY 1""",
+)
+def timepoint_totals(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "events").select(
+        "event_type",
+        money("value").alias("TotalCUUsagePercentage"),
+        money("value").alias("TotalCUs"),
+        F.col("user_id").alias("SKUCUByTimePoint"),
+    )
+    return capacity.timepoint_totals(rows, ["event_type"])
+
+
+@query(
+    "MA_dictionary_sizes",
+    """SELECT l_suppkey, sum(l_partkey) FILTER (l_returnflag <> 'N') / 1024 AS "DictionarySize", sum(l_quantity) / count(*) AS "AvgTemperature" FROM lineitem GROUP BY 1""",
+)
+def dictionary_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "lineitem").select(
+        "l_suppkey",
+        F.when(F.col("l_returnflag") != "N", "BASIC_DATA").otherwise("ROWNUMBER").alias("COLUMN_TYPE"),
+        F.col("l_partkey").alias("DICTIONARY_SIZE"),
+        F.col("l_quantity").alias("DICTIONARY_TEMPERATURE"),
+    )
+    return metadata.dictionary_sizes(rows, ["l_suppkey"], "kilobytes")
+
+
 POINTS = "p AS (SELECT event_type, time_bucket(INTERVAL 5 MINUTE, ts) AS t, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS u, sum(CAST(value AS DECIMAL(12,2))) AS cu, sum(user_id) AS sku, max(user_id) AS top, count(*) FILTER (value > 1) AS th FROM events GROUP BY 1, 2)"
 
 
