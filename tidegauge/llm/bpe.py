@@ -16,6 +16,7 @@ import hashlib
 import json
 import re
 import unicodedata
+import uuid
 from typing import Any
 
 import ahocorasick
@@ -84,7 +85,7 @@ def load(path: str) -> dict[str, Any]:
     reached = [s for s in ids if len(s) == 1 or merged(s, ranks) == [s]]
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     strings = {i: t for t, i in [*vocab.items(), *special.items()]}
-    return {"path": path, "ids": ids, "pairs": pairs, "reached": reached, "special": special, "strings": strings}
+    return {"key": uuid.uuid4().hex, "ids": ids, "pairs": pairs, "reached": reached, "special": special, "strings": strings}
 
 
 class Encoder(dict):
@@ -232,7 +233,7 @@ def tables(spark: SparkSession, path: str):
 
 def _pair(spec) -> tuple[Encoder, Decoder]:
     parts = spec.value
-    return once_per_worker(("bpe", spec.id, parts["path"]), lambda: (Encoder(parts), Decoder(parts)))
+    return once_per_worker(("bpe", parts["key"]), lambda: (Encoder(parts), Decoder(parts)))
 
 
 def encoded(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
