@@ -17,10 +17,12 @@ import json
 import re
 import unicodedata
 import uuid
+from collections.abc import Iterator
 from typing import Any
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -253,7 +255,7 @@ def decoded(tokens: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "id
     spec = tables(tokens.sparkSession, path)
 
     @F.pandas_udf("string")
-    def decode(batches):
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         _, decoder = _pair(spec)
         for batch in batches:
             yield batch.map(lambda x: "" if x is None else decoder.decode(np.asarray(x, np.int64)))

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from typing import Any
 
 import pandas as pd
@@ -17,18 +22,37 @@ BATCH_ROWS = 1000
 BATCH_BYTES = 16 << 20
 
 
-def bounded_batches(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches that Python workers get by rows and by bytes."""
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, which need not have it installed; once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    folder = tempfile.mkdtemp(prefix="package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/{package.name}.zip", "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(f"{folder}/{package.name}.zip")
+    _SHIPPED.add(app)
+
+
+def for_workers(spark: SparkSession) -> SparkSession:
+    """Make Python workers ready: the package at hand, Arrow batches bounded by rows and by bytes."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
 def llm_query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """``registry.query`` with bounded Arrow batches."""
+    """``registry.query`` with Python workers made ready."""
 
     def register(fn: Query) -> Query:
-        query(name, sql)(lambda spark, folder: fn(bounded_batches(spark), folder))
+        query(name, sql)(lambda spark, folder: fn(for_workers(spark), folder))
         return fn
 
     return register

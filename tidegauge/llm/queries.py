@@ -5,10 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import bpe
+from tidegauge.llm import bpe, licences, token_counts
 from tidegauge.llm.common import documents, llm_query
 
 
+@llm_query("op7_licence_scan")
+def op7_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scanned(documents(spark, folder)).drop("spans")
+
+
+@llm_query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.counted(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @llm_query("op9_bpe_round_trip")
 def op9_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
