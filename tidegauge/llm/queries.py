@@ -5,8 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import bpe, licences, token_counts
+from tidegauge.llm import bpe, language, licences, token_counts, toxicity
 from tidegauge.llm.common import documents, llm_query
+from tidegauge.session import table
+
+
+@llm_query("op4_language_id")
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identified(documents(spark, folder))
 
 
 @llm_query("op7_licence_scan")
@@ -22,3 +28,8 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @llm_query("op9_bpe_round_trip")
 def op9_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@llm_query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(documents(spark, folder), table(spark, folder, "labels"))
