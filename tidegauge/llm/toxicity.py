@@ -28,7 +28,7 @@ from tidegauge.session import stored
 
 GRADES = 3
 #: Lengths of word beginnings that are features of their own.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (3, 4, 5, 6, 7)
 #: Characters of a word that are looked at; longer runs of letters are no words.
 LONGEST = 40
 #: Chance that any feature at all is kept by accident.
@@ -93,11 +93,12 @@ def exceed(scores: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
 
 
 def fit_ordinal(
-    rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, features: int, ridge: float = 1.0, rounds: int = 600
+    rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, features: int, ridge: float = 0.05, rounds: int = 1500
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds by gradient ascent (Adam) on the penalised likelihood.
 
-    Row ``rows[i]`` has feature ``cols[i]``. Thresholds are a first value and logarithms of gaps, so they stay ordered.
+    Row ``rows[i]`` has feature ``cols[i]``; a row's features are averaged, so that a single telling word suffices and the
+    length of a text does not matter. Thresholds are a first value and logarithms of gaps, so they stay ordered.
     """
     shares = [np.clip(np.mean(grades > k), 1e-4, 1 - 1e-4) for k in range(GRADES - 1)]
     first = math.log(1 / shares[0] - 1)
@@ -105,10 +106,11 @@ def fit_ordinal(
     values = np.concatenate([np.zeros(features), [first], gaps])
     moment, square = np.zeros_like(values), np.zeros_like(values)
     n = len(grades)
+    each = (1 / np.maximum(1, np.bincount(rows, minlength=n)))[rows]
     for step in range(1, rounds + 1):
         weights = values[:features]
         thresholds = values[features] + np.concatenate([[0.0], np.cumsum(np.exp(values[features + 1 :]))])
-        scores = np.bincount(rows, weights[cols], n)
+        scores = np.bincount(rows, weights[cols] * each, n)
         above = np.hstack([np.ones((n, 1)), exceed(scores, thresholds), np.zeros((n, 1))])
         slope = above * (1 - above)  # derivative of P(grade > k - 1) by the score
         at = np.arange(n)
@@ -119,14 +121,14 @@ def fit_ordinal(
             by_threshold[k] = np.sum(slope[:, k + 1] / likely * ((grades == k).astype(float) - (grades == k + 1)))
         gradient = np.concatenate(
             [
-                np.bincount(cols, by_score[rows], features) - ridge * weights,
+                np.bincount(cols, by_score[rows] * each, features) - ridge * weights,
                 [by_threshold.sum()],
                 [by_threshold[k:].sum() * math.exp(values[features + k]) for k in range(1, GRADES - 1)],
             ]
         )
         moment = 0.9 * moment + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
-        values = values + 0.05 * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
+        values = values + 0.1 * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
     thresholds = values[features] + np.concatenate([[0.0], np.cumsum(np.exp(values[features + 1 :]))])
     return values[:features], thresholds
 
@@ -229,7 +231,7 @@ def predictor(docs: DataFrame, model: Model):
         thresholds = np.array(fitted.thresholds)
         for batch in batches:
             found = [weigher.features(t) if isinstance(t, str) else set() for t in batch]
-            scores = np.array([sum(sorted(fitted.weights[f] for f in fs)) for fs in found], float)
+            scores = np.array([sum(sorted(fitted.weights[f] for f in fs)) / max(1, len(fs)) for fs in found], float)
             above = exceed(scores, thresholds)
             likely = -np.diff(np.hstack([np.ones((len(scores), 1)), above, np.zeros((len(scores), 1))]), axis=1)
             yield pd.DataFrame(
