@@ -5,11 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import bpe, language, licences, token_counts, toxicity
+from tidegauge.llm import bpe, language, licences, mixing, sharding, token_counts, toxicity
 from tidegauge.llm.common import documents, llm_query
 from tidegauge.session import table
 
 
+@llm_query("op2_lpt_shards")
+def op2_lpt_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.sharded(documents(spark, folder))
+
+
+@llm_query("op3_pareto_mixture", mixing.SQL)
+def op3_pareto_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @llm_query("op4_language_id")
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(documents(spark, folder))
