@@ -5,11 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import bpe, language, licences, mixing, sharding, token_counts, toxicity
+from tidegauge.llm import bpe, fingerprints, language, licences, mixing, sharding, token_counts, toxicity
 from tidegauge.llm.common import documents, llm_query
 from tidegauge.session import table
 
 
+@llm_query("op1_multiset_fingerprints")
+def op1_multiset_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited(documents(spark, folder))
+
+
 @llm_query("op2_lpt_shards")
 def op2_lpt_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(documents(spark, folder))
