@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import bpe, fingerprints, language, licences, mixing, sharding, token_counts, toxicity
+from tidegauge.llm import bpe, fingerprints, language, licences, mixing, ngram_join, sharding, token_counts, toxicity
 from tidegauge.llm.common import documents, llm_query
 from tidegauge.session import table
 
@@ -30,6 +30,11 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(documents(spark, folder))
 
 
+@llm_query("op6_ngram_jaccard_join")
+def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.linked(documents(spark, folder))
+
+
 @llm_query("op7_licence_scan")
 def op7_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scanned(documents(spark, folder)).drop("spans")
