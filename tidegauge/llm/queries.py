@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidegauge.llm import bpe, fingerprints, language, licences, mixing, ngram_join, sharding, token_counts, toxicity
+from tidegauge.llm import bpe, fingerprints, language, licences, mixing, neighbours, ngram_join, sharding, token_counts, toxicity
 from tidegauge.llm.common import documents, llm_query
 from tidegauge.session import table
 
@@ -30,6 +31,11 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(documents(spark, folder))
 
 
+@llm_query("op5_nn_descent")
+def op5_nn_descent(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @llm_query("op6_ngram_jaccard_join")
 def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.linked(documents(spark, folder))
