@@ -1,10 +1,10 @@
 """Approximate nearest neighbours: a neighbour graph by NN-descent, searched greedily.
 
-NN-descent starts from arbitrary neighbours and improves them by the rule that a neighbour's neighbour is likely a
-neighbour: every node introduces its neighbours (in both directions) to one another, and each keeps the best it has
-met. A round is a join of the graph with the vectors, a group per node, and a group per receiving node. Only pairs with
-at least one new neighbour are compared, and a node introduces at most ``sample`` neighbours per direction and round;
-those not introduced now stay new and are introduced later.
+NN-descent starts from rough neighbours (nodes on the same side of random hyperplanes) and improves them by the rule
+that a neighbour's neighbour is likely a neighbour: every node introduces its neighbours (in both directions) to one
+another, and each keeps the best it has met. A round joins the graph with the vectors, compares within a bounded list
+per node, and keeps the best per receiver. Only pairs with at least one new neighbour are compared, and a node
+introduces at most ``sample`` neighbours per direction and round; those not introduced now stay new and come later.
 
 A query walks the graph: the best nodes found so far are expanded to their neighbours until no better one turns up.
 All queries walk at once, one join per step.
@@ -15,6 +15,9 @@ rows are put back at the end.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -23,11 +26,13 @@ from pyspark.sql import functions as F
 from tidegauge.session import stored
 
 #: Neighbours kept per node, neighbours introduced per direction and round, and the most rounds.
-DEGREE, SAMPLE, ROUNDS = 24, 12, 10
-#: A round that improves less than this share of all edges is the last.
-SETTLED = 0.01
+DEGREE, SAMPLE, ROUNDS = 32, 16, 10
+#: Random partitions to start from, and the nodes of one of their groups on average.
+TREES, GROUP = 4, 64
+#: A round that changes less than this share of all edges is the last.
+SETTLED = 0.02
 #: Nodes that a query keeps in view, and that it starts from besides its own.
-VIEW, STARTS = 48, 24
+VIEW, STARTS = 64, 24
 #: Steps of a walk; each expands the best unexpanded nodes in view.
 STEPS, EXPANDED = 12, 8
 
@@ -41,60 +46,82 @@ def usable(vector: Column) -> Column:
 
 
 def nodes(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, DataFrame]:
-    """(members, nodes): (vec_id, node) of every usable row, and (node, vector) of distinct vectors, both stored.
+    """(members, nodes): (vec_id, node) of every usable row, and (node, vector, unit) of distinct vectors, both stored.
 
-    A node is named by the smallest id of its rows.
+    A node is named by the smallest id of its rows. ``unit`` is the vector at unit length in 32-bit floats, for the graph;
+    ``vector`` keeps the doubles that final scores are made of.
     """
     doubles = F.transform(F.col(vector), lambda x: x.cast("double"))
     kept = rows.filter(F.col(vec_id).isNotNull() & usable(F.col(vector))).select(
         F.col(vec_id).cast("long").alias("vec_id"), doubles.alias("vector")
     )
-    single = stored(kept.groupBy("vector").agg(F.min("vec_id").alias("node")).select("node", "vector"), "vectors")
-    members = stored(kept.join(single, "vector").select("vec_id", "node"), "vector-members")
+
+    @F.pandas_udf("binary")
+    def unit(vectors: pd.Series) -> pd.Series:
+        def one(v) -> bytes:
+            v = np.asarray(v, np.float64)
+            v = v / np.abs(v).max()  # keeps very large and very small vectors finite
+            return (v / np.linalg.norm(v)).astype("<f4").tobytes()
+
+        return vectors.map(one)
+
+    single = kept.groupBy("vector").agg(F.min("vec_id").alias("node"))
+    single = stored(single.select("node", "vector", unit("vector").alias("unit")), "vectors")
+    members = stored(kept.join(single.select("node", "vector"), "vector").select("vec_id", "node"), "vector-members")
     return members, single
 
 
-def _matrix(vectors) -> np.ndarray:
-    """Rows of unit length; scores inside the graph are their products."""
-    found = np.array([np.asarray(v, np.float64) for v in vectors])
-    found /= np.abs(found).max(axis=1, keepdims=True)  # keeps very large and very small vectors finite
-    return found / np.linalg.norm(found, axis=1, keepdims=True)
+def _matrix(units) -> np.ndarray:
+    return np.frombuffer(b"".join(units), "<f4").reshape(len(units), -1)
 
 
-def _first_edges(vectors: DataFrame, degree: int, salts: int) -> DataFrame:
-    """Arbitrary neighbours to start with: nodes that fall into the same small group by hash, ``salts`` times."""
-    size = max(2, degree // salts + 1)
-    total = vectors.count()
-    groups = max(1, total // size)
-    placed = vectors.select(
-        "node",
-        "vector",
-        F.posexplode(F.array(*[F.pmod(F.xxhash64("node", F.lit(s)), F.lit(groups)) for s in range(salts)])).alias("salt", "g"),
-    )
+def _first_edges(units: DataFrame, degree: int) -> DataFrame:
+    """(node, other, score): the best neighbours of each node among those on its side of some random hyperplanes.
+
+    ``TREES`` times, nodes with the same signs form a group; a group that is too large is cut by hash.
+    """
+    total = units.count()
+    planes = max(1, int(math.log2(max(2, total / GROUP))))
+
+    def sides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                unit = _matrix(batch["unit"])
+                for tree in range(TREES):
+                    normals = np.random.default_rng(tree).normal(size=(unit.shape[1], planes))
+                    code = (unit @ normals > 0) @ (1 << np.arange(planes))
+                    yield pd.DataFrame({"tree": tree, "code": code, "node": batch["node"], "unit": batch["unit"]})
+
+    placed = units.select("node", "unit").mapInPandas(sides, "tree int, code long, node long, unit binary")
+    crowd = placed.groupBy("tree", "code").agg(F.count(F.lit(1)).alias("n"))
+    parts = F.ceil(F.col("n") / (2 * GROUP))
+    cut = placed.join(crowd, ["tree", "code"]).withColumn("part", F.pmod(F.xxhash64("node", "tree"), parts))
 
     def pairs(key, rows: pd.DataFrame) -> pd.DataFrame:
-        # Group sizes vary little about the mean; a crowded group introduces each node to the following ones only.
-        names, unit = rows["node"].to_numpy(np.int64), _matrix(rows["vector"])
-        n = len(names)
-        steps = min(n - 1, size)
-        a = np.repeat(np.arange(n), steps)
-        b = (a + np.tile(np.arange(1, steps + 1), n)) % n
-        return pd.DataFrame({"node": names[a], "other": names[b], "score": np.einsum("ij,ij->i", unit[a], unit[b])})
+        names, unit = rows["node"].to_numpy(np.int64), _matrix(rows["unit"])
+        few = min(degree // 2, len(names) - 1)
+        if few <= 0:
+            return pd.DataFrame({"node": [], "other": [], "score": []})
+        scores = unit @ unit.T
+        np.fill_diagonal(scores, -2)
+        best = np.argpartition(-scores, few - 1, axis=1)[:, :few]
+        found = np.take_along_axis(scores, best, 1).astype(np.float64)
+        return pd.DataFrame({"node": np.repeat(names, few), "other": names[best].ravel(), "score": found.ravel()})
 
-    return placed.groupBy("salt", "g").applyInPandas(pairs, "node long, other long, score double")
+    return cut.groupBy("tree", "code", "part").applyInPandas(pairs, "node long, other long, score double")
 
 
 def _best(edges: DataFrame, degree: int) -> DataFrame:
     """The ``degree`` best edges of each node (node, other, score, fresh); known ones stay known."""
+    # false sorts before true: an edge that is known already stays known.
     single = edges.groupBy("node", "other").agg(F.max("score").alias("score"), F.min("fresh").alias("fresh"))
     rank = Window.partitionBy("node").orderBy(F.desc("score"), "other")
     return single.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= degree).drop("rank")
 
 
-def _introduced(graph: DataFrame, vectors: DataFrame, sample: int, turn: int) -> tuple[DataFrame, DataFrame]:
+def _introduced(graph: DataFrame, units: DataFrame, degree: int, sample: int, turn: int) -> tuple[DataFrame, DataFrame]:
     """(edges found by introductions, the graph with what has been introduced marked as known)."""
-    luck = F.xxhash64("node", "other", F.lit(turn))
-    ahead = Window.partitionBy("node", "fresh").orderBy(luck)
+    ahead = Window.partitionBy("node", "fresh").orderBy(F.xxhash64("node", "other", F.lit(turn)))
     chosen = stored(graph.withColumn("nth", F.row_number().over(ahead)), "neighbour-turn")
     marked = chosen.withColumn("fresh", F.col("fresh") & (F.col("nth") > sample)).drop("nth")
     out = chosen.filter(F.col("nth") <= sample).select("node", "other", "fresh")
@@ -103,46 +130,51 @@ def _introduced(graph: DataFrame, vectors: DataFrame, sample: int, turn: int) ->
     # A popular node is met by many: it introduces the first few of each kind in this round, others in later ones.
     back = back.withColumn("nth", F.row_number().over(behind)).filter(F.col("nth") <= sample).drop("nth")
     around = out.unionByName(back).groupBy("node", "other").agg(F.max("fresh").alias("fresh"))
-    with_vectors = around.join(vectors.withColumnRenamed("node", "other"), "other")
-
-    def introduce(key, rows: pd.DataFrame) -> pd.DataFrame:
-        names, fresh = rows["other"].to_numpy(np.int64), rows["fresh"].to_numpy(bool)
-        unit = _matrix(rows["vector"])
-        scores = unit @ unit.T
-        a, b = np.nonzero(np.triu(fresh[:, None] | fresh[None, :], 1))
-        both = scores[a, b]
-        return pd.DataFrame(
-            {
-                "node": np.concatenate([names[a], names[b]]),
-                "other": np.concatenate([names[b], names[a]]),
-                "score": np.concatenate([both, both]),
-            }
-        )
-
-    found = with_vectors.groupBy("node").applyInPandas(introduce, "node long, other long, score double")
-    return found, marked
+    # What a receiver already has as good is not worth sending: its worst kept score is the bar.
+    bars = marked.groupBy("node").agg(F.min("score").alias("worst"), F.count(F.lit(1)).alias("have"))
+    bar = F.when(F.col("have") >= degree, F.col("worst")).otherwise(-2.0)
+    others = units.select("node", "unit").join(bars, "node", "left").select(
+        F.col("node").alias("other"), "unit", F.coalesce(bar, F.lit(-2.0)).alias("bar")
+    )
+    # At most four times ``sample`` members a row.
+    met = around.join(others, "other").groupBy("node").agg(
+        F.collect_list(F.struct("other", "fresh", "bar", "unit")).alias("m")
+    )
+    met = met.select(*[F.col(f"m.{c}").alias(c) for c in ("other", "fresh", "bar", "unit")])
+
+    def introduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            to, new, score = [], [], []
+            for other, fresh, bar, unit in zip(batch["other"], batch["fresh"], batch["bar"], batch["unit"]):
+                names, fresh, bar = np.asarray(other, np.int64), np.asarray(fresh, bool), np.asarray(bar, np.float64)
+                vectors = _matrix(unit)
+                scores = (vectors @ vectors.T).astype(np.float64)
+                worth = (fresh[:, None] | fresh[None, :]) & (scores > bar[:, None])
+                np.fill_diagonal(worth, False)
+                a, b = np.nonzero(worth)
+                to.append(names[a])
+                new.append(names[b])
+                score.append(scores[a, b])
+            if to:
+                yield pd.DataFrame(
+                    {"node": np.concatenate(to), "other": np.concatenate(new), "score": np.concatenate(score)}
+                )
+
+    return met.mapInPandas(introduce, "node long, other long, score double"), marked
 
 
 def neighbour_graph(
-    vectors: DataFrame, degree: int = DEGREE, sample: int = SAMPLE, rounds: int = ROUNDS, settled: float = SETTLED
+    units: DataFrame, degree: int = DEGREE, sample: int = SAMPLE, rounds: int = ROUNDS, settled: float = SETTLED
 ) -> DataFrame:
-    """(node, other, score): about the ``degree`` nearest of each node by cosine, by NN-descent over (node, vector)."""
-    first = _first_edges(vectors, degree, 3).withColumn("fresh", F.lit(True))
+    """(node, other, score): about the ``degree`` nearest of each node by cosine, by NN-descent over (node, unit)."""
+    first = _first_edges(units, degree).withColumn("fresh", F.lit(True))
     graph = stored(_best(first, degree), "neighbours")
     edges = max(1, graph.count())
     for turn in range(1, rounds + 1):
-        found, marked = _introduced(graph, vectors, sample, turn)
-        # Of what a group finds only the best per node can matter; the worst kept edge is the bar.
-        bar = marked.groupBy("node").agg(F.min("score").alias("bar"), F.count(F.lit(1)).alias("have"))
-        better = (
-            found.join(bar, "node", "left")
-            .filter((F.coalesce("have", F.lit(0)) < degree) | (F.col("score") > F.col("bar")))
-            .select("node", "other", "score")
-            .withColumn("fresh", F.lit(True))
-        )
-        # false sorts before true: an edge that is known already stays known.
-        graph = stored(_best(marked.unionByName(better), degree), "neighbours")
-        if graph.filter("fresh").count() <= settled * edges:
+        found, marked = _introduced(graph, units, degree, sample, turn)
+        graph = stored(_best(marked.unionByName(found.withColumn("fresh", F.lit(True))), degree), "neighbours")
+        changed = graph.join(marked.select("node", "other"), ["node", "other"], "left_anti").count()
+        if changed <= settled * edges:
             break
     return graph.select("node", "other", "score")
 
@@ -158,7 +190,7 @@ def searched(
 ) -> DataFrame:
     """(query, node, score) of the nodes in each query's view at the end of its walk.
 
-    ``queries`` has (query, vector, entry): the walk starts at ``entry`` (may be null) and at ``starts`` nodes that are
+    ``queries`` has (query, unit, entry), ``vectors`` (node, unit): the walk starts at ``entry`` (may be null) and at ``starts`` nodes that are
     the same for all queries. Edges are walked in both directions.
     """
     # A node that many others point to is left by its nearest edges only.
@@ -169,7 +201,7 @@ def searched(
         "neighbour-ways",
     )
     common = vectors.orderBy(F.xxhash64("node")).limit(starts).select("node")
-    asked = stored(queries.select("query", F.col("vector").alias("asked"), "entry"), "neighbour-queries")
+    asked = stored(queries.select("query", F.col("unit").alias("asked"), "entry"), "neighbour-queries")
     begin = asked.filter("entry is not null").select("query", F.col("entry").alias("node"))
     # ``starts`` nodes for every query: a stated set against the queries, as their product.
     sown = asked.select("query", F.explode(F.array(*[F.lit(r["node"]) for r in common.collect()])).alias("node"))
@@ -178,11 +210,11 @@ def searched(
     def cosine(a: pd.Series, b: pd.Series) -> pd.Series:
         if not len(a):
             return pd.Series([], dtype="float64")
-        return pd.Series(np.einsum("ij,ij->i", _matrix(a), _matrix(b)))
+        return pd.Series(np.einsum("ij,ij->i", _matrix(a), _matrix(b)).astype(np.float64))
 
     def measured(pairs: DataFrame) -> DataFrame:
         joined = pairs.join(vectors, "node").join(asked.select("query", "asked"), "query")
-        return joined.select("query", "node", cosine("vector", "asked").alias("score"), F.lit(False).alias("done"))
+        return joined.select("query", "node", cosine("unit", "asked").alias("score"), F.lit(False).alias("done"))
 
     best = Window.partitionBy("query").orderBy(F.desc("score"), "node")
     next_up = Window.partitionBy("query", "done").orderBy(F.desc("score"), "node")
@@ -215,14 +247,15 @@ def nearest(
     """
     members, vectors = nodes(rows, vec_id, vector)
     members = members.distinct()
-    graph = stored(neighbour_graph(vectors), "neighbour-graph")
+    units = vectors.select("node", "unit")
+    graph = stored(neighbour_graph(units), "neighbour-graph")
     asked = members.join(
         rows.filter(is_query).select(F.col(vec_id).cast("long").alias("vec_id")).distinct(), "vec_id", "left_semi"
     ).select(F.col("vec_id").alias("query"), F.col("node").alias("entry"))
     # Queries with the same vector walk once.
     walks = asked.select("entry").distinct().join(vectors, F.col("entry") == F.col("node"))
-    walks = walks.select(F.col("entry").alias("query"), "vector", "entry")
-    found = searched(walks, vectors, graph)
+    walks = walks.select(F.col("entry").alias("query"), "unit", "entry")
+    found = searched(walks, units, graph)
     own = walks.select("query", F.col("entry").alias("node"), F.lit(1.0).alias("score"))
     met = stored(found.join(own.select("query", "node"), ["query", "node"], "left_anti").unionByName(own), "neighbour-met")
 
@@ -250,7 +283,7 @@ def nearest(
         return pd.Series(out)
 
     entry_vectors = vectors.select(F.col("node").alias("entry"), F.col("vector").alias("asked"))
-    final = pairs.join(vectors, "node").join(entry_vectors, "entry")
+    final = pairs.join(vectors.select("node", "vector"), "node").join(entry_vectors, "entry")
     final = final.select("query_id", "vec_id", exactly("vector", "asked").alias("score"))
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
