@@ -97,7 +97,7 @@ def _first_edges(units: DataFrame, degree: int) -> DataFrame:
     parts = F.ceil(F.col("n") / (2 * GROUP))
     cut = placed.join(crowd, ["tree", "code"]).withColumn("part", F.pmod(F.xxhash64("node", "tree"), parts))
 
-    def pairs(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def pairs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         names, unit = rows["node"].to_numpy(np.int64), _matrix(rows["unit"])
         few = min(degree // 2, len(names) - 1)
         if few <= 0:

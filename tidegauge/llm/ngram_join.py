@@ -230,7 +230,7 @@ def spread(docs: DataFrame, text: str, buckets: int, hot) -> DataFrame:
 def shared_tokens(spread_out: DataFrame, buckets: int, homes: int, hot) -> DataFrame:
     """Per bucket and home, the tokens that occur in more than one set: (home, sets, sizes, held, tokens, counts)."""
 
-    def count(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         bucket = int(key[0])
         names = np.concatenate([np.frombuffer(x, np.int64) for x in rows["sets"]])
         sizes = np.concatenate([np.frombuffer(x, "<u4") for x in rows["sizes"]])
@@ -282,7 +282,7 @@ def shared_tokens(spread_out: DataFrame, buckets: int, homes: int, hot) -> DataF
 def indexed(shared: DataFrame) -> DataFrame:
     """(class, n, tokens, signatures) of the sets that can have a partner: enough of their tokens are shared."""
 
-    def assemble(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def assemble(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         names = np.concatenate([np.frombuffer(x, np.int64) for x in rows["sets"]])
         sizes = np.concatenate([np.frombuffer(x, "<u4") for x in rows["sizes"]])
         held = np.concatenate([np.frombuffer(x, "<u4") for x in rows["held"]])
