@@ -204,9 +204,9 @@ def test_clean_names():
 def test_all_rules_are_valid_predicates(spark):
     """Each scope's rules resolve against the documented columns."""
     shapes = {
-        "Column": "name string, table_name string, data_type string, column_type string, is_hidden boolean, table_hidden boolean, description string, format_string string, summarize_by string, data_category string, table_category string, source_column string, is_key boolean, sort_by string, in_mdx boolean, expression string, relationships int, many_side int, one_side int, in_hierarchy boolean, sorts_others boolean",
+        "Column": "name string, table_name string, data_type string, column_type string, is_hidden boolean, table_hidden boolean, description string, format_string string, summarize_by string, data_category string, table_category string, source_column string, is_key boolean, sort_by string, in_mdx boolean, expression string, relationships int, many_side int, one_side int, in_hierarchy boolean, sorts_others boolean, direct boolean",
         "Measure": "name string, is_hidden boolean, description string, format_string string, expression string, referenced_by int, same_definition int, is_reference boolean, unqualified_columns int, qualified_measures int",
-        "Table": "name string, is_hidden boolean, description string, data_category string, table_type string, partitions int, import_partitions int, row_count bigint, relationships int, from_side int, to_side int, one_side int, many_to_many int, has_security boolean, activated_in_measures boolean, model_hybrid boolean, calculation_items int",
+        "Table": "name string, is_hidden boolean, description string, data_category string, table_type string, partitions int, import_partitions int, row_count bigint, relationships int, from_side int, to_side int, one_side int, many_to_many int, has_security boolean, activated_in_measures boolean, model_hybrid boolean, direct boolean, field_parameter boolean, calculation_items int",
         "Relationship": "name string, from_cardinality string, to_cardinality string, cross_filter string, from_type string, to_type string, is_active boolean, activated boolean",
         "Partition": "name string, mode string, source_type string, expression string, coverage string, hybrid boolean",
         "Security": "name string, filter_expression string",
@@ -216,7 +216,7 @@ def test_all_rules_are_valid_predicates(spark):
     }
     rows_ = {
         "Relationship": [("r", "many", "many", "BothDirections", "Int64", "String", False, False)],
-        "Table": [("LocalDateTable_1", False, None, None, "Calculated", 1, 1, 30000000, 0, 1, 1, 1, 1, True, True, True, None), ("Group", False, "d", None, "Group", 1, 0, 1, 0, 0, 0, 0, 0, False, False, False, 0)],
+        "Table": [("LocalDateTable_1", False, None, None, "Calculated", 1, 1, 30000000, 0, 1, 1, 1, 1, True, True, True, False, False, None), ("Group", False, "d", None, "Group", 1, 0, 1, 0, 0, 0, 0, 0, False, False, False, False, False, 0), ("Direct", False, "d", None, "Calculated", 1, 0, 30000000, 1, 0, 0, 0, 0, False, False, False, True, True, None)],
         "Partition": [("P", "DirectQuery", "M", 'x = Table.Join("a")', None, True)],
         "Security": [("S", "USERPRINCIPALNAME() = upper(x)")],
         "Model": [("Model", 0, 0.5, 1, 0, True)],
@@ -230,6 +230,7 @@ def test_all_rules_are_valid_predicates(spark):
     objects = {k: spark.createDataFrame(rows_.get(k, []), v) for k, v in shapes.items()}
     found = {}
     for r in rules.violations(objects).collect():
+        assert r["object_name"] != "Direct"
         found.setdefault(r["object_type"], set()).add(r["rule_id"])
     assert found["Relationship"] == {3, 6, 24, 40, 55}
     assert found["Table"] == {5, 10, 12, 15, 18, 19, 20, 27, 43, 44, 45}

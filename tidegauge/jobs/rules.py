@@ -6,11 +6,11 @@ so all rules of a scope are evaluated in one pass and give one row per violation
 Columns a scope may use. Column: name, table_name, data_type, column_type, is_hidden,
 table_hidden, description, format_string, summarize_by, data_category, table_category,
 source_column, is_key, sort_by, in_mdx, expression, relationships, many_side, one_side,
-in_hierarchy, sorts_others. Measure: name, is_hidden, description, format_string, expression,
+in_hierarchy, sorts_others, direct (the model reads its storage directly). Measure: name, is_hidden, description, format_string, expression,
 referenced_by, same_definition, is_reference, unqualified_columns, qualified_measures. Table: name, is_hidden, description, data_category,
 table_type, partitions, import_partitions, row_count, relationships, from_side, to_side, one_side,
-many_to_many, has_security, activated_in_measures, model_hybrid, calculation_items (null unless the
-table is a calculation group).
+many_to_many, has_security, activated_in_measures, model_hybrid, direct, field_parameter,
+calculation_items (null unless the table is a calculation group).
 Relationship: name, from_cardinality, to_cardinality, cross_filter, from_type, to_type, is_active,
 activated. Partition: name, mode, source_type, expression, coverage, hybrid. Security: name,
 filter_expression. Model: name, date_tables, bad_relationship_share, dual_partitions,
@@ -33,12 +33,11 @@ class Rule:
     severity: str
     impact: str
     scopes: tuple[str, ...]
-    name: str
     predicate: str
 
 
-def _r(id_: int, category: str, severity: str, impact: str, scopes: str, name: str, predicate: str) -> Rule:
-    return Rule(id_, category, severity, impact, tuple(scopes.split(",")), name, predicate)
+def _r(id_: int, category: str, severity: str, impact: str, scopes: str, predicate: str) -> Rule:
+    return Rule(id_, category, severity, impact, tuple(scopes.split(",")), predicate)
 
 
 PERF, ERR, EXPR, MAINT, FMT, NAMES = (
@@ -55,15 +54,14 @@ ALL = "Table,Column,Measure,Partition,Hierarchy"
 
 # The rule catalogue (ids, severities, thresholds and patterns).
 RULES = [
-    _r(1, PERF, "Warning", QUERY, "Column", "Do not use floating point data types", "data_type = 'Double'"),
-    _r(2, PERF, "Warning", BACK, "Column", "Avoid using calculated columns", "column_type = 'Calculated'"),
+    _r(1, PERF, "Warning", QUERY, "Column", "data_type = 'Double'"),
+    _r(2, PERF, "Warning", BACK, "Column", "column_type = 'Calculated'"),
     _r(
         3,
         PERF,
         "Warning",
         QUERY,
         "Relationship",
-        "Check bi-directional and many-to-many relationships",
         "(from_cardinality = 'many' AND to_cardinality = 'many') OR cross_filter = 'BothDirections'",
     ),
     _r(
@@ -72,7 +70,6 @@ RULES = [
         "Info",
         QUERY,
         "Security",
-        "Check if dynamic row level security is necessary",
         r"filter_expression RLIKE r'(?i)USER(PRINCIPAL)?NAME\(\)'",
     ),
     _r(
@@ -81,7 +78,6 @@ RULES = [
         "Warning",
         QUERY,
         "Table",
-        "Avoid many-to-many relationships on secured tables",
         "many_to_many > 0 AND has_security",
     ),
     _r(
@@ -90,7 +86,6 @@ RULES = [
         "Warning",
         QUERY,
         "Relationship",
-        "Many-to-many relationships should be single-direction",
         "from_cardinality = 'many' AND to_cardinality = 'many' AND cross_filter = 'BothDirections'",
     ),
     _r(
@@ -99,8 +94,7 @@ RULES = [
         "Warning",
         QUERY,
         "Column",
-        "Turn off attribute hierarchies of non-attribute columns",
-        "in_mdx AND (is_hidden OR table_hidden) AND sort_by IS NULL AND NOT sorts_others AND NOT in_hierarchy",
+        "in_mdx AND (is_hidden OR table_hidden) AND sort_by IS NULL AND NOT sorts_others AND NOT in_hierarchy AND NOT direct",
     ),
     _r(
         8,
@@ -108,7 +102,6 @@ RULES = [
         "Warning",
         QUERY,
         "Partition",
-        "Set data coverage on query partitions of hybrid tables",
         "hybrid AND mode = 'DirectQuery' AND coverage IS NULL",
     ),
     _r(
@@ -117,7 +110,6 @@ RULES = [
         "Warning",
         QUERY,
         "Model",
-        "Dual mode is only useful next to query-mode facts",
         "dual_partitions > 0 AND query_partitions = 0",
     ),
     _r(
@@ -126,7 +118,6 @@ RULES = [
         "Warning",
         BACK,
         "Table",
-        "Set dimensions to dual mode next to query-mode facts",
         "import_partitions = 1 AND partitions = 1 AND model_hybrid AND one_side > 0",
     ),
     _r(
@@ -135,7 +126,6 @@ RULES = [
         "Warning",
         BACK,
         "Partition",
-        "Minimise transformations in the source query",
         r"source_type = 'M' AND expression RLIKE r'Table\.(Combine|Join|NestedJoin|AddColumn|Group|Sort|Pivot|Unpivot|UnpivotOtherColumns|Distinct)\(\"|\[Query=\(\"\"SELECT|Value\.NativeQuery|OleDb\.Query|Odbc\.Query'",
     ),
     _r(
@@ -144,27 +134,24 @@ RULES = [
         "Warning",
         QUERY,
         "Table",
-        "Consider a star schema instead of a snowflake",
         "calculation_items IS NULL AND from_side > 0 AND to_side > 0",
     ),
-    _r(13, PERF, "Warning", QUERY, "Model", "Avoid views in direct storage mode", "uses_views"),
+    _r(13, PERF, "Warning", QUERY, "Model", "uses_views"),
     _r(
         14,
         PERF,
         "Warning",
         QUERY,
         "Measure",
-        "Avoid adding 0 to a measure",
         r"replace(expression, ' ', '') LIKE '0+%' OR replace(expression, ' ', '') LIKE '%+0' OR expression RLIKE r'(?i)DIVIDE\s*\(\s*[^,]+,\s*[^,]+,\s*0\s*\)' OR expression RLIKE r'(?i)IFERROR\s*\(\s*[^,]+,\s*0\s*\)'",
     ),
-    _r(15, PERF, "Warning", BACK, "Table", "Reduce usage of calculated tables", "table_type = 'Calculated'"),
+    _r(15, PERF, "Warning", BACK, "Table", "table_type = 'Calculated' AND NOT field_parameter"),
     _r(
         16,
         PERF,
         "Warning",
         QUERY,
         "Column",
-        "Reduce calculated columns that use RELATED",
         r"column_type = 'Calculated' AND expression RLIKE r'(?i)related\s*\('",
     ),
     _r(
@@ -173,7 +160,6 @@ RULES = [
         "Warning",
         QUERY,
         "Model",
-        "Avoid excessive bi-directional or many-to-many relationships",
         "bad_relationship_share > 0.3",
     ),
     _r(
@@ -182,7 +168,6 @@ RULES = [
         "Warning",
         QUERY,
         "Table",
-        "Remove auto-date tables",
         "table_type = 'Calculated' AND (name LIKE 'DateTableTemplate\\_%' OR name LIKE 'LocalDateTable\\_%')",
     ),
     _r(
@@ -191,7 +176,6 @@ RULES = [
         "Warning",
         USE,
         "Table",
-        "Mark date and calendar tables as date tables",
         "name RLIKE '(?i)date|calendar' AND NOT (data_category <=> 'Time')",
     ),
     _r(
@@ -200,8 +184,7 @@ RULES = [
         "Warning",
         BACK,
         "Table",
-        "Large tables should be partitioned",
-        "partitions = 1 AND row_count > 25000000",
+        "partitions = 1 AND row_count > 25000000 AND NOT direct",
     ),
     _r(
         21,
@@ -209,17 +192,15 @@ RULES = [
         "Warning",
         QUERY,
         "Security",
-        "Limit row level security logic",
         r"filter_expression RLIKE r'(?i)(right|left|filter|upper|lower|find)\('",
     ),
-    _r(22, PERF, "Warning", USE, "Model", "Model should have a date table", "date_tables = 0"),
+    _r(22, PERF, "Warning", USE, "Model", "date_tables = 0"),
     _r(
         23,
         ERR,
         "Error",
         USE,
         "CalculationItem",
-        "Calculation items must have an expression",
         "coalesce(expression, '') = ''",
     ),
     _r(
@@ -228,7 +209,6 @@ RULES = [
         "Warning",
         QUERY,
         "Relationship",
-        "Relationship columns should have the same type",
         "from_type <> to_type",
     ),
     _r(
@@ -237,7 +217,6 @@ RULES = [
         "Error",
         USE,
         "Column",
-        "Data columns must have a source column",
         "column_type = 'Data' AND coalesce(source_column, '') = ''",
     ),
     _r(
@@ -246,8 +225,7 @@ RULES = [
         "Warning",
         QUERY,
         "Column",
-        "Turn on attribute hierarchies of necessary columns",
-        "NOT in_mdx AND (sorts_others OR in_hierarchy OR sort_by IS NOT NULL)",
+        "NOT in_mdx AND (sorts_others OR in_hierarchy OR sort_by IS NOT NULL) AND NOT direct",
     ),
     _r(
         27,
@@ -255,17 +233,15 @@ RULES = [
         "Error",
         QUERY,
         "Table",
-        "Avoid activated relationships on secured tables",
         "activated_in_measures AND has_security",
     ),
-    _r(28, EXPR, "Warning", QUERY, "Measure", "Avoid the IFERROR function", r"expression RLIKE r'(?i)iferror\s*\('"),
+    _r(28, EXPR, "Warning", QUERY, "Measure", r"expression RLIKE r'(?i)iferror\s*\('"),
     _r(
         29,
         EXPR,
         "Warning",
         QUERY,
         "Measure",
-        "Use TREATAS instead of INTERSECT",
         r"expression RLIKE r'(?i)intersect\s*\('",
     ),
     _r(
@@ -274,18 +250,16 @@ RULES = [
         "Warning",
         USE,
         "Measure",
-        "No EVALUATEANDLOG in production",
         r"expression RLIKE r'(?i)evaluateandlog\s*\('",
     ),
-    _r(31, EXPR, "Warning", USE, "Measure", "Measures should not be plain references", "is_reference"),
-    _r(32, EXPR, "Warning", USE, "Measure", "No two measures with the same definition", "same_definition > 1"),
+    _r(31, EXPR, "Warning", USE, "Measure", "is_reference"),
+    _r(32, EXPR, "Warning", USE, "Measure", "same_definition > 1"),
     _r(
         33,
         EXPR,
         "Warning",
         QUERY,
         "Measure",
-        "Avoid adding constants to results of divisions",
         r"expression RLIKE r'(?i)DIVIDE\s*\((\s*.*?)\)\s*[+-]\s*1|\/\s*.*(?=[-+]\s*1)'",
     ),
     _r(
@@ -294,7 +268,6 @@ RULES = [
         "Warning",
         QUERY,
         "Measure",
-        "Avoid the 1-(x/y) syntax",
         r"expression RLIKE r'(?i)[0-9]+\s*[-+]\s*DIVIDE\s*\('",
     ),
     _r(
@@ -303,7 +276,6 @@ RULES = [
         "Warning",
         QUERY,
         "Measure",
-        "Filter measure values by columns, not tables",
         r"expression RLIKE r'(?i)CALCULATE(TABLE)?\s*\(\s*[^,]+,\s*FILTER\s*\(\s*\x27*[A-Za-z0-9 _]+\x27*\s*,\s*\['",
     ),
     _r(
@@ -312,7 +284,6 @@ RULES = [
         "Warning",
         QUERY,
         "Measure",
-        "Filter column values with proper syntax",
         r"expression RLIKE r'(?i)CALCULATE(TABLE)?\s*\([^,]*,\s*FILTER\s*\(\s*\x27*[A-Za-z0-9 _]+\x27*\s*,\s*\x27*[A-Za-z0-9 _]+\x27*\[[A-Za-z0-9 _]+\]'",
     ),
     _r(
@@ -321,18 +292,16 @@ RULES = [
         "Warning",
         QUERY,
         "Measure",
-        "Use the DIVIDE function for division",
         r"expression RLIKE r'[\])]\s*/(?!/)(?!\*)'",
     ),
-    _r(38, EXPR, "Error", USE, "Measure", "Column references should be fully qualified", "unqualified_columns > 0"),
-    _r(39, EXPR, "Error", USE, "Measure", "Measure references should be unqualified", "qualified_measures > 0"),
+    _r(38, EXPR, "Error", USE, "Measure", "unqualified_columns > 0"),
+    _r(39, EXPR, "Error", USE, "Measure", "qualified_measures > 0"),
     _r(
         40,
         EXPR,
         "Warning",
         USE,
         "Relationship",
-        "Inactive relationships that are never activated",
         "NOT is_active AND NOT activated",
     ),
     _r(
@@ -341,27 +310,24 @@ RULES = [
         "Warning",
         USE,
         "Column",
-        "Remove unnecessary columns",
         "(is_hidden OR table_hidden) AND relationships = 0 AND NOT in_hierarchy AND NOT sorts_others",
     ),
-    _r(42, MAINT, "Warning", USE, "Measure", "Remove unnecessary measures", "is_hidden AND referenced_by = 0"),
+    _r(42, MAINT, "Warning", USE, "Measure", "is_hidden AND referenced_by = 0"),
     _r(
         43,
         MAINT,
         "Warning",
         USE,
         "Table",
-        "Ensure tables have relationships",
         "relationships = 0 AND calculation_items IS NULL",
     ),
-    _r(44, MAINT, "Warning", USE, "Table", "Calculation groups without calculation items", "calculation_items = 0"),
+    _r(44, MAINT, "Warning", USE, "Table", "calculation_items = 0"),
     _r(
         45,
         MAINT,
         "Info",
         USE,
         "Column,Measure,Table",
-        "Visible objects with no description",
         "NOT is_hidden AND coalesce(description, '') = ''",
     ),
     _r(
@@ -370,7 +336,6 @@ RULES = [
         "Warning",
         USE,
         "Column",
-        "Provide format string for date columns",
         "name RLIKE '(?i)date' AND data_type = 'DateTime' AND NOT (format_string <=> 'mm/dd/yyyy')",
     ),
     _r(
@@ -379,7 +344,6 @@ RULES = [
         "Warning",
         QUERY,
         "Column",
-        "Do not summarise numeric columns",
         f"{NUMERIC} AND NOT (summarize_by <=> 'None') AND NOT (is_hidden OR table_hidden)",
     ),
     _r(
@@ -388,7 +352,6 @@ RULES = [
         "Info",
         USE,
         "Measure",
-        "Provide format string for measures",
         "NOT is_hidden AND coalesce(format_string, '') = ''",
     ),
     _r(
@@ -397,7 +360,6 @@ RULES = [
         "Info",
         USE,
         "Column",
-        "Add data category for columns",
         "coalesce(data_category, '') = '' AND name RLIKE '(?i)^(country|city|continent|latitude|longitude)'",
     ),
     _r(
@@ -406,7 +368,6 @@ RULES = [
         "Warning",
         USE,
         "Measure",
-        "Percentages need thousands separators and 1 decimal",
         "format_string LIKE '%\\%%' AND format_string <> '#,0.0%;-#,0.0%;#,0.0%'",
     ),
     _r(
@@ -415,17 +376,15 @@ RULES = [
         "Warning",
         USE,
         "Measure",
-        "Whole numbers need thousands separators and no decimals",
         "NOT contains(coalesce(format_string, ''), '$') AND NOT contains(coalesce(format_string, ''), '%') AND coalesce(format_string, '') NOT IN ('#,0', '#,0.0')",
     ),
-    _r(52, FMT, "Info", USE, "Column", "Hide foreign keys", "NOT is_hidden AND many_side > 0"),
+    _r(52, FMT, "Info", USE, "Column", "NOT is_hidden AND many_side > 0"),
     _r(
         53,
         FMT,
         "Info",
         USE,
         "Column",
-        "Mark primary keys",
         "one_side > 0 AND NOT is_key AND NOT (table_category <=> 'Time')",
     ),
     _r(
@@ -434,7 +393,6 @@ RULES = [
         "Info",
         USE,
         "Column",
-        "Month text columns must be sorted",
         "name RLIKE '(?i)month' AND NOT name RLIKE '(?i)months' AND data_type = 'String' AND coalesce(sort_by, '') = ''",
     ),
     _r(
@@ -443,7 +401,6 @@ RULES = [
         "Warning",
         QUERY,
         "Relationship",
-        "Relationship columns should be integers",
         "from_type <> 'Int64' OR to_type <> 'Int64'",
     ),
     _r(
@@ -452,7 +409,6 @@ RULES = [
         "Warning",
         USE,
         "Column",
-        "Provide format string for month columns",
         "name RLIKE '(?i)month' AND data_type = 'DateTime' AND NOT (format_string <=> 'MMMM yyyy')",
     ),
     _r(
@@ -461,32 +417,34 @@ RULES = [
         "Info",
         USE,
         "Column",
-        "Format flag columns as Yes/No",
         "NOT (is_hidden OR table_hidden) AND ((lower(name) LIKE 'is%' AND data_type = 'Int64') OR (lower(name) LIKE '% flag' AND data_type <> 'String'))",
     ),
-    _r(58, FMT, "Error", USE, ALL, "Objects should not start or end with a space", "name LIKE ' %' OR name LIKE '% '"),
+    _r(58, FMT, "Error", USE, ALL, "name LIKE ' %' OR name LIKE '% '"),
     _r(
         59,
         FMT,
         "Info",
         USE,
         ALL,
-        "First letter of objects must be capitalised",
         "left(name, 1) <> upper(left(name, 1))",
     ),
-    _r(60, NAMES, "Warning", USE, ALL, "Object names must not contain special characters", r"name RLIKE r'[\t\r\n]'"),
+    _r(60, NAMES, "Warning", USE, ALL, r"name RLIKE r'[\t\r\n]'"),
 ]
 
 
 def catalogue(spark, rules: Sequence[Rule] = RULES) -> DataFrame:
-    rows = [(r.id, r.category, r.severity, r.impact, ",".join(r.scopes), r.name) for r in rules]
+    """One row per rule; ``rule`` is the predicate that a violating object fulfils."""
+    rows = [(r.id, r.category, r.severity, r.impact, ",".join(r.scopes), r.predicate) for r in rules]
     return spark.createDataFrame(
         rows, "rule_id int, category string, severity string, impact string, scopes string, rule string"
     )
 
 
 def violations(objects: Mapping[str, DataFrame], rules: Sequence[Rule] = RULES) -> DataFrame:
-    """One row per violated rule and object; ``objects`` maps a scope to its metadata rows."""
+    """One row per violated rule and object; ``objects`` maps a scope to its metadata rows.
+
+    ``table_name`` tells equal names of different tables apart; it is null in scopes that have none.
+    """
     out = None
     for scope, df in objects.items():
         hits = [
@@ -504,11 +462,10 @@ def violations(objects: Mapping[str, DataFrame], rules: Sequence[Rule] = RULES)
         ]
         if not hits:
             continue
+        owner = F.col("table_name") if "table_name" in df.columns else F.lit(None).cast("string").alias("table_name")
         part = df.select(
-            F.col("name").alias("object_name"), F.explode(F.array_compact(F.array(*hits))).alias("v")
-        ).select(
-            F.lit(scope).alias("object_type"), "object_name", "v.*"
-        )
+            F.col("name").alias("object_name"), owner, F.explode(F.array_compact(F.array(*hits))).alias("v")
+        ).select(F.lit(scope).alias("object_type"), "table_name", "object_name", "v.*")
         out = part if out is None else out.unionByName(part)
     if out is None:
         raise ValueError("no scope with rules")

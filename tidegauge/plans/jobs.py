@@ -110,27 +110,27 @@ COLUMN_OBJECTS = """c AS (SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'Orde
         WHEN 6 THEN 'Sales Month' ELSE 'Value' END AS name, CASE p_size % 5 WHEN 0 THEN 'Double' WHEN 1 THEN 'Int64' WHEN 2 THEN 'DateTime' WHEN 3 THEN 'String' ELSE 'Decimal' END AS data_type,
         CASE WHEN p_type = 'PROMO' THEN 'Calculated' ELSE 'Data' END AS column_type, p_brand = 'Brand#1' AS is_hidden, p_brand = 'Brand#2' AS table_hidden,
         CASE WHEN p_partkey % 3 = 0 THEN 'text' END AS description, CASE WHEN p_partkey % 2 = 0 THEN 'mm/dd/yyyy' ELSE 'MMMM yyyy' END AS format_string, CASE WHEN p_size > 25 THEN 'None' ELSE 'Sum' END AS summarize_by,
-        p_size % 4 AS relationships, p_size % 7 = 0 AS in_hierarchy, p_size % 11 = 0 AS sorts_others, p_partkey % 4 = 0 AS in_mdx FROM part)"""
+        p_size % 4 AS relationships, p_size % 7 = 0 AS in_hierarchy, p_size % 11 = 0 AS sorts_others, p_partkey % 4 = 0 AS in_mdx, p_type = 'STANDARD' AS direct, p_type FROM part)"""
 
 COLUMN_RULES = f"""WITH {COLUMN_OBJECTS}, v AS (
-    SELECT name, 1 AS rule_id, 'Performance' AS category, 'Warning' AS severity, 'Query Operation' AS impact FROM c WHERE data_type = 'Double'
-    UNION ALL SELECT name, 2, 'Performance', 'Warning', 'Background Operation' FROM c WHERE column_type = 'Calculated'
-    UNION ALL SELECT name, 7, 'Performance', 'Warning', 'Query Operation' FROM c WHERE in_mdx AND (is_hidden OR table_hidden) AND NOT sorts_others AND NOT in_hierarchy
-    UNION ALL SELECT name, 16, 'Performance', 'Warning', 'Query Operation' FROM c WHERE column_type = 'Calculated'
-    UNION ALL SELECT name, 25, 'Error Prevention', 'Error', 'Usability' FROM c WHERE column_type = 'Data' AND p_partkey % 9 = 0
-    UNION ALL SELECT name, 26, 'Error Prevention', 'Warning', 'Query Operation' FROM c WHERE NOT in_mdx AND (sorts_others OR in_hierarchy)
-    UNION ALL SELECT name, 41, 'Maintenance', 'Warning', 'Usability' FROM c WHERE (is_hidden OR table_hidden) AND relationships = 0 AND NOT in_hierarchy AND NOT sorts_others
-    UNION ALL SELECT name, 45, 'Maintenance', 'Info', 'Usability' FROM c WHERE NOT is_hidden AND description IS NULL
-    UNION ALL SELECT name, 46, 'Formatting', 'Warning', 'Usability' FROM c WHERE name = 'Order Date' AND data_type = 'DateTime' AND format_string <> 'mm/dd/yyyy'
-    UNION ALL SELECT name, 47, 'Formatting', 'Warning', 'Query Operation' FROM c WHERE data_type IN ('Int64', 'Decimal', 'Double') AND summarize_by <> 'None' AND NOT is_hidden AND NOT table_hidden
-    UNION ALL SELECT name, 49, 'Formatting', 'Info', 'Usability' FROM c WHERE name = 'City'
-    UNION ALL SELECT name, 52, 'Formatting', 'Info', 'Usability' FROM c WHERE NOT is_hidden AND relationships = 3
-    UNION ALL SELECT name, 53, 'Formatting', 'Info', 'Usability' FROM c WHERE relationships = 2 AND NOT in_hierarchy
-    UNION ALL SELECT name, 54, 'Formatting', 'Info', 'Usability' FROM c WHERE name IN ('month', 'Sales Month') AND data_type = 'String'
-    UNION ALL SELECT name, 56, 'Formatting', 'Warning', 'Usability' FROM c WHERE name IN ('month', 'Sales Month') AND data_type = 'DateTime' AND format_string <> 'MMMM yyyy'
-    UNION ALL SELECT name, 57, 'Formatting', 'Info', 'Usability' FROM c WHERE NOT is_hidden AND NOT table_hidden AND ((name = 'IsOpen' AND data_type = 'Int64') OR (name = 'Done flag' AND data_type <> 'String'))
-    UNION ALL SELECT name, 58, 'Formatting', 'Error', 'Usability' FROM c WHERE name = ' Trailing'
-    UNION ALL SELECT name, 59, 'Formatting', 'Info', 'Usability' FROM c WHERE name = 'month')"""
+    SELECT p_type AS table_name, name, 1 AS rule_id, 'Performance' AS category, 'Warning' AS severity, 'Query Operation' AS impact FROM c WHERE data_type = 'Double'
+    UNION ALL SELECT p_type, name, 2, 'Performance', 'Warning', 'Background Operation' FROM c WHERE column_type = 'Calculated'
+    UNION ALL SELECT p_type, name, 7, 'Performance', 'Warning', 'Query Operation' FROM c WHERE in_mdx AND (is_hidden OR table_hidden) AND NOT sorts_others AND NOT in_hierarchy AND NOT direct
+    UNION ALL SELECT p_type, name, 16, 'Performance', 'Warning', 'Query Operation' FROM c WHERE column_type = 'Calculated'
+    UNION ALL SELECT p_type, name, 25, 'Error Prevention', 'Error', 'Usability' FROM c WHERE column_type = 'Data' AND p_partkey % 9 = 0
+    UNION ALL SELECT p_type, name, 26, 'Error Prevention', 'Warning', 'Query Operation' FROM c WHERE NOT in_mdx AND (sorts_others OR in_hierarchy) AND NOT direct
+    UNION ALL SELECT p_type, name, 41, 'Maintenance', 'Warning', 'Usability' FROM c WHERE (is_hidden OR table_hidden) AND relationships = 0 AND NOT in_hierarchy AND NOT sorts_others
+    UNION ALL SELECT p_type, name, 45, 'Maintenance', 'Info', 'Usability' FROM c WHERE NOT is_hidden AND description IS NULL
+    UNION ALL SELECT p_type, name, 46, 'Formatting', 'Warning', 'Usability' FROM c WHERE name = 'Order Date' AND data_type = 'DateTime' AND format_string <> 'mm/dd/yyyy'
+    UNION ALL SELECT p_type, name, 47, 'Formatting', 'Warning', 'Query Operation' FROM c WHERE data_type IN ('Int64', 'Decimal', 'Double') AND summarize_by <> 'None' AND NOT is_hidden AND NOT table_hidden
+    UNION ALL SELECT p_type, name, 49, 'Formatting', 'Info', 'Usability' FROM c WHERE name = 'City'
+    UNION ALL SELECT p_type, name, 52, 'Formatting', 'Info', 'Usability' FROM c WHERE NOT is_hidden AND relationships = 3
+    UNION ALL SELECT p_type, name, 53, 'Formatting', 'Info', 'Usability' FROM c WHERE relationships = 2 AND NOT in_hierarchy
+    UNION ALL SELECT p_type, name, 54, 'Formatting', 'Info', 'Usability' FROM c WHERE name IN ('month', 'Sales Month') AND data_type = 'String'
+    UNION ALL SELECT p_type, name, 56, 'Formatting', 'Warning', 'Usability' FROM c WHERE name IN ('month', 'Sales Month') AND data_type = 'DateTime' AND format_string <> 'MMMM yyyy'
+    UNION ALL SELECT p_type, name, 57, 'Formatting', 'Info', 'Usability' FROM c WHERE NOT is_hidden AND NOT table_hidden AND ((name = 'IsOpen' AND data_type = 'Int64') OR (name = 'Done flag' AND data_type <> 'String'))
+    UNION ALL SELECT p_type, name, 58, 'Formatting', 'Error', 'Usability' FROM c WHERE name = ' Trailing'
+    UNION ALL SELECT p_type, name, 59, 'Formatting', 'Info', 'Usability' FROM c WHERE name = 'month')"""
 
 
 def column_objects(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,12 +161,13 @@ def column_objects(spark: SparkSession, sf: str) -> DataFrame:
         (size % 4 == 2).cast("int").alias("one_side"),
         (size % 7 == 0).alias("in_hierarchy"),
         (size % 11 == 0).alias("sorts_others"),
+        (F.col("p_type") == "STANDARD").alias("direct"),
     )
 
 
 @query(
     "Q7_column_rules",
-    f"""{COLUMN_RULES} SELECT 'Column' AS object_type, name AS object_name, rule_id, category, severity, impact, count(*) AS n FROM v GROUP BY ALL""",
+    f"""{COLUMN_RULES} SELECT 'Column' AS object_type, table_name, name AS object_name, rule_id, category, severity, impact, count(*) AS n FROM v GROUP BY ALL""",
 )
 def column_rules(spark: SparkSession, sf: str) -> DataFrame:
     found = rules.violations({"Column": column_objects(spark, sf)})
