@@ -43,16 +43,10 @@ def test_begin_end_keeps_unmatched_ends(spark):
     )
     e = ends.withColumn("t", F.timestamp_seconds("t"))
     b = begins.withColumn("u", F.timestamp_seconds("u"))
-    out = rows(J.pair_begin_end(e, b, ["k"], "t", "u").select("id", "bid"))
-    assert out == [(1, 11), (1, 12), (2, None), (3, None)]
-
-
-def test_salted_join_equals_plain_join(spark):
-    facts = spark.range(3000).select((F.col("id") % 7).alias("k"), "id").withColumn(
-        "k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("k"))
-    )
-    dim = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    assert rows(J.salted(facts, dim, ["k"], F.col("id"), 8)) == rows(facts.join(dim, "k"))
+    out = rows(J.pair_begin_end(e, b, ["k"], "u").select("id", "bid"))
+    assert out == [(1, 11), (1, 12), (1, 13), (2, 11), (2, 12), (2, 13), (3, 14)]
+    batch = J.pair_begin_end(e, b, ["k"], "u", since=F.timestamp_seconds(F.lit(100_000)))
+    assert rows(batch.select("id", "bid")) == [(1, 11), (1, 12), (2, 11), (2, 12), (3, None)]
 
 
 def test_placeholders(spark):
@@ -96,3 +90,19 @@ def test_rewrite_references_keeps_order(spark):
     mapping = spark.createDataFrame([("a", "A")], "old string, new string")
     out = {r["k"]: r["refs"] for r in J.rewrite_references(df, "refs", mapping, "old", "new", "k").collect()}
     assert out == {1: ["A", "b", "A"], 2: ["c"]}
+
+
+def test_rewrite_references_keeps_rows_and_columns(spark):
+    df = spark.createDataFrame(
+        [(1, "x", ["a"]), (2, "y", []), (3, "z", None), (3, "w", ["b"]), (None, "v", ["a", "b"])],
+        "k int, name string, refs array<string>",
+    )
+    mapping = spark.createDataFrame([("a", "A")], "old string, new string")
+    out = {r["name"]: r["refs"] for r in J.rewrite_references(df, "refs", mapping, "old", "new", "k").collect()}
+    assert out == {"x": ["A"], "y": [], "z": None, "w": ["b"], "v": ["A", "b"]}
+
+
+def test_first_list_gives_the_group(spark):
+    users = spark.createDataFrame([("u",), ("v",), ("n",)], "user string")
+    members = spark.createDataFrame([("u", "Zeta", 1), ("u", "Alpha", 2), ("v", "Alpha", 2)], "user string, user_group string, position int")
+    assert rows(J.with_user_group(users, members, "user", "Others")) == [("n", "Others"), ("u", "Zeta"), ("v", "Alpha")]

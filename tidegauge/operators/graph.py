@@ -7,31 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.session import cut_lineage
+from tidegauge.session import cut_lineage, stored
 
 
-def closure(edges: DataFrame, src: str, dst: str, max_doublings: int = 40) -> DataFrame:
+def closure(edges: DataFrame, src: str, dst: str) -> DataFrame:
     """All (root, node) pairs reachable over edges, with the smallest number of steps as ``level``.
 
     Path lengths double per round: pairs exactly k steps apart meet all pairs up to k steps, so a
     chain of a thousand references takes ten joins. Only the shortest path is kept, which also
-    ends cycles. Every round is materialised, so that a lost executor does not restart the first.
+    ends cycles. Every round is stored, so that a lost executor does not restart the first and the
+    planner knows how small the frontier is.
     """
-    known = cut_lineage(
-        edges.select(F.col(src).alias("root"), F.col(dst).alias("node")).distinct().withColumn("level", F.lit(1))
+    known = stored(
+        edges.select(F.col(src).alias("root"), F.col(dst).alias("node")).distinct().withColumn("level", F.lit(1)),
+        "closure",
     )
     reach = 1
-    for _ in range(max_doublings):
+    while True:
         frontier = known.filter(F.col("level") == reach)
-        if frontier.isEmpty():
+        if frontier.limit(1).count() == 0:
             return known
         step = frontier.select("root", F.col("node").alias("via")).join(
             known.select(F.col("root").alias("via"), "node", F.col("level").alias("more")), "via"
         )
         longer = step.select("root", "node", (F.col("more") + reach).alias("level"))
-        known = cut_lineage(known.unionByName(longer).groupBy("root", "node").agg(F.min("level").alias("level")))
+        shortest = known.unionByName(longer).groupBy("root", "node").agg(F.min("level").alias("level"))
+        known = stored(shortest, "closure")
         reach *= 2
-    raise RuntimeError(f"paths longer than {reach} steps")
 
 
 def token_edges(definitions: DataFrame, name: str, text: str, pattern: str = r"\[([^\]]+)\]") -> DataFrame:

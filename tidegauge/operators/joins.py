@@ -10,15 +10,25 @@ from pyspark.sql import functions as F
 from tidegauge.session import stored
 
 
-def with_user_group(df: DataFrame, members: DataFrame, user: str, default: str, group: str = "user_group") -> DataFrame:
-    """Group of each user by member lists; users in no list get the default group."""
-    listed = members.groupBy(user).agg(F.min(group).alias(group))
+def with_user_group(
+    df: DataFrame, members: DataFrame, user: str, default: str, group: str = "user_group", order: str = "position"
+) -> DataFrame:
+    """Group of each user by member lists; of several lists the first (smallest ``order``) wins, and users in no
+    list get the default group."""
+    listed = members.groupBy(user).agg(F.min_by(F.col(group), F.struct(order, group)).alias(group))
     return df.join(listed, user, "left").withColumn(group, F.coalesce(group, F.lit(default)))
 
 
 def lookup(facts: DataFrame, dim: DataFrame, key: Column, dim_key: str, *columns: str) -> DataFrame:
-    """Left-outer lookup of dimension columns by a derived lower-case key."""
-    right = dim.select(F.lower(dim_key).alias("_lookup"), *columns).dropDuplicates(["_lookup"])
+    """Left-outer lookup of dimension columns by a derived lower-case key.
+
+    Of dimension rows whose keys differ in case only, the smallest by spelling and columns is taken.
+    """
+    right = (
+        dim.groupBy(F.lower(dim_key).alias("_lookup"))
+        .agg(F.min(F.struct(F.col(dim_key).alias("_spelling"), *columns)).alias("_row"))
+        .select("_lookup", *[F.col(f"_row.{c}").alias(c) for c in columns])
+    )
     return facts.join(right, F.lower(key) == F.col("_lookup"), "left").drop("_lookup")
 
 
@@ -47,13 +57,21 @@ def match_without_suffix(
 
 
 def rewrite_references(df: DataFrame, refs: str, mapping: DataFrame, old: str, new: str, key: str) -> DataFrame:
-    """Replace old ids by new ones in an array column; ids without a mapping stay."""
-    position = df.select(key, F.posexplode(refs).alias("_pos", "_ref"))
+    """Replace old ids by new ones in an array column; ids without a mapping stay.
+
+    Every row stays with all its columns; empty and null lists stay as they are. Rows with the same key and list share
+    the rewritten list.
+    """
+    lists = df.select(F.col(key).alias("_key"), F.col(refs).alias("_refs")).filter(F.size("_refs") > 0).distinct()
+    position = lists.select("_key", "_refs", F.posexplode("_refs").alias("_pos", "_ref"))
     mapped = position.join(mapping.select(old, new), F.col("_ref") == F.col(old), "left")
     pair = F.struct(F.col("_pos"), F.coalesce(new, "_ref").alias("_ref"))
-    return mapped.groupBy(key).agg(
-        F.transform(F.sort_array(F.collect_list(pair)), lambda x: x["_ref"]).alias(refs)
+    rewritten = mapped.groupBy("_key", "_refs").agg(
+        F.transform(F.sort_array(F.collect_list(pair)), lambda x: x["_ref"]).alias("_new")
     )
+    own = F.col(key).eqNullSafe(F.col("_key")) & (F.col(refs) == F.col("_refs"))
+    joined = df.join(rewritten, own, "left")
+    return joined.withColumn(refs, F.coalesce("_new", refs)).select(*df.columns)
 
 
 def placeholders(wanted: DataFrame, known: DataFrame, key: str, **fill: Column) -> DataFrame:
@@ -97,7 +115,7 @@ def texts_containing(texts: DataFrame, key: str, text: str, objects: DataFrame,
         anchors = F.when(F.col("_class") == size, F.array(*first)).otherwise(anchors)
     # Only the key travels with the grams. The candidates are stored, so that the planner knows their
     # size: when they are few, they go to the texts for the check, and the texts are not shuffled.
-    probes = texts.select(key, F.explode(F.concat(*grams)).alias("_gram"))
+    probes = texts.select(key, F.explode(F.array_distinct(F.concat(*grams))).alias("_gram"))
     candidates = probes.join(
         named.select(name, F.explode(anchors).alias("_gram")), "_gram"
     ).select(key, name).distinct()
@@ -133,26 +151,26 @@ def points_in_intervals(
 
 
 def pair_begin_end(
-    ends: DataFrame, begins: DataFrame, keys: Sequence[str], end_ts: str, begin_ts: str, lookback_seconds: int = 86400
+    ends: DataFrame,
+    begins: DataFrame,
+    keys: Sequence[str],
+    begin_ts: str,
+    since: Column | None = None,
+    lookback_seconds: int = 86400,
 ) -> DataFrame:
-    """Each end with its begins on the same keys, at most ``lookback_seconds`` earlier; unmatched ends
-    are kept.
+    """Each end with all begins on the same keys; unmatched ends are kept.
 
-    A begin is filed in its own time cell and the next, cells being as long as the lookback, so an
-    end meets only the begins of its cell: a hot key is split by time instead of paired with itself.
+    A batch of ends that starts at ``since`` is met by begins from ``lookback_seconds`` before it on, as an operation may
+    have begun in the batch before; without ``since`` every begin counts. Keys tell operations apart, so no time is
+    compared. A key with very many rows is left to the planner's skew handling.
     """
-
-    def cell(ts: str) -> Column:
-        return F.floor(F.unix_timestamp(ts) / lookback_seconds)
-
     b = begins.select(*[F.col(c).alias(f"_b_{c}") if c in keys else F.col(c) for c in begins.columns])
-    b = b.withColumn("_b_cell", F.explode(F.array(cell(begin_ts), cell(begin_ts) + 1)))
-    earliest_begin = F.col(end_ts) - F.make_dt_interval(secs=F.lit(lookback_seconds))
-    cond = (F.col("_cell") == F.col("_b_cell")) & F.col(begin_ts).between(earliest_begin, F.col(end_ts))
+    if since is not None:
+        b = b.filter(F.col(begin_ts) >= since - F.make_dt_interval(secs=F.lit(lookback_seconds)))
+    cond = F.lit(True)
     for key in keys:
         cond = cond & (F.col(key) == F.col(f"_b_{key}"))
-    joined = ends.withColumn("_cell", cell(end_ts)).join(b, cond, "left")
-    return joined.drop("_cell", "_b_cell", *[f"_b_{c}" for c in keys])
+    return ends.join(b, cond, "left").drop(*[f"_b_{c}" for c in keys])
 
 
 def expand_series(df: DataFrame, first: Column, last: Column, name: str) -> DataFrame:
@@ -173,14 +191,3 @@ def credit_usage(usage: DataFrame, closure: DataFrame, obj: str, ref: str) -> Da
     )
     indirect = through.withColumn(obj, F.col("_ref")).drop("_root", "_ref").withColumn("is_direct", F.lit(False))
     return direct.unionByName(indirect)
-
-
-def salted(
-    facts: DataFrame, dim: DataFrame, on: Sequence[str], salt_of: Column, buckets: int = 32, how: str = "inner"
-) -> DataFrame:
-    """Join in which each key's facts are spread over ``buckets`` tasks, for keys known to be hot."""
-    left = facts.withColumn("_salt", F.pmod(F.xxhash64(salt_of), F.lit(buckets)).cast("int"))
-    right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
-
-

@@ -412,19 +412,21 @@ def masking(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "P24_user_groups",
-    """SELECT CASE WHEN user_id % 10 < 3 THEN 'group' || user_id % 10 ELSE 'Others' END AS user_group,
-        count(*) AS n FROM events GROUP BY 1""",
+    """SELECT CASE WHEN user_id % 10 < 3 THEN 'zeta' || user_id % 10 WHEN user_id % 4 = 0 THEN 'alpha' ELSE 'Others' END
+        AS user_group, count(*) AS n FROM events GROUP BY 1""",
 )
 def user_groups(spark: SparkSession, sf: str) -> DataFrame:
     from tidegauge.operators.joins import with_user_group
 
     events = table(spark, sf, "events")
-    members = (
-        events.select("user_id")
-        .distinct()
-        .filter(F.col("user_id") % 10 < 3)
-        .select(F.concat(F.lit("group"), F.col("user_id") % 10).alias("user_group"), "user_id")
+    users = events.select("user_id").distinct()
+    zeta = users.filter(F.col("user_id") % 10 < 3).select(
+        F.concat(F.lit("zeta"), F.col("user_id") % 10).alias("user_group"), "user_id", F.lit(1).alias("position")
     )
+    alpha = users.filter(F.col("user_id") % 4 == 0).select(
+        F.lit("alpha").alias("user_group"), "user_id", F.lit(2).alias("position")
+    )
+    members = zeta.unionByName(alpha)
     return with_user_group(events, members, "user_id", "Others").groupBy("user_group").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -271,7 +271,8 @@ def storage_summary(spark: SparkSession, sf: str) -> DataFrame:
     return files.storage_summary(spark, sf)
 
 
-NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+NAMES = """region nation customer supplier part orders lineitem events
+    documents embeddings pages benchmark labels conversations""".split()
 
 
 def _fill_sql(name: str, columns: str) -> str:
@@ -290,6 +291,12 @@ COLUMNS = {
     "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
     "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
     "events": "event_id ts user_id event_type value props",
+    "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding label",
+    "pages": "page_id url html",
+    "benchmark": "item_id text",
+    "labels": "doc_id quality toxic",
+    "conversations": "conv_id turn role text",
 }
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from tidegauge.operators.merge import merge
 from tidegauge.sources.files import child_names, exists
 
-MAX_TOUCHED = 10000  # partitions one merge may rewrite
 
 
 def _versions(spark: SparkSession, root: str) -> list[str]:
@@ -71,18 +70,16 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition: str) -> None:
     """Merge into a table partitioned by ``partition``, rewriting only the partitions in the source.
 
-    ``partition`` must be one of the keys, so that a row never moves. The touched partition values
-    are few and become a literal filter, which prunes the scan; replaced files are moved in when the
-    job commits, so the job may read the table it rewrites.
+    ``partition`` must be one of the keys, so that a row never moves. The old rows are joined with the touched
+    partition values, which prunes the scan at run time; replaced files are moved in when the job commits, so the job
+    may read the table it rewrites.
     """
     if partition not in keys:
         raise ValueError(f"{partition} must be one of the keys")
-    touched = [r[0] for r in source.select(partition).distinct().limit(MAX_TOUCHED + 1).collect()]
-    if len(touched) > MAX_TOUCHED:
-        raise ValueError(f"more than {MAX_TOUCHED} partitions touched: write a new version instead")
-    if touched:
-        old = spark.read.parquet(path).filter(F.col(partition).isin(touched))
-        overwrite_partitions(merge(old, source, keys), path, [partition])
+    touched = source.select(F.col(partition).alias("_touched")).distinct()
+    current = spark.read.parquet(path)
+    old = current.join(touched, F.col(partition) == F.col("_touched"), "left_semi")
+    overwrite_partitions(merge(old, source, keys), path, [partition])
 
 
 def clean_name(name: str) -> str:
