@@ -125,9 +125,29 @@ def test_change_file_numbering(spark):
     assert names == [f"{2:020d}.parquet", f"{3:020d}.parquet"]
 
 
+def test_broken_change_set_is_replaced(spark):
+    from tidegauge.sources.files import child_names, rename
+
+    folder = K.create_landing_table(spark, work_path(spark, "landing"), "s", "t", ["k"])
+    change = spark.range(20).select(F.col("id").alias("k"), F.lit(0).alias(K.MARKER))
+    last = K.write_change_files(change.filter("k < 5"), folder)[-1]
+    # A job that broke off after its first rename: half a set under the next number, nothing published.
+    stray = work_path(spark, "stray")
+    change.filter("k between 10 and 12").coalesce(1).write.parquet(stray)
+    part = next(n for n in child_names(spark, stray) if n.endswith(".parquet"))
+    rename(spark, f"{stray}/{part}", f"{folder}/{last + 1:020d}.parquet")
+    assert K.read_change_files(spark, folder).count() == 5
+    assert K.write_change_files(change.filter("k >= 5"), folder)[0] == last + 1
+    assert sorted(r["k"] for r in K.read_change_files(spark, folder).collect()) == list(range(20))
+
+
 def test_batched_copy_resumes(spark):
     path = work_path(spark, "copy")
-    source = spark.range(100).toDF("k")
-    K.copy_in_batches(source.filter("k < 40"), path, "k", [10, 30])
+    source = spark.range(100).select(F.when(F.col("id") > 0, F.col("id")).alias("k"))
+    K.copy_in_batches(source, path, "k", [10, 30, 70])
+    # A broken commit: a range with high keys has files but no success marker.
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/range=2/_SUCCESS")
+    marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(marker, False)
     K.copy_in_batches(source, path, "k", [10, 30, 70])
-    assert rows(spark.read.parquet(path)) == rows(source)
+    assert rows(spark.read.parquet(path).drop("range")) == rows(source)

@@ -78,24 +78,51 @@ def test_suppression_against_a_cache(spark):
     assert rows(got) == sorted(want, key=repr)
 
 
-def test_late_rows_are_dropped(spark):
-    path, out, checkpoint = (work_path(spark, n) for n in ("in", "out", "checkpoint"))
-    schema = "ts timestamp, s string"
+def test_snapshots_of_one_batch_in_order(spark):
+    """A, then B and A again in one batch: all three go on, as they would in three batches."""
+    for cuts in ([[0], [1, 2, 3]], [[0], [1], [2], [3]], [[0, 1, 2, 3]]):
+        root, out = work_path(spark, "ledger"), work_path(spark, "out")
+        each = X.suppress_unchanged(root, out, "t", "h", "at", "10 hours")
+        data = [(1, "A", 0), (1, "B", 10), (1, "A", 20), (1, "A", 30)]
+        for batch, part in enumerate(cuts):
+            df = spark.createDataFrame([data[i] for i in part], "t int, h string, at int")
+            each(df.withColumn("at", F.timestamp_seconds("at")), batch)
+        got = spark.read.parquet(out).select("h", F.unix_timestamp("at").cast("int"))
+        assert rows(got) == [("A", 0), ("A", 20), ("B", 10)]
+
+
+def test_late_rows_count(spark):
+    path, root, checkpoint = (work_path(spark, n) for n in ("in", "counts", "checkpoint"))
+    each = X.count_by_status(root, "ts", F.col("s"), "1 minute")
 
     def push(*seconds):
         df = spark.createDataFrame(
             [(s, "ok") for s in seconds], "t int, s string"
         ).select(F.timestamp_seconds("t").alias("ts"), "s")
         df.coalesce(1).write.mode("append").parquet(path)
-        stream = X.drop_stream(spark, path, "parquet", schema, "*.parquet")
-        X.ingest(X.status_over_time(stream, "ts", F.col("s"), "1 minute"), out, checkpoint)
+        X.run_available(X.drop_stream(spark, path, "parquet", "ts timestamp, s string", "*.parquet"), checkpoint, each)
 
     push(0, 10, 70)
     push(4000)
-    push(20, 5000)  # 20 s is behind the watermark
+    push(20, 5000)  # 20 s is an hour late
     push(9000)
-    got = {r["start"].timestamp(): r["operations"] for r in spark.read.parquet(out).collect()}
-    assert got[0] == 2 and got[60] == 1 and sum(got.values()) == 5
+    got = {r["start"].timestamp(): r["operations"] for r in read_current(spark, root).collect()}
+    assert got == {0: 3, 60: 1, 3960: 1, 4980: 1, 9000: 1}
+
+
+def test_very_late_begins_are_matched(spark):
+    root = work_path(spark, "open")
+    each = X.track_open(root, "op", ["who"])
+    schema = "op int, who string, phase string, t int"
+
+    def batch(*data):
+        return spark.createDataFrame(data, schema).withColumn("ts", F.timestamp_seconds("t")).drop("t")
+
+    each(batch((1, None, "end", 0)), 0)
+    each(batch((2, "b", "begin", 10**7)), 1)
+    assert rows(X.unmatched_ends(read_current(spark, root)).select("op")) == [(1,)]
+    each(batch((1, "a", "begin", -10)), 2)
+    assert rows(X.open_operations(read_current(spark, root), ["who"])) == [("b", 1)]
 
 
 def test_due_tables(spark):

@@ -414,23 +414,26 @@ def change_type(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "K8_change_files",
-    "SELECT o_orderstatus, count(*) AS n, true AS gapless, true AS in_sequence FROM orders GROUP BY 1",
+    "SELECT o_orderstatus, count(*) AS n, count(*) AS gapless, count(*) AS in_sequence FROM orders GROUP BY 1",
 )
 def change_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Three change sets: their rows, whether the files are numbered without gaps, and in order."""
+    """Three change sets: their rows, those in files that follow the file before, and those in files of their set."""
     folder = K.create_landing_table(spark, work_path(spark, "landing"), "sales", "orders", ["o_orderkey"])
     orders = table(spark, sf, "orders").withColumn(K.MARKER, F.lit(0))
-    last = {}
+    numbers = {}
     for status in ("F", "O", "P"):
-        last[status] = K.write_change_files(orders.filter(F.col("o_orderstatus") == status), folder)[-1]
+        numbers[status] = K.write_change_files(orders.filter(F.col("o_orderstatus") == status), folder)
     rows = K.read_change_files(spark, folder)
-    files = rows.agg((F.count_distinct("_file") == F.max("_file")).alias("ok"))
-    expected = F.create_map(*[x for s, n in last.items() for x in (F.lit(s), F.lit(n))])
-    return rows.groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("n"), (
-            F.max("_file") == F.element_at(expected, F.col("o_orderstatus"))
-        ).alias("in_sequence")
-    ).withColumn("gapless", files.scalar())
+    first = F.create_map(*[x for s, n in numbers.items() for x in (F.lit(s), F.lit(n[0]))])
+    last = F.create_map(*[x for s, n in numbers.items() for x in (F.lit(s), F.lit(n[-1]))])
+    own = F.col("_file").between(first[F.col("o_orderstatus")], last[F.col("o_orderstatus")])
+    before = rows.select((F.col("_file") + 1).alias("_next")).distinct()
+    followed = rows.join(before, F.col("_file") == F.col("_next"), "left")
+    return followed.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("_next").isNotNull() | (F.col("_file") == 1)).alias("gapless"),
+        F.count_if(own).alias("in_sequence"),
+    )
 
 
 @query(

@@ -129,25 +129,35 @@ def running_operations(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "X7_status_over_time",
-    f"""SELECT strftime(s, '%Y-%m-%d %H:%M') AS start, status, count(*) AS operations FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts + INTERVAL 60 MINUTE) AS s, {STATUS} AS status FROM events)
-    WHERE s + INTERVAL 1 HOUR <= (SELECT max(ts) + INTERVAL 60 MINUTE - INTERVAL 10 MINUTE FROM events) GROUP BY 1, 2""",
+    f"""SELECT strftime(s, '%Y-%m-%d %H:%M') AS start, status, CAST(count(*) AS BIGINT) AS operations
+    FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts + INTERVAL 60 MINUTE) AS s, {STATUS} AS status FROM events) GROUP BY 1, 2""",
 )
 def status_over_time(spark: SparkSession, sf: str) -> DataFrame:
-    """Hourly windows in UTC+1 that the watermark has closed."""
+    """Hourly windows in UTC+1 over all events, whatever order their files arrive in."""
     kind = F.col("event_type")
     result = F.when(kind == "error", "Failed").when(kind == "view", "InProgress").when(kind == "purchase", "Succeeded")
     status = C.status_of(result, F.when(kind == "click", 1).otherwise(0))
-    out = work_path(spark, "status")
+    root = work_path(spark, "status")
     stream = X.drop_stream(spark, drop(spark, sf, "parquet"), "parquet", EVENTS, "*.parquet")
-    X.ingest(X.status_over_time(stream, "ts", status, "1 hour", 60), out, work_path(spark, "checkpoint"))
-    return spark.read.parquet(out).select(
+    X.run_available(stream, work_path(spark, "checkpoint"), X.count_by_status(root, "ts", status, "1 hour", 60))
+    return read_current(spark, root).select(
         F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "status", "operations"
     )
 
 
-@query("X8_unchanged_snapshots")
+@query(
+    "X8_unchanged_snapshots",
+    """WITH RECURSIVE s AS (SELECT user_id, event_type AS h, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_type) AS n,
+        CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS batch
+        FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'),
+    r AS (SELECT user_id, n, h AS last_h, ts AS last_ts, h, ts, batch, true AS passed FROM s WHERE n = 1
+        UNION ALL SELECT s.user_id, s.n, CASE WHEN s.h = last_h AND s.ts < last_ts + INTERVAL 480 HOUR THEN last_h ELSE s.h END,
+            CASE WHEN s.h = last_h AND s.ts < last_ts + INTERVAL 480 HOUR THEN last_ts ELSE s.ts END, s.h, s.ts, s.batch,
+            NOT (s.h = last_h AND s.ts < last_ts + INTERVAL 480 HOUR) FROM r JOIN s ON s.user_id = r.user_id AND s.n = r.n + 1)
+    SELECT user_id, h AS content_hash, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, CAST(batch AS INTEGER) AS batch FROM r WHERE passed""",
+)
 def unchanged_snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    """Users as tables and their last event type per ten days as content: changed ones go on."""
+    """Users as tables and their event types as contents, in three batches of ten days: changed ones go on."""
     path, root, out = (work_path(spark, n) for n in ("snapshots", "ledger", "forwarded"))
     checkpoint = work_path(spark, "checkpoint")
     events = table(spark, sf, "events").select("user_id", F.col("event_type").alias("content_hash"), "ts")

@@ -30,6 +30,12 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"cannot rename {old} to {new}")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove one file, if it is there."""
+    p, fs = _path(spark, path)
+    fs.delete(p, False)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """One small text file, such as a metadata document."""
     p, fs = _path(spark, path)

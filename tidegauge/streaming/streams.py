@@ -1,6 +1,6 @@
 """Streams of files: ingest, change apply, status over time, running operations, suppression.
 
-The watermark and late-row policy (10 minutes, later rows dropped) are this library's own choice.
+Late rows count like all others: what a window or an operation needs to know is kept as state.
 Every sink is idempotent per batch id: a replayed batch rewrites what it wrote before.
 """
 
@@ -18,9 +18,6 @@ from tidegauge.sources.files import child_names, exists
 from tidegauge.tables.maintenance import write_change_files
 from tidegauge.tables.versioned import current_path, read_current, write_version
 
-WATERMARK = "10 minutes"
-
-
 def drop_stream(
     spark: SparkSession, folder: str, fmt: str, schema: str, glob: str = "*", files_per_batch: int | None = None
 ) -> DataFrame:
@@ -165,11 +162,11 @@ def visible(state: DataFrame) -> DataFrame:
     return state.filter(~F.col("_gone")).drop("_file", "_gone")
 
 
-def track_open(root: str, op: str, kept: Sequence[str], horizon: str = WATERMARK) -> Callable[[DataFrame, int], None]:
+def track_open(root: str, op: str, kept: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """Batch function that keeps the operations begun but not ended.
 
-    Rows carry ``phase`` (begin or end) and ``ts``. An end may come before its begin: ends without a
-    begin wait for ``horizon`` behind the newest row and are then forgotten.
+    Rows carry ``phase`` (begin or end) and ``ts``. An end may come before its begin, however much earlier: it stays in
+    the state until its begin arrives, and ``unmatched_ends`` shows those that wait.
     """
 
     def each(df: DataFrame, batch: int) -> None:
@@ -177,37 +174,47 @@ def track_open(root: str, op: str, kept: Sequence[str], horizon: str = WATERMARK
         old = state_after(df.sparkSession, root, batch)
         news = df.select(op, *kept, "phase", "ts")
         rows = news if old is None else old.unionByName(news)
-        newest = rows.agg(F.max("ts")).first()[0]
-        if newest is None:
-            return
         pairs = rows.groupBy(op).agg(
             F.max_by(F.struct(*kept, "phase", "ts"), F.struct(begun, F.col("ts"))).alias("r"),
             F.count_if(begun).alias("_begins"),
             F.count_if(~begun).alias("_ends"),
         )
-        open_ops = F.col("_ends") == 0
-        waiting = (F.col("_begins") == 0) & (F.col("r.ts") >= F.lit(newest) - F.expr(f"interval {horizon}"))
-        save_state(pairs.filter(open_ops | waiting).select(op, "r.*"), root, batch)
+        alone = (F.col("_ends") == 0) | (F.col("_begins") == 0)
+        save_state(pairs.filter(alone).select(op, "r.*"), root, batch)
 
     return each
 
 
+def unmatched_ends(state: DataFrame) -> DataFrame:
+    """Ends whose begin has not arrived yet."""
+    return state.filter(F.col("phase") == "end")
+
+
 def open_operations(state: DataFrame, by: Sequence[str]) -> DataFrame:
     return state.filter(F.col("phase") == "begin").groupBy(*by).agg(F.count(F.lit(1)).alias("running"))
 
 
-def status_over_time(stream: DataFrame, ts: str, status: Column, every: str, utc_offset_minutes: int = 0) -> DataFrame:
-    """Operations by status per tumbling window of local time; rows later than the watermark are dropped."""
-    local = F.col(ts).cast("timestamp") + F.make_dt_interval(
-        mins=F.lit(utc_offset_minutes)
-    )  # watermarks need a zoned type
-    return (
-        stream.select(local.alias("_ts"), status.alias("status"))
-        .withWatermark("_ts", WATERMARK)
-        .groupBy(F.window("_ts", every), "status")
-        .agg(F.count(F.lit(1)).alias("operations"))
-        .select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), "status", "operations")
-    )
+def count_by_status(
+    root: str, ts: str, status: Column, every: str, utc_offset_minutes: int = 0
+) -> Callable[[DataFrame, int], None]:
+    """Batch function that counts operations by status per tumbling window of local time.
+
+    Each batch is counted by itself and added to the state, one row per window and status, so that late rows count
+    in their window and windows still open show what has arrived.
+    """
+
+    def each(df: DataFrame, batch: int) -> None:
+        local = F.col(ts) + F.make_dt_interval(mins=F.lit(utc_offset_minutes))
+        news = (
+            df.select(F.window(local, every).alias("w"), status.alias("status"))
+            .groupBy(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "status")
+            .agg(F.count(F.lit(1)).alias("operations"))
+        )
+        old = state_after(df.sparkSession, root, batch)
+        both = news if old is None else old.unionByName(news)
+        save_state(both.groupBy("start", "end", "status").agg(F.sum("operations").alias("operations")), root, batch)
+
+    return each
 
 
 def recent(df: DataFrame, ingested: str, now: Column, within: str = "1 hour") -> DataFrame:
@@ -219,21 +226,36 @@ def suppress_unchanged(
     root: str, out: str, table: str, signature: str, at: str, ttl: str = "10 hours"
 ) -> Callable[[DataFrame, int], None]:
     """Batch function that forwards a table's snapshot only when its content hash changed or the
-    last forwarded one is older than ``ttl``. The ledger holds one row per table."""
+    last forwarded one is older than ``ttl``.
+
+    Snapshots of a table are looked at one after another in time, each against the last one forwarded, so that the
+    result does not depend on how they are cut into batches. The ledger holds one row per table.
+    """
 
     def each(df: DataFrame, batch: int) -> None:
         spark = df.sparkSession
-        seen = latest(df.select(table, signature, at), [table], [F.col(at), F.col(signature)])
         old = state_after(spark, root, batch)
+        seen = df.groupBy(table).agg(F.sort_array(F.collect_list(F.struct(at, signature))).alias("_seen"))
         if old is None:
-            fresh = seen
+            known = seen.withColumn("_last", F.struct(F.col("_seen")[0][at], F.col("_seen")[0][signature]))
+            known = known.withColumn("_last", F.when(F.lit(False), F.col("_last")))
         else:
-            known = old.select(table, F.col(signature).alias("_hash"), F.col(at).alias("_at"))
-            same = F.col("_hash").eqNullSafe(F.col(signature)) & (F.col(at) < F.col("_at") + F.expr(f"interval {ttl}"))
-            fresh = seen.join(known, table, "left").filter(~F.coalesce(same, F.lit(False))).select(*seen.columns)
+            known = seen.join(old.select(table, F.struct(at, signature).alias("_last")), table, "left")
+        kind = seen.schema["_seen"].dataType.simpleString()
+
+        def step(done: Column, row: Column) -> Column:
+            last = F.try_element_at(done, F.lit(-1))
+            same = last[signature].eqNullSafe(row[signature]) & (row[at] < last[at] + F.expr(f"interval {ttl}"))
+            return F.when(F.coalesce(same, F.lit(False)), done).otherwise(F.concat(done, F.array(row)))
+
+        begin = F.when(F.col("_last").isNull(), F.array().cast(kind)).otherwise(F.array("_last").cast(kind))
+        passed = known.select(table, F.size(begin).alias("_known"), F.aggregate("_seen", begin, step).alias("_passed"))
+        news = passed.select(table, F.explode(F.slice("_passed", F.col("_known") + 1, F.size("_passed") + 1)).alias("_row"))
+        fresh = news.select(table, "_row.*").select(table, signature, at)
         fresh.write.mode("overwrite").parquet(f"{out}/batch={batch}")
         forwarded = spark.read.schema(fresh.schema).parquet(f"{out}/batch={batch}")
-        save_state(forwarded if old is None else merge(old, forwarded, [table]), root, batch)
+        newest = latest(forwarded, [table], [F.col(at), F.col(signature)])
+        save_state(newest if old is None else merge(old, newest, [table]), root, batch)
 
     return each
 

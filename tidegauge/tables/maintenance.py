@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.operators.merge import MARKER
-from tidegauge.sources.files import child_names, exists, read_text, rename, write_text
+from tidegauge.sources.files import child_names, delete, exists, read_text, rename, write_text
 from tidegauge.tables.versioned import append
 
 
@@ -47,34 +47,27 @@ def copy_tables(spark: SparkSession, pairs: Mapping[str, tuple[str, str]]) -> Da
     return out.withColumn("started", F.timestamp_seconds("started"))
 
 
-def moved_path(path: str, replacements: Mapping[str, str]) -> str:
-    """Path with workspace and storage ids replaced by those of the target."""
-    for old, new in replacements.items():
-        path = path.replace(old, new)
-    return path
-
-
 def copy_in_batches(source: DataFrame, target_path: str, key: str, cuts: Sequence) -> None:
-    """Append a table in ranges of its high-water column; each range is one job over its rows only.
+    """Copy a table in ranges of its high-water column; each range is one job over its rows only.
 
-    A restart continues above the target's mark, so no row is copied twice.
+    Each range has a folder of its own below the target (partition column ``range``), which counts as done once its
+    success marker exists. A restart with the same cuts writes the ranges that are not done, and those as a whole, so
+    a broken job loses and doubles nothing. Rows without a key belong to the first range.
     """
     spark = source.sparkSession
-    done = None
-    if exists(spark, f"{target_path}/*.parquet"):
-        done = spark.read.parquet(target_path).agg(F.max(key)).first()[0]
     bounds = [None, *cuts, None]
-    for low, high in zip(bounds[:-1], bounds[1:]):
-        if done is not None and high is not None and high <= done:
+    for number, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])):
+        folder = f"{target_path}/range={number}"
+        if exists(spark, f"{folder}/_SUCCESS"):
             continue
-        part = source
+        inside = F.lit(True)
         if low is not None:
-            part = part.filter(F.col(key) > low)
+            inside = inside & (F.col(key) > low)
         if high is not None:
-            part = part.filter(F.col(key) <= high)
-        if done is not None:
-            part = part.filter(F.col(key) > done)
-        append(part, target_path)
+            inside = inside & (F.col(key) <= high)
+        if low is None:
+            inside = inside | F.col(key).isNull()
+        source.filter(inside).write.mode("overwrite").parquet(folder)
 
 
 def reconcile(source: Mapping[str, DataFrame], target: Mapping[str, DataFrame]) -> DataFrame:
@@ -92,6 +85,7 @@ def reconcile(source: Mapping[str, DataFrame], target: Mapping[str, DataFrame])
 
 # Change files -----------------------------------------------------------------------------------
 
+# Names of the landing zone, its 20-digit file names and its marker column.
 VALID_NAME = re.compile(r"[A-Za-z0-9_\-]+")
 
 
@@ -112,20 +106,26 @@ def key_columns(spark: SparkSession, folder: str) -> list[str]:
     return json.loads(read_text(spark, f"{folder}/_metadata.json"))["keyColumns"]
 
 
+def published(spark: SparkSession, folder: str) -> int:
+    """Number of the last file of the last complete change set; 0 before the first."""
+    return max((int(n) for n in child_names(spark, f"{folder}/_published") if n.isdigit()), default=0)
+
+
 def next_sequence(spark: SparkSession, folder: str) -> int:
-    numbers = [int(n[:20]) for n in child_names(spark, folder) if re.fullmatch(r"\d{20}(\.parquet)?", n)]
-    return max(numbers, default=0) + 1
+    return published(spark, folder) + 1
 
 
 def write_change_files(df: DataFrame, folder: str, order: Sequence[str] = ()) -> list[int]:
     """Add a change set as the next files of the sequence and return their numbers.
 
     Rows are spread by key, so that all changes of a key share a file, in ``order``. Tasks write the
-    files in parallel under a temporary name; only the renames into the sequence happen here.
+    files in parallel under a temporary name; only the renames into the sequence happen here. The set counts once its
+    last number stands in ``_published``: after a crash between renames readers see nothing of it, and a retry replaces
+    what is there under the same numbers.
     """
     spark = df.sparkSession
-    if "_metadata.json" not in child_names(spark, folder):
-        raise ValueError("Table not found.")
+    if not exists(spark, f"{folder}/_metadata.json"):
+        raise ValueError("Table not found.")  # fixed value: the message that callers test for
     if not df.columns or df.columns[-1] != MARKER:
         raise ValueError(f"{MARKER} must be the last column")
     number = next_sequence(spark, folder)
@@ -136,19 +136,26 @@ def write_change_files(df: DataFrame, folder: str, order: Sequence[str] = ()) ->
     spread.write.mode("overwrite").parquet(temp)
     parts = [n for n in child_names(spark, temp) if n.endswith(".parquet")]
     for i, part in enumerate(parts):
-        rename(spark, f"{temp}/{part}", f"{folder}/{number + i:020d}.parquet")
-    return list(range(number, number + len(parts)))
+        target = f"{folder}/{number + i:020d}.parquet"
+        delete(spark, target)
+        rename(spark, f"{temp}/{part}", target)
+    last = number + len(parts) - 1
+    write_text(spark, f"{folder}/_published/{last}", "")
+    for name in child_names(spark, f"{folder}/_published"):
+        if name.isdigit() and int(name) < last:
+            delete(spark, f"{folder}/_published/{name}")
+    return list(range(number, last + 1))
 
 
 def read_change_files(spark: SparkSession, folder: str, after: int = 0) -> DataFrame:
-    """Change rows with their file number and place in the file."""
+    """Change rows of complete sets with their file number and place in the file."""
     name = F.col("_metadata.file_name")
     rows = spark.read.option("pathGlobFilter", "*.parquet").parquet(folder)
     return rows.select(
         "*",
         F.substring(name, 1, 20).cast("bigint").alias("_file"),
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_place"),
-    ).filter(F.col("_file") > after)
+    ).filter(F.col("_file").between(after + 1, published(spark, folder)))
 
 
 # Run ledger -------------------------------------------------------------------------------------
