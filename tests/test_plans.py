@@ -39,3 +39,19 @@ def test_window_groups_are_never_the_whole_table(spark):
     """Numbering a whole table windows over one row per slice only."""
     text = plan(spark, "W2_row_sequence")
     assert text.count("Window") == 1 and "o_orderdate" not in text[text.index("Window") :].splitlines()[0]
+
+
+@pytest.mark.parametrize(
+    "name,exchanges", [("W2_row_sequence", 3), ("M12_running_series", 4), ("S9_bad_records", 4), ("W8_interval_union", 6), ("W9_timeline", 8)]
+)
+def test_exchanges_after_the_slices(spark, name, exchanges):
+    if name not in entry.queries():
+        pytest.skip(name)
+    assert plan(spark, name).count("Exchange ") <= exchanges
+
+
+def test_log_rows_are_not_sorted(spark):
+    """Lines are numbered by split: rows meet an aggregate before any exchange, and nothing is sorted before it."""
+    text = plan(spark, "S9_bad_records")
+    scan = text.rindex("Exchange")
+    assert "Sort" not in text[scan:]

@@ -211,8 +211,3 @@ def percentiles(
         weight = F.max(place - F.floor(place)) if method == "linear" else F.lit(0.0)
         out.append((at(low) * (1 - weight) + at(high) * weight).alias(name))
     return sized.groupBy(*by).agg(*out) if by else sized.agg(*out)
-
-
-def approximate_percentiles(df: DataFrame, by: Sequence[str], value: str, wanted: Mapping[str, float]) -> DataFrame:
-    """Percentiles from a bounded sketch: one pass, for when a relative rank error of 1e-4 is fine."""
-    return by_groups(df, by, **{n: F.percentile_approx(value, q, 10000) for n, q in wanted.items()})

@@ -2,8 +2,9 @@
 
 A window function sorts each of its groups inside one task, so a group with a third of all rows is
 a straggler, and a window without groups is one task for everything. Here rows are range-sorted by
-(group, order) into slices, the sorted slices are materialised, each slice computes its own prefix,
-and a table with at most one row per slice carries the prefix of a group that crosses slices.
+(group, order) into slices, the slices are stored as a table, each slice computes its own prefix,
+and a table with at most one row per slice carries the prefix of a group that crosses slices. As the
+slices are columns of a file, the pass that makes the carries reads keys and inputs only.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.session import cut_lineage
+from tidegauge.session import stored
 
 _OVER_PARTS = {"count": "sum"}  # counts of slices add up
 SLICE_BITS = 33  # monotonically_increasing_id keeps the partition above 33 bits of row position
@@ -65,11 +66,12 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[Column], **values:
     """Add running values per group ``by`` in ``order`` (which must be unique within a group)."""
     keys = [F.col(c) for c in by]
     inputs = {f"_in_{name}": spec.col for name, spec in values.items()}
-    sliced = cut_lineage(
+    sliced = stored(
         df.withColumns(inputs)
         .sort(*keys, *order)
         .withColumn("_at", F.monotonically_increasing_id())
-        .withColumn("_slice", F.shiftright("_at", SLICE_BITS).cast("int"))
+        .withColumn("_slice", F.shiftright("_at", SLICE_BITS).cast("int")),
+        "slices",
     )
     upto = Window.partitionBy("_slice", *by).orderBy("_at")
     local = {
@@ -111,7 +113,7 @@ def row_numbers(df: DataFrame, by: Sequence[str], order: Sequence[Column], name:
     """row_number() per group, or over the whole table when ``by`` is empty."""
     if by:
         return running(df, by, order, **{name: Running("count", F.lit(1))})
-    sliced = cut_lineage(df.sort(*order).withColumn("_at", F.monotonically_increasing_id()))
+    sliced = stored(df.sort(*order).withColumn("_at", F.monotonically_increasing_id()), "slices")
     slice_no = F.shiftright("_at", SLICE_BITS)
     sizes = sliced.groupBy(slice_no.alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
     # One row per slice of the sort: a bounded table, so a window over all of it is safe.

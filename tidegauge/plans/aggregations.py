@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions import columns as C
@@ -310,24 +310,28 @@ COST_SQL = f"""WITH focus AS (SELECT l.*, o_orderdate, p_brand, p_type, p_name,
     FROM focus GROUP BY p_type)"""
 
 
-def billing_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Order lines in the shape of billing rows with their meter columns."""
-    lines = table(spark, sf, "lineitem").join(
-        table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority"),
-        F.col("l_orderkey") == F.col("o_orderkey"),
-    )
+def billing_rows(spark: SparkSession, sf: str, dated: bool = True) -> DataFrame:
+    """Order lines in the shape of billing rows with their meter columns; ``dated`` ones also with their order's
+    dates and category, which costs a join of the two largest tables."""
+    lines, of_order = table(spark, sf, "lineitem"), []
+    if dated:
+        orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+        lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        of_order = [
+            F.to_date("o_orderdate").alias("ChargePeriodStart"),
+            F.trunc(F.to_date("o_orderdate"), "month").alias("BillingPeriodStart"),
+            F.col("o_orderpriority").alias("ChargeCategory"),
+        ]
     flag = F.col("l_returnflag")
     return lines.join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         "p_type",
-        F.to_date("o_orderdate").alias("ChargePeriodStart"),
-        F.trunc(F.to_date("o_orderdate"), "month").alias("BillingPeriodStart"),
+        *of_order,
         net_price().alias("EffectiveCost"),
         money("l_extendedprice").alias("ContractedCost"),
         F.when(flag == "R", "Reservation").when(flag == "A", "Plan").alias("CommitmentDiscountType"),
         F.when(F.col("l_tax") == 0.08, cost.PAUSE).alias("BillingType"),
         F.col("l_suppkey").alias("ResourceName"),
         F.col("p_brand").alias("RegionName"),
-        F.col("o_orderpriority").alias("ChargeCategory"),
         F.col("p_name").alias("MeterName"),
         F.col("p_brand").alias("MeterCategory"),
         (F.col("p_size") <= 25).alias("Included"),
@@ -338,7 +342,7 @@ def billing_rows(spark: SparkSession, sf: str) -> DataFrame:
 @query("M5_cost_measures", COST_SQL)
 def cost_measures(spark: SparkSession, sf: str) -> DataFrame:
     out = cost.measures(
-        billing_rows(spark, sf), ["p_type"], storage="Brand#3", autoscale="red bolt", recovery="gear"
+        billing_rows(spark, sf, dated=False), ["p_type"], storage="Brand#3", autoscale="red bolt", recovery="gear"
     )
     wanted = (
         "p_type TotalCost AvailableCapacity ProvisionedCapacity PauseCost CapacityPAYG Reservation Storage AutoScale OtherPAYG "
@@ -473,7 +477,8 @@ def running_series(spark: SparkSession, sf: str) -> DataFrame:
         "version", F.coalesce("version", F.lit("Simulation"))
     )
     step = F.floor(F.col("avg_rows") + 0.5).cast("double")
-    out = M.running_total(tagged, ["l_suppkey"], [F.col("value")], step, "running_rows")
+    upto = Window.partitionBy("l_suppkey").orderBy("value")  # 64 rows a group
+    out = tagged.withColumn("running_rows", F.sum(step).over(upto))
     return out.select("l_suppkey", "value", "version", "running_rows")
 
 

@@ -266,9 +266,18 @@ def list_records(spark: SparkSession, sf: str) -> DataFrame:
     return json_drop.list_records(docs, columns=["Key", "Segment"])
 
 
-@query("S15_storage_summary")
+@query(
+    "S15_storage_summary",
+    """SELECT 'data' AS kind, count(DISTINCT o_orderstatus) AS files, true AS filled FROM orders
+    UNION ALL SELECT 'log', count(DISTINCT n_regionkey), min(n_regionkey) IS NOT NULL FROM nation""",
+)
 def storage_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return files.storage_summary(spark, sf)
+    """Files by kind in a tree of one data file per order status and one log per region."""
+    root = work_path(spark, "tree")
+    table(spark, sf, "orders").coalesce(1).write.partitionBy("o_orderstatus").parquet(f"{root}/data")
+    table(spark, sf, "nation").coalesce(1).write.partitionBy("n_regionkey").json(f"{root}/logs")
+    found = files.storage_summary(spark, root)
+    return found.select("kind", "files", (F.col("bytes") > 0).alias("filled"))
 
 
 NAMES = """region nation customer supplier part orders lineitem events

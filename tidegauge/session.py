@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_USED: dict[str, list[str]] = {}  # paths handed out, by application
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -45,8 +46,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder. It stays until ``release``, as results may still read it."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _USED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete everything this application has put below the shared folder; call it when no result is read any more.
+
+    Returns the number of paths deleted.
+    """
+    paths = _USED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

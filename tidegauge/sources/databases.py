@@ -37,8 +37,3 @@ def unmoved(changes: DataFrame, moved: DataFrame, change_id: str) -> DataFrame:
 
 def mark_moved(moved: DataFrame, batch: DataFrame, change_id: str) -> DataFrame:
     return moved.select(change_id).unionByName(batch.select(change_id)).distinct()
-
-
-def above_mark(table: DataFrame, mark_column: str, mark) -> DataFrame:
-    """Rows above the high-water mark; the predicate reaches the scan or the database."""
-    return table if mark is None else table.filter(F.col(mark_column) > F.lit(mark))

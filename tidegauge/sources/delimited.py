@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,17 +96,27 @@ def read_logs(
 
 
 def unparsable(logs_path_rows: DataFrame, json_col: str) -> DataFrame:
-    """File and line number of the rows whose JSON column does not parse.
+    """File and line number of the rows whose JSON column does not parse. The header is line 1.
 
-    ``logs_path_rows`` must come straight from a file scan; a line's place in its file is the place
-    of its split and its place in there. The header is line 1.
+    ``logs_path_rows`` must come straight from a file scan. A line's place in its file is its place in its split plus
+    the rows of the splits before, so only one row per split is grouped: with its number of rows and its bad rows, which
+    a split's length bounds.
     """
+    broken = F.col(json_col).isNotNull() & F.expr(f"try_parse_json({json_col})").isNull()
     placed = logs_path_rows.select(
+        F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"),
-        F.col(json_col),
+        F.when(broken, F.col(json_col)).alias("_bad"),
     )
-    numbered = row_numbers(placed, ["file"], [F.col("_block"), F.col("_at")], "_rn")
-    broken = F.col(json_col).isNotNull() & F.expr(f"try_parse_json({json_col})").isNull()
-    return numbered.filter(broken).select("file", (F.col("_rn") + 1).alias("line"), json_col)
+    splits = placed.groupBy("_path", "file", "_block").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.min("_at").alias("_first"),
+        F.collect_list(F.when(F.col("_bad").isNotNull(), F.struct("_at", "_bad"))).alias("_found"),
+    )
+    before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    started = splits.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    found = started.select("file", "_start", "_first", F.explode("_found").alias("_b"))
+    line = (F.col("_start") + F.col("_b._at") - F.col("_first") + 2).alias("line")
+    return found.select("file", line, F.col("_b._bad").alias(json_col))
