@@ -243,16 +243,16 @@ def extracts(spark: SparkSession, sf: str) -> DataFrame:
         coalesce(s.o_totalprice, t.o_totalprice) AS o_totalprice FROM t FULL JOIN s ON s.o_orderkey = t.o_orderkey""",
 )
 def second_destination(spark: SparkSession, sf: str) -> DataFrame:
-    """Source rows streamed into a second table: one merge per batch instead of one per row."""
+    """Source rows streamed into a second table: batches are logged and merged on reading."""
     orders, path, root = base(spark, sf), work_path(spark, "arriving"), work_path(spark, "second")
-    X.save_state(target_of(orders), root, -1)
+    X.save_state(X.change_state(target_of(orders), ["o_orderkey"]), root, -1)
     checkpoint, news = work_path(spark, "checkpoint"), source_of(orders)
     schema = "o_orderkey bigint, o_orderstatus string, o_totalprice double"
     for part in (news.filter(F.col("o_orderstatus") == "X"), news.filter(F.col("o_orderstatus") != "X")):
         part.write.mode("append").parquet(path)
         stream = X.drop_stream(spark, path, "parquet", schema, "*.parquet")
-        X.run_available(stream, checkpoint, X.merge_batches(root, ["o_orderkey"]))
-    return V.read_current(spark, root)
+        X.run_available(stream, checkpoint, X.upsert_batches(root, ["o_orderkey"], orders.columns))
+    return X.visible(X.logged_state(spark, root, ["o_orderkey"]))
 
 
 @query(

@@ -79,7 +79,7 @@ def change_apply(spark: SparkSession, sf: str) -> DataFrame:
     for seq in (1, 2):
         K.write_change_files(changes.filter(F.col("seq") == seq).drop("seq"), folder)
     schema = spark.read.option("pathGlobFilter", "*.parquet").parquet(folder).schema
-    stream = spark.readStream.schema(schema).options(pathGlobFilter="*.parquet", maxFilesPerTrigger=1).parquet(folder)
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(folder)
     numbered = stream.select(
         "*",
         F.substring(F.col("_metadata.file_name"), 1, 20).cast("bigint").alias("_file"),

@@ -144,16 +144,16 @@ def compact(spark: SparkSession, root: str, keys: Sequence[str]) -> None:
         save_state(logged_state(spark, root, keys), root, max(batches))
 
 
-def merge_batches(root: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """Batch function that merges each batch into the versioned table below ``root``.
+def upsert_batches(root: str, keys: Sequence[str], columns: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """Batch function for streams of whole rows: each batch's row per key replaces the one before.
 
-    Every batch rewrites the table: for tables of moderate size. Big ones take ``log_changes``, or
-    ``versioned.merge_partitions`` where the key tells the partition.
+    Like all logged changes a batch costs its own rows only. The greatest row counts if a batch has several of a key.
     """
+    log = log_changes(root, keys, columns)
 
     def each(df: DataFrame, batch: int) -> None:
-        old = state_after(df.sparkSession, root, batch)
-        save_state(df if old is None else merge(old, df, keys), root, batch)
+        place = F.struct(*[F.col(c) for c in columns])
+        log(df.withColumns({"_file": F.lit(batch + 1).cast("bigint"), "_place": place, MARKER: F.lit(0)}), batch)
 
     return each
 
