@@ -183,24 +183,31 @@ def copies():
 
 
 @pytest.mark.parametrize("rare", [1, 4, 48])
-def test_join_finds_every_link(workers, copies, rare, monkeypatch):
-    monkeypatch.setattr(ngram_join, "RARE", rare)
+def test_join_finds_every_link(workers, copies, rare):
+    """Whatever counts as rare, each link between different sets has an index entry in common, in both indexes."""
     sets = plain_sets(copies)
     singles = {ngram_join.class_of(ngram_join.shingles(t)): i for i, t in reversed(list(enumerate(copies)))}
-    # The index is made in workers, which see the module's own bound; do the same here with the bound under test.
-    tokens = [ngram_join.shingles(copies[i]) for i in singles.values()]
-    values, counts = np.unique(np.concatenate(tokens), return_counts=True)
-    entries = []
-    for own in tokens:
+    tokens = {i: ngram_join.shingles(copies[i]) for i in singles.values()}
+    values, counts = np.unique(np.concatenate(list(tokens.values())), return_counts=True)
+    index = []
+    for i, own in tokens.items():
         often = counts[np.searchsorted(values, own)]
         order = np.lexsort((own, often))
-        shared = often[order] > 1
-        entries.append(set(ngram_join.signatures(len(own), own[order][shared], often[order][shared]).tolist()))
-    first = list(singles.values())
-    candidates = {(first[i], first[j]) for i in range(len(first)) for j in range(len(first)) if i != j and entries[i] & entries[j]}
-    for i, j in plain_links(sets):
-        if i in first and j in first and sets[i] != sets[j]:
-            assert (i, j) in candidates
+        shared = own[order][often[order] > 1]
+        if len(own) and 4 * len(shared) >= 3 * len(own):
+            few = int(np.count_nonzero((often > 1) & (often <= rare)))
+            index.append((i, len(own), shared.view(np.int64).tolist(), few))
+    table = workers.createDataFrame(index, "class long, n int, tokens array<long>, rare int")
+    wide = table.withColumns({"low": F.ceil(F.col("n") * 0.75), "high": F.floor(F.col("n") / 0.75)})
+    narrow = ngram_join.narrowed(table)
+    for sized, combined in ((wide, True), (wide, False), (narrow, True), (narrow, False)):
+        entries = {}
+        for r in ngram_join.postings(sized, combined).collect():
+            entries.setdefault(r["signature"], []).append(r["class"])
+        candidates = {(i, j) for group in entries.values() for i in group for j in group if i != j}
+        for i, j in plain_links(sets):
+            if i in tokens and j in tokens and sets[i] != sets[j]:
+                assert (i, j) in candidates
 
 
 def test_join_groups(workers, copies):
@@ -284,3 +291,9 @@ def test_neighbours_odd(workers):
     two = workers.createDataFrame(some[:2], schema)
     assert rows(neighbours.nearest(two, F.col("vec_id") == 0).select("query_id", "rank", "vec_id")) == [(0, 1, 1)]
     assert neighbours.nearest(table.limit(0), F.lit(True)).count() == 0
+
+
+def test_native_operators_run_no_python(docs):
+    for found in (fingerprints.edited(docs), mixing.mixed(docs)):
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert not any(word in text for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoop"))

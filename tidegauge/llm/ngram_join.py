@@ -1,13 +1,16 @@
 """N-gram Jaccard join by token-combination prefixes.
 
-Documents are sets of word 5-grams (tokens). Two sets link if their Jaccard similarity reaches a threshold t. With all
-tokens in one global order, rarest first, a set x shares with any partner a token among its first m + 1, where
-m = n - ceil(t n) is how many of its n tokens a partner may lack. Rare tokens are indexed one by one in this prefix.
-A frequent token has a long list, so frequent tokens are indexed in combinations of two over an extended prefix: if
-the first shared token is frequent, so are all shared ones. Among the first m_x + m_y + 2 shared tokens at most
-m_x + m_y gaps hold a token of only one side, so two shared tokens are next to each other in both sets. It is
-therefore enough to index pairs of neighbours, one per token, over the first m + K tokens with K = m + n/3 + 2.
-Candidates are verified on the whole sets, so the result is exact.
+Documents are sets of word 5-grams (tokens). Two sets of sizes x and y link if their Jaccard similarity is at least 3/4,
+that is if they share at least 3/7 (x + y) tokens. With all tokens in one global order, rarest first, a set has a
+token in common with any partner among its first m + 1, where m is how many of its tokens a partner may lack. Rare
+tokens are indexed one by one in this prefix. A frequent token has a long list, so frequent tokens are indexed in
+combinations of two over an extended prefix: if the first shared token is frequent, so are all shared ones. The tokens
+of only one side are at most (x + y) / 7, so among two more shared tokens than that, two are next to each other in
+both sets. It is therefore enough to index pairs of neighbours, one per token, over the first m + (x + y) / 7 + 2.
+
+The index is made twice. The first one assumes the widest partner sizes, from 3/4 to 4/3; its lists tell which sizes
+a set's partners can have at all, and for these m and the extension are smaller, so that the second index is shorter
+and its lists hold few sets that do not link. Candidates are verified on the whole sets, so the result is exact.
 
 How often a token occurs is counted exactly over all documents. Tokens travel packed: blocks of documents send their
 tokens, 5 bytes each, to buckets of a hash range; a bucket returns those that occur in more than one set to the
@@ -32,8 +35,9 @@ from tidegauge.llm.components import components
 from tidegauge.session import stored
 
 WORDS = 5
-#: Similarity from which two sets link, as a fraction.
+#: Similarity from which two sets link, as a fraction; linked sets share at least 3 of 7 parts of their sizes' sum.
 LINK = (3, 4)
+SHARES = sum(LINK)
 #: A token in more sets than this is frequent.
 RARE = 48
 #: Sets with fewer tokens index single tokens only; from ``COMBINE`` on frequent tokens are combined as well.
@@ -106,26 +110,6 @@ def class_of(tokens: np.ndarray) -> int:
     return int(mix(mix(mix(sums[:1]) + sums[1:2]) + sums[2:3])[0].astype(np.int64))
 
 
-def missing(n: int) -> int:
-    """How many of its n tokens a set's partner may lack."""
-    return n - (LINK[0] * n + LINK[1] - 1) // LINK[1]
-
-
-def signatures(n: int, tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Index entries of a set of n tokens; ``tokens`` are those in several sets, in the global order."""
-    m = missing(n)
-    alone = n - len(tokens)  # tokens of this set only come first in the order
-    prefix = max(0, m + 1 - alone)
-    rare = counts[:prefix] <= RARE
-    single = tokens[:prefix] if n < SINGLE else tokens[:prefix][rare]
-    parts = [mix(single)]
-    if n >= COMBINE and not rare.all():
-        first = int(np.argmin(rare))
-        run = tokens[first : max(0, m + m + n // 3 + 2 - alone)]
-        parts.append(mix(mix(run[:-1]) * _MIX[0] + run[1:]))
-    return np.concatenate(parts)
-
-
 def classes(docs: DataFrame, doc_id: str, text: str, sample_rate: float) -> DataFrame:
     """(doc_id, n, class, sample): token count and class of every row, and the tokens of sampled classes."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -280,7 +264,10 @@ def shared_tokens(spread_out: DataFrame, buckets: int, homes: int, hot) -> DataF
 
 
 def indexed(shared: DataFrame) -> DataFrame:
-    """(class, n, tokens, signatures) of the sets that can have a partner: enough of their tokens are shared."""
+    """(class, n, tokens, rare) of the sets that can have a partner: enough of their tokens are shared.
+
+    ``tokens`` are the shared ones in the global order; the first ``rare`` of them are rare.
+    """
 
     def assemble(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         names = np.concatenate([np.frombuffer(x, np.int64) for x in rows["sets"]])
@@ -296,20 +283,79 @@ def indexed(shared: DataFrame) -> DataFrame:
         out, start = [], 0
         for i, end in enumerate(ends):
             n = int(sizes[first[i]])
-            if end - start >= n - missing(n):
-                marks = signatures(n, tokens[start:end], counts[start:end])
-                if len(marks):
-                    out.append((known[i], n, tokens[start:end].view(np.int64), marks.view(np.int64)))
+            if LINK[1] * (end - start) >= LINK[0] * n:
+                rare = int(np.searchsorted(counts[start:end], RARE, "right"))
+                out.append((known[i], n, tokens[start:end].view(np.int64), rare))
             start = end
-        return pd.DataFrame(out, columns=["class", "n", "tokens", "signatures"])
+        return pd.DataFrame(out, columns=["class", "n", "tokens", "rare"])
+
+    return shared.groupBy("home").applyInPandas(assemble, "class long, n int, tokens array<long>, rare int")
+
 
-    schema = "class long, n int, tokens array<long>, signatures array<long>"
-    return shared.groupBy("home").applyInPandas(assemble, schema)
+def postings(sets: DataFrame, combined: bool = True) -> DataFrame:
+    """(signature, class, n, shared): index entries of ``sets`` (class, n, tokens, rare, low, high).
+
+    ``low`` and ``high`` bound the sizes of a set's partners, ``shared`` is the number of its tokens that are in other sets.
+    Without ``combined`` frequent tokens of the prefix are indexed one by one as well.
+    """
+    alone = F.col("n") - F.size("tokens")  # tokens of this set only come first in the order
+    lacking = F.col("n") - F.ceil(LINK[0] * (F.col("n") + F.col("low")) / SHARES)
+    sized = sets.select(
+        "class",
+        "n",
+        "tokens",
+        "rare",
+        F.size("tokens").alias("shared"),
+        F.greatest(F.lit(0), lacking + 1 - alone).cast("int").alias("prefix"),
+        (lacking - alone + F.floor((F.col("n") + F.col("high")) / SHARES) + 2).cast("int").alias("end"),
+    )
+    alone_only = (F.col("n") < SINGLE) | F.lit(not combined)
+    singles = F.when(alone_only, F.col("prefix")).otherwise(F.least("prefix", "rare"))
+    frequent = (F.col("n") >= COMBINE) & (F.col("prefix") > F.col("rare")) & F.lit(combined)
+    run = F.slice("tokens", F.col("rare") + 1, F.greatest(F.lit(0), F.col("end") - F.col("rare")))
+    cut = sized.select(
+        "class",
+        "n",
+        "shared",
+        F.slice("tokens", F.lit(1), singles).alias("singles"),
+        F.when(frequent, run).otherwise(F.array().cast("array<long>")).alias("run"),
+    )
+    pairs = F.zip_with(
+        F.slice("run", F.lit(1), F.greatest(F.lit(0), F.size("run") - 1)),
+        F.slice("run", F.lit(2), F.greatest(F.lit(0), F.size("run") - 1)),
+        lambda a, b: F.xxhash64(a, b),
+    )
+    entries = F.array_distinct(F.concat("singles", pairs))
+    return cut.select(F.explode(entries).alias("signature"), "class", "n", "shared")
+
+
+def narrowed(index: DataFrame) -> DataFrame:
+    """``index`` with ``low`` and ``high``, the sizes that partners can have; sets without a possible partner go."""
+    least = F.ceil(LINK[0] * F.col("n") / LINK[1])
+    most = F.floor(LINK[1] * F.col("n") / LINK[0])
+    entries = stored(postings(index.withColumns({"low": least, "high": most})), "join-wide")
+    lists = (
+        entries.groupBy("signature")
+        .agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count(F.lit(1)).alias("members"))
+        .filter("members > 1")
+    )
+    sizes = stored(
+        entries.join(lists, "signature")
+        .groupBy("class")
+        .agg(
+            F.min(F.greatest(F.col("least"), least)).alias("low"),
+            F.max(F.least(F.col("most"), most)).alias("high"),
+        ),
+        "join-sizes",
+    )
+    enough = SHARES * F.size("tokens") >= LINK[0] * (F.col("n") + F.col("low"))
+    return index.join(sizes, "class").filter(enough)
 
 
-def alike(a: str, b: str):
-    """Size filter: sets whose sizes are too different cannot link."""
-    return LINK[1] * F.least(a, b) >= LINK[0] * F.greatest(a, b)
+def alike(n_a: str, n_b: str, s_a: str, s_b: str):
+    """Size filter: sets of too different sizes, or with too few tokens that are in other sets, cannot link."""
+    near = LINK[1] * F.least(n_a, n_b) >= LINK[0] * F.greatest(n_a, n_b)
+    return near & (SHARES * F.least(s_a, s_b) >= LINK[0] * (F.col(n_a) + F.col(n_b)))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -337,55 +383,65 @@ def prepared(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
     return rows.drop("sample"), stored(index, "join-index")
 
 
-def postings(index: DataFrame) -> DataFrame:
-    """(signature, class, n): entries of signatures."""
-    return index.select(F.explode(F.array_distinct("signatures")).alias("signature"), "class", "n")
-
-
 def links(index: DataFrame) -> DataFrame:
     """All links (a, b, both, either) between different sets, a < b: sizes of intersection and union.
 
     Their number is what the data has, which within a group of near copies is its square; ``grouped`` needs fewer.
     """
-    entries = postings(index)
-    left = entries.select("signature", F.col("class").alias("a"), F.col("n").alias("n_a"))
-    right = entries.select("signature", F.col("class").alias("b"), F.col("n").alias("n_b"))
-    pairs = left.join(right, "signature").filter((F.col("a") < F.col("b")) & alike("n_a", "n_b"))
+    entries = postings(narrowed(index))
+    left, right = _side(entries, "a"), _side(entries, "b")
+    pairs = left.join(right, "signature").filter((F.col("a") < F.col("b")) & alike("n_a", "n_b", "s_a", "s_b"))
     return verified(pairs.select("a", "b").distinct(), index)
 
 
+def _side(entries: DataFrame, name: str, *more: str) -> DataFrame:
+    return entries.select(
+        "signature",
+        F.col("class").alias(name),
+        F.col("n").alias(f"n_{name}"),
+        F.col("shared").alias(f"s_{name}"),
+        *[F.col(c).alias(f"{c}_{name}") for c in more],
+    )
+
+
 def grouped(index: DataFrame) -> DataFrame:
     """(node, component) of the classes that have a link.
 
-    First every set of a signature's list is verified against the list's smallest set only, and the links found so
-    far are followed. Only sets of one list that are in different components by then are verified among themselves, so
-    a group of near copies costs about one check per member, and no link between components is lost.
+    First every set of a signature's list is verified against one of the list only, the one with the fewest tokens of
+    its own, which in a group of near copies is nearest to what they were copied from; the links found are followed.
+    Only sets that are in different components by then are verified among themselves, so a group of near copies costs
+    about one check per member, and no link between components is lost. For these the single tokens of the narrow
+    prefix do: near copies have most combinations in common, and would meet once for each of them.
     """
-    entries = stored(postings(index), "join-postings")
-    lists = entries.groupBy("signature").agg(
-        F.min(F.struct("n", "class")).alias("first"), F.count(F.lit(1)).alias("members")
+    sized = narrowed(index)
+    entries = stored(postings(sized), "join-postings")
+    own = F.struct(F.col("n") - F.col("shared"), F.col("class"))
+    lists = (
+        entries.groupBy("signature")
+        .agg(F.min_by(F.struct("class", "n", "shared"), own).alias("hub"), F.count(F.lit(1)).alias("members"))
+        .filter("members > 1")
+        .select("signature", F.col("hub.class").alias("hub"), F.col("hub.n").alias("n_hub"), F.col("hub.shared").alias("s_hub"))
     )
-    lists = lists.filter("members > 1").select("signature", F.col("first.class").alias("hub"), F.col("first.n").alias("hub_n"))
-    shared = stored(entries.join(lists, "signature"), "join-lists")
     stars = (
-        shared.filter((F.col("class") != F.col("hub")) & alike("n", "hub_n"))
+        entries.join(lists, "signature")
+        .filter((F.col("class") != F.col("hub")) & alike("n", "n_hub", "shared", "s_hub"))
         .select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"))
         .distinct()
     )
     checked = stored(stars, "join-stars")
     found = stored(verified(checked, index).select("a", "b"), "join-star-links")
     names = components(found, "a", "b")
-    named = shared.join(names.withColumnRenamed("node", "class"), "class", "left").select(
-        "signature", "class", "n", F.coalesce("component", "class").alias("component")
+    single = postings(sized, combined=False)
+    named = single.join(names.withColumnRenamed("node", "class"), "class", "left").select(
+        "signature", "class", "n", "shared", F.coalesce("component", "class").alias("of")
     )
-    split = named.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_lists = split.filter("low <> high").select("signature")
-    rest = stored(named.join(open_lists, "signature"), "join-open")
-    left = rest.select("signature", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    right = rest.select("signature", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+    named = stored(named, "join-singles")
+    split = named.groupBy("signature").agg(F.min("of").alias("low"), F.max("of").alias("high"))
+    rest = stored(named.join(split.filter("low <> high").select("signature"), "signature"), "join-open")
     pairs = (
-        left.join(right, "signature")
-        .filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & alike("n_a", "n_b"))
+        _side(rest, "a", "of")
+        .join(_side(rest, "b", "of"), "signature")
+        .filter((F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b")) & alike("n_a", "n_b", "s_a", "s_b"))
         .select("a", "b")
         .distinct()
         .join(checked, ["a", "b"], "left_anti")
