@@ -26,15 +26,15 @@ from pyspark.sql import functions as F
 from tidegauge.session import stored
 
 #: Neighbours kept per node, neighbours introduced per direction and round, and the most rounds.
-DEGREE, SAMPLE, ROUNDS = 32, 16, 10
+DEGREE, SAMPLE, ROUNDS = 40, 20, 10
 #: Random partitions to start from, and the nodes of one of their groups on average.
 TREES, GROUP = 4, 64
 #: A round that changes less than this share of all edges is the last.
-SETTLED = 0.02
+SETTLED = 0.01
 #: Nodes that a query keeps in view, and that it starts from besides its own.
-VIEW, STARTS = 64, 24
+VIEW, STARTS = 128, 24
 #: Steps of a walk; each expands the best unexpanded nodes in view.
-STEPS, EXPANDED = 12, 8
+STEPS, EXPANDED = 10, 16
 
 
 def usable(vector: Column) -> Column:
@@ -112,9 +112,11 @@ def _first_edges(units: DataFrame, degree: int) -> DataFrame:
 
 
 def _best(edges: DataFrame, degree: int) -> DataFrame:
-    """The ``degree`` best edges of each node (node, other, score, fresh); known ones stay known."""
-    # false sorts before true: an edge that is known already stays known.
-    single = edges.groupBy("node", "other").agg(F.max("score").alias("score"), F.min("fresh").alias("fresh"))
+    """The ``degree`` best edges of each node (node, other, score, fresh, born); known ones stay known."""
+    # false sorts before true: an edge that is known already stays known, and keeps the round it was found in.
+    single = edges.groupBy("node", "other").agg(
+        F.max("score").alias("score"), F.min("fresh").alias("fresh"), F.min("born").alias("born")
+    )
     rank = Window.partitionBy("node").orderBy(F.desc("score"), "other")
     return single.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= degree).drop("rank")
 
@@ -167,14 +169,14 @@ def neighbour_graph(
     units: DataFrame, degree: int = DEGREE, sample: int = SAMPLE, rounds: int = ROUNDS, settled: float = SETTLED
 ) -> DataFrame:
     """(node, other, score): about the ``degree`` nearest of each node by cosine, by NN-descent over (node, unit)."""
-    first = _first_edges(units, degree).withColumn("fresh", F.lit(True))
+    first = _first_edges(units, degree).withColumns({"fresh": F.lit(True), "born": F.lit(0)})
     graph = stored(_best(first, degree), "neighbours")
     edges = max(1, graph.count())
     for turn in range(1, rounds + 1):
         found, marked = _introduced(graph, units, degree, sample, turn)
-        graph = stored(_best(marked.unionByName(found.withColumn("fresh", F.lit(True))), degree), "neighbours")
-        changed = graph.join(marked.select("node", "other"), ["node", "other"], "left_anti").count()
-        if changed <= settled * edges:
+        found = found.withColumns({"fresh": F.lit(True), "born": F.lit(turn)})
+        graph = stored(_best(marked.unionByName(found), degree), "neighbours")
+        if graph.filter(F.col("born") == turn).count() <= settled * edges:
             break
     return graph.select("node", "other", "score")
 
