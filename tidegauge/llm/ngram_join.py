@@ -43,7 +43,7 @@ RARE = 48
 #: Sets with fewer tokens index single tokens only; from ``COMBINE`` on frequent tokens are combined as well.
 SINGLE, COMBINE = 16, 12
 #: Tokens of one bucket and sets of one home, on average.
-BUCKET_TOKENS = 3_000_000
+BUCKET_TOKENS = 2_000_000
 HOME_SETS = 2_000
 #: Sets sampled to find the tokens that get buckets of their own, and the share of sets that makes them so.
 SAMPLE_SETS, HOT_SHARE = 10_000, 0.01
