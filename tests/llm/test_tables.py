@@ -293,6 +293,28 @@ def test_neighbours_odd(workers):
     assert neighbours.nearest(table.limit(0), F.lit(True)).count() == 0
 
 
+def test_walks_go_on_until_all_in_view_is_expanded(workers):
+    """A chain of nodes, entered at one end by a query that is nearest to the other end."""
+    names = [r["node"] for r in workers.range(15).select(F.col("id").alias("node")).orderBy(F.xxhash64("node")).collect()]
+    spots = {n: np.array([math.cos(0.1 * i), math.sin(0.1 * i)], "<f4") for i, n in enumerate(names)}
+    units = workers.createDataFrame([(n, bytearray(v.tobytes())) for n, v in spots.items()], "node long, unit binary")
+    edges = [(a, b, float(spots[a] @ spots[b])) for a, b in zip(names, names[1:])]
+    graph = workers.createDataFrame(edges, "node long, other long, score double")
+    asked = units.filter(F.col("node") == names[-1]).select(F.lit(-1).cast("long").alias("query"), "unit", F.lit(names[0]).alias("entry"))
+    found = neighbours.searched(asked, units, graph, starts=1).collect()
+    assert {r["node"] for r in found} == set(names)
+
+
+def test_partitions_of_more_nodes_are_more(workers):
+    def first(n):
+        vectors = np.random.default_rng(5).normal(size=(n, 8)).astype("<f4")
+        units = workers.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(vectors)], "node long, unit binary")
+        return neighbours._first_edges(units, 4).groupBy("node", "other").count().count() / n
+
+    # Each partition adds to the distinct edges of a node, two per partition at most.
+    assert first(64 << 7) > 2 * 4.5 > first(64 << 4)
+
+
 def test_native_operators_run_no_python(docs):
     for found in (fingerprints.edited(docs), mixing.mixed(docs)):
         text = found._jdf.queryExecution().executedPlan().toString()

@@ -4,10 +4,11 @@ NN-descent starts from rough neighbours (nodes on the same side of random hyperp
 that a neighbour's neighbour is likely a neighbour: every node introduces its neighbours (in both directions) to one
 another, and each keeps the best it has met. A round joins the graph with the vectors, compares within a bounded list
 per node, and keeps the best per receiver. Only pairs with at least one new neighbour are compared, and a node
-introduces at most ``sample`` neighbours per direction and round; those not introduced now stay new and come later.
+introduces at most ``sample`` neighbours per direction and round; those not introduced now stay new and come later. Rounds
+go on until hardly an edge is left to introduce.
 
-A query walks the graph: the best nodes found so far are expanded to their neighbours until no better one turns up.
-All queries walk at once, one join per step.
+A query walks the graph: the best nodes found so far are expanded to their neighbours until all of them are expanded.
+All queries walk at once, one join per step. Random partitions and starts of walks grow with the logarithm of the nodes.
 
 Equal vectors are one node, so that a vector that occurs very often neither fills neighbour lists nor makes a group; its
 rows are put back at the end.
@@ -25,16 +26,16 @@ from pyspark.sql import functions as F
 
 from tidegauge.session import stored
 
-#: Neighbours kept per node, neighbours introduced per direction and round, and the most rounds.
-DEGREE, SAMPLE, ROUNDS = 40, 20, 10
-#: Random partitions to start from, and the nodes of one of their groups on average.
+#: Neighbours kept per node, and neighbours introduced per direction and round.
+DEGREE, SAMPLE = 40, 20
+#: Random partitions to start from at least, and the nodes of one of their groups on average.
 TREES, GROUP = 4, 64
-#: A round that changes less than this share of all edges is the last.
+#: The graph is settled when no more than this share of its edges is still to be introduced.
 SETTLED = 0.01
-#: Nodes that a query keeps in view, and that it starts from besides its own.
+#: Nodes that a query keeps in view, and that it starts from at least besides its own.
 VIEW, STARTS = 128, 24
-#: Steps of a walk; each expands the best unexpanded nodes in view.
-STEPS, EXPANDED = 10, 16
+#: Unexpanded nodes in view, the best, that a step of a walk expands.
+EXPANDED = 16
 
 
 def usable(vector: Column) -> Column:
@@ -78,16 +79,18 @@ def _matrix(units) -> np.ndarray:
 def _first_edges(units: DataFrame, degree: int) -> DataFrame:
     """(node, other, score): the best neighbours of each node among those on its side of some random hyperplanes.
 
-    ``TREES`` times, nodes with the same signs form a group; a group that is too large is cut by hash.
+    Nodes with the same signs form a group; a group that is too large is cut by hash. This is done ``trees`` times, once
+    per hyperplane of a partition, as more of them part more neighbours.
     """
     total = units.count()
     planes = max(1, int(math.log2(max(2, total / GROUP))))
+    trees = max(TREES, planes)
 
     def sides(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
                 unit = _matrix(batch["unit"])
-                for tree in range(TREES):
+                for tree in range(trees):
                     normals = np.random.default_rng(tree).normal(size=(unit.shape[1], planes))
                     code = (unit @ normals > 0) @ (1 << np.arange(planes))
                     yield pd.DataFrame({"tree": tree, "code": code, "node": batch["node"], "unit": batch["unit"]})
@@ -112,11 +115,9 @@ def _first_edges(units: DataFrame, degree: int) -> DataFrame:
 
 
 def _best(edges: DataFrame, degree: int) -> DataFrame:
-    """The ``degree`` best edges of each node (node, other, score, fresh, born); known ones stay known."""
-    # false sorts before true: an edge that is known already stays known, and keeps the round it was found in.
-    single = edges.groupBy("node", "other").agg(
-        F.max("score").alias("score"), F.min("fresh").alias("fresh"), F.min("born").alias("born")
-    )
+    """The ``degree`` best edges of each node (node, other, score, fresh); known ones stay known."""
+    # false sorts before true: an edge that is known already stays known.
+    single = edges.groupBy("node", "other").agg(F.max("score").alias("score"), F.min("fresh").alias("fresh"))
     rank = Window.partitionBy("node").orderBy(F.desc("score"), "other")
     return single.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= degree).drop("rank")
 
@@ -166,18 +167,19 @@ def _introduced(graph: DataFrame, units: DataFrame, degree: int, sample: int, tu
 
 
 def neighbour_graph(
-    units: DataFrame, degree: int = DEGREE, sample: int = SAMPLE, rounds: int = ROUNDS, settled: float = SETTLED
+    units: DataFrame, degree: int = DEGREE, sample: int = SAMPLE, settled: float = SETTLED
 ) -> DataFrame:
-    """(node, other, score): about the ``degree`` nearest of each node by cosine, by NN-descent over (node, unit)."""
-    first = _first_edges(units, degree).withColumns({"fresh": F.lit(True), "born": F.lit(0)})
+    """(node, other, score): about the ``degree`` nearest of each node by cosine, by NN-descent over (node, unit).
+
+    Lists only get better and there are finitely many, so the rounds end.
+    """
+    first = _first_edges(units, degree).withColumn("fresh", F.lit(True))
     graph = stored(_best(first, degree), "neighbours")
-    edges = max(1, graph.count())
-    for turn in range(1, rounds + 1):
+    turn = 0
+    while graph.filter("fresh").count() > settled * graph.count():
+        turn += 1
         found, marked = _introduced(graph, units, degree, sample, turn)
-        found = found.withColumns({"fresh": F.lit(True), "born": F.lit(turn)})
-        graph = stored(_best(marked.unionByName(found), degree), "neighbours")
-        if graph.filter(F.col("born") == turn).count() <= settled * edges:
-            break
+        graph = stored(_best(marked.unionByName(found.withColumn("fresh", F.lit(True))), degree), "neighbours")
     return graph.select("node", "other", "score")
 
 
@@ -186,15 +188,17 @@ def searched(
     vectors: DataFrame,
     graph: DataFrame,
     view: int = VIEW,
-    starts: int = STARTS,
-    steps: int = STEPS,
+    starts: int | None = None,
     expanded: int = EXPANDED,
 ) -> DataFrame:
     """(query, node, score) of the nodes in each query's view at the end of its walk.
 
     ``queries`` has (query, unit, entry), ``vectors`` (node, unit): the walk starts at ``entry`` (may be null) and at ``starts`` nodes that are
-    the same for all queries. Edges are walked in both directions.
+    the same for all queries, by default four per doubling of the nodes. Edges are walked in both directions. A walk ends when
+    every node in view is expanded; as a node is expanded once at most, it does end.
     """
+    if starts is None:
+        starts = max(STARTS, 4 * math.ceil(math.log2(max(2, vectors.count()))))
     # A node that many others point to is left by its nearest edges only.
     reverse_rank = Window.partitionBy("node").orderBy(F.desc("score"), "other")
     scored = graph.unionByName(graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "score"))
@@ -221,7 +225,7 @@ def searched(
     best = Window.partitionBy("query").orderBy(F.desc("score"), "node")
     next_up = Window.partitionBy("query", "done").orderBy(F.desc("score"), "node")
     seen = stored(measured(begin.unionByName(sown).distinct()), "neighbour-view")
-    for _ in range(steps):
+    while True:
         in_view = seen.withColumn("place", F.row_number().over(best))
         in_view = in_view.withColumn("turn", F.row_number().over(next_up))
         now = (F.col("place") <= view) & ~F.col("done") & (F.col("turn") <= expanded)
