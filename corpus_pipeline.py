@@ -47,35 +47,45 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group linked by shingles, the one with the smallest id.
+    """Keeps one row of each group linked by shingles, the one with the smallest id, then the smallest text digest.
 
-    Of rows repeated under that id one stays as well. Documents without words are in no group and stay.
+    Rows are told apart by id and text, so ids may be null or repeated; null ids come last. Of rows with equal id and
+    text one stays. Documents without words are in no group and stay.
     """
     ready(spark)
-    linked = ngram_join.linked(docs)
-    keep = stored(
-        linked.filter((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(),
-        "pipeline-kept",
-    )
-    blank = linked.filter("n_shingles = 0").select("doc_id").distinct()
-    return _single(docs, keep.unionByName(blank).distinct())
+    named = _digested(docs)
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_digest")
+    linked = ngram_join.linked(named.withColumn("_row", row), "_row")
+    first = (F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id"))
+    keep = stored(linked.filter(first).select("doc_id.doc_id", "doc_id._digest").distinct(), "pipeline-kept")
+    keep = keep.select(F.col("doc_id").alias("_kept_id"), F.col("_digest").alias("_kept_digest"))
+    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & F.col("_digest").eqNullSafe(F.col("_kept_digest"))
+    rows = named.join(keep, same, "left_semi")
+    return (rows.dropDuplicates(["doc_id", "_digest"]) if _repeats(named, "doc_id", "_digest") else rows).select(*docs.columns)
 
 
-def _single(docs: DataFrame, keep: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is in ``keep``; of several rows with one id only one, if there are any such."""
-    named = keep.withColumnRenamed("doc_id", "_kept_id")
-    rows = docs.join(named, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
-    return rows.dropDuplicates(["doc_id"]) if repeated else rows
+def _digested(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("_digest", F.unhex(F.sha2("text", 256)))
+
+
+def _repeats(docs: DataFrame, *columns: str) -> bool:
+    return docs.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count() > 0
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats every document as often as the mixture takes it; documents not taken go, as do those without words."""
+    """Repeats every document as often as the mixture takes it; documents not taken go, as do those without words.
+
+    Where ids repeat, rows are drawn by id and text.
+    """
     configure(spark)
-    taken = mixing.mixed(docs).filter((F.col("times") > 0) & (F.col("size") > 0))
+    name = F.col("doc_id")
+    if _repeats(docs, "doc_id"):
+        name = F.concat_ws(":", F.coalesce(name.cast("string"), F.lit("null")), F.sha2("text", 256))
+    named = docs.withColumn("_name", name)
+    taken = mixing.mixed(named, doc_id="_name").filter((F.col("times") > 0) & (F.col("size") > 0))
     times = stored(taken.groupBy("doc_id").agg(F.max("times").alias("_times")), "pipeline-times")
-    times = times.withColumnRenamed("doc_id", "_taken_id")
-    rows = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_taken_id")))
+    times = times.withColumnRenamed("doc_id", "_taken_name")
+    rows = named.join(times, F.col("_name").eqNullSafe(F.col("_taken_name")))
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*docs.columns)
 
 

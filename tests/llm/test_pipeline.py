@@ -73,6 +73,17 @@ def test_odd_documents(workers, odd):
     assert corpus_pipeline.STAGES[-1][1](workers, docs, FOLDER).count() == left[-1]
 
 
+def test_texts_under_a_null_id_and_under_one_id(workers):
+    """Rows are told apart by id and text: only copies of a text go, never another text under the same id."""
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(40)) for w in "abcd")
+    data = [(None, a), (None, b), (None, b), (7, c), (7, d), (3, c), (8, a), (9, None), (9, "")]
+    docs = workers.createDataFrame([(i, t, "en", "s", 0) for i, t in data], ", ".join(f"{n} {t}" for n, t in zip(COLUMNS, ["long", "string", "string", "string", "int"])))
+    kept = stored(corpus_pipeline.drop_near_duplicates(workers, docs, FOLDER), "test-one-id")
+    assert rows(kept.select("doc_id", "text")) == sorted([(None, b), (7, d), (3, c), (8, a), (9, None), (9, "")], key=repr)
+    mixed = corpus_pipeline.mix_sources(workers, kept, FOLDER)
+    assert rows(mixed.select("doc_id", "text")) == sorted([(None, b), (7, d), (3, c), (8, a)], key=repr)
+
+
 def test_empty_documents(workers, empty):
     docs = empty
     for _, stage in corpus_pipeline.STAGES:
