@@ -37,7 +37,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with an expected severity below half a grade; fitted on the labels of the documents left."""
+    """Keeps documents with an expected severity below half a grade; fitted on the labels of the documents left.
+
+    Without labels of both kinds for them nothing is known to be toxic and all documents stay.
+    """
     ready(spark)
     labels = toxicity.graded(table(spark, sf_dir, "labels"))
     labels = labels.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")

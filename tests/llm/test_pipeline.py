@@ -84,6 +84,14 @@ def test_texts_under_a_null_id_and_under_one_id(workers):
     assert rows(mixed.select("doc_id", "text")) == sorted([(None, b), (7, d), (3, c), (8, a)], key=repr)
 
 
+@pytest.mark.parametrize("marks", [[], [(99, 1, 0), (98, 0, 1)], [(1, 1, None), (2, 1, None)], [(1, 1, 1), (2, 0, 1)], [(1, 1, 0)]])
+def test_without_labels_of_both_kinds_all_stay(workers, tmp_path, marks):
+    workers.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    data = [(1, "a clean text"), (2, "another one"), (3, "and a third"), (None, ""), (4, None)]
+    docs = workers.createDataFrame([(i, t, "en", "s", 0) for i, t in data], "doc_id long, text string, lang string, source string, n_chars int")
+    assert rows(corpus_pipeline.drop_toxic(workers, docs, str(tmp_path))) == rows(docs)
+
+
 def test_empty_documents(workers, empty):
     docs = empty
     for _, stage in corpus_pipeline.STAGES:

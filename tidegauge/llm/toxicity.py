@@ -7,6 +7,7 @@ probabilities, from 0 to the highest grade.
 Features are words and word beginnings, present or not. Only those that stand out are kept: a feature's share of toxic
 texts must exceed the overall share beyond what chance allows over all features tried, so that ordinary words weigh
 nothing however long a text is. The model is fitted on a bounded sample of labelled texts (``sample_docs``).
+Without labels of both kinds, or if no feature stands out, nothing is known: every text has severity 0.
 """
 
 from __future__ import annotations
@@ -148,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 20_000, doc_id: s
 
     With more than ``sample_docs`` labels, documents are taken by a hash of their id at the rate that gives that many
     on average. Of texts with the same sketch (mostly near copies) one is kept, so that a large group of copies does
-    not pass for evidence. Without labels of both kinds the model knows no features.
+    not pass for evidence. Without labels of both kinds the model knows no features and no thresholds: severity is 0.
     """
     count = labels.count()
     chance = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("toxicity sample")), 11) / F.lit(float(1 << 53))
@@ -167,8 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 20_000, doc_id: s
     totals = {r["toxic"]: r["n"] for r in sample.groupBy((F.col("grade") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
     harmless, toxic = totals.get(False, 0), totals.get(True, 0)
     if not harmless or not toxic:
-        share = (toxic + 0.5) / (harmless + toxic + 1)
-        return Model({}, [math.log(1 / share - 1), math.log(1 / share - 1) + 1.0])
+        return Model({}, [])
 
     def presence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -201,6 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 20_000, doc_id: s
         .limit(MOST_FEATURES)
         .collect()
     )
+    if not telling:
+        return Model({}, [])
     names = sorted(r["feature"] for r in telling)
     place = {f: i for i, f in enumerate(names)}
     shared = docs.sparkSession.sparkContext.broadcast(place)
