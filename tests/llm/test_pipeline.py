@@ -34,6 +34,12 @@ def test_clean_documents_stay(workers, staged):
     assert harmless.join(labels, "doc_id", "left_semi").count() >= 0.97 * clean
 
 
+def test_toxic_documents_go(workers, staged):
+    labels = workers.read.parquet(f"{FOLDER}/labels.parquet").filter("toxic = 1")
+    before, after = ({r["lang"]: r["count"] for r in df.join(labels, "doc_id", "left_semi").groupBy("lang").count().collect()} for df in staged[1:3])
+    assert before and all(after.get(lang, 0) <= 0.3 * n for lang, n in before.items())
+
+
 def test_one_document_of_each_group_stays(staged):
     before = staged[2].select("doc_id", "text").orderBy("doc_id").collect()
     groups = plain_groups([r["doc_id"] for r in before], plain_sets([r["text"] for r in before]))

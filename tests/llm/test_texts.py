@@ -208,6 +208,24 @@ def test_toxicity(workers, docs):
     assert hit >= 0.5 * shares[1]["count(1)"] and wrong <= 0.02 * shares[0]["count(1)"]
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_toxicity_per_language(workers, size):
+    labels = workers.read.parquet(f"/root/testdata/{size}/labels.parquet")
+    table = workers.read.parquet(f"/root/testdata/{size}/documents.parquet")
+    joined = toxicity.scored(table, labels).join(labels, "doc_id").join(table.select("doc_id", "lang"), "doc_id")
+    caught = {}
+    for r in joined.filter("toxic = 1").select("lang", "severity").collect():
+        caught.setdefault(r["lang"], []).append(r["severity"] >= 0.5)
+    assert len(caught) > 2 and all(sum(hits) >= 0.7 * len(hits) for hits in caught.values())
+    assert joined.filter("toxic = 0 and severity >= 0.5").count() <= 0.02 * joined.filter("toxic = 0").count()
+
+
+def test_words_within_long_runs_of_letters():
+    found = set(toxicity.word_features("y" * 60 + "idiotic" + "z" * 60))
+    assert {"idi*", "idiot*", "idiotic*"} <= found
+    assert set(toxicity.word_features("Idiot")) == {"idiot", "idi*", "idio*"}
+
+
 def test_toxicity_odd(workers, odd, empty):
     labels = workers.createDataFrame(
         [(1, 1, 1), (4, None, 0), (None, 1, 1), (6, 0, None), (5, 1, 0), (5, 0, 1)], "doc_id long, quality int, toxic int"

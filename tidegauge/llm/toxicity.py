@@ -5,9 +5,9 @@ thresholds: P(grade > k) = sigmoid(weights . features - threshold k). The expect
 probabilities, from 0 to the highest grade.
 
 Features are words and word beginnings, present or not. Only those that stand out are kept: a feature's share of toxic
-texts must exceed the overall share beyond what chance allows over all features tried, so that ordinary words weigh
-nothing however long a text is. The model is fitted on a bounded sample of labelled texts (``sample_docs``).
-Without labels of both kinds, or if no feature stands out, nothing is known: every text has severity 0.
+texts must exceed the overall share by evidence that is the same for tables of any size; the ridge shrinks those that
+tell little. The model is fitted on a bounded sample of labelled texts (``sample_docs``). Without labels of both kinds,
+or if no feature stands out, nothing is known: every text has severity 0.
 """
 
 from __future__ import annotations
@@ -30,10 +30,10 @@ from tidegauge.session import stored
 GRADES = 3
 #: Lengths of word beginnings that are features of their own.
 BEGINNINGS = (3, 4, 5, 6, 7)
-#: Characters of a word that are looked at; longer runs of letters are no words.
+#: Longest word; in longer runs of letters a word may begin at every letter.
 LONGEST = 40
-#: Chance that any feature at all is kept by accident.
-ACCIDENT = 0.05
+#: Evidence above which a feature is kept: the chance of so large a share by accident is below exp(-EVIDENCE).
+EVIDENCE = 4.0
 #: Most features kept, the most telling first; bounds what the driver collects.
 MOST_FEATURES = 4000
 REMEMBERED = 400_000
@@ -47,14 +47,16 @@ class Model:
     key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
-def word_features(chunk: str) -> set[str]:
+def word_features(chunk: str) -> Iterator[str]:
     """Features of a run of text without white space: its words, and their beginnings marked with a star."""
-    found = set()
-    for word in LETTERS.findall(chunk.lower()):
-        word = word[:LONGEST]
-        found.add(word)
-        found.update(word[:n] + "*" for n in BEGINNINGS if len(word) > n)
-    return found
+    for match in LETTERS.finditer(chunk.lower()):
+        word = match.group()
+        if len(word) > LONGEST:
+            for n in BEGINNINGS:
+                yield from (word[i : i + n] + "*" for i in range(len(word) - n + 1))
+        else:
+            yield word
+            yield from (word[:n] + "*" for n in BEGINNINGS if len(word) > n)
 
 
 def sketch(text: str) -> int:
@@ -77,7 +79,7 @@ class Weigher(dict):
         self.weights = weights
 
     def __missing__(self, chunk: str) -> tuple[str, ...]:
-        found = tuple(f for f in word_features(chunk) if f in self.weights)
+        found = tuple({f for f in word_features(chunk) if f in self.weights})
         if len(chunk) <= LONGEST:
             if len(self) > REMEMBERED:
                 self.clear()
@@ -94,7 +96,7 @@ def exceed(scores: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
 
 
 def fit_ordinal(
-    rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, features: int, ridge: float = 0.05, rounds: int = 1500
+    rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, features: int, ridge: float = 0.003, rounds: int = 1500
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds by gradient ascent (Adam) on the penalised likelihood.
 
@@ -189,14 +191,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 20_000, doc_id: s
         "toxicity-features",
     )
     base = toxic / (harmless + toxic)
-    tried = max(1, counted.count())
     # Chernoff's bound on the chance of so large a share: n times the divergence from the overall share.
     share = (F.col("t") - 0.001) / F.col("n")
     divergence = F.col("n") * (share * F.log(share / base) + (1 - share) * F.log((1 - share) / (1 - base)))
     telling = (
         counted.filter(F.col("t") > 0)
         .withColumn("evidence", F.when(share > base, divergence))
-        .filter(F.col("evidence") > math.log(tried / ACCIDENT))
+        .filter(F.col("evidence") > EVIDENCE)
         .orderBy(F.desc("evidence"), "feature")
         .limit(MOST_FEATURES)
         .collect()
