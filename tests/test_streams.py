@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidegauge.operators.merge import MARKER
+from tidegauge.plans.streams import unchanged_snapshots
 from tidegauge.session import work_path
 from tidegauge.streaming import streams as X
 from tidegauge.tables.versioned import read_current
@@ -91,6 +92,17 @@ def test_snapshots_of_one_batch_in_order(spark):
         assert rows(got) == [("A", 0), ("A", 20), ("B", 10)]
 
 
+def test_snapshots_of_any_time(spark, tmp_path):
+    """Events before and after January go on like others; those without a time all go on and change nothing else."""
+    data = [(1, "a", "2023-05-01"), (1, "a", "2024-01-05"), (1, "b", "2024-03-01"), (1, "b", "2024-03-02")]
+    data += [(2, "c", None), (2, "c", None), (2, "c", "2024-01-25"), (2, "c", "2024-01-26")]
+    df = spark.createDataFrame(data, "user_id long, event_type string, ts string")
+    df.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    got = [(r["user_id"], r["content_hash"], r["at"] and r["at"][:10], r["batch"]) for r in unchanged_snapshots(spark, str(tmp_path)).collect()]
+    want = [(1, "a", "2023-05-01", 0), (1, "a", "2024-01-05", 0), (1, "b", "2024-03-01", 2), (2, "c", "2024-01-25", 2)]
+    assert sorted(got, key=repr) == sorted(want + [(2, "c", None, 2)] * 2, key=repr)
+
+
 def test_late_rows_count(spark):
     path, root, checkpoint = (work_path(spark, n) for n in ("in", "counts", "checkpoint"))
     each = X.count_by_status(root, "ts", F.col("s"), "1 minute")

@@ -157,13 +157,17 @@ def status_over_time(spark: SparkSession, sf: str) -> DataFrame:
     SELECT user_id, h AS content_hash, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, CAST(batch AS INTEGER) AS batch FROM r WHERE passed""",
 )
 def unchanged_snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    """Users as tables and their event types as contents, in three batches of ten days: changed ones go on."""
+    """Users as tables and their event types as contents, in three batches: changed ones go on.
+
+    The first batch has all before 11 January, the last all from the 21st on and events without a time.
+    """
     path, root, out = (work_path(spark, n) for n in ("snapshots", "ledger", "forwarded"))
     checkpoint = work_path(spark, "checkpoint")
     events = table(spark, sf, "events").select("user_id", F.col("event_type").alias("content_hash"), "ts")
-    for first, last in (("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2024-02-01")):
-        within = (F.col("ts") >= F.expr(f"timestamp_ntz '{first}'")) & (F.col("ts") < F.expr(f"timestamp_ntz '{last}'"))
-        events.filter(within).write.mode("append").parquet(path)
+    part = F.when(F.col("ts") < F.expr("timestamp_ntz '2024-01-11'"), 0)
+    part = part.when(F.col("ts") < F.expr("timestamp_ntz '2024-01-21'"), 1).otherwise(2)
+    for number in range(3):
+        events.filter(part == number).write.mode("append").parquet(path)
         stream = X.drop_stream(
             spark, path, "parquet", "user_id bigint, content_hash string, ts timestamp_ntz", "*.parquet"
         )

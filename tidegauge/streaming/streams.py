@@ -229,13 +229,14 @@ def suppress_unchanged(
     last forwarded one is older than ``ttl``.
 
     Snapshots of a table are looked at one after another in time, each against the last one forwarded, so that the
-    result does not depend on how they are cut into batches. The ledger holds one row per table.
+    result does not depend on how they are cut into batches. The ledger holds one row per table. Snapshots without a
+    time have no place in that order: they are all forwarded and nothing is compared with them.
     """
 
     def each(df: DataFrame, batch: int) -> None:
         spark = df.sparkSession
         old = state_after(spark, root, batch)
-        seen = df.groupBy(table).agg(F.sort_array(F.collect_list(F.struct(at, signature))).alias("_seen"))
+        seen = df.filter(F.col(at).isNotNull()).groupBy(table).agg(F.sort_array(F.collect_list(F.struct(at, signature))).alias("_seen"))
         if old is None:
             known = seen.withColumn("_last", F.struct(F.col("_seen")[0][at], F.col("_seen")[0][signature]))
             known = known.withColumn("_last", F.when(F.lit(False), F.col("_last")))
@@ -251,10 +252,11 @@ def suppress_unchanged(
         begin = F.when(F.col("_last").isNull(), F.array().cast(kind)).otherwise(F.array("_last").cast(kind))
         passed = known.select(table, F.size(begin).alias("_known"), F.aggregate("_seen", begin, step).alias("_passed"))
         news = passed.select(table, F.explode(F.slice("_passed", F.col("_known") + 1, F.size("_passed") + 1)).alias("_row"))
-        fresh = news.select(table, "_row.*").select(table, signature, at)
+        timeless = df.filter(F.col(at).isNull()).select(table, signature, at)
+        fresh = news.select(table, "_row.*").select(table, signature, at).unionByName(timeless)
         fresh.write.mode("overwrite").parquet(f"{out}/batch={batch}")
         forwarded = spark.read.schema(fresh.schema).parquet(f"{out}/batch={batch}")
-        newest = latest(forwarded, [table], [F.col(at), F.col(signature)])
+        newest = latest(forwarded.filter(F.col(at).isNotNull()), [table], [F.col(at), F.col(signature)])
         save_state(newest if old is None else merge(old, newest, [table]), root, batch)
 
     return each
