@@ -6,7 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bpe, fingerprints, language, licences, mixing, neighbours, ngram_join, sharding, token_counts, toxicity
+from tidegauge.llm import (
+    bpe,
+    fingerprints,
+    language,
+    lexical_search,
+    licences,
+    mixing,
+    neighbours,
+    ngram_join,
+    sharding,
+    substring_dedup,
+    token_counts,
+    toxicity,
+)
 from tidegauge.llm.common import documents, llm_query
 from tidegauge.session import table
 
@@ -59,3 +72,13 @@ def op9_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 @llm_query("op10_toxicity")
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(documents(spark, folder), table(spark, folder, "labels"))
+
+
+@llm_query("op12_presence_masks", lexical_search.SQL)
+def op12_presence_masks(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, folder, "benchmark"), documents(spark, folder))
+
+
+@llm_query("op13_difference_cover", substring_dedup.SQL)
+def op13_difference_cover(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.kept_digests(documents(spark, folder))
