@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm import (
+    alignment,
     bpe,
     fingerprints,
     language,
@@ -74,6 +75,12 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(documents(spark, folder), table(spark, folder, "labels"))
 
 
+@llm_query("op11_lockstep_alignment")
+def op11_lockstep_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.digests(documents(spark, folder), a, b)
+
+
 @llm_query("op12_presence_masks", lexical_search.SQL)
 def op12_presence_masks(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.ranked(table(spark, folder, "benchmark"), documents(spark, folder))
