@@ -107,7 +107,7 @@ def test_digests_as_brute_force(libraries, short):
 def test_tokens_of_all_texts_as_the_libraries(libraries, pair, docs, odd):
     for r in docs.select("text").unionByName(odd.select("text")).collect():
         left, right = tokens(libraries, r["text"])
-        a, b = pair.encode(r["text"])
+        a, b = pair.encode([r["text"]])[0]
         assert a.tolist() == [i for i, _ in left] and b.tolist() == [i for i, _ in right]
 
 
@@ -115,7 +115,7 @@ def test_tokens_of_all_texts_as_the_libraries(libraries, pair, docs, odd):
 @given(st.text(alphabet="abeinorst THE'd,.!12 \n\t\x1c\x85\xa0▁　äñ日本🙂<s>|", max_size=60))
 def test_tokens_of_any_text_as_the_libraries(libraries, pair, text):
     left, right = tokens(libraries, text)
-    a, b = pair.encode(text)
+    a, b = pair.encode([text])[0]
     assert a.tolist() == [i for i, _ in left] and b.tolist() == [i for i, _ in right]
 
 
@@ -124,7 +124,7 @@ def test_lanes_do_not_matter(pair, libraries, docs, monkeypatch):
     whole = [plain(libraries, t) for t in texts if t and len(t) < 3000]
     for lane in (1, 7, 1 << 20):
         monkeypatch.setattr(alignment, "LANE", lane)
-        found = alignment.Aligned(pair, [pair.encode(t) for t in texts if t and len(t) < 3000])
+        found = alignment.Aligned(pair, pair.encode([t for t in texts if t and len(t) < 3000]))
         assert found.links().tolist() == [len(w[3]) for w in whole]
         assert [t.decode() for t in found.group_texts()] == [";".join(w[2]) for w in whole]
 
@@ -147,7 +147,7 @@ def test_aligned_arrays(libraries, docs):
 def test_a_very_long_word(libraries, pair):
     text = "ab" * 40_000 + " " + "x" * 20_000
     left, right = tokens(libraries, text)
-    a, b = pair.encode(text)
+    a, b = pair.encode([text])[0]
     assert a.tolist() == [i for i, _ in left] and b.tolist() == [i for i, _ in right]
 
 

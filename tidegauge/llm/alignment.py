@@ -32,13 +32,15 @@ from tidegauge.llm.common import once_per_worker
 from tidegauge.session import stored
 
 #: Bytes of a lane, and the share of a vector that has to be finished before it is compacted.
-LANE, FINISHED = 1024, 0.25
+LANE, FINISHED = 512, 0.25
 #: Text bytes aligned at a time.
-BATCH = 2 << 20
+BATCH = 1 << 19
 #: Pieces a worker remembers before it starts afresh, and the longest of them.
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 64
+REMEMBERED, LONGEST_REMEMBERED = 200_000, 64
 #: Pairs whose counts are broadcast (17 bytes each); more are joined.
 BROADCAST_PAIRS = 2_000_000
+#: Bits of a link's number below its document's.
+DOC_BITS = np.uint64(44)
 #: Distinct pairs that a task sums up before it hands them on.
 HELD_PAIRS = 2_000_000
 
@@ -63,36 +65,53 @@ def load(a_path: str, b_path: str) -> dict[str, Any]:
     return {"key": uuid.uuid4().hex, "a_bytes": a_bytes, "b_model": b_model}
 
 
-class Encoder(dict):
-    """Piece of text, without its leading blank -> ids as little-endian 32-bit integers."""
-
-    def __init__(self, encode: Callable[[str], list[int]]):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, piece: str) -> bytes:
-        packed = np.array(self.encode(piece), "<u4").tobytes()
-        if len(piece) <= LONGEST_REMEMBERED:
-            if len(self) > REMEMBERED:
-                self.clear()
-            self[piece] = packed
-        return packed
-
-
 class Tokens:
     """Byte strings of a vocabulary in one pool, found by id."""
 
     def __init__(self, strings: dict[int, bytes]):
         size = max(strings) + 1
         self.lengths = np.array([len(strings.get(i, b"")) for i in range(size)], np.int64)
-        self.offsets = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
+        self.offsets = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
         self.pool = np.frombuffer(b"".join(strings.get(i, b"") for i in range(size)), np.uint8)
 
     def joined(self, ids: np.ndarray) -> np.ndarray:
         """The tokens' bytes in a row."""
-        lengths = self.lengths[ids]
-        ends = np.cumsum(lengths)
-        return self.pool[np.repeat(self.offsets[ids] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        lengths = self.lengths[ids].astype(np.int32)
+        ends = np.cumsum(lengths, dtype=np.int32)
+        places = np.repeat(self.offsets[ids] - ends + lengths, lengths)
+        places += np.arange(len(places), dtype=np.int32)
+        return self.pool[places]
+
+
+class Encoder(dict):
+    """Piece of text, without its leading blank -> ids as little-endian 32-bit integers."""
+
+    def __init__(self, encode: Callable[[str], list[int]], tokens: Tokens):
+        super().__init__()
+        self.encode, self.tokens = encode, tokens
+
+    def learn(self, pieces: set[str]) -> None:
+        """Encode the pieces that are not known yet, all in one text; their borders are cuts of its tokens."""
+        if len(self) > REMEMBERED:
+            self.clear()
+        new = [p for p in pieces.difference(self) if len(p) <= LONGEST_REMEMBERED and p and not p[-1].isspace()]
+        if not new:
+            return
+        ids = np.array(self.encode(" ".join(new)), np.int64)
+        known = ids[ids < len(self.tokens.lengths)]
+        at = np.cumsum(self.tokens.lengths[known])
+        ends = np.cumsum([len(p.encode()) + 1 for p in new])
+        cuts = np.searchsorted(at, ends)
+        if len(known) < len(ids) or cuts[-1] >= len(at) or (at[cuts] != ends).any():
+            return  # a tokenizer lost bytes: one by one, in __missing__
+        raw, cuts = known.astype("<u4").tobytes(), [0, *((cuts + 1) * 4).tolist()]
+        self.update(zip(new, map(raw.__getitem__, map(slice, cuts, cuts[1:]))))
+
+    def __missing__(self, piece: str) -> bytes:
+        packed = np.array(self.encode(piece), "<u4").tobytes()
+        if len(piece) <= LONGEST_REMEMBERED:
+            self[piece] = packed
+        return packed
 
 
 def pieces_of(model: sentencepiece.SentencePieceProcessor) -> dict[int, bytes]:
@@ -118,11 +137,11 @@ class Pair:
         crossing = [i for i in strings if re.search(f"[^{BLANK}]{BLANK}", b.id_to_piece(i))]
         #: Without a merge over a border, pieces can be encoded one by one.
         self.cuts = not crossing
-        self.a = Encoder(lambda piece: a.encode_ordinary(" " + piece))
+        self.a_tokens, self.b_tokens = Tokens(spec["a_bytes"]), Tokens(strings)
+        self.a = Encoder(lambda piece: a.encode_ordinary(" " + piece), self.a_tokens)
         blank = [b.piece_to_id(BLANK)]
         # The library adds the blank before a text, but nothing to an empty one.
-        self.b = Encoder(lambda piece: b.encode(piece) if piece else blank)
-        self.a_tokens, self.b_tokens = Tokens(spec["a_bytes"]), Tokens(strings)
+        self.b = Encoder(lambda piece: b.encode(piece) if piece else blank, self.b_tokens)
         self.scale = np.uint64(b.get_piece_size())
 
     def pieces(self, text: str) -> list[str]:
@@ -133,17 +152,21 @@ class Pair:
             return [p[1:] for p in _BORDER.split(" " + text)]
         return text.split(" ")
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids by A of a blank and the text, and by B of the text; none where one of them loses bytes."""
-        none = np.empty(0, np.int64)
-        if not text:
-            return none, none
-        pieces = self.pieces(text)
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per text the ids by A of a blank and the text, and by B of the text; none where one of them loses bytes."""
+        pieces = [self.pieces(text) if text else [] for text in texts]
+        if self.cuts:
+            distinct = set().union(*pieces)
+            self.a.learn(distinct)
+            self.b.learn(distinct)
+        return [self._encoded(text, p) for text, p in zip(texts, pieces)]
+
+    def _encoded(self, text: str | None, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         a = np.frombuffer(b"".join(map(self.a.__getitem__, pieces)), "<u4").astype(np.int64)
         b = np.frombuffer(b"".join(map(self.b.__getitem__, pieces)), "<u4").astype(np.int64)
-        raw = b" " + text.encode()
+        raw = b" " + text.encode() if text else b""
         if any(tokens.joined(ids).tobytes() != raw for tokens, ids in ((self.a_tokens, a), (self.b_tokens, b))):
-            return none, none
+            a = b = np.empty(0, np.int64)
         return a, b
 
 
@@ -280,17 +303,17 @@ def _pair(spec) -> Pair:
 def _batches(pair: Pair, names: pd.Series, texts: pd.Series) -> Iterator[tuple[list, Aligned]]:
     """Aligned parts of a batch, bounded in bytes."""
     ids: list = []
-    encoded: list = []
+    some: list[str | None] = []
     size = 0
     for name, text in zip(names.array, texts):
         ids.append(None if pd.isna(name) else name)
-        encoded.append(pair.encode(text if isinstance(text, str) else None))
-        size += len(text) if isinstance(text, str) else 0
+        some.append(text if isinstance(text, str) else None)
+        size += len(some[-1] or "")
         if size > BATCH:
-            yield ids, Aligned(pair, encoded)
-            ids, encoded, size = [], [], 0
+            yield ids, Aligned(pair, pair.encode(some))
+            ids, some, size = [], [], 0
     if ids:
-        yield ids, Aligned(pair, encoded)
+        yield ids, Aligned(pair, pair.encode(some))
 
 
 def tables(spark: SparkSession, a_path: str, b_path: str):
@@ -334,14 +357,11 @@ def _measured(docs: DataFrame, spec, doc_id: str, text: str) -> DataFrame:
         pair = _pair(spec)
         for batch in batches:
             for ids, found in _batches(pair, batch["doc_id"], batch["text"]):
-                codes = found.codes()
-                order = np.lexsort((codes, found.doc))
-                codes, doc = codes[order], found.doc[order]
-                new = np.ones(len(codes), bool)
-                new[1:] = (codes[1:] != codes[:-1]) | (doc[1:] != doc[:-1])
-                starts = np.flatnonzero(new)
-                times, codes = np.diff(np.append(starts, len(new))), codes[starts]
-                bounds = np.searchsorted(doc[starts], np.arange(len(ids) + 1))
+                # Few documents make a batch, and pairs of two vocabularies leave room for their numbers above.
+                links = np.sort((found.doc.astype(np.uint64) << DOC_BITS) | found.codes())
+                starts = np.flatnonzero(np.concatenate([[True], links[1:] != links[:-1]])) if len(links) else np.empty(0, np.int64)
+                times, codes = np.diff(np.append(starts, len(links))), links[starts] & ((np.uint64(1) << DOC_BITS) - np.uint64(1))
+                bounds = np.searchsorted(links[starts] >> DOC_BITS, np.arange(len(ids) + 1, dtype=np.uint64))
                 texts = found.group_texts()
                 yield pd.DataFrame(
                     {
