@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from tests.conftest import rows
-from tidegauge.llm import lexical_search, substring_dedup
+from tidegauge.llm import lexical_search, substring_dedup, words
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -102,8 +102,8 @@ def test_covers_hold_every_difference():
 
 def test_run_hashes_depend_on_words_only():
     raw = np.frombuffer(b"a bb a bb  a\nbb ab b ", np.uint8)
-    hashes = substring_dedup.word_hashes(raw, *substring_dedup.word_places(raw))
-    pairs = substring_dedup.run_hashes(hashes, 2, substring_dedup.Powers(substring_dedup.WORD))
+    hashes = words.word_hashes(raw, *words.word_places(raw))
+    pairs = words.run_hashes(hashes, 2, words.Powers(substring_dedup.WORD))
     assert pairs[0] == pairs[2] == pairs[4] and len(set(pairs.tolist())) == 4
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tests.llm.conftest import ODD
 from tests.oracle import compare, connect
-from tidegauge.llm import components, fingerprints, mixing, neighbours, ngram_join, sharding
+from tidegauge.llm import components, fingerprints, mixing, neighbours, ngram_join, sharding, words
 
 
 def text_of(r):
@@ -235,10 +235,30 @@ def test_join_odd(odd, empty):
 def test_join_splits_long_texts(monkeypatch):
     text = "ab cd\tef\ngh  ij kl " * 50 + "x" * 300 + " end"
     whole = ngram_join.word_hashes(text)
-    monkeypatch.setattr(ngram_join, "PIECE", 16)
+    monkeypatch.setattr(words, "PIECE", 16)
     assert ngram_join.word_hashes(text).tolist() == whole.tolist()
 
 
+def test_join_compares_whole_tokens(workers):
+    """One shingle each, nothing in common: also among very many tokens none of them may be taken for another."""
+    texts = [(i, f"q1 q2 q3 q4 z{i}") for i in [2265975, 2356712, *range(30_000)]]
+    found = ngram_join.linked(workers.createDataFrame(texts, "doc_id long, text string"))
+    assert found.filter("doc_id <> component_id").count() == 0
+    many = ngram_join.mix(np.arange(3_000_000, dtype=np.uint64))
+    assert len(np.unique(many)) == len(many)
+
+
+def test_mixture_prefers_long_documents(workers):
+    """Inclusion odds follow the size: of a source that is not taken whole, long documents are drawn more often."""
+    texts = [(i, " ".join(["w"] * (10 if i % 2 else 100)), "ab"[i % 20 == 0]) for i in range(4000)]
+    docs = workers.createDataFrame(texts, "doc_id long, text string, source string")
+    found = [r for r in mixing.mixed(docs, weights=(1, 8)).collect() if r["source"] == "a"]
+    rest = [(r["size"], r["times"]) for r in found]
+    short, long = ([t for s, t in rest if s == size] for size in (10, 100))
+    assert sum(long) / len(long) > 1.5 * sum(short) / len(short)
+    assert abs(sum(r["taken"] for r in found) - found[0]["target"]) <= 50
+
+
 def test_components(workers):
     links = [(1, 2), (2, 3), (5, 4), (4, 6), (6, 7), (9, 9)] + [(i, i + 1) for i in range(20, 60)] + [(60, 20)]
     found = components.components(workers.createDataFrame(links, "x long, y long"), "x", "y")

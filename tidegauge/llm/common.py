@@ -84,9 +84,12 @@ _PER_WORKER: dict[Any, Any] = {}
 
 
 def once_per_worker(key: Any, make: Callable[[], Any]) -> Any:
-    """A value that a Python worker builds once and keeps for later tasks; only the last 8 are kept."""
+    """A value that a Python worker builds once and keeps for later tasks.
+
+    Only the last two are kept, so that an operator's tables go when the next one builds its own.
+    """
     if key not in _PER_WORKER:
-        while len(_PER_WORKER) >= 8:
+        while len(_PER_WORKER) >= 2:
             _PER_WORKER.pop(next(iter(_PER_WORKER)))
         _PER_WORKER[key] = make()
     return _PER_WORKER[key]

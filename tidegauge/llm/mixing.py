@@ -1,12 +1,15 @@
 """Mixing sources to target weights: whole copies first, then a Pareto sample for the rest.
 
 A source with target T and size S (in words) takes every document floor(T/S) times for certain. What is left, R, is
-drawn: a document's inclusion probability is p = R/S, and documents rank by the odds of a random number over the odds of
-p. The sample has a fixed size in words: documents are taken in this order as long as they fit into R, and one more,
-the one whose size fits the remaining gap best, closes it. The random numbers are digests of ids, so that reruns agree.
-
-A hot source is ranked in cells: within a source the order is that of the random number, so words per cell of it are
-added up first and only the one cell in which R runs out has its rows ranked.
+drawn by Pareto order sampling: a document's inclusion odds are R/(S - R) times its size over the source's mean size, so that
+long documents are likelier than short ones, and documents rank by the odds of a random number over their inclusion odds.
+The sample has a fixed size in words: documents are taken in this order as long as they fit into R, and one more,
+the one whose size fits the remaining gap best, closes it. The random numbers are digests of id and text, so that reruns
+agree.
+
+A hot source is ranked in cells of the ranking value: words per cell are added up first, and only the one cell in which R
+runs out has its rows ranked. What comes out is one row per source, from which the times of a document follow by a
+column expression.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.session import stored
@@ -26,20 +29,30 @@ MOST_COPIES = 3
 SEED = "mixture"
 
 
+def size_of(text: Column) -> Column:
+    """Words of a text, none if null."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def random_of(doc_id: Column, text: Column) -> Column:
+    """A random number in (0, 1) from id and text."""
+    name = F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), F.md5(F.coalesce(text, F.lit("")).cast("binary")), F.lit(SEED))
+    digits = F.substring(F.md5(name.cast("binary")), 1, 12)
+    return (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 48))
+
+
 def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(doc_id, source, size, u): words of the text (none if null) and a random number in (0, 1) from the id."""
-    name = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
-    digits = F.substring(F.md5(F.concat_ws(":", name, F.lit(SEED)).cast("binary")), 1, 12)
+    """(doc_id, source, size, u) of every row."""
     return docs.select(
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
-        F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        ((F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 48))).alias("u"),
+        size_of(F.col(text)).alias("size"),
+        random_of(F.col(doc_id), F.col(text)).alias("u"),
     )
 
 
 def targets(rows: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
-    """One row per source: (source, source_size, target, copies, rest, p).
+    """One row per source: (source, source_size, target, copies, rest, odds), the odds for a document of one word.
 
     Sources in code point order, null last, have ``weights`` in turn and share all words by weight. A target stops at
     ``MOST_COPIES`` times its source's size; the excess is shared again by weight. Sources that stop are a prefix in the
@@ -50,7 +63,7 @@ def targets(rows: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
     turn = (F.row_number().over(by_name) - 1) % len(weights)
     sources = (
         rows.groupBy("source")
-        .agg(F.sum("size").alias("source_size"))
+        .agg(F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("n"))
         .withColumn("weight", F.element_at(F.array(*[F.lit(w).cast("long") for w in weights]), (turn + 1).cast("int")))
     )
     fullest = Window.orderBy(F.expr(f"source_size * ({scale} div weight)"), F.col("source").asc_nulls_last())
@@ -76,8 +89,82 @@ def targets(rows: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
         shared.withColumn("copies", F.when(F.col("source_size") > 0, F.floor(F.col("target") / size)).otherwise(0))
         .withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("copies") * size))
         .withColumn("p", F.when(F.col("source_size") > 0, F.col("rest") / size).otherwise(0.0))
-        .select("source", "source_size", "target", F.col("copies").cast("long").alias("copies"), "rest", "p")
+        .withColumn("odds", F.when((F.col("p") > 0) & (F.col("p") < 1), F.col("p") / (1 - F.col("p"))))
+        .select("source", "source_size", "n", "target", F.col("copies").cast("long").alias("copies"), "rest", "odds")
+    )
+
+
+def rank_of(size: Column, u: Column) -> Column:
+    """The ranking value of a document, given its source's columns; null if nothing is drawn."""
+    relative = size.cast("double") * F.col("n").cast("double") / F.col("source_size").cast("double")
+    return F.when((size > 0) & F.col("odds").isNotNull(), (u / (1 - u)) / (F.col("odds") * relative))
+
+
+def planned(rows: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
+    """One row per source: its target, certain copies, the place in the ranking up to which documents are drawn, and the
+    one that closes the gap. ``rows`` are (source, size, u). ``times`` reads it; stored, so that the planner knows its size.
+    """
+    cells = max(1, math.isqrt(rows.count()))
+    goal = stored(targets(rows, weights), "mixture-targets").withColumnRenamed("source", "of")
+    known = rows.join(goal, F.col("source").eqNullSafe(F.col("of"))).withColumn("q", rank_of(F.col("size"), F.col("u")))
+    share = F.col("q") / (1 + F.col("q"))
+    drawn = stored(
+        known.filter(F.col("q").isNotNull()).select(
+            "of", "size", "u", "q", "rest", F.least(F.lit(cells - 1), F.floor(share * cells)).cast("long").alias("cell")
+        ),
+        "mixture-ranks",
+    )
+
+    # Per source, the cell in which the rest runs out and the words before it.
+    upto = Window.partitionBy("of").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    sums = drawn.groupBy("of", "cell").agg(F.sum("size").alias("words"), F.max("rest").alias("rest"))
+    sums = sums.withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0)))
+    runs_out = (F.col("before") + F.col("words") > F.col("rest")) & (F.col("before") <= F.col("rest"))
+    found = sums.filter(runs_out).groupBy("of").agg(F.min(F.struct("cell", "before")).alias("cut"))
+    cuts = stored(found.select(F.col("of").alias("cut_of"), F.col("cut.cell").alias("cut_cell"), F.col("cut.before").alias("before")), "mixture-cells")
+    here = F.col("of").eqNullSafe(F.col("cut_of"))
+
+    # In that cell, the last place that fits. Rows of one place are equal and go together.
+    units = drawn.join(cuts, here & (F.col("cell") == F.col("cut_cell"))).groupBy("of", "q", "u").agg(
+        F.sum("size").alias("words"), F.max("rest").alias("rest"), F.max("before").alias("before")
+    )
+    order = Window.partitionBy("of").orderBy("q", "u").rowsBetween(Window.unboundedPreceding, 0)
+    units = units.withColumn("upto", F.col("before") + F.sum("words").over(order)).filter(F.col("upto") <= F.col("rest"))
+    fit = units.groupBy("of").agg(F.max(F.struct("q", "u")).alias("last"), F.max("upto").alias("words"))
+    fit = fit.select(F.col("of").alias("fit_of"), "last", "words")
+    cuts = cuts.join(fit, F.col("cut_of").eqNullSafe(F.col("fit_of")), "left").drop("fit_of")
+    cuts = stored(cuts.withColumn("words", F.coalesce("words", "before")).drop("before"), "mixture-cuts")
+
+    # The place that closes the gap best, if taking it brings the source nearer to its target.
+    gap = F.col("rest") - F.col("words")
+    open_rows = drawn.join(cuts, here).filter(~_before_cut() & (F.col("size") < 2 * gap))
+    units = open_rows.groupBy("of", "q", "u").agg(F.sum("size").alias("size"), F.max(gap).alias("gap"))
+    miss = F.abs(F.col("size") - F.col("gap"))
+    best = (
+        units.filter(miss < F.col("gap"))
+        .groupBy("of")
+        .agg(F.min(F.struct(miss.alias("miss"), "q", "u")).alias("best"))
+        .select(F.col("of").alias("best_of"), F.struct("best.q", "best.u").alias("extra"))
     )
+    plan = goal.join(cuts.drop("words"), here, "left").drop("cut_of")
+    plan = plan.join(best, F.col("of").eqNullSafe(F.col("best_of")), "left").drop("best_of")
+    return stored(plan.withColumn("cells", F.lit(cells)), "mixture-plan")
+
+
+def _before_cut() -> Column:
+    at = F.struct("q", "u")
+    inside = F.coalesce((F.col("cell") == F.col("cut_cell")) & (at <= F.col("last")), F.lit(False))
+    return (F.col("cell") < F.col("cut_cell")) | inside
+
+
+def times(size: Column, u: Column) -> Column:
+    """How often a document is taken, given the columns of its source's plan."""
+    q = rank_of(size, u)
+    at = F.struct(q.alias("q"), u.alias("u"))
+    cell = F.least(F.col("cells") - 1, F.floor(q / (1 + q) * F.col("cells"))).cast("long")
+    before = (cell < F.col("cut_cell")) | ((cell == F.col("cut_cell")) & (at <= F.col("last")))
+    once = q.isNotNull() & (F.coalesce(before, F.lit(False)) | F.coalesce(at == F.col("extra"), F.lit(False)))
+    return F.col("copies") + once.cast("long")
 
 
 def mixed(
@@ -90,90 +177,22 @@ def mixed(
     """How often the mixture takes every document: (doc_id, source, size, source_size, target, times, taken).
 
     One row per input row; ``taken`` is the words taken, size times ``times``. Null texts have no words; a null source
-    is a source; rows repeated under one id share a random number, and which of the equal rows a cut takes makes no
-    difference. Sources without words have target 0. An empty table gives an empty result.
+    is a source. Rows with equal id and text share a place in the ranking and are taken as often as each other. Sources without words have target 0. An empty table gives an empty result.
     """
     rows = stored(measured(docs, doc_id, text, source), "mixture-sizes")
-    cells = max(1, math.isqrt(rows.count()))
-    celled = rows.withColumn("cell", F.floor(F.col("u") * cells).cast("long"))
-    goal = stored(targets(rows, weights), "mixture-targets")
-
-    # Per source, the cell in which the rest runs out and the words before it.
-    upto = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    sums = celled.groupBy("source", "cell").agg(F.sum("size").alias("words"))
-    sums = sums.withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0)))
-    same = sums["source"].eqNullSafe(goal["source"])
-    cut = (
-        sums.join(goal, same)
-        .filter((F.col("before") + F.col("words") > F.col("rest")) & (F.col("before") <= F.col("rest")))
-        .groupBy(sums["source"].alias("source"))
-        .agg(F.min(F.struct("cell", "before")).alias("cut"))
-        .select(F.col("source").alias("cut_source"), "cut.cell", "cut.before")
-        .withColumnRenamed("cell", "cut_cell")
-    )
-    plan = goal.join(cut, F.col("source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
-    plan = plan.withColumnRenamed("source", "goal_source")
-    known = celled.join(plan, F.col("source").eqNullSafe(F.col("goal_source"))).drop("goal_source")
-    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
-    known = known.withColumn("q", F.when((F.col("p") > 0) & (F.col("p") < 1), odds))
-    drawn = F.col("q").isNotNull()
-    cell_of_cut = F.coalesce(F.col("cell") == F.col("cut_cell"), F.lit(False)) & drawn
-    whole = known.filter(~cell_of_cut).withColumn(
-        "chosen", drawn & F.coalesce(F.col("cell") < F.col("cut_cell"), F.lit(False))
-    )
-    order = Window.partitionBy("source").orderBy("q", "u", "doc_id", "size")
-    upto_here = order.rowsBetween(Window.unboundedPreceding, 0)
-    ranked = known.filter(cell_of_cut).withColumn(
-        "chosen", F.col("before") + F.sum("size").over(upto_here) <= F.col("rest")
-    )
-    columns = ["doc_id", "source", "size", "u", "q", "source_size", "target", "copies", "rest", "chosen"]
-    flagged = stored(whole.select(*columns).unionByName(ranked.select(*columns)), "mixture-draw")
-
-    # The document that closes the gap best, if taking it brings the source nearer to its target.
-    gaps = (
-        flagged.groupBy("source")
-        .agg(F.max("rest").alias("rest"), F.sum(F.when(F.col("chosen"), F.col("size")).otherwise(0)).alias("words"))
-        .select(F.col("source").alias("gap_source"), (F.col("rest") - F.col("words")).alias("gap"))
-    )
-    miss = F.abs(F.col("size") - F.col("gap"))
-    fitting = (
-        flagged.filter(~F.col("chosen") & F.col("q").isNotNull())
-        .join(gaps, F.col("source").eqNullSafe(F.col("gap_source")))
-        .filter(miss < F.col("gap"))
-        .groupBy("source")
-        .agg(F.min(F.struct(miss.alias("miss"), "q", "u", "doc_id", "size")).alias("best"))
-        .select(F.col("source").alias("best_source"), "best")
-    )
-    fitting = stored(fitting, "mixture-last")
-    compared = flagged.join(fitting, F.col("source").eqNullSafe(F.col("best_source")), "left")
-    is_best = F.coalesce(
-        ~F.col("chosen")
-        & F.col("q").isNotNull()
-        & (F.col("u") == F.col("best.u"))
-        & F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
-        & (F.col("size") == F.col("best.size")),
-        F.lit(False),
-    )
-    kept = [*columns, "last"]
-    others = compared.filter(~is_best).withColumn("last", F.lit(False)).select(*kept)
-    equal = Window.partitionBy("source").orderBy("u")
-    bests = compared.filter(is_best).withColumn("last", F.row_number().over(equal) == 1).select(*kept)
-    times = F.col("copies") + F.col("chosen").cast("long") + F.col("last").cast("long")
-    return (
-        others.unionByName(bests)
-        .withColumn("times", times)
-        .select("doc_id", "source", "size", "source_size", "target", "times", (F.col("size") * F.col("times")).alias("taken"))
-    )
+    plan = planned(rows, weights)
+    known = rows.join(plan, F.col("source").eqNullSafe(F.col("of"))).withColumn("times", times(F.col("size"), F.col("u")))
+    return known.select("doc_id", "source", "size", "source_size", "target", "times", (F.col("size") * F.col("times")).alias("taken"))
 
 
 SQL = f"""
 WITH sizes AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size,
-    (('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':{SEED}'), 1, 12))::BIGINT + 0.5::DOUBLE)
+    (('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, '')) || ':{SEED}'), 1, 12))::BIGINT + 0.5::DOUBLE)
       / 281474976710656::DOUBLE AS u
   FROM documents),
 sources AS (
-  SELECT source, sum(size)::BIGINT AS source_size,
+  SELECT source, sum(size)::BIGINT AS source_size, count(*) FILTER (size > 0) AS n,
     [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
   FROM sizes GROUP BY source),
 filled AS (
@@ -189,7 +208,7 @@ free AS (
     sum(CASE WHEN stops THEN 0 ELSE weight END) OVER () AS free_weight
   FROM stopped),
 targets AS (
-  SELECT source, source_size, CASE WHEN stops THEN (3 * source_size)::DOUBLE
+  SELECT source, source_size, n, CASE WHEN stops THEN (3 * source_size)::DOUBLE
     ELSE (free_words * weight)::DOUBLE / free_weight::DOUBLE END AS target
   FROM free),
 parts AS (
@@ -198,20 +217,21 @@ rests AS (SELECT *, greatest(0.0::DOUBLE, target - copies * source_size::DOUBLE)
 chances AS (SELECT *, CASE WHEN source_size > 0 THEN rest / source_size::DOUBLE ELSE 0 END AS p FROM rests),
 odds AS (
   SELECT s.doc_id, s.source, s.size, s.u, c.source_size, c.target, c.copies, c.rest,
-    CASE WHEN p > 0 AND p < 1 THEN (u / (1 - u)) / (p / (1 - p)) END AS q
+    CASE WHEN size > 0 AND p > 0 AND p < 1
+      THEN (u / (1 - u)) / ((p / (1 - p)) * (size::DOUBLE * n::DOUBLE / source_size::DOUBLE)) END AS q
   FROM sizes s JOIN chances c ON s.source IS NOT DISTINCT FROM c.source),
+units AS (
+  SELECT source, rest, q, u, sum(size)::BIGINT AS words FROM odds WHERE q IS NOT NULL GROUP BY ALL),
 draws AS (
-  SELECT *, q IS NOT NULL AND sum(size) OVER (PARTITION BY source ORDER BY q NULLS LAST, u, doc_id, size
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= rest AS chosen
-  FROM odds),
+  SELECT *, sum(words) OVER (PARTITION BY source ORDER BY q, u ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= rest AS chosen
+  FROM units),
 gaps AS (
-  SELECT *, rest - sum(CASE WHEN chosen THEN size ELSE 0 END) OVER (PARTITION BY source) AS gap FROM draws),
+  SELECT *, rest - sum(CASE WHEN chosen THEN words ELSE 0 END) OVER (PARTITION BY source) AS gap FROM draws),
 fits AS (
-  SELECT *, NOT chosen AND q IS NOT NULL AND abs(size - gap) < gap AS may FROM gaps),
+  SELECT *, NOT chosen AND abs(words - gap) < gap AS may FROM gaps),
 lasts AS (
-  SELECT *, may AND row_number() OVER (PARTITION BY source, may ORDER BY abs(size - gap), q, u, doc_id, size) = 1 AS last
-  FROM fits)
+  SELECT *, may AND row_number() OVER (PARTITION BY source, may ORDER BY abs(words - gap), q, u) = 1 AS last FROM fits)
 SELECT doc_id, size, source_size, target,
-  (size * (copies::BIGINT + chosen::BIGINT + last::BIGINT))::BIGINT AS taken
-FROM lasts
+  (size * (copies::BIGINT + coalesce(chosen::BIGINT + last::BIGINT, 0)))::BIGINT AS taken
+FROM odds LEFT JOIN lasts ON odds.source IS NOT DISTINCT FROM lasts.source AND odds.q = lasts.q AND odds.u = lasts.u
 """

@@ -12,8 +12,8 @@ The index is made twice. The first one assumes the widest partner sizes, from 3/
 a set's partners can have at all, and for these m and the extension are smaller, so that the second index is shorter
 and its lists hold few sets that do not link. Candidates are verified on the whole sets, so the result is exact.
 
-How often a token occurs is counted exactly over all documents. Tokens travel packed: blocks of documents send their
-tokens, 5 bytes each, to buckets of a hash range; a bucket returns those that occur in more than one set to the
+How often a token occurs is counted exactly over all documents. Tokens are 64-bit hashes, compared in full everywhere, and
+travel packed: blocks of documents send theirs to buckets of a hash range; a bucket returns those that occur in more than one set to the
 sets' homes, where a set's frequent and rare tokens meet and its index entries are made. Equal sets are one class and
 take part once. Tokens in over 1/100 of a bounded sample of sets are spread over buckets of their own and ordered by
 their count in the sample, as the order only has to be the same everywhere.
@@ -21,7 +21,6 @@ their count in the sample, as the order only has to be the same everywhere.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 
@@ -30,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import once_per_worker
+from tidegauge.llm import words
 from tidegauge.llm.components import components
 from tidegauge.session import stored
 
@@ -43,29 +42,18 @@ RARE = 48
 #: Sets with fewer tokens index single tokens only; from ``COMBINE`` on frequent tokens are combined as well.
 SINGLE, COMBINE = 16, 12
 #: Tokens of one bucket and sets of one home, on average.
-BUCKET_TOKENS = 2_000_000
-HOME_SETS = 2_000
+BUCKET_TOKENS = 1_000_000
+HOME_SETS = 1_000
 #: Sets sampled to find the tokens that get buckets of their own, and the share of sets that makes them so.
 SAMPLE_SETS, HOT_SHARE = 10_000, 0.01
-#: Bytes of a text that are split into words at a time, and words whose hashes a worker keeps.
-PIECE, REMEMBERED = 4 << 20, 1_000_000
-LOW = np.uint64((1 << 40) - 1)
+#: Classes a task remembers to have sent.
+REMEMBERED = 1_000_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # Odd 64-bit multipliers for mixing hashes.
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        found = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        if len(word) <= 64:
-            if len(self) > REMEMBERED:
-                self.clear()
-            self[word] = found
-        return found
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _MIX[1]
     x = (x ^ (x >> np.uint64(27))) * _MIX[2]
@@ -73,31 +61,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(text: str) -> np.ndarray:
-    """Hashes of a text's words, A-Z lower-cased; the text is split piece by piece at white space."""
-    known = once_per_worker("words", WordHashes)
-    raw = text.encode("utf-8", "surrogatepass").translate(_LOWER)
-    parts, at = [], 0
-    while at < len(raw):
-        end = at + PIECE
-        if end < len(raw):
-            end = max((raw.rfind(c, at, end) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")))
-            if end < 0:  # no white space in a whole piece: look for the word's end
-                ends = [x for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c") if (x := raw.find(c, at)) >= 0]
-                end = min(ends, default=len(raw))
-            end += 1
-        words = raw[at:end].split()
-        parts.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
-        at = end
-    return np.concatenate(parts) if parts else np.empty(0, np.uint64)
-
-
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """The sorted distinct tokens of a text: its runs of ``words`` words, or all its words if it has fewer."""
+    """Hashes of a text's words, A-Z lower-cased."""
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass").translate(_LOWER), np.uint8)
+    return words.word_hashes(raw, *words.word_places(raw))
+
+
+def shingles(text: str | None, length: int = WORDS) -> np.ndarray:
+    """The sorted distinct tokens of a text: its runs of ``length`` words, or all its words if it has fewer."""
     hashes = word_hashes(text or "")
     n = len(hashes)
     if n == 0:
         return hashes
-    length = min(n, words)
+    length = min(n, length)
     found = np.full(n - length + 1, length, np.uint64)
     for i in range(length):
         found = mix(found * _MIX[0] + hashes[i : n - length + 1 + i])
@@ -150,17 +125,6 @@ def hot_tokens(sampled: DataFrame) -> dict[int, int]:
     return {r["token"]: r["n"] for r in found}
 
 
-def _five(values: np.ndarray) -> bytes:
-    """The low 5 bytes of each value."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-
-
-def _from_five(raw: bytes) -> np.ndarray:
-    wide = np.zeros((len(raw) // 5, 8), np.uint8)
-    wide[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
-    return wide.reshape(-1).view("<u8")
-
-
 def spread(docs: DataFrame, text: str, buckets: int, hot) -> DataFrame:
     """Tokens of all sets by bucket: (bucket, sets binary, sizes binary, held binary, tokens binary) per block of rows.
 
@@ -187,23 +151,19 @@ def spread(docs: DataFrame, text: str, buckets: int, hot) -> DataFrame:
                 continue
             tokens, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), sizes)
             names, sizes = np.array(names, np.int64), np.array(sizes, "<u4")
-            bucket = ((tokens >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+            bucket = ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
             if len(hot_sorted):
                 place = np.minimum(np.searchsorted(hot_sorted, tokens), len(hot_sorted) - 1)
                 is_hot = hot_sorted[place] == tokens
                 bucket[is_hot] = buckets + names[owner[is_hot]] % buckets
-            # Hot tokens carry their place in the hot list, as their bucket no longer says which hash range they are of.
-            carried = tokens & LOW
-            if len(hot_sorted):
-                carried[is_hot] = place[is_hot].astype(np.uint64)
             order = np.argsort(bucket, kind="stable")
-            bucket, carried, owner = bucket[order], carried[order], owner[order]
+            bucket, carried, owner = bucket[order], tokens[order], owner[order]
             starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
             out = []
             for a, b in zip(starts, np.append(starts[1:], len(bucket))):
                 sets, held = np.unique(owner[a:b], return_counts=True)
                 out.append(
-                    (bucket[a], names[sets].tobytes(), sizes[sets].tobytes(), held.astype("<u4").tobytes(), _five(carried[a:b]))
+                    (bucket[a], names[sets].tobytes(), sizes[sets].tobytes(), held.astype("<u4").tobytes(), carried[a:b].astype("<u8").tobytes())
                 )
             yield pd.DataFrame(out, columns=["bucket", "sets", "sizes", "held", "tokens"])
 
@@ -219,24 +179,22 @@ def shared_tokens(spread_out: DataFrame, buckets: int, homes: int, hot) -> DataF
         names = np.concatenate([np.frombuffer(x, np.int64) for x in rows["sets"]])
         sizes = np.concatenate([np.frombuffer(x, "<u4") for x in rows["sizes"]])
         held = np.concatenate([np.frombuffer(x, "<u4") for x in rows["held"]])
-        low = _from_five(b"".join(rows["tokens"]))
+        tokens = np.frombuffer(b"".join(rows["tokens"]), "<u8")
         # The same class can come from several tasks; number the classes so that it counts once.
         known, first = np.unique(names, return_index=True)
         owner = np.repeat(np.searchsorted(known, names), held).astype(np.int64)
-        order = np.lexsort((owner, low))
-        low, owner = low[order], owner[order]
-        once = np.concatenate([[True], (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])])
-        low, owner = low[once], owner[once]
-        starts = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
-        counts = np.diff(np.append(starts, len(low)))
+        order = np.lexsort((owner, tokens))
+        tokens, owner = tokens[order], owner[order]
+        once = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])])
+        tokens, owner = tokens[once], owner[once]
         if bucket < buckets:
+            starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+            counts = np.diff(np.append(starts, len(tokens)))
             counts = np.repeat(counts, counts)
             shared = counts > 1
-            tokens = (np.uint64(bucket) << np.uint64(40)) | low
             tokens, owner, counts = tokens[shared], owner[shared], counts[shared]
-        else:
-            tokens = (np.uint64(buckets) << np.uint64(40)) | low
-            counts = hot.value[1][low.astype(np.int64)]
+        else:  # a part of the sets only: counts come from the sample
+            counts = hot.value[1][np.searchsorted(hot.value[0], tokens)]
         if not len(tokens):
             return pd.DataFrame([], columns=columns)
         home = known[owner] % homes
@@ -260,10 +218,10 @@ def shared_tokens(spread_out: DataFrame, buckets: int, homes: int, hot) -> DataF
 
     columns = ["home", "sets", "sizes", "held", "tokens", "counts"]
     schema = "home long, sets binary, sizes binary, held binary, tokens binary, counts binary"
-    return spread_out.groupBy("bucket").applyInPandas(count, schema)
+    return spread_out.repartition(2 * buckets, "bucket").groupBy("bucket").applyInPandas(count, schema)
 
 
-def indexed(shared: DataFrame) -> DataFrame:
+def indexed(shared: DataFrame, homes: int) -> DataFrame:
     """(class, n, tokens, rare) of the sets that can have a partner: enough of their tokens are shared.
 
     ``tokens`` are the shared ones in the global order; the first ``rare`` of them are rare.
@@ -289,7 +247,7 @@ def indexed(shared: DataFrame) -> DataFrame:
             start = end
         return pd.DataFrame(out, columns=["class", "n", "tokens", "rare"])
 
-    return shared.groupBy("home").applyInPandas(assemble, "class long, n int, tokens array<long>, rare int")
+    return shared.repartition(homes, "home").groupBy("home").applyInPandas(assemble, "class long, n int, tokens array<long>, rare int")
 
 
 def postings(sets: DataFrame, combined: bool = True) -> DataFrame:
@@ -379,7 +337,7 @@ def prepared(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
     keys = np.array(sorted(np.uint64(k & (1 << 64) - 1) for k in found), np.uint64)
     counts = np.array([found[int(k.astype(np.int64))] for k in keys], np.int64) * math.ceil(1 / rate) + RARE + 1
     hot = docs.sparkSession.sparkContext.broadcast((keys, counts))
-    index = indexed(shared_tokens(spread(docs, text, buckets, hot), buckets, homes, hot))
+    index = indexed(shared_tokens(spread(docs, text, buckets, hot), buckets, homes, hot), homes)
     return rows.drop("sample"), stored(index, "join-index")
 
 
