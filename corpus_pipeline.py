@@ -27,26 +27,32 @@ def ready(spark: SparkSession) -> SparkSession:
     return for_workers(configure(spark))
 
 
+def _beside(docs: DataFrame) -> DataFrame:
+    """The rows as one column, so that what a stage finds out about them clashes with no column of theirs."""
+    return docs.select(F.struct("*").alias("doc"))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose text is in a learned language; texts that are null, without letters or unknown go."""
     ready(spark)
     filters = language.fit(language.training_rows(docs))
-    found = docs.withColumn("_found", language.predictor(docs, filters)("text"))
-    kept = (F.col("_found.lang_pred") != language.UNDETERMINED) & (F.col("_found.coverage") >= COVERAGE)
-    return found.filter(kept).select(*docs.columns)
+    found = _beside(docs).withColumn("found", language.predictor(docs, filters)("doc.text"))
+    kept = (F.col("found.lang_pred") != language.UNDETERMINED) & (F.col("found.coverage") >= COVERAGE)
+    return found.filter(kept).select("doc.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with an expected severity below half a grade; fitted on the labels of the documents left.
 
-    Without labels of both kinds for them nothing is known to be toxic and all documents stay.
+    Null and empty texts have no features and stay. Without labels of both kinds nothing is known to be toxic and all
+    documents stay.
     """
     ready(spark)
     labels = toxicity.graded(table(spark, sf_dir, "labels"))
     labels = labels.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     model = toxicity.fit(docs, labels)
-    found = docs.withColumn("_found", toxicity.predictor(docs, model)("text"))
-    return found.filter(F.col("_found.severity") < SEVERITY).select(*docs.columns)
+    found = _beside(docs).withColumn("found", toxicity.predictor(docs, model)("doc.text"))
+    return found.filter(F.col("found.severity") < SEVERITY).select("doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,44 +62,44 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     text one stays. Documents without words are in no group and stay.
     """
     ready(spark)
-    named = _digested(docs)
-    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_digest")
-    linked = ngram_join.linked(named.withColumn("_row", row), "_row")
+    digest = F.unhex(F.sha2("doc.text", 256))
+    named = _beside(docs).withColumn("digest", digest)
+    row = F.struct(F.col("doc.doc_id").isNull().alias("unnamed"), F.col("doc.doc_id").alias("doc_id"), "digest")
+    linked = ngram_join.linked(named.select(row.alias("row"), F.col("doc.text").alias("text")), "row")
     first = (F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id"))
-    keep = stored(linked.filter(first).select("doc_id.doc_id", "doc_id._digest").distinct(), "pipeline-kept")
-    keep = keep.select(F.col("doc_id").alias("_kept_id"), F.col("_digest").alias("_kept_digest"))
-    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & F.col("_digest").eqNullSafe(F.col("_kept_digest"))
+    keep = linked.filter(first).select(F.col("doc_id.doc_id").alias("kept_id"), F.col("doc_id.digest").alias("kept_digest"))
+    keep = stored(keep.distinct(), "pipeline-kept")
+    same = F.col("doc.doc_id").eqNullSafe(F.col("kept_id")) & F.col("digest").eqNullSafe(F.col("kept_digest"))
     rows = named.join(keep, same, "left_semi")
-    return (rows.dropDuplicates(["doc_id", "_digest"]) if _repeats(named, "doc_id", "_digest") else rows).select(*docs.columns)
-
+    if _repeats(named):
+        rows = rows.groupBy(F.col("doc.doc_id").alias("id"), "digest").agg(F.any_value("doc").alias("doc"))
+    return rows.select("doc.*")
 
-def _digested(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_digest", F.unhex(F.sha2("text", 256)))
 
-
-def _repeats(docs: DataFrame, *columns: str) -> bool:
-    return docs.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count() > 0
+def _repeats(named: DataFrame) -> bool:
+    counted = named.groupBy("doc.doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    return counted.filter("n > 1").limit(1).count() > 0
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats every document as often as the mixture takes it; documents not taken go, as do those without words.
 
-    Where ids repeat, rows are drawn by id and text.
+    Documents are drawn by id and text; what a document's source contributes is one row, and no text is moved.
     """
     configure(spark)
-    name = F.col("doc_id")
-    if _repeats(docs, "doc_id"):
-        name = F.concat_ws(":", F.coalesce(name.cast("string"), F.lit("null")), F.sha2("text", 256))
-    named = docs.withColumn("_name", name)
-    taken = mixing.mixed(named, doc_id="_name").filter((F.col("times") > 0) & (F.col("size") > 0))
-    times = stored(taken.groupBy("doc_id").agg(F.max("times").alias("_times")), "pipeline-times")
-    times = times.withColumnRenamed("doc_id", "_taken_name")
-    rows = named.join(times, F.col("_name").eqNullSafe(F.col("_taken_name")))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*docs.columns)
+    plan = mixing.planned(stored(mixing.measured(docs), "pipeline-sizes"))
+    size = mixing.size_of(F.col("doc.text"))
+    known = _beside(docs).withColumns({"size": size, "u": mixing.random_of(F.col("doc.doc_id"), F.col("doc.text"))})
+    taken = known.join(plan, F.col("doc.source").eqNullSafe(F.col("of"))).filter(F.col("size") > 0)
+    taken = taken.withColumn("times", mixing.times(F.col("size"), F.col("u"))).filter(F.col("times") > 0)
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("doc.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the text decoded from them, one row per document taken."""
+    """Token counts and digests of the ids and of the text decoded from them, one row per document taken.
+
+    A null or empty text has no tokens.
+    """
     ready(spark)
     return bpe.token_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
