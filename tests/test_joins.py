@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -7,7 +8,8 @@ from tidegauge.operators import intervals as I
 from tidegauge.operators import joins as J
 
 
-def test_texts_containing_finds_every_substring(spark):
+@pytest.mark.parametrize("chars", [0, J.AUTOMATON_CHARS])
+def test_texts_containing_finds_every_substring(spark, chars):
     rnd = random.Random(3)
     letters = "ab é\n😀c"
     texts = [(i, "".join(rnd.choice(letters) for _ in range(rnd.randrange(0, 120)))) for i in range(60)]
@@ -16,8 +18,11 @@ def test_texts_containing_finds_every_substring(spark):
     names |= {t[-10:] for _, t in texts if len(t) >= 10}
     df = spark.createDataFrame(texts, "id int, body string")
     objs = spark.createDataFrame([(n,) for n in sorted(names)] + [("",)], "name string")
-    got = {(r["id"], r["name"]) for r in J.texts_containing(df, "id", "body", objs, "name").collect()}
-    assert got == {(i, n) for i, t in texts for n in names if n in t}
+    odd = spark.createDataFrame([(900, None), (901, ""), (None, "a b c"), (7, "a b c")], "id int, body string")
+    found = J.texts_containing(df.unionByName(odd), "id", "body", objs, "name", chars)
+    got = sorted((r["id"], r["body"], r["name"]) for r in found.collect())
+    assert got == sorted((i, t, n) for i, t in [*texts, (7, "a b c")] for n in names if n in t)
+    assert J.texts_containing(df, "id", "body", objs.limit(0), "name", chars).count() == 0
 
 
 def test_points_in_intervals_of_all_lengths(spark):

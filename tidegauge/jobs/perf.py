@@ -80,7 +80,7 @@ def object_usage(
     """Queries per object, hour, user group and report; an object counts when its name is in the text."""
     timed = logs.withColumn("as_of_hour", hour)
     grouped = with_user_group(timed, members, user, default_group)
-    hits = texts_containing(grouped, key, text, objects, obj)
+    hits = texts_containing(grouped.select(key, text, "as_of_hour", "user_group", report), key, text, objects, obj)
     return hits.groupBy(obj, "as_of_hour", "user_group", report).agg(F.count(F.lit(1)).alias("query_count"))
 
 

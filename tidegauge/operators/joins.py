@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import operator
+from collections.abc import Iterator, Mapping, Sequence
 
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.session import stored
 
+#: Characters of names that every task may hold as an automaton, at about a hundred bytes each.
+AUTOMATON_CHARS = 1 << 20
+
 
 def with_user_group(
     df: DataFrame, members: DataFrame, user: str, default: str, group: str = "user_group", order: str = "position"
@@ -90,20 +96,51 @@ def unused_columns(declared: DataFrame, used: DataFrame, keys: Sequence[str]) ->
     return declared.join(used.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def texts_containing(texts: DataFrame, key: str, text: str, objects: DataFrame, name: str) -> DataFrame:
-    """Text rows (told apart by ``key``) with each object whose name occurs in the text,
-    case-sensitively.
+def texts_containing(
+    texts: DataFrame, key: str, text: str, objects: DataFrame, name: str, automaton_chars: int = AUTOMATON_CHARS
+) -> DataFrame:
+    """Text rows with each object whose name occurs in the text, case-sensitively; rows without a key are left out.
 
-    No text is compared with every object. Of the text only the character grams at every k-th
-    position are kept, and each name offers its first k grams: wherever the name occurs, one of its
-    grams falls on a kept position. Grams meet in an equi-join and the full name is verified
-    afterwards, so no pair is missed. Whole texts are read and the work is linear in their length.
+    No text is compared with every object and none is repeated for a candidate. Names of up to ``automaton_chars``
+    characters in all go to the tasks as one Aho-Corasick automaton, which finds all of them in one pass over a text;
+    more names are met in a join of character grams. Whole texts are read in both ways.
+    """
+    names = stored(objects.filter(F.length(name) > 0).select(name).distinct(), "names")
+    texts = texts.filter(F.col(key).isNotNull())
+    if (names.agg(F.sum(F.length(name))).first()[0] or 0) <= automaton_chars:
+        return _found_by_automaton(texts, text, names, name)
+    return _found_by_grams(texts, key, text, names, name)
+
+
+def _found_by_automaton(texts: DataFrame, text: str, names: DataFrame, name: str) -> DataFrame:
+    context = texts.sparkSession.sparkContext
+    given = context.broadcast([r[0] for r in names.collect()])  # bounded by the caller
+
+    @F.pandas_udf("array<string>")
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        automaton = ahocorasick.Automaton()
+        for word in given.value:
+            automaton.add_word(word, word)
+        automaton.make_automaton()
+        value = operator.itemgetter(1)
+        for batch in batches:
+            yield pd.Series([list(set(map(value, automaton.iter(t)))) if given.value and t else [] for t in batch], dtype=object)
+
+    if texts.rdd.getNumPartitions() < context.defaultParallelism:  # a single small file is one split
+        texts = texts.repartition(context.defaultParallelism)
+    return texts.select("*", F.explode(found(text)).alias(name))
+
+
+def _found_by_grams(texts: DataFrame, key: str, text: str, names: DataFrame, name: str) -> DataFrame:
+    """Of the text only the character grams at every k-th position are kept, and each name offers its first k grams:
+    wherever the name occurs, one of its grams falls on a kept position. Grams meet in an equi-join; the candidates of
+    a text come together as one array and are verified in one go, so no pair is missed.
     Names are classed by length (1, 2, 4, or 8 and more); a class steps by about a quarter of its shortest name.
     """
     classes = F.when(F.length(name) >= 8, 8)
     for least in (4, 2):
         classes = classes.when(F.length(name) >= least, least)
-    named = objects.filter(F.length(name) > 0).select(name).distinct().withColumn("_class", classes.otherwise(1))
+    named = names.withColumn("_class", classes.otherwise(1))
     present = named.groupBy("_class").agg(F.min(F.length(name)).alias("shortest")).collect()  # at most 4 rows
     grams, anchors = [F.array().cast("array<string>")], F.array().cast("array<string>")
     for size, shortest in sorted((r["_class"], r["shortest"]) for r in present):
@@ -113,14 +150,12 @@ def texts_containing(texts: DataFrame, key: str, text: str, objects: DataFrame,
         grams.append(F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{width}}})).{{{step}}}"), F.lit(1)))
         first = [F.substring(F.col(name), at + 1, width) for at in range(step)]
         anchors = F.when(F.col("_class") == size, F.array(*first)).otherwise(anchors)
-    # Only the key travels with the grams. The candidates are stored, so that the planner knows their
-    # size: when they are few, they go to the texts for the check, and the texts are not shuffled.
-    probes = texts.select(key, F.explode(F.array_distinct(F.concat(*grams))).alias("_gram"))
-    candidates = probes.join(
-        named.select(name, F.explode(anchors).alias("_gram")), "_gram"
-    ).select(key, name).distinct()
-    found = texts.join(stored(candidates, "candidates"), key)
-    return found.filter(F.contains(F.col(text), F.col(name)))
+    index = named.select(F.explode(anchors).alias("_gram"), name)
+    dealt = texts.repartition(F.col(key))
+    probes = dealt.select(key, F.explode(F.array_distinct(F.concat(*grams))).alias("_gram"))
+    candidates = probes.join(index, "_gram").groupBy(key).agg(F.collect_set(name).alias("_names"))
+    held = F.filter("_names", lambda n: F.contains(F.col(text), n))
+    return dealt.join(candidates, key).select(*texts.columns, F.explode(held).alias(name))
 
 
 def points_in_intervals(
