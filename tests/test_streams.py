@@ -92,6 +92,26 @@ def test_snapshots_of_one_batch_in_order(spark):
         assert rows(got) == [("A", 0), ("A", 20), ("B", 10)]
 
 
+def test_suppression_goes_on_after_a_restart(spark):
+    """A new function over the same folders, a batch tried twice and a folded ledger: as if nothing had happened."""
+    data = [(i % 3, "ab"[i % 7 < 4], i * 3 * 3600) for i in range(30)] + [(3, "a", i * 1800) for i in range(60)]
+    root, out = work_path(spark, "ledger"), work_path(spark, "out")
+    for batch in range(3):
+        part = [r for r in data if r[2] // (30 * 3600) == batch]
+        df = spark.createDataFrame(part, "t int, h string, at int").withColumn("at", F.timestamp_seconds("at"))
+        for _ in range(2):
+            X.suppress_unchanged(root, out, "t", "h", "at", "10 hours")(df, batch)
+        if batch == 1:
+            X.compact(spark, root, ["t"])
+    cache, want = {}, []
+    for t, h, at in sorted(data, key=lambda r: r[2]):
+        if t not in cache or cache[t][0] != h or at >= cache[t][1] + 36000:
+            cache[t] = (h, at)
+            want.append((t, h, at))
+    got = spark.read.parquet(out).select("t", "h", F.unix_timestamp("at").cast("int"))
+    assert rows(got) == sorted(want, key=repr)
+
+
 def test_snapshots_of_any_time(spark, tmp_path):
     """Events before and after January go on like others; those without a time all go on and change nothing else."""
     data = [(1, "a", "2023-05-01"), (1, "a", "2024-01-05"), (1, "b", "2024-03-01"), (1, "b", "2024-03-02")]

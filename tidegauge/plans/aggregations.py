@@ -536,12 +536,13 @@ def health(spark: SparkSession, sf: str) -> DataFrame:
     WHERE l_shipdate IS NOT NULL GROUP BY 1""",
 )
 def alternate_date(spark: SparkSession, sf: str) -> DataFrame:
-    """Order measures by ship date instead of order date, through the calendar."""
-    days = times.calendar(spark, "1990-01-01", "2009-12-31", AS_OF).select("Date2Key", "YearMonth")
+    """Order measures by ship date instead of order date, through a calendar of all days that the data spans."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", F.to_date("l_shipdate").alias("shipped"))
     orders = table(spark, sf, "orders").select("o_orderkey")
+    first, last = lines.agg(F.min("shipped").cast("string"), F.max("shipped").cast("string")).first()
+    days = times.calendar(spark, first or AS_OF, last or AS_OF, AS_OF).select("Date2Key", "YearMonth")
     facts = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-    dated = facts.join(F.broadcast(days), F.col("shipped") == F.col("Date2Key"))  # one row per day of twenty years
+    dated = facts.join(days, F.col("shipped") == F.col("Date2Key"))
     return M.by_groups(
         dated,
         [F.col("YearMonth").alias("mon")],

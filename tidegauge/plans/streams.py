@@ -149,12 +149,13 @@ def status_over_time(spark: SparkSession, sf: str) -> DataFrame:
     "X8_unchanged_snapshots",
     """WITH RECURSIVE s AS (SELECT user_id, event_type AS h, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_type) AS n,
         CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS batch
-        FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'),
+        FROM events WHERE ts IS NOT NULL),
     r AS (SELECT user_id, n, h AS last_h, ts AS last_ts, h, ts, batch, true AS passed FROM s WHERE n = 1
         UNION ALL SELECT s.user_id, s.n, CASE WHEN s.h = last_h AND s.ts < last_ts + INTERVAL 480 HOUR THEN last_h ELSE s.h END,
             CASE WHEN s.h = last_h AND s.ts < last_ts + INTERVAL 480 HOUR THEN last_ts ELSE s.ts END, s.h, s.ts, s.batch,
             NOT (s.h = last_h AND s.ts < last_ts + INTERVAL 480 HOUR) FROM r JOIN s ON s.user_id = r.user_id AND s.n = r.n + 1)
-    SELECT user_id, h AS content_hash, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, CAST(batch AS INTEGER) AS batch FROM r WHERE passed""",
+    SELECT user_id, h AS content_hash, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, CAST(batch AS INTEGER) AS batch FROM r WHERE passed
+    UNION ALL SELECT user_id, event_type, NULL, 2 FROM events WHERE ts IS NULL""",
 )
 def unchanged_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     """Users as tables and their event types as contents, in three batches: changed ones go on.

@@ -7,13 +7,15 @@ Every sink is idempotent per batch id: a replayed batch rewrites what it wrote b
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegauge.operators.merge import DELETE, MARKER, changes_since, merge
-from tidegauge.operators.ordered import latest
+from tidegauge.operators.merge import DELETE, MARKER, changes_since
+from tidegauge.operators.ordered import Running, latest, running
+from tidegauge.session import stored
 from tidegauge.sources.files import child_names, exists
 from tidegauge.tables.maintenance import write_change_files
 from tidegauge.tables.versioned import current_path, read_current, write_version
@@ -123,14 +125,15 @@ def _folded(spark: SparkSession, root: str) -> int:
     return 0 if path is None else int(path.rpartition("v=")[2])
 
 
-def logged_state(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
-    """State with the logged batches that it does not contain yet."""
+def logged_state(spark: SparkSession, root: str, keys: Sequence[str], before: int | None = None) -> DataFrame:
+    """State with the logged batches that it does not contain yet, or with those of them ``before`` a batch."""
     parts = []
     if current_path(spark, root) is not None:
         parts.append(read_current(spark, root))
     if exists(spark, f"{root}/log"):
         log = spark.read.option("basePath", f"{root}/log").parquet(f"{root}/log")
-        parts.append(log.filter(F.col("batch") >= _folded(spark, root)).drop("batch"))
+        log = log.filter(F.col("batch") >= _folded(spark, root))
+        parts.append((log if before is None else log.filter(F.col("batch") < before)).drop("batch"))
     if not parts:
         raise FileNotFoundError(f"neither state nor log below {root}")
     both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -229,39 +232,63 @@ def suppress_unchanged(
     last forwarded one is older than ``ttl``.
 
     Snapshots of a table are looked at one after another in time, each against the last one forwarded, so that the
-    result does not depend on how they are cut into batches. The ledger holds one row per table. Snapshots without a
-    time have no place in that order: they are all forwarded and nothing is compared with them.
+    result does not depend on how they are cut into batches. Snapshots without a time have no place in that order: they
+    are all forwarded and nothing is compared with them.
+
+    A snapshot that is kept back has the content of the one before it, so changes show between neighbours, whose order is
+    dealt over slices: a table with very many snapshots is in no single task. Within a run of equal content, what
+    outlives ``ttl`` is found for all runs at once, as many times as ``ttl`` fits into the longest of them. The ledger is a
+    log with the last forwarded snapshots of each batch, so a batch writes what it has forwarded only.
     """
+    log = log_changes(root, [table], [table, signature, at])
 
     def each(df: DataFrame, batch: int) -> None:
         spark = df.sparkSession
-        old = state_after(spark, root, batch)
-        seen = df.filter(F.col(at).isNotNull()).groupBy(table).agg(F.sort_array(F.collect_list(F.struct(at, signature))).alias("_seen"))
-        if old is None:
-            known = seen.withColumn("_last", F.struct(F.col("_seen")[0][at], F.col("_seen")[0][signature]))
-            known = known.withColumn("_last", F.when(F.lit(False), F.col("_last")))
-        else:
-            known = seen.join(old.select(table, F.struct(at, signature).alias("_last")), table, "left")
-        kind = seen.schema["_seen"].dataType.simpleString()
-
-        def step(done: Column, row: Column) -> Column:
-            last = F.try_element_at(done, F.lit(-1))
-            same = last[signature].eqNullSafe(row[signature]) & (row[at] < last[at] + F.expr(f"interval {ttl}"))
-            return F.when(F.coalesce(same, F.lit(False)), done).otherwise(F.concat(done, F.array(row)))
-
-        begin = F.when(F.col("_last").isNull(), F.array().cast(kind)).otherwise(F.array("_last").cast(kind))
-        passed = known.select(table, F.size(begin).alias("_known"), F.aggregate("_seen", begin, step).alias("_passed"))
-        news = passed.select(table, F.explode(F.slice("_passed", F.col("_known") + 1, F.size("_passed") + 1)).alias("_row"))
-        timeless = df.filter(F.col(at).isNull()).select(table, signature, at)
-        fresh = news.select(table, "_row.*").select(table, signature, at).unionByName(timeless)
+        news = df.select(F.col(table).alias("of"), F.col(signature).alias("hash"), F.col(at).alias("at"), F.lit(False).alias("known"))
+        timed = news.filter(F.col("at").isNotNull())
+        ledger = ledger_before(spark, root, table, batch)
+        if ledger is not None:
+            # What was forwarded last comes before everything in the batch, late snapshots included.
+            last = ledger.select(F.col(table).alias("of"), F.col(signature).alias("hash"), F.col(at).alias("at"), F.lit(True).alias("known"))
+            here = timed.select(F.col("of").alias("here")).distinct()
+            timed = timed.unionByName(last.join(here, F.col("of").eqNullSafe(F.col("here")), "left_semi"))
+        # Rows of one place are equal, so it does not matter which comes first.
+        order = [F.col("known").desc(), F.col("at"), F.col("hash")]
+        compared = running(timed, ["of"], order, before=Running("last", F.struct("hash"), inclusive=False))
+        changed = F.col("before").isNull() | ~F.col("before.hash").eqNullSafe(F.col("hash"))
+        compared = compared.withColumn("begins", F.when(changed, F.col("at")))
+        runs = running(compared, ["of"], order, begun=Running("last", F.col("begins"))).drop("before")
+
+        passed = [runs.filter(F.col("begins").isNotNull() & ~F.col("known")).select("of", "hash", "at")]
+        # What is still kept back, with the time of the last snapshot of its run that was forwarded.
+        waiting = runs.filter(F.col("begins").isNull()).withColumn("mark", F.col("begun"))
+        outlived = F.col("at") >= F.col("mark") + F.expr(f"interval {ttl}")
+        while True:
+            waiting = stored(waiting.filter(outlived).select("of", "hash", "at", "begun"), "snapshots-waiting")
+            if waiting.limit(1).count() == 0:
+                break
+            marks = waiting.groupBy("of", "hash", "begun").agg(F.min("at").alias("at"))
+            passed.append(marks.select("of", "hash", "at"))
+            marks = marks.select(F.col("of").alias("mark_of"), F.col("hash").alias("mark_hash"), F.col("begun").alias("mark_begun"), F.col("at").alias("mark"))
+            same = F.col("of").eqNullSafe(F.col("mark_of")) & F.col("hash").eqNullSafe(F.col("mark_hash")) & (F.col("begun") == F.col("mark_begun"))
+            waiting = waiting.join(marks, same)
+        timeless = news.filter(F.col("at").isNull()).select("of", "hash", "at")
+        fresh = reduce(DataFrame.unionByName, [*passed, timeless]).toDF(table, signature, at)
         fresh.write.mode("overwrite").parquet(f"{out}/batch={batch}")
-        forwarded = spark.read.schema(fresh.schema).parquet(f"{out}/batch={batch}")
-        newest = latest(forwarded.filter(F.col(at).isNotNull()), [table], [F.col(at), F.col(signature)])
-        save_state(newest if old is None else merge(old, newest, [table]), root, batch)
+        forwarded = spark.read.schema(fresh.schema).parquet(f"{out}/batch={batch}").filter(F.col(at).isNotNull())
+        place = F.struct(F.col(at), F.col(signature))
+        log(forwarded.withColumns({"_file": F.lit(batch + 1).cast("bigint"), "_place": place, MARKER: F.lit(0)}), batch)
 
     return each
 
 
+def ledger_before(spark: SparkSession, root: str, key: str, batch: int) -> DataFrame | None:
+    """The logged rows, one per key, as they were before ``batch``, which may have been tried already. None at first."""
+    if batch == 0 or not (exists(spark, f"{root}/log") or current_path(spark, root)):
+        return None
+    return visible(logged_state(spark, root, [key], batch))
+
+
 # Polled mirror ----------------------------------------------------------------------------------
 
 
