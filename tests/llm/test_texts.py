@@ -122,6 +122,25 @@ def test_licence_tag_in_text(odd):
     assert found["freedom"] == 1.0 and [s["label"] for s in found["spans"]] == ["mit", "tag"]
 
 
+@pytest.mark.parametrize(
+    "line,labels,freedom",
+    [
+        ("MIT (see LICENSE)", "mit", 1.0),
+        ("Apache-2.0 applies here", "apache,apache-2.0", 1.0),
+        ("MIT.", "mit", 1.0),
+        ("MIT OR GPL-2.0+. See the file COPYING.", "gpl,gpl-2.0+,mit", 1.0),
+        ("(MIT AND GPL-3.0) OR", "gpl,gpl-3.0,mit", 0.2),
+        ("MIT, with thanks", "mit", 1.0),
+        ("(MIT", "", None),
+        ("", "", None),
+    ],
+)
+def test_licence_tag_before_prose(line, labels, freedom):
+    finder = licences.automaton(licences.BASE, licences.MORE)
+    found = dict(zip(licences.NAMES, licences.scan_text(f"// SPDX-License-Identifier: {line}\nmore", finder)))
+    assert found["labels"] == labels and found["freedom"] == freedom
+
+
 def plain_count(costs, fallback, word):
     """Cheapest segmentation by trying every split of the word."""
     best = [(0, 0)]

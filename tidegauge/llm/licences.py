@@ -65,12 +65,35 @@ def family(identifier: str) -> str | None:
     return max(fits, key=len, default=None)
 
 
-def to_postfix(expression: str) -> list[str] | None:
-    """Shunting-yard: operators wait on a stack until one that binds less arrives. None if malformed."""
+def operands_and_operators(expression: str) -> list[str]:
+    """The expression's parts up to the first character that belongs to none, or up to the dot that ends a sentence."""
+    parts: list[str] = []
+    at = 0
+    for found in PARTS.finditer(expression):
+        if expression[at : found.start()].strip(" \t"):
+            break
+        part = found.group()
+        parts.append(part.rstrip(".") if part not in "()" else part)
+        if part.endswith("."):
+            break
+        at = found.end()
+    return parts
+
+
+def to_postfix(parts: list[str]) -> tuple[list[str], int]:
+    """Shunting-yard over the longest valid leading expression: its postfix form and how many parts it has.
+
+    Operators wait on a stack until one that binds less arrives. After every part that could be the last one, the form
+    that the expression has if it ends there is known; prose behind an expression only ends it. ([], 0) if not even the
+    first parts are valid.
+    """
     out: list[str] = []
     waiting: list[str] = []
+    opened = 0
     operand_next = True
-    for part in PARTS.findall(expression):
+    ended: tuple[int, list[str]] | None = None  # length of ``out`` and the operators waiting
+    used = 0
+    for number, part in enumerate(parts, 1):
         if part in BINDS and not operand_next:
             while waiting and waiting[-1] != "(" and BINDS[waiting[-1]] >= BINDS[part]:
                 out.append(waiting.pop())
@@ -78,30 +101,32 @@ def to_postfix(expression: str) -> list[str] | None:
             operand_next = True
         elif part == "(" and operand_next:
             waiting.append(part)
-        elif part == ")" and not operand_next:
-            while waiting and waiting[-1] != "(":
+            opened += 1
+        elif part == ")" and not operand_next and opened:
+            while waiting[-1] != "(":
                 out.append(waiting.pop())
-            if not waiting:
-                return None
             waiting.pop()
+            opened -= 1
         elif operand_next and part not in BINDS and part not in "()":
             out.append(part)
             operand_next = False
         else:
-            return None
-    if operand_next or "(" in waiting:
-        return None
-    return out + waiting[::-1]
+            break
+        if not operand_next and not opened:
+            ended, used = (len(out), waiting[::-1]), number
+    return (out[: ended[0]] + ended[1], used) if ended else ([], 0)
 
 
-def evaluate(expression: str) -> tuple[set[str], float] | None:
+def evaluate(expression: str, leading: bool = False) -> tuple[set[str], float] | None:
     """Labels named by a licence expression and how free its best reading is; None if malformed.
 
-    ``or`` leaves the choice, so the freer side counts; ``and`` binds to the stricter side; ``with`` names an exception
+    With ``leading`` the longest valid expression at the beginning counts, and what follows, as the prose after a tag, is
+    not read. ``or`` leaves the choice, so the freer side counts; ``and`` binds to the stricter side; ``with`` names an exception
     that loosens the licence before it. Every identifier is a label, and so is its family.
     """
-    postfix = to_postfix(expression)
-    if postfix is None:
+    parts = operands_and_operators(expression)
+    postfix, used = to_postfix(parts)
+    if not used or (used < len(parts) and not leading):
         return None
     stack: list[tuple[set[str], float, str]] = []
     for part in postfix:
@@ -148,7 +173,7 @@ def scan_text(text: str, finder: ahocorasick.Automaton) -> tuple:
     tags = 0
     if any(hit[0] == 2 for _, hit in hits):
         for line in TAG_LINE.findall(text.encode("utf-8", "surrogatepass").lower()):
-            found = evaluate(line.decode("utf-8", "replace").rstrip(" \t*/#->\"'"))
+            found = evaluate(line.decode("utf-8", "replace").rstrip(" \t*/#->\"'"), leading=True)
             if found:
                 tags += 1
                 labels |= found[0]
