@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -51,6 +53,27 @@ def test_fingerprints_forget_order(workers):
     assert found[0] == found[1] != found[2] and found[3] == found[4]
 
 
+def test_fingerprint_likeness(workers):
+    """Against the exact likeness of the clause multisets; sums of very many equal clauses do not wrap."""
+    texts = ["same line.\n" * 100_000, "same line.\n" * 50_000, "a, b, c, d", "a, b, c, x", "p; q; r", "a, b, c, d"]
+    table = workers.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sums = fingerprints.summed(table, "text", "sums")
+    pairs = sums.alias("l").join(sums.alias("r"), F.expr("l.doc_id <= r.doc_id"))
+    pairs = pairs.select(F.col("l.doc_id").alias("i"), F.col("r.doc_id").alias("j"), F.col("l.sums").alias("a"), F.col("r.sums").alias("b"))
+
+    def exact(one, other):
+        a, b = (Counter(re.split(fingerprints.CLAUSE_END, t)) for t in (one, other))
+        squares = sum(n * n for n in a.values()) + sum(n * n for n in b.values())
+        return 2 * sum(n * b[c] for c, n in a.items()) / squares
+
+    for r in fingerprints.with_likeness(pairs, "a", "b", "near").collect():
+        one, other = texts[r["i"]], texts[r["j"]]
+        want = exact(one, other)
+        assert r["near"] == 1.0 if one == other else abs(r["near"] - want) < 0.25
+        if {r["i"], r["j"]} == {0, 1}:
+            assert abs(r["near"] - 0.8) < 1e-3
+
+
 def test_fingerprints_odd(odd, empty):
     found = fingerprints.edited(odd).collect()
     assert len(found) == len(ODD)

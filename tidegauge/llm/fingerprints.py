@@ -1,11 +1,11 @@
 """Document fingerprints: a homomorphic multiset hash of paragraphs.
 
 Every paragraph is hashed to a wide vector, and a text's fingerprint is the sum of its paragraphs' vectors modulo
-powers of two. Sums forget the order, so texts of the same paragraphs are equal; inserting or deleting paragraphs adds
+a power of two. Sums forget the order, so texts of the same paragraphs are equal; inserting or deleting paragraphs adds
 or subtracts their vectors, without reading the rest of the text.
 
-The vector has two parts. ``DENSE`` lanes of 32 bits, modulo 2^32, tell different multisets apart. ``SIGNS`` lanes, modulo
-2^16, are sums of signs over the paragraph's clauses; two such sums are as far apart as the clause multisets are, which
+The vector has two parts. ``DENSE`` lanes, modulo 2^32, tell different multisets apart. ``SIGNS`` lanes, modulo 2^32 too,
+are sums of signs over the paragraph's clauses, of which no text has that many; two such sums are as far apart as the clause multisets are, which
 gives a likeness of two fingerprints: 2 a.b / (a.a + b.b), cut at 0. It is 1 for equal fingerprints.
 
 In flight a fingerprint is an array of 64-bit sums: the dense lanes, then for each pair of sign lanes how many clauses
@@ -63,13 +63,12 @@ def deleted(sums: Column, less: Column) -> Column:
 
 
 def _signed(sums: Column) -> Column:
-    """Sign sums per lane: twice the set bits less the clauses, as 16-bit numbers with sign."""
+    """Sign sums per lane: twice the set bits less the clauses."""
     clauses = F.element_at(sums, _CLAUSES + 1)
     halves = F.slice(sums, DENSE + 1, _PAIRS)
 
     def lane(bits: Column) -> Column:
-        wide = F.pmod(2 * bits - clauses, F.lit(65536))
-        return F.when(wide >= 32768, wide - 65536).otherwise(wide)
+        return 2 * bits - clauses
 
     low = F.transform(halves, lambda x: lane(x.bitwiseAND(F.lit(4294967295))))
     high = F.transform(halves, lambda x: lane(F.shiftrightunsigned(x, 32)))
@@ -77,11 +76,9 @@ def _signed(sums: Column) -> Column:
 
 
 def fingerprint(sums: Column) -> Column:
-    """Hexadecimal text: paragraphs and dense lanes modulo 2^32, sign lanes modulo 2^16."""
-    wide = F.concat(F.slice(sums, _PARAGRAPHS + 1, 1), F.slice(sums, 1, DENSE))
-    dense = F.transform(wide, lambda x: F.lpad(F.hex(x.bitwiseAND(F.lit(4294967295))), 8, "0"))
-    signs = F.transform(_signed(sums), lambda x: F.lpad(F.hex(x.bitwiseAND(F.lit(65535))), 4, "0"))
-    return F.lower(F.concat(F.array_join(dense, ""), F.array_join(signs, "")))
+    """Hexadecimal text: paragraphs, dense lanes and sign lanes modulo 2^32."""
+    wide = F.concat(F.slice(sums, _PARAGRAPHS + 1, 1), F.slice(sums, 1, DENSE), _signed(sums))
+    return F.lower(F.array_join(F.transform(wide, lambda x: F.lpad(F.hex(x.bitwiseAND(F.lit(4294967295))), 8, "0")), ""))
 
 
 def with_likeness(rows: DataFrame, one: str, other: str, name: str) -> DataFrame:
@@ -89,7 +86,8 @@ def with_likeness(rows: DataFrame, one: str, other: str, name: str) -> DataFrame
     signed = rows.withColumns({"_a": _signed(F.col(one)), "_b": _signed(F.col(other))})
 
     def product(left: str, right: str) -> Column:
-        return F.aggregate(F.zip_with(left, right, lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
+        terms = F.zip_with(left, right, lambda a, b: a.cast("double") * b)  # squares of long texts exceed 64 bits
+        return F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)
 
     parts = signed.withColumns({"_ab": product("_a", "_b"), "_squares": product("_a", "_a") + product("_b", "_b")})
     likeness = F.when(F.col("_squares") == 0, 1.0).otherwise(F.greatest(F.lit(0.0), 2 * F.col("_ab") / F.col("_squares")))
