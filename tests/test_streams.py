@@ -6,6 +6,7 @@ from tests.conftest import rows
 from tidegauge.operators.merge import MARKER
 from tidegauge.plans.streams import unchanged_snapshots
 from tidegauge.session import work_path
+from tidegauge.streaming import pairing as P
 from tidegauge.streaming import streams as X
 from tidegauge.tables.versioned import read_current
 
@@ -169,3 +170,55 @@ def test_due_tables(spark):
         "name string, status string, interval_seconds int, last string",
     ).withColumn("last_run", F.to_timestamp("last"))
     assert rows(X.due(config, now).select("name")) == [("a",), ("c",)]
+
+
+def test_paired_streams(spark):
+    """Pairs at once, the rest once the watermark is past them, late rows visible, repeats without effect."""
+    p = P.Pairing(work_path(spark, "pairing"), ["op"], "row", ["who"], ["who"], "1 hour", "2 hours")
+    path = work_path(spark, "dropped")
+    schema = "op int, row int, who string, phase string, ts timestamp"
+
+    def drop(*data):
+        rows_ = [(op, row, who, phase, None if hour is None else 3600 * (100 + hour)) for op, row, who, phase, hour in data]
+        df = spark.createDataFrame(rows_, "op int, row int, who string, phase string, t double")
+        df.withColumn("ts", F.timestamp_seconds("t")).drop("t").coalesce(1).write.mode("append").parquet(path)
+        P.run_pairing(p, X.drop_stream(spark, path, "parquet", schema, "*.parquet"))
+
+    def found(outcome):
+        return rows(P.outcomes(spark, p).filter(F.col("outcome") == outcome).select("begin_id", "end_id"))
+
+    drop((1, 1, "a", "begin", 0.0), (2, 2, "a", "begin", 0.5), (None, 3, "b", "begin", 0.5), (9, 4, None, "end", 0.2))
+    assert rows(P.running_now(spark, p)) == [("a", 2), ("b", 1)] and found(P.PAIRED) == []
+    drop((1, 5, None, "end", 1.0))  # its begin came a batch before
+    assert found(P.PAIRED) == [(1, 5)] and rows(P.running_now(spark, p)) == [("a", 1), ("b", 1)]
+    drop((3, 6, "c", "begin", 10.0), (7, 7, None, "end", 10.0), (4, 8, None, "begin", None), (4, 15, "e", "begin", -100.0))
+    drop((2, 9, None, "end", 1.5), (3, 10, None, "end", 10.5))  # the first is late by more than an hour
+    assert rows(P.late_rows(spark, p).select("row")) == [(15,), (8,), (9,)]
+    assert found(P.PAIRED) == [(1, 5), (6, 10)]
+    drop((5, 11, "d", "begin", 30.0), (8, 12, None, "end", 30.0))
+    drop((6, 13, "d", "begin", 30.1), (8, 14, None, "end", 30.1))
+    assert found(P.OPEN) == [(2, None), (3, None)] and found(P.UNMATCHED) == [(None, 4), (None, 7)]
+    assert rows(P.running_now(spark, p)) == [("a", 1), ("b", 1), ("d", 2)]
+    assert rows(P.ends_with_begins(spark, p)) == sorted([(4, None), (5, 1), (7, None), (10, 6), (12, None), (14, None)], key=repr)
+
+
+def test_a_repeated_admission_overwrites_itself(spark):
+    p = P.Pairing(work_path(spark, "pairing"), ["op"], "row", ["who"], ["who"], "1 hour", "2 hours")
+
+    def batch(*data):
+        df = spark.createDataFrame(data, "op int, row int, who string, phase string, t int")
+        return df.withColumn("ts", F.timestamp_seconds("t")).drop("t")
+
+    for _ in range(2):
+        P.admit(p, batch((1, 1, "a", "begin", 1), (2, 2, "a", "begin", 90_000)), 0)
+    for _ in range(2):
+        P.admit(p, batch((3, 3, "a", "begin", 80_000), (4, 4, "a", "begin", 89_000)), 1)
+    assert rows(P.late_rows(spark, p).select("row")) == [(3,)]
+    assert rows(P.running_now(spark, p)) == [("a", 3)]
+
+
+def test_settings_of_the_session_are_put_back(spark):
+    before = spark.conf.get(P.PROVIDER, None)
+    with P.state_on_disk(spark):
+        assert "RocksDB" in spark.conf.get(P.PROVIDER)
+    assert spark.conf.get(P.PROVIDER, None) == before

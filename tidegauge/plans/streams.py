@@ -11,6 +11,7 @@ from tidegauge.plans.changes import base, change_rows, target_of
 from tidegauge.plans.expressions import STATUS
 from tidegauge.registry import query
 from tidegauge.session import table, work_path
+from tidegauge.streaming import pairing as P
 from tidegauge.streaming import streams as X
 from tidegauge.tables import maintenance as K
 from tidegauge.tables.versioned import read_current
@@ -103,28 +104,44 @@ def recent(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT user_id, event_type AS application, count(*) AS running FROM events WHERE event_id % 4 = 0 GROUP BY 1, 2""",
 )
 def running_operations(spark: SparkSession, sf: str) -> DataFrame:
-    """Every event begins an operation; all but each fourth end again, in later or earlier files."""
-    path, root = work_path(spark, "operations"), work_path(spark, "open")
+    """Every event begins an operation; all but each fourth end a minute later. Files come in three drops."""
     events = table(spark, sf, "events")
-    kept = ["user_id", "application"]
-    begins = events.select(
-        "event_id", "user_id", F.col("event_type").alias("application"), F.lit("begin").alias("phase"), "ts"
-    )
+    begins = events.select("event_id", "user_id", F.col("event_type").alias("application"), F.lit("begin").alias("phase"), "ts")
     ended = F.col("ts") + F.expr("interval 1 minute")
     ends = events.filter(F.col("event_id") % 4 != 0).select(
         "event_id", F.lit(None).cast("bigint").alias("user_id"), F.lit(None).cast("string").alias("application"), F.lit("end").alias("phase"), ended.alias("ts")
     )
-    schema = "event_id bigint, user_id bigint, application string, phase string, ts timestamp_ntz"
-    checkpoint = work_path(spark, "checkpoint")
-    for part in (
-        begins.unionByName(ends.filter(F.col("ts") < F.expr("timestamp_ntz '2024-01-15'"))),
-        ends.filter(F.col("ts") >= F.expr("timestamp_ntz '2024-01-15'")),
-    ):
-        part.write.mode("append").parquet(path)
-        X.run_available(
-            X.drop_stream(spark, path, "parquet", schema, "*.parquet"), checkpoint, X.track_open(root, "event_id", kept)
-        )
-    return X.open_operations(read_current(spark, root), kept)
+    kept = ["user_id", "application"]
+    pairing = P.Pairing(work_path(spark, "operations"), ["event_id"], "row", kept, kept)
+    _pair_in_drops(spark, pairing, begins.unionByName(ends).withColumn("row", F.col("event_id")))
+    return P.running_now(spark, pairing)
+
+
+def _pair_in_drops(spark: SparkSession, pairing: P.Pairing, rows: DataFrame) -> None:
+    """The rows before 11 January, those before the 21st and the rest, each dropped and paired before the next comes."""
+    path = work_path(spark, "dropped")
+    part = F.when(F.col("ts") < F.expr("timestamp_ntz '2024-01-11'"), 0)
+    part = part.when(F.col("ts") < F.expr("timestamp_ntz '2024-01-21'"), 1).otherwise(2)
+    for number in range(3):
+        rows.filter(part == number).write.mode("append").parquet(path)
+        schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
+        P.run_pairing(pairing, X.drop_stream(spark, path, "parquet", schema, "*.parquet"))
+
+
+@query(
+    "J12_streamed_pairs",
+    """SELECT e.event_id AS end_id, b.event_id AS begin_id FROM (SELECT * FROM events WHERE event_type IN ('error', 'purchase') AND ts IS NOT NULL) e
+    LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') b ON e.user_id = b.user_id AND e.props = b.props
+        AND e.ts >= b.ts AND e.ts <= b.ts + INTERVAL 1 DAY""",
+)
+def streamed_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Ends with the begins of the day before them on both keys, as two streams."""
+    kind = F.col("event_type")
+    phase = F.when(kind == "click", "begin").when(kind.isin("error", "purchase"), "end")
+    rows = table(spark, sf, "events").select("user_id", "props", "event_id", phase.alias("phase"), "ts").filter("phase IS NOT NULL")
+    pairing = P.Pairing(work_path(spark, "paired"), ["user_id", "props"], "event_id")
+    _pair_in_drops(spark, pairing, rows)
+    return P.ends_with_begins(spark, pairing)
 
 
 @query(
