@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions.money import as_double, money, net_price
+from tidegauge.operators import digest as D
 from tidegauge.operators import intervals as I
 from tidegauge.operators import joins as J
 from tidegauge.operators import ordered as O
@@ -603,3 +604,21 @@ def content_signature(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("content_hash") == again.select("content_hash").scalar()).alias("unchanged"),
         (F.col("content_hash") == other.select("content_hash").scalar()).alias("same_after_edit"),
     )
+
+
+@query(
+    "UE_difference_digest",
+    """WITH b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 103 = 0 THEN 0.0 ELSE o_totalprice END AS o_totalprice, o_custkey
+        FROM orders WHERE o_orderkey % 101 <> 0 UNION ALL SELECT -o_orderkey - 1, o_totalprice, o_custkey FROM orders WHERE o_orderkey % 107 = 0)
+    SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey,
+        CASE WHEN b.o_orderkey IS NULL THEN 'only_a' WHEN a.o_orderkey IS NULL THEN 'only_b' ELSE 'changed' END AS difference
+    FROM orders a FULL JOIN b ON a.o_orderkey = b.o_orderkey
+    WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR a.o_totalprice IS DISTINCT FROM b.o_totalprice OR a.o_custkey IS DISTINCT FROM b.o_custkey""",
+)
+def difference_digest(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders before and after some were deleted, some changed and some added: the keys that differ, told from digests."""
+    before = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
+    price = F.when(F.col("o_orderkey") % 103 == 0, 0.0).otherwise(F.col("o_totalprice"))
+    kept = before.filter(F.col("o_orderkey") % 101 != 0).withColumn("o_totalprice", price)
+    added = before.filter(F.col("o_orderkey") % 107 == 0).withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    return D.differing(before, kept.unionByName(added), ["o_orderkey"])
