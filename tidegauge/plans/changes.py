@@ -8,9 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.functions.money import as_double, money
+from tidegauge.operators import incremental as I
 from tidegauge.operators import merge as U
 from tidegauge.registry import query
-from tidegauge.session import table, work_path
+from tidegauge.session import stored, table, work_path
 from tidegauge.streaming import streams as X
 from tidegauge.tables import maintenance as K
 from tidegauge.tables import versioned as V
@@ -273,3 +275,27 @@ def not_recorded(spark: SparkSession, sf: str) -> DataFrame:
 def skip_saturated(spark: SparkSession, sf: str) -> DataFrame:
     recorded = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"))
     return U.skip_saturated(table(spark, sf, "part").select("p_partkey"), recorded, ["p_partkey"], 30)
+
+
+@query(
+    "U9_incremental_aggregates",
+    """SELECT o_orderstatus, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total,
+        CAST(min(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS least, CAST(max(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS most
+    FROM (SELECT CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
+        FROM orders WHERE o_orderkey % 11 <> 0) GROUP BY 1""",
+)
+def incremental_aggregates(spark: SparkSession, sf: str) -> DataFrame:
+    """Aggregates of the old orders, brought up to date by each of two change sets in turn."""
+    orders = base(spark, sf).withColumn("price", money("o_totalprice"))
+    kept = I.Kept(["o_orderstatus"], ["price"], ["price"])
+    now = target_of(orders)
+    state = I.build(kept, now)
+    changes = change_rows(orders).withColumn("price", money("o_totalprice"))
+    for seq in (1, 2):
+        batch = changes.filter(F.col("seq") == seq)
+        signed = I.signed_rows(now, batch, ["o_orderkey"], ["seq"])
+        now = stored(U.apply_changes(now, batch, ["o_orderkey"], ["seq"]), "orders-now")
+        state = stored(I.refresh(kept, state, signed, now), "orders-aggregates")
+    return I.plain(kept, state).select(
+        "o_orderstatus", "n", as_double(F.col("sum_price")).alias("total"), as_double(F.col("min_price")).alias("least"), as_double(F.col("max_price")).alias("most")
+    )
