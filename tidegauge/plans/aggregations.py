@@ -12,11 +12,12 @@ from tidegauge.models import cost, logs
 from tidegauge.operators import aggregates as A
 from tidegauge.operators import joins as J
 from tidegauge.operators import measures as M
+from tidegauge.operators import sketches as K
 from tidegauge.operators.ordered import Running, running
 from tidegauge.plans.expressions import AS_OF, STATUS, activity_rows
 from tidegauge.plans.tpch import NET
 from tidegauge.registry import query
-from tidegauge.session import table
+from tidegauge.session import stored, table
 
 DAY = "strftime(CAST(ts AS DATE), '%Y-%m-%d')"
 ITEM = """coalesce(upper(CASE WHEN event_type = 'view' THEN 'a' || user_id END),
@@ -667,3 +668,51 @@ def sub_operations(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(
         "conv_id", "turn", "role", (F.col("end_at") - F.col("size")).alias("start_at"), "end_at", "previous"
     )
+
+
+WINDOWS = """(SELECT 'month' AS window_name, date_trunc('month', max(CAST(ts AS DATE))) AS first, max(CAST(ts AS DATE)) AS last FROM events
+    UNION ALL SELECT 'week', max(CAST(ts AS DATE)) - 6, max(CAST(ts AS DATE)) FROM events
+    UNION ALL SELECT 'all', min(CAST(ts AS DATE)), max(CAST(ts AS DATE)) FROM events)"""
+
+
+@query(
+    "M8_distinct_sketches",
+    f"""SELECT window_name, event_type, count(*) AS n, count(DISTINCT event_id // 3) AS exact, true AS within_error
+    FROM events JOIN {WINDOWS} ON CAST(ts AS DATE) BETWEEN first AND last GROUP BY 1, 2""",
+)
+def distinct_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct sessions of calendar windows, from rows and from sketches per day, and whether they agree as stated."""
+    events = table(spark, sf, "events").select("event_type", F.expr("event_id div 3").alias("session"), F.to_date("ts").alias("day"))
+    ends = events.agg(F.min("day").alias("low"), F.max("day").alias("high"))
+    spans = {"month": (F.trunc("high", "month"), F.col("high")), "week": (F.date_sub("high", 6), F.col("high")), "all": (F.col("low"), F.col("high"))}
+    named = [F.struct(F.lit(n).alias("window_name"), a.alias("first"), z.alias("last")) for n, (a, z) in spans.items()]
+    windows = ends.select(F.inline(F.array(*named)))
+    days = stored(K.daily(events, ["event_type"], "day", {"sessions": "session"}, {}), "daily-sketches")
+    by = ["window_name", "event_type"]
+    told = K.united(K.over_windows(days, "day", windows), by, ["sessions"])
+    told = told.select(F.col("window_name").alias("in"), F.col("event_type").alias("of"), "n", K.distinct_estimate("sessions").alias("estimate"))
+    exact = K.over_windows(events, "day", windows).groupBy(*by).agg(F.count_distinct("session").alias("exact"))
+    off = F.abs(F.col("estimate") - F.col("exact"))
+    same = (F.col("in") == F.col("window_name")) & F.col("of").eqNullSafe(F.col("event_type"))
+    return told.join(exact, same).select(*by, "n", "exact", (off <= K.distinct_error() * F.col("exact")).alias("within_error"))
+
+
+@query(
+    "A7_quantile_sketches",
+    "SELECT event_type, count(value) AS n, true AS p50_within_error, true AS p90_within_error FROM events GROUP BY 1",
+)
+def quantile_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Median and 90th percentile united from sketches per day, and whether their true ranks are as near as stated."""
+    events = table(spark, sf, "events").select("event_type", "value", F.to_date("ts").alias("day"))
+    days = stored(K.daily(events, ["event_type"], "day", {}, {"values": "value"}), "daily-quantiles")
+    wanted = {"p50": 0.5, "p90": 0.9}
+    told = K.united(days, ["event_type"], quantiles=["values"])
+    told = told.select(F.col("event_type").alias("of"), *[K.quantile_estimate("values", q).alias(p) for p, q in wanted.items()])
+    ranks = events.join(told, F.col("event_type").eqNullSafe(F.col("of"))).groupBy("event_type").agg(
+        F.count("value").alias("n"),
+        *[F.count_if(F.col("value") < F.col(p)).alias(f"below_{p}") for p in wanted],
+        *[F.count_if(F.col("value") <= F.col(p)).alias(f"upto_{p}") for p in wanted],
+    )
+    room = K.rank_error() * F.col("n")
+    near = {p: (F.col(f"below_{p}") - room <= q * F.col("n")) & (q * F.col("n") <= F.col(f"upto_{p}") + room) for p, q in wanted.items()}
+    return ranks.select("event_type", "n", *[c.alias(f"{p}_within_error") for p, c in near.items()])
