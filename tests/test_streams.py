@@ -8,6 +8,7 @@ from tidegauge.plans.streams import unchanged_snapshots
 from tidegauge.session import work_path
 from tidegauge.streaming import pairing as P
 from tidegauge.streaming import streams as X
+from tidegauge.tables import maintenance as K
 from tidegauge.tables.versioned import read_current
 
 
@@ -222,3 +223,19 @@ def test_settings_of_the_session_are_put_back(spark):
     with P.state_on_disk(spark):
         assert "RocksDB" in spark.conf.get(P.PROVIDER)
     assert spark.conf.get(P.PROVIDER, None) == before
+
+
+def test_polls_mirror_what_is_due(spark):
+    """A disabled or unknown table is left alone; a table that is not due again keeps its last run."""
+    at = lambda s: F.timestamp_seconds(F.lit(s))
+    config = spark.createDataFrame([("a", "Enabled", 60), ("b", "Disabled", 60), ("c", "Enabled", 60)], "name string, status string, interval_seconds int")
+    config = config.withColumn("last_run", F.lit(None).cast("timestamp"))
+    folders = {n: K.create_landing_table(spark, work_path(spark, "landing"), "s", n, ["k"]) for n in "ab"}
+    marks = {n: work_path(spark, "mark") for n in "ab"}
+    for second, count in ((100, 5), (130, 7), (160, 7)):
+        mirrors = {n: (spark.range(count).withColumnRenamed("id", "k"), "k", folders[n], marks[n]) for n in "ab"}
+        config = X.mirror_due(config, mirrors, at(second))
+        got = rows(K.read_change_files(spark, folders["a"]).groupBy(MARKER).count())
+        assert got == ([(0, 5)] if second < 160 else [(0, 5), (1, 2)])
+    seen = rows(config.select("name", "status", F.unix_timestamp("last_run")))
+    assert seen == [("a", "Running", 160), ("b", "Disabled", None), ("c", "Enabled", None)]

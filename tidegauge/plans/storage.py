@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tidegauge.functions.money import as_double, money
 from tidegauge.operators.merge import changes_since
 from tidegauge.registry import query
-from tidegauge.session import table, work_path
+from tidegauge.session import stored, table, work_path
 from tidegauge.sources import billing, databases, delimited, files, json_drop, metadata
 from tidegauge.tables import maintenance as K
 from tidegauge.tables import versioned as V
@@ -556,3 +556,33 @@ def run_ledger(spark: SparkSession, sf: str) -> DataFrame:
     V.write_version(rows, root)
     V.write_version(K.purge_incomplete(V.read_current(spark, root), ledger), root)
     return V.read_current(spark, root).groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "K19_purge_every_table",
+    """SELECT table_name, run_id, CASE WHEN run_id IN ('7', '9') THEN 'removed' ELSE 'completed' END AS status,
+        CASE WHEN run_id IN ('7', '9') THEN 0 ELSE count(*) END AS n
+    FROM (SELECT 'orders' AS table_name, CAST(o_custkey % 10 AS VARCHAR) AS run_id FROM orders
+        UNION ALL SELECT 'customer', CAST(c_custkey % 10 AS VARCHAR) FROM customer) GROUP BY 1, 2""",
+)
+def purge_every_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten load runs over two tables: all started, one failed, one never completed; both are purged and marked."""
+    keys = {"orders": "o_custkey", "customer": "c_custkey"}
+    roots = {n: work_path(spark, f"runs-{n}") for n in keys}
+    for name, key in keys.items():
+        V.write_version(table(spark, sf, name).withColumn("run_id", (F.col(key) % 10).cast("string")), roots[name])
+    at = F.to_timestamp(F.lit("2024-01-30"))
+    ledger = spark.createDataFrame([], "run_id string, status string, at timestamp")
+    for run in map(str, range(10)):
+        ledger = K.start_run(ledger, run, at)
+        if run != "9":
+            ledger = K.finish_run(ledger, run, "failed" if run == "7" else "completed", at)
+    ledger = K.purge_tables(spark, list(roots.values()), stored(ledger, "run-ledger"))
+    out = None
+    for name, root in roots.items():
+        counts = V.read_current(spark, root).groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
+        part = ledger.join(counts, "run_id", "left").select(
+            F.lit(name).alias("table_name"), "run_id", "status", F.coalesce("n", F.lit(0).cast("bigint")).alias("n")
+        )
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -10,7 +10,7 @@ from tidegauge.operators import merge as U
 from tidegauge.plans.changes import base, change_rows, target_of
 from tidegauge.plans.expressions import STATUS
 from tidegauge.registry import query
-from tidegauge.session import table, work_path
+from tidegauge.session import stored, table, work_path
 from tidegauge.streaming import pairing as P
 from tidegauge.streaming import streams as X
 from tidegauge.tables import maintenance as K
@@ -66,6 +66,38 @@ def polled_mirror(spark: SparkSession, sf: str) -> DataFrame:
     return K.read_change_files(spark, folder).groupBy(F.col(U.MARKER).alias("marker")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "X3_scheduled_mirrors",
+    """SELECT 'orders' AS name, 'Running' AS status, 0 AS marker, count(*) AS n FROM orders WHERE o_orderkey <= (SELECT max(o_orderkey) // 2 FROM orders)
+    UNION ALL SELECT 'orders', 'Running', 1, count(*) FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) // 2 FROM orders)
+    UNION ALL SELECT 'customer', 'Running', 0, count(*) FROM customer WHERE c_custkey <= (SELECT max(c_custkey) // 2 FROM customer)
+    UNION ALL SELECT 'part', 'Disabled', NULL, 0""",
+)
+def scheduled_mirrors(spark: SparkSession, sf: str) -> DataFrame:
+    """Two polls two minutes apart: orders are due in both, customers every ten minutes only, parts are disabled."""
+    keys = {"orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey"}
+    folders = {n: K.create_landing_table(spark, work_path(spark, "landing"), "sales", n, [k]) for n, k in keys.items()}
+    marks = {n: work_path(spark, "mark") for n in keys}
+    config = spark.createDataFrame(
+        [("orders", "Enabled", 60), ("customer", "Enabled", 600), ("part", "Disabled", 60)], "name string, status string, interval_seconds int"
+    ).withColumn("last_run", F.lit(None).cast("timestamp"))
+    for minute, whole in ((0, False), (2, True)):
+        mirrors = {}
+        for name, key in keys.items():
+            rows = table(spark, sf, name).select(key)
+            half = rows.agg(F.floor(F.max(key) / 2)).first()[0]
+            mirrors[name] = (rows if whole else rows.filter(F.col(key) <= half), key, folders[name], marks[name])
+        config = stored(X.mirror_due(config, mirrors, F.timestamp_seconds(F.lit(1_704_067_200 + 60 * minute))), "mirror-config")
+    counted = None
+    for name in ("orders", "customer"):
+        rows = K.read_change_files(spark, folders[name]).groupBy(F.col(U.MARKER).alias("marker")).agg(F.count(F.lit(1)).alias("n"))
+        rows = rows.withColumn("of", F.lit(name))
+        counted = rows if counted is None else counted.unionByName(rows)
+    return config.join(counted, F.col("name") == F.col("of"), "left").select(
+        "name", "status", "marker", F.coalesce("n", F.lit(0).cast("bigint")).alias("n")
+    )
+
+
 @query(
     "X4_change_apply",
     """SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice

@@ -6,7 +6,7 @@ Every sink is idempotent per batch id: a replayed batch rewrites what it wrote b
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -316,3 +316,20 @@ def mirror_once(df: DataFrame, version: str, folder: str, state_root: str) -> li
     numbers = write_change_files(changes, folder, order=[version])
     write_version(spark.range(1).select(F.lit(top).alias("mark"), F.lit("Running").alias("status")), state_root)
     return numbers
+
+
+def mirror_due(
+    config: DataFrame, mirrors: Mapping[str, tuple[DataFrame, str, str, str]], now: Column
+) -> DataFrame:
+    """One poll over all tables: those that are due are mirrored, each by ``mirror_once`` with its (rows, version column,
+    folder, state root). Returns the configuration afterwards: what was mirrored is Running, with ``now`` as last run.
+
+    The configuration has one row per table and comes to the driver, which starts a job per due table.
+    """
+    names = [r["name"] for r in due(config, now).select("name").collect() if r["name"] in mirrors]
+    for name in names:
+        mirror_once(*mirrors[name])
+    done = F.col("name").isin(names) if names else F.lit(False)
+    return config.withColumns(
+        {"status": F.when(done, F.lit("Running")).otherwise(F.col("status")), "last_run": F.when(done, now).otherwise(F.col("last_run"))}
+    )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators.merge import MARKER
 from tidegauge.sources.files import child_names, delete, exists, read_text, rename, write_text
-from tidegauge.tables.versioned import append
+from tidegauge.tables.versioned import append, read_current, write_version
 
 
 def archive(df: DataFrame, path: str, day: Column) -> None:
@@ -187,3 +187,13 @@ def purge_incomplete(rows: DataFrame, ledger: DataFrame) -> DataFrame:
 def mark_removed(ledger: DataFrame) -> DataFrame:
     """Ledger after a purge: whatever did not complete is removed."""
     return ledger.withColumn("status", F.when(F.col("status") != "completed", "removed").otherwise(F.col("status")))
+
+
+def purge_tables(spark: SparkSession, roots: Sequence[str], ledger: DataFrame) -> DataFrame:
+    """Publish a version without the rows of incomplete runs of every table, and return the ledger with those removed.
+
+    The ledger is marked last: a purge that breaks off is repeated for all tables, which changes nothing where it was done.
+    """
+    for root in roots:
+        write_version(purge_incomplete(read_current(spark, root), ledger), root)
+    return mark_removed(ledger)
