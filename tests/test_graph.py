@@ -88,3 +88,52 @@ def test_effective_reads_through_nested_groups(spark):
     columns = spark.createDataFrame([("t", "x"), ("t", "z"), ("u", "y")], "table string, column string")
     out = G.effective_reads(members, grants, denies, columns).filter("principal IN ('ann', 'bob')")
     assert rows(out) == [("ann", "t", "z"), ("bob", "t", "x"), ("bob", "t", "z")]
+
+
+def brute_reads(members, grants, denies, columns):
+    out = set()
+    for principal in {m for m, _ in members}:
+        holders, todo = {principal}, [principal]
+        while todo:
+            at = todo.pop()
+            for m, p in members:
+                if m == at and p not in holders:
+                    holders.add(p)
+                    todo.append(p)
+        tables = {t for p, t in grants if p in holders}
+        off = {(t, c) for p, t, c in denies if p in holders}
+        out |= {(principal, t, c) for t, c in columns if t in tables and (t, c) not in off}
+    return out
+
+
+def test_effective_reads_of_random_memberships_and_wide_tables(spark):
+    for seed in (3, 4):
+        rnd = random.Random(seed)
+        columns = [("wide", f"c{i}") for i in range(150)] + [("one", "c"), ("all", "c0"), ("all", "c1")]
+        groups = [f"g{i}" for i in range(9)]
+        members = [(f"u{i}", rnd.choice(groups)) for i in range(40) for _ in range(rnd.randrange(1, 4))]
+        members += [(rnd.choice(groups), rnd.choice(groups)) for _ in range(8)]  # cycles among them
+        anyone = [*groups, "u1", "u2", "u3", "nobody"]
+        grants = [(rnd.choice(anyone), rnd.choice(["wide", "one", "all"])) for _ in range(9)]
+        denies = [(rnd.choice(anyone), *rnd.choice(columns)) for _ in range(60)]
+        denies += [(groups[0], "all", "c0"), (groups[0], "all", "c1"), ("u1", "wide", "c63"), ("u1", "wide", "c127")]
+        out = G.effective_reads(
+            spark.createDataFrame([*members, (None, "g1"), ("u0", None)], "member string, parent string"),
+            spark.createDataFrame([*grants, (None, "one")], "principal string, table string"),
+            spark.createDataFrame([*denies, ("g1", None, "c1"), ("g1", "gone", "c")], "principal string, table string, column string"),
+            spark.createDataFrame([*columns, (None, "x")], "table string, column string"),
+        )
+        found = [tuple(r) for r in out.select("principal", "table", "column").collect()]
+        assert len(found) == len(set(found))
+        assert set(found) == brute_reads(members, grants, denies, columns)
+
+
+def test_effective_reads_without_rows(spark):
+    none = spark.createDataFrame([], "member string, parent string")
+    out = G.effective_reads(
+        none,
+        spark.createDataFrame([], "principal string, table string"),
+        spark.createDataFrame([], "principal string, table string, column string"),
+        spark.createDataFrame([], "table string, column string"),
+    )
+    assert out.count() == 0

@@ -12,6 +12,7 @@ from tidegauge.jobs import profile, rules, telemetry
 from tidegauge.operators import measures as M
 from tidegauge.operators import sets as S
 from tidegauge.sources import billing, delimited, files, json_drop, metadata
+from tidegauge.tables import maintenance as K
 from tidegauge.tables import versioned as V
 
 MONTHLY = '"{34222872-B554-4D2B-E063-4704A8C07853}","375000","2004-04-27 00:00","SW13 0NP","D","N","F","10A","","THE TERRACE","","LONDON","RICHMOND UPON THAMES","GREATER LONDON","A","A"'
@@ -279,3 +280,16 @@ def test_new_meters_continue_the_keys(spark):
     out = telemetry.all_meters(meters, focus, {"Cap": "Units"})
     got = {r["Name_Lower"]: (r["MeterKey"], r["Category"], r["Included"]) for r in out.collect()}
     assert got["new a"] == (6, "Units", "TRUE") and got["new b"] == (7, "c", "FALSE") and got["known"][0] == 5
+
+
+def test_static_tables_keep_unknown_and_null_names(spark):
+    df = spark.createDataFrame([(1, "Dubai"), (2, "UAE North"), (3, None)], "k int, region string")
+    out = metadata.with_static(df, metadata.regions(spark), "region", "region")
+    assert rows(out.select("k", "location")) == [(1, None), (2, "Dubai"), (3, None)]
+
+
+def test_moved_paths_replace_whole_names_only(spark):
+    paths = [("abfss://w@h/l.Lakehouse/Tables/a",), ("abfss://w2@h/l.Lakehouse/Tables/a",), ("abfss://w@h/al.Lakehouse/Tables/l",), (None,)]
+    df = spark.createDataFrame(paths, "p string")
+    out = [r[0] for r in df.select(K.moved_path(F.col("p"), ("w", "x"), ("l", "m"), suffix="_r")).collect()]
+    assert out == ["abfss://x@h/m.Lakehouse/Tables/a_r", "abfss://w2@h/m.Lakehouse/Tables/a_r", "abfss://x@h/al.Lakehouse/Tables/l_r", None]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.operators.ordered import row_numbers
 from tidegauge.session import cut_lineage, stored
 
 
@@ -157,24 +158,84 @@ def copy_lineage(pipelines: DataFrame, definition: str) -> DataFrame:
     )
 
 
+WORD = 64  # columns of a table per bitmap word
+
+
+def column_words(columns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Columns as bits: (table, column, word, bit), and per (table, word) all bits with at most 64 column names."""
+    known = columns.select("table", "column").dropna().distinct()
+    place = F.col("_nth") - 1
+    placed = row_numbers(known, ["table"], [F.col("column")], "_nth").select(
+        "table",
+        "column",
+        F.floor(place / WORD).alias("word"),
+        F.expr(f"shiftleft(1L, CAST((_nth - 1) % {WORD} AS INT))").alias("bit"),
+    )
+    names = F.collect_list(F.struct("bit", "column")).alias("names")
+    return placed, placed.groupBy("table", "word").agg(F.bit_or("bit").alias("all"), names)
+
+
 def effective_reads(members: DataFrame, grants: DataFrame, denies: DataFrame, columns: DataFrame) -> DataFrame:
-    """Readable (principal, table, column) rows.
+    """Readable (principal, table, column) rows of every member.
 
     ``members``: member, parent (users in groups, groups in groups or roles); ``grants``: principal,
     table; ``denies``: principal, table, column; ``columns``: table, column. A principal has what it
     and all its parents are granted, minus the columns any of them is denied. A table whose columns
-    are all denied has no rows left, which denies the table.
+    are all denied has no rows left, which denies the table. Nulls match nothing.
+
+    A table's columns are words of 64 bits. Memberships are closed over groups only, and denied words
+    are united per group. Members with the same direct parents (told by two hashes and a count) share
+    one profile, for which granted words lose the denied ones; members meet their profile's words last.
+    No member is paired with a column before the denies are applied.
     """
-    up = closure(members, "member", "parent").select(F.col("root").alias("principal"), F.col("node").alias("via"))
-    principals = members.select(F.col("member").alias("principal")).distinct()
-    holders = up.unionByName(principals.select("principal", F.col("principal").alias("via")))
-    granted = holders.join(grants.withColumnRenamed("principal", "via"), "via").select("principal", "table").distinct()
-    denied = holders.join(
-        denies.withColumnRenamed("principal", "via"), "via"
-    ).select("principal", "table", "column").distinct()
-    return granted.join(columns, "table").join(
-        denied, ["principal", "table", "column"], "left_anti"
-    ).select("principal", "table", "column")
+    placed, words = column_words(columns)
+    denied = (
+        denies.join(placed, ["table", "column"]).groupBy("principal", "table", "word").agg(F.bit_or("bit").alias("off"))
+    )
+    people = members.select("member").dropna().distinct()
+    links = members.select("member", F.col("parent").alias("via")).dropna().distinct()
+    groups = links.select("via").distinct()
+    holders = grants.select("principal").unionByName(denies.select("principal")).dropna().distinct()
+    own = people.join(holders, F.col("member") == F.col("principal"), "left_semi")
+    nodes = groups.unionByName(own.select(F.col("member").alias("via"))).distinct()
+    between = links.join(groups.withColumnRenamed("via", "member"), "member", "left_semi")
+    up = (
+        closure(between, "member", "via")
+        .select(F.col("root").alias("via"), F.col("node").alias("principal"))
+        .unionByName(nodes.select("via", F.col("via").alias("principal")))
+        .distinct()
+    )
+    can = up.join(grants.select("principal", "table"), "principal").select("via", "table").distinct()
+    cannot = up.join(denied, "principal").groupBy("via", "table", "word").agg(F.bit_or("off").alias("off"))
+
+    direct = stored(
+        links.unionByName(own.select("member", F.col("member").alias("via"))).distinct(), "direct-memberships"
+    )
+    marks = ["_sum", "_xor", "_n"]
+    profiles = direct.groupBy("member").agg(
+        F.sum(F.xxhash64("via").cast("decimal(20,0)")).alias("_sum"),
+        F.bit_xor(F.xxhash64("via", F.lit("profile"))).alias("_xor"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    first = profiles.groupBy(*marks).agg(F.min("member").alias("profile"))
+    shown = direct.join(first.select(F.col("profile").alias("member")), "member", "left_semi").select(
+        F.col("member").alias("profile"), "via"
+    )
+    granted = shown.join(can, "via").select("profile", "table").distinct().join(words, "table")
+    taken = shown.join(cannot, "via").groupBy("profile", "table", "word").agg(F.bit_or("off").alias("off"))
+    left = granted.join(taken, ["profile", "table", "word"], "left").withColumn(
+        "on", F.col("all").bitwiseAND(F.bitwise_not(F.coalesce("off", F.lit(0).cast("bigint"))))
+    )
+    readable = left.filter(F.col("on") != 0).select(
+        "profile",
+        "table",
+        F.filter("names", lambda c: c["bit"].bitwiseAND(F.col("on")) != 0).alias("names"),
+    )
+    of = profiles.join(first, marks).select(F.col("member").alias("principal"), "profile")
+    return (
+        of.join(readable, "profile")
+        .select("principal", "table", F.explode("names.column").alias("column"))
+    )
 
 
 def usage_counts(refs: DataFrame, name: str, inputs: str, outputs: str) -> DataFrame:

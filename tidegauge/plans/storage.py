@@ -251,6 +251,61 @@ def units(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _static_sql(rows: list[tuple]) -> str:
+    """A static table as VALUES."""
+
+    def value(v) -> str:
+        return "'" + v + "'" if isinstance(v, str) else str(v)
+
+    return "(VALUES " + ", ".join("(" + ", ".join(map(value, row)) + ")" for row in rows) + ")"
+
+
+REGION_NAMES = [*(r[1] for r in metadata.REGIONS), "Nowhere"]
+
+
+@query(
+    "S13_regions",
+    f"""WITH c AS (SELECT c_acctbal, list_extract([{", ".join(f"'{n}'" for n in REGION_NAMES)}], 1 + CAST(c_custkey % {len(REGION_NAMES)} AS INTEGER)) AS region FROM customer)
+    SELECT g.continent, c.region, CAST(g.latitude AS DOUBLE) AS latitude, CAST(g.longitude AS DOUBLE) AS longitude, g.location, count(*) AS capacities FROM c
+    LEFT JOIN {_static_sql(metadata.REGIONS)} g(continent, region, latitude, longitude, location) ON g.region = c.region GROUP BY 1, 2, 3, 4, 5""",
+)
+def capacity_regions(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers stand for capacities, dealt over the region names and an unknown one."""
+    names = F.array(*[F.lit(n) for n in REGION_NAMES])
+    capacities = table(spark, sf, "customer").select(
+        F.element_at(names, (F.col("c_custkey") % len(REGION_NAMES)).cast("int") + 1).alias("region")
+    )
+    counted = capacities.groupBy("region").agg(F.count(F.lit(1)).alias("capacities"))
+    return metadata.with_static(counted, metadata.regions(spark), "region", "region").select(
+        "continent", "region", "latitude", "longitude", "location", "capacities"
+    )
+
+
+TYPE_NAMES = [*(r[0] for r in metadata.CONTENT_TYPES), "NewMode"]
+
+
+@query(
+    "S13_content_types",
+    f"""WITH p AS (SELECT p_size, list_extract([{", ".join(f"'{n}'" for n in TYPE_NAMES)}], 1 + CAST(p_partkey % {len(TYPE_NAMES)} AS INTEGER)) AS content_type FROM part)
+    SELECT coalesce(t.mapped_name, p.content_type) AS mapped_name, count(*) AS models, CAST(count(*) FILTER (t.in_optimization) AS BIGINT) AS in_optimization,
+        CAST(count(*) FILTER (t.is_default) AS BIGINT) AS defaults, CAST(sum(p_size) AS BIGINT) AS size FROM p
+    LEFT JOIN {_static_sql(metadata.CONTENT_TYPES)} t(content_type, mapped_name, in_optimization, is_default) ON t.content_type = p.content_type GROUP BY 1""",
+)
+def semantic_model_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts stand for semantic models, dealt over the content types and an unknown one, which keeps its name."""
+    names = F.array(*[F.lit(n) for n in TYPE_NAMES])
+    models = table(spark, sf, "part").select(
+        "p_size", F.element_at(names, (F.col("p_partkey") % len(TYPE_NAMES)).cast("int") + 1).alias("provider")
+    )
+    typed = metadata.with_static(models, metadata.content_types(spark), "provider", "content_type")
+    return typed.groupBy(F.coalesce("mapped_name", "provider").alias("mapped_name")).agg(
+        F.count(F.lit(1)).alias("models"),
+        F.count_if("in_optimization").alias("in_optimization"),
+        F.count_if("is_default").alias("defaults"),
+        F.sum("p_size").alias("size"),
+    )
+
+
 @query(
     "S14_list_records",
     """SELECT CAST(c_custkey AS VARCHAR) AS "Key", c_mktsegment AS "Segment" FROM customer""",
@@ -484,18 +539,52 @@ def compaction(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "K13_copy_tables",
-    """SELECT 'customer' AS table_name, count(*) AS source_rows, count(*) AS target_rows, true AS matches FROM customer
-    UNION ALL SELECT 'orders', count(*), count(*), true FROM orders""",
+    """SELECT 'customer' AS table_name, count(*) AS source_rows, count(*) AS target_rows, true AS matches, true AS logged FROM customer
+    UNION ALL SELECT 'orders', count(*), count(*), true, true FROM orders""",
 )
 def copy_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Two tables copied, the rows on both sides, and whether the log has their paths and an end after the start."""
     target = work_path(spark, "copies")
     pairs = {n: (f"{sf}/{n}.parquet", f"{target}/{n}") for n in ("customer", "orders")}
-    K.copy_tables(spark, pairs)
-    return K.reconcile(
+    log = K.copy_tables(spark, pairs)
+    counts = K.reconcile(
         {
             n: spark.read.parquet(s) for n, (s, _) in pairs.items()
         }, {n: spark.read.parquet(t) for n, (_, t) in pairs.items()}
     )
+    paths = (F.col("source") == F.concat(F.lit(f"{sf}/"), "table_name", F.lit(".parquet"))) & (
+        F.col("target") == F.concat(F.lit(f"{target}/"), "table_name")
+    )
+    timed = (F.col("ended") >= F.col("started")) & (F.col("seconds") >= 0)
+    return counts.join(F.broadcast(log), "table_name").select(*counts.columns, (paths & timed).alias("logged"))
+
+
+@query(
+    "K13_moved_paths",
+    """WITH t AS (SELECT p_partkey AS k, 'abfss://' || CASE WHEN p_size % 3 = 0 THEN 'sales' WHEN p_size % 3 = 1 THEN 'sales2' ELSE 'audit' END || '@' AS w,
+        CASE WHEN p_size % 2 = 0 THEN 'raw' ELSE 'raw_old' END AS l, '/Tables/t' || p_partkey AS r, p_size FROM part)
+    SELECT k, CASE WHEN p_size % 3 = 0 THEN 'abfss://dr@' ELSE w END || 'host/' || CASE WHEN l = 'raw' THEN 'copy' ELSE l END || '.Lakehouse' || r || '_recovered' AS by_name,
+        CASE WHEN p_size % 3 = 0 THEN 'abfss://dr@' ELSE w END || 'host/' || CASE WHEN l = 'raw' THEN 'copy' ELSE l END || r AS by_id FROM t""",
+)
+def moved_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts stand for tables of three workspaces and two lakehouses with similar names; those of one of each move."""
+    size = F.col("p_size")
+    workspace = F.when(size % 3 == 0, "sales").when(size % 3 == 1, "sales2").otherwise("audit")
+    lakehouse = F.when(size % 2 == 0, "raw").otherwise("raw_old")
+
+    def path(kind: str):
+        parts = [F.lit("abfss://"), workspace, F.lit("@host/"), lakehouse, F.lit(f"{kind}/Tables/t"), F.col("p_partkey")]
+        return F.concat(*parts)
+
+    tables = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("k"), path(".Lakehouse").alias("named"), path("").alias("numbered")
+    )
+    moves = ("sales", "dr"), ("raw", "copy")
+    return tables.select(
+        "k",
+        K.moved_path(F.col("named"), *moves, suffix="_recovered").alias("by_name"),
+        K.moved_path(F.col("numbered"), *moves, by_id=True, suffix="_recovered").alias("by_id"),
+    )
 
 
 @query(

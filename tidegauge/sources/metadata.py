@@ -51,6 +51,78 @@ def with_units(df: DataFrame, kind: str) -> DataFrame:
     return df.withColumn("_u", F.explode(rows)).select(*df.columns, "_u.*")
 
 
+# Regions of capacities with continent, latitude, longitude and place.
+REGIONS = [
+    ("Asia Pacific", "Australia East", 31.2532, 146.9211, "New South Wales"),
+    ("Asia Pacific", "Australia Southeast", 36.9848, 143.3906, "Victoria"),
+    ("Asia Pacific", "Central India", 18.5204, 73.8567, "Pune"),
+    ("Asia Pacific", "East Asia", 22.3193, 114.1694, "Hong Kong"),
+    ("Asia Pacific", "Japan East", 35.6764, 139.65, "Tokyo"),
+    ("Asia Pacific", "Korea Central", 37.5519, 126.9918, "Seoul"),
+    ("Asia Pacific", "Southeast Asia", 1.3521, 103.8198, "Singapore"),
+    ("Asia Pacific", "South India", 13.0827, 80.2707, "Chennai"),
+    ("Europe", "North Europe", 53.7798, 7.3055, "Ireland"),
+    ("Europe", "West Europe", 52.1326, 5.2913, "Netherlands"),
+    ("Europe", "France Central", 48.8566, 2.3522, "Paris"),
+    ("Europe", "Germany West Central", 50.1109, 8.6821, "Frankfurt am Main"),
+    ("Europe", "Norway East", 59.9139, 10.7522, "Oslo"),
+    ("Europe", "Sweden Central", 60.6749, 17.1413, "Gävle"),
+    ("Europe", "Switzerland North", 47.3769, 8.5417, "Zürich"),
+    ("Europe", "Switzerland West", 46.2044, 6.1432, "Geneva"),
+    ("Europe", "UK South", 51.5072, -0.1276, "London"),
+    ("Europe", "UK West", 51.4837, -3.1681, "Cardiff"),
+    ("Americas", "Brazil South", -23.5558, -46.6396, "São Paulo State"),
+    ("Americas", "Canada Central", 43.6532, -79.3832, "Toronto"),
+    ("Americas", "Canada East", 46.8131, -71.2075, "Quebec City"),
+    ("Americas", "East US", 37.4316, -78.6569, "Virginia"),
+    ("Americas", "East US 2", 37.4316, -78.6569, "Virginia"),
+    ("Americas", "North Central US", 40.6331, -89.3985, "Illinois"),
+    ("Americas", "South Central US", 31.9686, -99.9018, "Texas"),
+    ("Americas", "West US", 36.7783, -119.4179, "California"),
+    ("Americas", "West US 2", 47.7511, -120.7401, "Washington"),
+    ("Americas", "West US 3", 34.0489, -111.0937, "Arizona"),
+    ("Middle East and Africa", "South Africa North", -26.2056, 28.0337, "Johannesburg"),
+    ("Middle East and Africa", "UAE North", 25.2048, 55.2708, "Dubai"),
+]
+REGION = "continent string, region string, latitude double, longitude double, location string"
+
+# Content provider types with shown name, "included in the optimisation" and "default semantic model".
+CONTENT_TYPES = [
+    ("InCompositeMode", "Composite Mode", False, True),
+    ("InDirectQueryMode", "DirectQuery Mode", False, True),
+    ("InImportMode", "Import Mode", False, True),
+    ("PbixInCompositeMode", "Composite Mode", True, False),
+    ("PbixInDirectQueryMode", "DirectQuery Mode", True, False),
+    ("PbixInImportMode", "Import Mode", True, False),
+    ("PbixInLiveConnectionMode", "Live Connection Mode", False, False),
+    ("RealTimeInPushMode", "Push Mode", False, False),
+    ("RealTimeInStreamingMode", "Streaming Mode", False, False),
+    ("Unknown", "Semantic Model in App", False, False),
+    ("UsageMetricsUserReport", "Usage Metrics", False, False),
+    ("UsageMetricsUserDashboard", "Usage Metrics", False, False),
+    ("CSV", "CSV", False, False),
+    ("Excel", "Excel", False, False),
+]
+CONTENT_TYPE = "content_type string, mapped_name string, in_optimization boolean, is_default boolean"
+
+
+def regions(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(REGIONS, REGION)
+
+
+def content_types(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(CONTENT_TYPES, CONTENT_TYPE)
+
+
+def with_static(df: DataFrame, static: DataFrame, name: str, key: str) -> DataFrame:
+    """Rows with the columns of a static table, by the value of ``name``; unknown and null values get nulls.
+
+    The static tables above have at most 30 rows, so they are broadcast.
+    """
+    renamed = static.withColumnRenamed(key, "_static_key")
+    return df.join(F.broadcast(renamed), F.col(name) == F.col("_static_key"), "left").drop("_static_key")
+
+
 def drift(old: DataFrame, new: DataFrame) -> DataFrame:
     """Added, dropped and re-typed columns between two column-metadata tables."""
     o = old.select("table_name", "column_name", F.col("data_type").alias("old_type"))

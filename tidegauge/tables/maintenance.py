@@ -33,8 +33,25 @@ def kept_backups(backups: DataFrame, as_of: str, days: int) -> DataFrame:
     return backups.filter(F.col("backup_date") >= F.date_sub(F.to_date(F.lit(as_of)), days))
 
 
+def moved_path(
+    path: Column, workspace: tuple[str, str], lakehouse: tuple[str, str], by_id: bool = False, suffix: str = ""
+) -> Column:
+    """Where a table of one workspace and lakehouse belongs in another.
+
+    ``workspace`` and ``lakehouse`` are (old, new) names, or ids with ``by_id``. Paths look like
+    ``abfss://workspace@host/lakehouse.Lakehouse/...``, without the extension by id. ``suffix`` marks
+    recovered tables and is added by name only. Only whole names are replaced; a path of another workspace
+    or lakehouse keeps that part.
+    """
+    old, new = (f"abfss://{name}@" for name in workspace)
+    kind = "" if by_id else ".Lakehouse"
+    moved = F.when(path.startswith(old), F.concat(F.lit(new), F.substr(path, F.lit(len(old) + 1)))).otherwise(path)
+    moved = F.replace(moved, F.lit(f"/{lakehouse[0]}{kind}/"), F.lit(f"/{lakehouse[1]}{kind}/"))
+    return moved if by_id else F.concat(moved, F.lit(suffix))
+
+
 def copy_tables(spark: SparkSession, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """Copy parquet tables, with a log row per table: start, seconds, and the rows on both sides.
+    """Copy parquet tables, with a log row per table: source, target, start, end and seconds.
 
     Spark copies each table in parallel; this loop only starts one job per table.
     """
@@ -42,9 +59,12 @@ def copy_tables(spark: SparkSession, pairs: Mapping[str, tuple[str, str]]) -> Da
     for name, (source, target) in pairs.items():
         started = time.time()
         spark.read.parquet(source).write.mode("overwrite").parquet(target)
-        log.append((name, source, target, started, time.time() - started))
-    out = spark.createDataFrame(log, "name string, source string, target string, started double, seconds double")
-    return out.withColumn("started", F.timestamp_seconds("started"))
+        ended = time.time()
+        log.append((name, source, target, started, ended, ended - started))
+    out = spark.createDataFrame(
+        log, "table_name string, source string, target string, started double, ended double, seconds double"
+    )
+    return out.withColumns({c: F.timestamp_seconds(c) for c in ("started", "ended")})
 
 
 def copy_in_batches(source: DataFrame, target_path: str, key: str, cuts: Sequence) -> None:
