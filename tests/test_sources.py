@@ -11,7 +11,7 @@ from tidegauge.functions import texts as X
 from tidegauge.jobs import profile, rules, telemetry
 from tidegauge.operators import measures as M
 from tidegauge.operators import sets as S
-from tidegauge.sources import billing, delimited, files, json_drop, metadata
+from tidegauge.sources import billing, databases, delimited, files, json_drop, metadata
 from tidegauge.tables import maintenance as K
 from tidegauge.tables import versioned as V
 
@@ -293,3 +293,16 @@ def test_moved_paths_replace_whole_names_only(spark):
     df = spark.createDataFrame(paths, "p string")
     out = [r[0] for r in df.select(K.moved_path(F.col("p"), ("w", "x"), ("l", "m"), suffix="_r")).collect()]
     assert out == ["abfss://x@h/m.Lakehouse/Tables/a_r", "abfss://w2@h/m.Lakehouse/Tables/a_r", "abfss://x@h/al.Lakehouse/Tables/l_r", None]
+
+
+def test_moved_ledger_takes_new_ids_only(spark, tmp_path):
+    path = f"{tmp_path}/ledger"
+    changes = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, "c")], "id int, v string")
+    databases.record_moved(changes.filter("id = 1"), "id", path)
+    batch = databases.unmoved(changes, spark.read.parquet(path), "id")
+    assert rows(batch) == [(2, "b"), (2, "b"), (3, "c")]
+    databases.record_moved(batch, "id", path)
+    ledger = spark.read.parquet(path)
+    assert rows(ledger) == [(1,), (2,), (3,)]
+    databases.record_moved(changes.filter("id = 3"), "id", path)  # repeated after a failure
+    assert databases.unmoved(changes, spark.read.parquet(path), "id").count() == 0

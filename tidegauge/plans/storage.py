@@ -231,8 +231,11 @@ def incremental_read(spark: SparkSession, sf: str) -> DataFrame:
     changes = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     cut = F.expr("timestamp_ntz '2000-01-01'")
     moved = changes.filter(F.col("o_orderdate") < cut)
-    batch = databases.unmoved(changes, moved, "o_orderkey")
-    ledger = databases.mark_moved(moved, batch, "o_orderkey")
+    path = work_path(spark, "moved-ledger")
+    databases.record_moved(moved, "o_orderkey", path)
+    batch = stored(databases.unmoved(changes, spark.read.parquet(path), "o_orderkey"), "batch")
+    databases.record_moved(batch, "o_orderkey", path)
+    ledger = spark.read.parquet(path)
     both = batch.select(F.lit("batch").alias("part"), "o_orderkey").unionByName(
         ledger.select(F.lit("moved").alias("part"), "o_orderkey")
     )

@@ -35,5 +35,10 @@ def unmoved(changes: DataFrame, moved: DataFrame, change_id: str) -> DataFrame:
     return changes.join(moved.select(change_id), change_id, "left_anti")
 
 
-def mark_moved(moved: DataFrame, batch: DataFrame, change_id: str) -> DataFrame:
-    return moved.select(change_id).unionByName(batch.select(change_id)).distinct()
+def record_moved(batch: DataFrame, change_id: str, ledger: str) -> None:
+    """Append the ids of a batch to the ledger folder, so that a batch costs its own rows only.
+
+    Earlier ids are not read again: ``unmoved`` has left them out. An append that is repeated after a failure repeats
+    ids, which ``unmoved`` does not mind.
+    """
+    batch.select(change_id).distinct().write.mode("append").parquet(ledger)
