@@ -57,6 +57,10 @@ def quantile_estimate(sketch: str, fraction: float) -> Column:
 
 
 def over_windows(days: DataFrame, day: str, windows: DataFrame) -> DataFrame:
-    """Each day once per window (name, first, last) that it lies in; windows are few, days one row per group and day."""
-    inside = F.col(day).between(F.col("first"), F.col("last"))
-    return days.join(F.broadcast(windows), inside)
+    """Each day once per window (name, first, last) that it lies in.
+
+    Windows become one row per window and calendar day, so that rows meet them by the day and not by comparing ranges.
+    A window that ends before it begins, or has no bounds, holds no day.
+    """
+    of_day = windows.filter(F.col("first") <= F.col("last")).withColumn(day, F.explode(F.sequence("first", "last")))
+    return days.join(of_day, day)
