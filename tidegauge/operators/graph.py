@@ -8,7 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.operators.ordered import row_numbers
-from tidegauge.session import cut_lineage, stored
+from tidegauge.session import cut_lineage, settings, stored, tasks_for, work_path
+
+PAIRS_PER_EDGE = 4  # what a closure's buckets are made for; paths are a few steps long at least
+# Buckets are read as they lie below a union too; a task writes its one bucket without sorting it first.
+BUCKETED = {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false", "spark.sql.maxConcurrentOutputFileWriters": "8"}
 
 
 def closure(edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -16,25 +20,35 @@ def closure(edges: DataFrame, src: str, dst: str) -> DataFrame:
 
     Path lengths double per round: pairs exactly k steps apart meet all pairs up to k steps, so a
     chain of a thousand references takes ten joins. Only the shortest path is kept, which also
-    ends cycles. Every round is stored, so that a lost executor does not restart the first and the
-    planner knows how small the frontier is.
+    ends cycles. Pairs stay in files bucketed by root: a round shuffles its frontier and the pairs it
+    finds, meets those of earlier rounds where they lie, and appends only what is new.
     """
-    known = stored(
-        edges.select(F.col(src).alias("root"), F.col(dst).alias("node")).distinct().withColumn("level", F.lit(1)),
-        "closure",
-    )
-    reach = 1
-    while True:
-        frontier = known.filter(F.col("level") == reach)
-        if frontier.limit(1).count() == 0:
-            return known
-        step = frontier.select("root", F.col("node").alias("via")).join(
-            known.select(F.col("root").alias("via"), "node", F.col("level").alias("more")), "via"
-        )
-        longer = step.select("root", "node", (F.col("more") + reach).alias("level"))
-        shortest = known.unionByName(longer).groupBy("root", "node").agg(F.min("level").alias("level"))
-        known = stored(shortest, "closure")
-        reach *= 2
+    spark = edges.sparkSession
+    buckets = tasks_for(PAIRS_PER_EDGE * edges.count())
+    path = work_path(spark, "closure")
+    name = path.rpartition("/")[2].replace("-", "_")
+
+    def append(pairs: DataFrame) -> DataFrame:
+        pairs.write.mode("append").bucketBy(buckets, "root").option("path", path).saveAsTable(name)
+        return spark.table(name)
+
+    with settings(spark, BUCKETED):
+        first = edges.select(F.col(src).alias("root"), F.col(dst).alias("node")).repartition(buckets, "root")
+        known = append(first.distinct().withColumn("level", F.lit(1)))
+        reach = 1
+        while True:
+            frontier = known.filter(F.col("level") == reach)
+            if frontier.limit(1).count() == 0:
+                break
+            step = frontier.select("root", F.col("node").alias("via")).join(
+                known.select(F.col("root").alias("via"), "node", F.col("level").alias("more")), "via"
+            )
+            longer = step.select("root", "node", (F.col("more") + reach).alias("level")).repartition(buckets, "root")
+            shortest = known.unionByName(longer).groupBy("root", "node").agg(F.min("level").alias("level"))
+            known = append(shortest.filter(F.col("level") > reach))
+            reach *= 2
+    spark.sql(f"DROP TABLE {name}")  # from the catalog; the files stay
+    return spark.read.schema(known.schema).parquet(path)
 
 
 def token_edges(definitions: DataFrame, name: str, text: str, pattern: str = r"\[([^\]]+)\]") -> DataFrame:

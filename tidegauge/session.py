@@ -6,9 +6,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_PER_TASK = 200_000
+
 _LOCAL_FOLDERS: dict[str, str] = {}
 _USED: dict[str, list[str]] = {}  # paths handed out, by application
 
@@ -26,6 +30,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Settings for the actions started within; what held before is put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
@@ -83,6 +100,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tasks_for(rows: int) -> int:
+    """In how many tasks so many rows are worked on, each with about the same number however many there are."""
+    return max(1, -(-rows // ROWS_PER_TASK))
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` dealt out by ``keys`` to ``tasks_for(rows)`` partitions.
+
+    Adaptive execution merges the partitions of its own shuffles up to a size, and a task's memory with
+    them; it leaves a stated number alone.
+    """
+    return df.repartition(tasks_for(rows), *keys)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One input table of the data folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
