@@ -332,7 +332,7 @@ def list_records(spark: SparkSession, sf: str) -> DataFrame:
 def storage_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Files by kind in a tree of one data file per order status and one log per region."""
     root = work_path(spark, "tree")
-    table(spark, sf, "orders").coalesce(1).write.partitionBy("o_orderstatus").parquet(f"{root}/data")
+    files.write_one_each(table(spark, sf, "orders"), "o_orderstatus", f"{root}/data")
     table(spark, sf, "nation").coalesce(1).write.partitionBy("n_regionkey").json(f"{root}/logs")
     found = files.storage_summary(spark, root)
     return found.select("kind", "files", (F.col("bytes") > 0).alias("filled"))

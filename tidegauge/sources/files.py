@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.session import settings
+
+OPEN_FILES = 8  # writers a task holds open, each with a row group in memory
+
 
 def _path(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -55,6 +59,16 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def write_one_each(df: DataFrame, column: str, folder: str) -> None:
+    """One Parquet file per value of a column.
+
+    A value's rows meet in one task, which has a writer open per value it meets, up to ``OPEN_FILES``, and passes
+    rows on as they come. Without that setting it sorts all its rows by the column first.
+    """
+    with settings(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}):
+        df.repartition(column).write.partitionBy(column).parquet(folder)
+
+
 def sizes(spark: SparkSession, folder: str) -> DataFrame:
     """Path and length of every file below a folder; file contents are not read."""
     return (
