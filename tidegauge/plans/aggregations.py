@@ -17,7 +17,7 @@ from tidegauge.operators.ordered import Running, running
 from tidegauge.plans.expressions import AS_OF, STATUS, activity_rows
 from tidegauge.plans.tpch import NET
 from tidegauge.registry import query
-from tidegauge.session import stored, table
+from tidegauge.session import spread, stored, table
 
 DAY = "strftime(CAST(ts AS DATE), '%Y-%m-%d')"
 ITEM = """coalesce(upper(CASE WHEN event_type = 'view' THEN 'a' || user_id END),
@@ -540,9 +540,14 @@ def alternate_date(spark: SparkSession, sf: str) -> DataFrame:
     """Order measures by ship date instead of order date, through a calendar of all days that the data spans."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", F.to_date("l_shipdate").alias("shipped"))
     orders = table(spark, sf, "orders").select("o_orderkey")
-    first, last = lines.agg(F.min("shipped").cast("string"), F.max("shipped").cast("string")).first()
+    first, last, rows = lines.agg(
+        F.min("shipped").cast("string"), F.max("shipped").cast("string"), F.count(F.lit(1))
+    ).first()
+    rows += orders.count()
     days = times.calendar(spark, first or AS_OF, last or AS_OF, AS_OF).select("Date2Key", "YearMonth")
-    facts = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    facts = spread(orders, rows, "o_orderkey").join(
+        spread(lines, rows, "l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey")
+    )
     dated = facts.join(days, F.col("shipped") == F.col("Date2Key"))
     return M.by_groups(
         dated,
