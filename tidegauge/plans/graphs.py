@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators import graph as G
 from tidegauge.registry import query
-from tidegauge.session import table
+from tidegauge.session import spread, table
 
 
 @query(
@@ -46,10 +46,9 @@ def reachable_definitions(spark: SparkSession, sf: str) -> DataFrame:
     SELECT 'item' AS kind, i AS src, u AS dst FROM f UNION SELECT 'container', c, uc FROM f UNION SELECT 'contains', c, i FROM f UNION SELECT 'contains', uc, u FROM f""",
 )
 def upstream_edges(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey")
     flows = (
-        table(spark, sf, "lineitem")
-        .select("l_partkey", "l_suppkey")
-        .distinct()
+        spread(lines.distinct(), lines.count(), "l_partkey")
         .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(F.broadcast(table(spark, sf, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
