@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tests.llm.conftest import ODD
 from tests.oracle import compare, connect
-from tidegauge.llm import components, fingerprints, mixing, neighbours, ngram_join, sharding, words
+from tidegauge.llm import blocks, components, fingerprints, mixing, neighbours, ngram_join, sharding, words
 
 
 def text_of(r):
@@ -358,6 +358,56 @@ def test_partitions_of_more_nodes_are_more(workers):
     assert first(64 << 7) > 2 * 4.5 > first(64 << 4)
 
 
+def test_neighbours_travel_in_messages(workers, monkeypatch):
+    """Lists, views and vectors are arrays of a block, so that rows are far fewer than edges."""
+    sizes = {}
+    stored = neighbours.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        sizes[name] = max(sizes.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "stored", counted)
+    vectors = np.random.default_rng(7).normal(size=(3000, 16))
+    table = workers.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(table, F.col("vec_id") % 500 == 0).collect()
+    want = plain_nearest(list(range(3000)), dict(enumerate(vectors)), range(0, 3000, 500), 5)
+    hits = sum((r["vec_id"] in {i for _, i in want[r["query_id"]]}) for r in found)
+    assert len(found) == 30 and hits >= 27
+    # 3,000 nodes with up to 40 edges each, 6 queries with up to 128 nodes in view each.
+    assert sizes.pop("neighbours") <= 8 and sizes["neighbour-view"] <= 8 and sizes["neighbour-ways"] <= 8
+
+
+def test_best_edges_of_a_row():
+    random = np.random.default_rng(3)
+    row, other = random.integers(0, 20, 4000), random.integers(-30, 30, 4000)
+    score, fresh = (random.integers(-8, 9, 4000) / 8).astype("<f4"), random.random(4000) < 0.5
+    got = neighbours._best(20, 12, row, other, score, fresh)
+    for n in range(20):
+        best = {}
+        for o, v, f in zip(other[row == n], score[row == n], fresh[row == n]):
+            v0, f0 = best.get(o, (v, f))
+            best[o] = (max(v, v0), f and f0)
+        want = sorted(((-v, o, f) for o, (v, f) in best.items()), key=lambda x: x[:2])[:12]
+        assert [(-v, o, f) for o, v, f in zip(*(x[n] for x in got))] == want
+
+
+def test_very_many_edges_are_thinned_to_the_best():
+    to, other = np.repeat([1, 2], [1000, 5]), np.arange(1005)
+    score = (np.arange(1005) / 1005).astype("<f4")
+    node, kept, value = neighbours._thinned(to, other, score, 4)
+    assert sorted(zip(node, kept)) == [(1, 996), (1, 997), (1, 998), (1, 999)] + [(2, i) for i in range(1000, 1005)]
+    assert all(value == score[kept])
+
+
+def test_shares_are_the_same_wherever_they_are_made():
+    keys = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 5000)
+    home = {k: b for b, these in blocks.shares(keys, 7) for k in keys[these]}
+    again = {k: b for b, these in blocks.shares(keys[::-3], 7) for k in keys[::-3][these]}
+    assert len(home) == len(set(keys)) and again.items() <= home.items() and set(home.values()) == set(range(7))
+
+
 def test_native_operators_run_no_python(docs):
     for found in (fingerprints.edited(docs), mixing.mixed(docs)):
         text = found._jdf.queryExecution().executedPlan().toString()
